@@ -5,7 +5,7 @@ is bad is lost even when a later row of it is good.
 """
 
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from tillbook.functions import exact_decimal, percentage, sale_date, whole_numbe
 from tillbook.schema import CONSTANT_COLUMN, CRITICAL, KEY, MONEY, ORDER_PREFIX, order_columns
 
 DATE_PATTERN = "M/d/yyyy"
+FLAGS = "_flags"
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -72,44 +73,70 @@ def clean_sales(raw: DataFrame, date_pattern: str = DATE_PATTERN) -> DataFrame:
     )
 
 
-def _either(*conditions: Column) -> Column:
-    return F.coalesce(reduce(or_, conditions), F.lit(False))
+def _flag_values() -> dict[str, Column]:
+    """What can be wrong with a row; a row without any of these is clean."""
+    return {f"null_{c}": F.col(c).isNull() for c in CRITICAL} | {
+        "quantity_bad": F.col("quantity") <= 0,
+        "total_bad": F.col("total") <= 0,
+        "quantity_null": F.col("quantity").isNull(),
+    }
+
 
+def with_flags(df: DataFrame) -> DataFrame:
+    """Add ``_flags``, one bit for each thing that is wrong; 0 for rows that cleaning keeps."""
+    bits = [F.when(bad, 1 << i).otherwise(0) for i, bad in enumerate(_flag_values().values())]
+    return df.withColumn(FLAGS, reduce(add, bits))
 
-def cleaning_audit(raw: DataFrame) -> DataFrame:
+
+def cleaning_audit(flag_counts: DataFrame, rows_before: Column) -> DataFrame:
     """One row with every count the cleaning steps report.
 
-    One scan and one shuffle: a row is reduced to its flags, and of each key only the first row's
-    flags and the number of rows leave a partition. The counts are plain aggregates rather than
-    observed metrics, which repeat themselves when a lost task is run again.
+    ``flag_counts`` holds ``_flags`` and ``n``, the number of rows with them that are left after
+    removing duplicates; ``rows_before`` is an aggregate over it that gives the raw row count.
     """
-    quantity_bad = _either(F.col("quantity") <= 0)
-    total_bad = _either(F.col("total") <= 0)
-    flags = F.struct(
-        *[F.col(c).isNull().alias(f"null_{c}") for c in CRITICAL],
-        quantity_bad.alias("quantity_bad"),
-        total_bad.alias("total_bad"),
-        F.col("quantity").isNull().alias("quantity_null"),
-    )
-    per_key = raw.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(flags, F.struct(*_order(raw))).alias("first"),
+    names = list(_flag_values())
+
+    def has(*wanted):
+        return F.col(FLAGS).bitwiseAND(sum(1 << names.index(w) for w in wanted)) != 0
+
+    def rows(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("n")).otherwise(0)), F.lit(0))
+
+    nulls = [f"null_{c}" for c in CRITICAL]
+    complete = ~has(*nulls)
+    bad_value = has("quantity_bad", "total_bad")
+    left = rows(F.lit(True))
+    return (
+        flag_counts.agg(
+            F.coalesce(rows_before, F.lit(0)).alias("rows_before"),
+            left.alias("_left"),
+            *[rows(has(name)).alias(name) for name in nulls],
+            rows(~complete).alias("critical_null_rows"),
+            rows(complete & has("quantity_bad")).alias("invalid_quantity"),
+            rows(complete & has("total_bad")).alias("invalid_total"),
+            rows(complete & bad_value).alias("bad_value_rows"),
+            rows(complete & ~bad_value & has("quantity_null")).alias("null_quantity_rows"),
+            rows(F.col(FLAGS) == 0).alias("rows_after"),
+        )
+        .withColumn("duplicate_rows", F.col("rows_before") - F.col("_left"))
+        .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
+        .drop("_left")
     )
-    incomplete = _either(*[F.col(f"first.null_{c}") for c in CRITICAL])
-    bad_value = F.col("first.quantity_bad") | F.col("first.total_bad")
-    no_quantity = F.col("first.quantity_null") & ~F.col("first.total_bad")
-    counts = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
-        *[F.count_if(F.col(f"first.null_{c}")).alias(f"null_{c}") for c in CRITICAL],
-        F.count_if(incomplete).alias("critical_null_rows"),
-        F.count_if(~incomplete & F.col("first.quantity_bad")).alias("invalid_quantity"),
-        F.count_if(~incomplete & F.col("first.total_bad")).alias("invalid_total"),
-        F.count_if(~incomplete & bad_value).alias("bad_value_rows"),
-        F.count_if(~incomplete & no_quantity).alias("null_quantity_rows"),
-        F.count_if(~incomplete & ~bad_value & ~no_quantity).alias("rows_after"),
+
+
+def audit_of_raw(raw: DataFrame) -> DataFrame:
+    """The audit of raw sales that are not going to be stored.
+
+    One scan and one shuffle: a row is reduced to its flags, and of each key only the first row's
+    flags and the number of rows leave a partition.
+    """
+    per_key = (
+        with_flags(raw)
+        .groupBy(KEY)
+        .agg(F.min_by(FLAGS, F.struct(*_order(raw))).alias(FLAGS), F.count(F.lit(1)).alias("rows"))
     )
-    return counts.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
+    flag_counts = per_key.groupBy(FLAGS).agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"))
+    return cleaning_audit(flag_counts, F.sum("rows"))
 
 
 def duplicate_count(raw: DataFrame) -> DataFrame:

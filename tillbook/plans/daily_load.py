@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from tillbook.functions import sale_time
 from tillbook.operators import quality
-from tillbook.operators.cleaning import DATE_PATTERN, clean_sales, cleaning_audit
+from tillbook.operators.cleaning import (
+    DATE_PATTERN, FLAGS, cleaning_audit, coerce_types, drop_constant_column, keep_first, with_flags,
+)
 from tillbook.plans.reports import branch_revenue_sample, row_count
 from tillbook.schema import (
     RAW_SCHEMA, RAW_TABLE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns,
@@ -26,25 +28,39 @@ from tillbook.sources.tables import publish, read_staged, stage
 
 log = logging.getLogger(__name__)
 
+_REJECTED = "rejected"
 
-@dataclass
-class Staged:
-    """A table version that is written but not yet published."""
 
+@dataclass
+class RawLoad:
     path: str
     schema: T.StructType
     rows: DataFrame
-    profile: DataFrame | None = None  # one local row, see quality.table_profile
 
 
 @dataclass
-class Refresh:
-    raw: Staged
-    warehouse: Staged
+class WarehouseLoad:
+    path: str
+    rows: DataFrame
     audit: DataFrame  # one local row, see cleaning.cleaning_audit
+    profile: DataFrame  # one local row, see quality.table_profile
+
+
+@dataclass
+class Refresh:
+    raw: RawLoad
+    warehouse: WarehouseLoad
     metrics: DataFrame  # one local row, row counts of the stages
 
 
+@dataclass
+class LoadResult:
+    metrics: Row
+    audit: Row
+    checks: list[Row]
+    branch_sample: DataFrame
+
+
 @contextmanager
 def _timed(step: str):
     start = time.monotonic()
@@ -52,70 +68,77 @@ def _timed(step: str):
     log.info("%s took %.2f s", step, time.monotonic() - start)
 
 
+def _one_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
+
+
 def _computed(one_row: DataFrame) -> DataFrame:
-    """Run a one-row aggregate now and keep its row, so that later uses do not run it again."""
-    return one_row.sparkSession.createDataFrame([one_row.first()], one_row.schema)
+    """Run a one-row aggregate of counts now, so that later uses do not run it again."""
+    return _one_row(one_row.sparkSession, one_row.first().asDict())
 
 
-def warehouse_rows(clean: DataFrame) -> DataFrame:
+def warehouse_rows(clean: DataFrame, *extra: str) -> DataFrame:
     """Cleaned sales in warehouse columns. A time that does not parse is left as it is, for the
     constraint check to find."""
     time_of_day = F.coalesce(sale_time(F.col("time")), F.col("time"))
     types = {f.name: f.dataType for f in WAREHOUSE_SCHEMA}
     return clean.withColumn("time", time_of_day).select(
-        *[F.col(c).cast(types[c]).alias(c) for c in WAREHOUSE_COLUMNS]
+        *[F.col(c).cast(types[c]).alias(c) for c in WAREHOUSE_COLUMNS], *extra
     )
 
 
-def load_raw(df: DataFrame, root: str) -> Staged:
+def load_raw(df: DataFrame, root: str) -> RawLoad:
     """Write raw sales, with the columns that keep their order, and read them back."""
     raw = to_raw(df)
     schema = T.StructType(RAW_SCHEMA.fields + [raw.schema[c] for c in order_columns(raw)])
     path = stage(raw, root, "raw")
-    return Staged(path, schema, read_staged(df.sparkSession, path, schema))
+    return RawLoad(path, schema, read_staged(df.sparkSession, path, schema))
 
 
-def load_warehouse(clean: DataFrame, root: str) -> Staged:
-    """Write cleaned sales with a load time and check the warehouse's constraints on the result.
+def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN) -> WarehouseLoad:
+    """Clean raw sales into a new version of the warehouse table, in one pass over them.
 
-    The constraints are checked on the written columns instead of before the write, so that the
-    cleaning runs once. Rows that break one are never published.
+    The rows that cleaning rejects are written too, in a folder beside the clean ones, with flags
+    for what is wrong. The counts that cleaning reports then follow from what was written; only
+    duplicates are not written, and are the difference to the raw row count. The constraints are
+    checked on the written rows as well. A version that breaks one is never published.
     """
-    stamped = warehouse_rows(clean).withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
-    path = stage(stamped, root, "warehouse")
-    rows = read_staged(clean.sparkSession, path, WAREHOUSE_SCHEMA)
+    first = raw.transform(keep_first).transform(with_flags)
+    judged = first.transform(coerce_types, date_pattern).transform(drop_constant_column)
+    stamped = (
+        warehouse_rows(judged, FLAGS)
+        .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+        .withColumn(_REJECTED, F.col(FLAGS) != 0)
+    )
+    path = stage(stamped, root, "warehouse", _REJECTED)
+    schema = T.StructType(WAREHOUSE_SCHEMA.fields + [stamped.schema[FLAGS], stamped.schema[_REJECTED]])
+    written = read_staged(raw.sparkSession, path, schema)
+
+    flag_counts = written.groupBy(FLAGS).agg(F.count(F.lit(1)).alias("n"))
+    audit = _computed(cleaning_audit(flag_counts, F.max(F.lit(row_count(raw).first().row_count))))
+    log.info("cleaning: %s", audit.first().asDict())
+
+    rows = written.where(~F.col(_REJECTED)).select(*WAREHOUSE_SCHEMA.fieldNames())
     profile = _computed(quality.table_profile(rows))
     quality.enforce_constraints(quality.constraint_violations(profile))
-    return Staged(path, WAREHOUSE_SCHEMA, rows, profile)
+    return WarehouseLoad(f"{path}/{_REJECTED}=false", rows, audit, profile)
 
 
 def refresh(raw_sales: DataFrame, root: str, date_pattern: str = DATE_PATTERN) -> Refresh:
-    """Stage the raw table and the warehouse table, and reconcile their row counts with the
-    account cleaning gives of itself."""
-    spark = raw_sales.sparkSession
-    with _timed("load raw"):
+    """Write new versions of the raw and the warehouse table, with their row counts side by side."""
+    with _timed("raw load"):
         raw = load_raw(raw_sales, root)
-        raw_rows = row_count(raw.rows).first().row_count
-        log.info("raw rows: %d", raw_rows)
-    with _timed("clean"):
-        audit = _computed(cleaning_audit(raw.rows))
-        log.info("cleaning: %s", audit.first().asDict())
-    with _timed("load warehouse"):
-        warehouse = load_warehouse(clean_sales(raw.rows, date_pattern), root)
-    counts = audit.first()
-    metrics = spark.createDataFrame(
-        [(raw_rows, counts.rows_after, counts.rows_removed, warehouse.profile.first().row_count)],
-        "raw_row_count bigint, clean_row_count bigint, removed_row_count bigint, warehouse_row_count bigint",
-    )
-    return Refresh(raw, warehouse, audit, metrics)
-
-
-@dataclass
-class LoadResult:
-    metrics: Row
-    audit: Row
-    checks: list[Row]
-    branch_sample: DataFrame
+    with _timed("cleaning and warehouse load"):
+        warehouse = load_warehouse(raw.rows, root, date_pattern)
+    audit = warehouse.audit.first()
+    counts = {
+        "raw_row_count": audit.rows_before,
+        "clean_row_count": audit.rows_after,
+        "removed_row_count": audit.rows_removed,
+        "warehouse_row_count": warehouse.profile.first().row_count,
+    }
+    log.info("rows: %s", counts)
+    return Refresh(raw, warehouse, _one_row(raw_sales.sparkSession, counts))
 
 
 def run(
@@ -134,10 +157,12 @@ def run(
     log.info("source %s: %.2f KB", source, source_bytes(spark, source) / 1024)
     size_for(spark, source)
     done = refresh(read_sales_csv(spark, source, multi_line), root, date_pattern)
-    metrics = done.metrics.first()
-    log.info("rows: %s", metrics.asDict())
-    with _timed("quality checks"):
-        checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
+    checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
     publish(spark, raw_table, done.raw.path, done.raw.schema)
-    publish(spark, warehouse_table, done.warehouse.path, done.warehouse.schema)
-    return LoadResult(metrics, done.audit.first(), checks, branch_revenue_sample(done.warehouse.rows))
+    publish(spark, warehouse_table, done.warehouse.path, WAREHOUSE_SCHEMA)
+    return LoadResult(
+        done.metrics.first(),
+        done.warehouse.audit.first(),
+        checks,
+        branch_revenue_sample(spark.table(warehouse_table)),
+    )

@@ -22,10 +22,10 @@ def shared_root(spark: SparkSession) -> str:
     return f"{root}/tillbook/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, root: str, name: str) -> str:
+def stage(df: DataFrame, root: str, name: str, *partition: str) -> str:
     """Write a new version of a table and return its folder."""
     path = f"{root}/{name}/load_{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").partitionBy(*partition).parquet(path)
     return path
 
 

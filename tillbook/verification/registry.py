@@ -9,7 +9,7 @@ from tillbook.operators import cleaning, quality
 from tillbook.plans import daily_load, reports
 from tillbook.schema import CRITICAL, KEY, RAW_COLUMNS, WAREHOUSE_COLUMNS
 from tillbook.sources.csv_source import normalize_headers, source_profile
-from tillbook.sources.tables import shared_root
+from tillbook.sources.tables import read_staged, shared_root, stage
 from tillbook.verification.star import bad_dates, missing_cities, number_texts, raw_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,13 @@ def _warehouse(spark, sf_dir):
 
 
 def _audit(spark, sf_dir):
-    return cleaning.cleaning_audit(raw_sales(spark, sf_dir, [*CRITICAL, "quantity"]))
+    return cleaning.audit_of_raw(raw_sales(spark, sf_dir, [*CRITICAL, "quantity"]))
+
+
+def _stored(df, name):
+    """Write a derived table once, where a query has to scan it more than once."""
+    spark = df.sparkSession
+    return read_staged(spark, stage(df, shared_root(spark), name), df.schema)
 
 
 def _on_warehouse(report) -> Query:
@@ -63,8 +69,8 @@ def _raw_load(spark, sf_dir):
 
 
 def _load_warehouse(spark, sf_dir):
-    clean = cleaning.clean_sales(raw_sales(spark, sf_dir))
-    return daily_load.load_warehouse(clean, shared_root(spark)).rows.select(*WAREHOUSE_COLUMNS)
+    load = daily_load.refresh(raw_sales(spark, sf_dir), shared_root(spark))
+    return load.warehouse.rows.select(*WAREHOUSE_COLUMNS)
 
 
 def _load_reconciliation(spark, sf_dir):
@@ -97,7 +103,20 @@ def _coerce_numerics(spark, sf_dir):
 
 def _constraint_violations(spark, sf_dir):
     sales = raw_sales(spark, sf_dir, variant=bad_dates() | missing_cities())
-    return quality.constraint_violations(quality.table_profile(cleaning.coerce_types(sales)))
+    stored = _stored(cleaning.coerce_types(sales), "unclean")
+    return quality.constraint_violations(quality.table_profile(stored))
+
+
+def _dq_report(spark, sf_dir):
+    load = daily_load.refresh(raw_sales(spark, sf_dir), shared_root(spark))
+    reports_by_table = [
+        quality.dq_report(profile).select(F.lit(name).alias("table_name"), "*")
+        for name, profile in [
+            ("raw", quality.table_profile(load.raw.rows)),
+            ("warehouse", load.warehouse.profile),
+        ]
+    ]
+    return reports_by_table[0].union(reports_by_table[1])
 
 
 QUERIES: dict[str, Query] = {
@@ -138,6 +157,6 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": _on_both(quality.dq_duplicate_keys, [KEY]),
     "dq_positive_values": _on_both(quality.dq_positive_values, ["total", "quantity"]),
     "branch_revenue_sample": _on_warehouse(reports.branch_revenue_sample),
-    "dq_report": _on_both(lambda df: quality.dq_report(quality.table_profile(df)), RAW_COLUMNS),
+    "dq_report": _dq_report,
     "load_reconciliation": _load_reconciliation,
 }
