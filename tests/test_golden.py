@@ -1,0 +1,182 @@
+"""Every step and report on the hand-worked file, and runs that must fail."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from golden import GOLDEN, changed, rows
+from tillbook.operators import cleaning, quality
+from tillbook.plans import daily_load, reports
+from tillbook.schema import RAW_COLUMNS, WAREHOUSE_SCHEMA
+from tillbook.sources.csv_source import read_sales_csv
+
+
+def write(tmp_path, text, name="sales.csv"):
+    path = tmp_path / name
+    path.write_text(text)
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def golden(spark, tmp_path_factory):
+    """Raw and cleaned sales and the audit, as the load would leave them."""
+    folder = tmp_path_factory.mktemp("golden")
+    raw = read_sales_csv(spark, write(folder, GOLDEN))
+    return raw, cleaning.clean_sales(raw).cache(), cleaning.audit_of_raw(raw).cache()
+
+
+def D(text):
+    return Decimal(text)
+
+
+def ids(df):
+    return sorted(str(r.invoice_id) for r in df.collect())
+
+
+def test_cleaning_steps(golden):
+    raw, clean, audit = golden
+    first = cleaning.keep_first(raw)
+    complete = cleaning.drop_critical_nulls(first)
+    assert first.count() == 10
+    assert rows(cleaning.duplicate_count(raw)) == [(3,)]
+    assert rows(first.where("invoice_id = 'I-01'").select("quantity")) == [(2,)]
+    assert complete.count() == 8 and "I-02" not in ids(complete)
+    assert ids(cleaning.positive_filter(complete)) == ["I-01", "I-07", "I-08"]
+    assert ids(clean) == ["I-01", "I-07", "I-08"]
+    assert clean.columns == [c for c in RAW_COLUMNS if c != "gross_margin_percentage"]
+    assert dict(clean.dtypes)["date"] == "date"
+
+
+def test_cleaning_account(golden):
+    _, _, audit = golden
+    assert rows(cleaning.critical_null_profile(audit)) == [
+        ("invoice_id", 1), ("branch", 1), ("product_line", 0), ("total", 0), ("date", 0),
+    ]
+    assert rows(cleaning.invalid_value_counts(audit)) == [(2, 2)]
+    assert rows(cleaning.clean_summary(audit)) == [(13, 10, 3, D("23.10"))]
+    assert rows(cleaning.removed_by_reason(audit)) == [
+        ("reported", "duplicate", 3),
+        ("reported", "critical_null", 2),
+        ("reported", "quantity_not_positive", 2),
+        ("reported", "total_not_positive", 2),
+        ("removed", "duplicate", 3),
+        ("removed", "critical_null", 2),
+        ("removed", "value_not_positive", 3),
+        ("removed", "quantity_null", 2),
+    ]
+
+
+def test_reports(golden):
+    raw, clean, _ = golden
+    wh = daily_load.warehouse_rows(clean)
+    assert rows(reports.row_count_audit(raw, wh)) == [
+        ("raw_supermarket_sales", 13), ("warehouse_supermarket_sales", 3),
+    ]
+    assert rows(reports.revenue_by_branch_city(wh)) == [
+        ("A", "Yangon", 2, D("31.50"), D("15.75")), ("C", "Naypyitaw", 1, D("10.01"), D("10.01")),
+    ]
+    assert rows(reports.top_product_lines(wh)) == [
+        ("Health and beauty", 2, D("31.50"), D("8.55")), ("Fashion accessories", 1, D("10.01"), None),
+    ]
+    assert rows(reports.customer_segment_spend(wh)) == [
+        ("Member", "Female", 2, D("31.50"), D("15.75")), ("Normal", "Male", 1, D("10.01"), D("10.01")),
+    ]
+    assert rows(reports.payment_mix(wh)) == [
+        ("Ewallet", 1, D("21.00"), D("33.33")),
+        ("Credit card", 1, D("10.50"), D("33.33")),
+        ("Cash", 1, D("10.01"), D("33.33")),
+    ]
+    assert rows(reports.monthly_revenue(wh)) == [
+        ("2019-01", 1, D("21.00")), ("2019-02", 1, D("10.01")), ("2019-12", 1, D("10.50")),
+    ]
+    assert rows(reports.top_transactions(wh)) == [
+        ("I-01", "A", "Health and beauty", 2, D("21.0000"), date(2019, 1, 5)),
+        ("I-08", "A", "Health and beauty", 1, D("10.5000"), date(2019, 12, 31)),
+        ("I-07", "C", "Fashion accessories", 1, D("10.0065"), date(2019, 2, 28)),
+    ]
+    assert rows(reports.null_profile(wh)) == [(3, 0, 0, 0, 0)]
+    assert rows(reports.branch_revenue_sample(wh)) == [("A", 2, D("31.50")), ("C", 1, D("10.01"))]
+    assert [r[0] for r in rows(reports.warehouse_preview(wh))] == ["I-01", "I-07", "I-08"]
+
+
+def test_reports_on_no_rows(golden):
+    raw, clean, _ = golden
+    none = daily_load.warehouse_rows(clean.where("false"))
+    assert rows(reports.null_profile(none)) == [(0, 0, 0, 0, 0)]
+    assert rows(reports.payment_mix(none)) == rows(reports.monthly_revenue(none)) == []
+    empty = raw.where("false")
+    assert rows(cleaning.clean_summary(cleaning.audit_of_raw(empty))) == [(0, 0, 0, D("0.00"))]
+    assert rows(cleaning.duplicate_count(empty)) == [(0,)]
+    assert [r.passed for r in quality.dq_report(quality.table_profile(empty)).collect()] == [False] + [True] * 4
+
+
+def test_run(spark, tmp_path):
+    before = datetime.now()
+    result = daily_load.run(spark, write(tmp_path, GOLDEN), str(tmp_path / "out"), "raw_run", "wh_run")
+    assert tuple(result.metrics) == (13, 3, 10, 3)
+    assert [(c.check_id, c.passed) for c in result.checks] == [(i, True) for i in range(1, 6)]
+    assert rows(result.branch_sample) == [("A", 2, D("31.50")), ("C", 1, D("10.01"))]
+    assert result.audit.duplicate_rows == 3 and result.audit.null_quantity_rows == 2
+    wh = spark.table("wh_run")
+    assert [(f.name, f.dataType) for f in wh.schema] == [(f.name, f.dataType) for f in WAREHOUSE_SCHEMA]
+    assert rows(wh.orderBy("invoice_id").select("time")) == [("13:08:00",), ("10:07:00",), ("20:59:00",)]
+    stamps = wh.select("loaded_at").distinct().collect()
+    assert len(stamps) == 1 and abs((stamps[0][0] - before).total_seconds()) < 86400
+    assert spark.table("raw_run").count() == 13
+
+
+def test_run_replaces_the_tables_and_repeats_without_doubling(spark, tmp_path):
+    source, out = write(tmp_path, GOLDEN), str(tmp_path / "out")
+    for _ in range(2):
+        daily_load.run(spark, source, out, "raw_twice", "wh_twice")
+    assert spark.table("raw_twice").count() == 13 and spark.table("wh_twice").count() == 3
+    fewer = write(tmp_path, "\n".join(GOLDEN.splitlines()[:2]) + "\n", "fewer.csv")
+    daily_load.run(spark, fewer, out, "raw_twice", "wh_twice")
+    assert spark.table("raw_twice").count() == 1 and spark.table("wh_twice").count() == 1
+
+
+def test_only_clean_rows(spark, tmp_path):
+    text = "\n".join(row for row in GOLDEN.splitlines() if row.startswith(("Invoice", "I-07", "I-08")))
+    result = daily_load.run(spark, write(tmp_path, text), str(tmp_path / "out"), "raw_clean", "wh_clean")
+    assert tuple(result.metrics) == (2, 2, 0, 2)
+
+
+@pytest.mark.parametrize(
+    ("old", "new", "broken"),
+    [
+        ("12/31/2019", "2/30/2019", "'column_name': 'date', 'violations': 1"),
+        ("Yangon", "", "'column_name': 'city', 'violations': 1"),
+        ("10.00,1,", ",1,", "'column_name': 'unit_price', 'violations': 1"),
+        ("20:59", "25:99", "'column_name': 'time', 'violations': 1"),
+    ],
+)
+def test_broken_constraints_reject_the_load(spark, tmp_path, old, new, broken):
+    """Cleaning keeps the row, the load fails, and the previous table stays."""
+    out = str(tmp_path / "out")
+    table = f"wh_kept_{abs(hash(old))}"
+    daily_load.run(spark, write(tmp_path, GOLDEN), out, f"raw_{table}", table)
+    bad = write(tmp_path, changed(old, new), "bad.csv")
+    assert "I-08" in ids(cleaning.clean_sales(read_sales_csv(spark, bad)))
+    with pytest.raises(quality.ConstraintError, match=broken):
+        daily_load.run(spark, bad, out, f"raw_{table}", table)
+    assert ids(spark.table(table)) == ["I-01", "I-07", "I-08"]
+
+
+@pytest.mark.parametrize("keep", [("Invoice", "I-03", "I-04", "I-05", "I-06"), ("Invoice",)])
+def test_empty_result_fails_the_first_check(spark, tmp_path, keep):
+    text = "\n".join(row for row in GOLDEN.splitlines() if row.startswith(keep)) + "\n"
+    with pytest.raises(quality.QualityError, match=r"4/5 checks passed, failed: not_empty \(0\)"):
+        daily_load.run(spark, write(tmp_path, text), str(tmp_path / "out"), "raw_none", "wh_none")
+    assert not spark.catalog.tableExists("wh_none")
+
+
+def test_all_checks_can_fail(golden):
+    raw, _, _ = golden
+    report = quality.dq_report(quality.table_profile(raw))
+    assert rows(report.select("check_id", "observed", "passed")) == [
+        (1, 13, True), (2, 3, False), (3, 3, False), (4, 3, False), (5, 13, True),
+    ]
+    with pytest.raises(quality.QualityError, match="2/5"):
+        quality.enforce_checks(report)
+

@@ -66,12 +66,14 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _well_formed(n_columns: int, multi_line: bool) -> Column:
+def _well_formed(columns: list[str], multi_line: bool) -> Column:
     """Row filter: drop blank lines, keep short rows (padded with NULL), fail on long ones."""
     record = F.col(_CORRUPT)
+    # Naming a data column too: Spark reads no file for the malformed record alone.
+    blank = (F.trim(record) == "") & (F.coalesce(F.trim(columns[0]), F.lit("")) == "")
     outside_quotes = F.regexp_replace(record, r'(^|,)"([^"]|"")*"', "$1")
-    too_long = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) >= n_columns
-    checked = F.when(record.isNull(), True).when(F.trim(record) == "", False)
+    too_long = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) >= len(columns)
+    checked = F.when(record.isNull(), True).when(blank, False)
     if not multi_line:
         # A quoted line break read line by line always leaves a ragged row with an open quote.
         quotes = F.length(record) - F.length(F.replace(record, F.lit('"')))
@@ -113,4 +115,4 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         F.monotonically_increasing_id().alias(f"{ORDER_PREFIX}row"),
         _CORRUPT,
     )
-    return to_raw(fields.where(_well_formed(len(header), multi_line)).drop(_CORRUPT))
+    return to_raw(fields.where(_well_formed(names, multi_line)).drop(_CORRUPT))

@@ -92,13 +92,12 @@ def raw_sales(
     if wanted & _ORDERS:
         orders = table("orders")
         if wanted & _CUSTOMER:
-            # Joined to the orders first: the sales then cross one shuffle for all of them.
-            customers = (
-                table("customer")
+            # Joined to the orders, not to the sales, which then cross one shuffle for all of them.
+            orders = (
+                orders.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
                 .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
                 .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
             )
-            orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         sales = sales.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     values = _columns()
     types = {f.name: f.dataType for f in RAW_SCHEMA}
