@@ -1,10 +1,13 @@
 """Text to typed values.
 
-``strict`` stands for the raw load, where bad text fails the load; otherwise bad text becomes
-NULL. Only ``try_*`` functions and explicit errors are used, so results do not depend on
-whether the session runs in ANSI mode.
+The raw load is strict: bad text fails it. Later steps turn bad text into NULL. Only ``try_*``
+functions and explicit errors are used, so results do not depend on whether the session runs in
+ANSI mode.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,30 +21,63 @@ def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(NA_TOKENS), text)
 
 
-def _fail(name: str, text: Column, problem: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"column {name}: {problem}: "), text.cast("string")))
+def _fail(name: Column, text: Column, problem: str) -> Column:
+    return F.raise_error(F.concat(F.lit("column "), name, F.lit(f": {problem}: "), text)).cast("boolean")
+
+
+def _lossy(wide: Column, data_type: T.DecimalType) -> Column:
+    return ~wide.try_cast(data_type).eqNullSafe(wide)
+
+
+def _whole(wide: Column) -> Column:
+    return F.round(wide, 0).try_cast("int")
+
+
+def _plain(data_type: T.DataType) -> str:
+    """Pattern of number texts that surely fit the type; others may fit as well."""
+    if isinstance(data_type, T.DecimalType):
+        return rf"-?\d{{1,{data_type.precision - data_type.scale}}}(?:\.\d{{1,{data_type.scale}}})?"
+    return r"-?\d{1,9}"
+
 
+def numbers_fit(texts: dict[str, T.DataType]) -> Column:
+    """Row filter that is always true, or an error that names the text that is no such number.
 
-def exact_decimal(text: Column, data_type: T.DecimalType, name: str, strict: bool) -> Column:
-    """Parse a number without losing digits; a value finer than the column's scale is an error."""
+    Rows of plain numbers pass by a single pattern over all columns. Only a row with another text
+    takes the careful way, written as a loop over the columns of one type: as an expression per
+    column the generated code grows beyond what the JVM compiles.
+    """
+
+    def careful(data_type, names):
+        def check(field):
+            wide = field["text"].try_cast(_WIDE)
+            if isinstance(data_type, T.DecimalType):
+                result = F.when(wide.isNull(), _fail(field["name"], field["text"], "not a number"))
+                result = result.when(_lossy(wide, data_type), _fail(field["name"], field["text"], "does not fit"))
+            else:
+                result = F.when(_whole(wide).isNull(), _fail(field["name"], field["text"], "not an integer"))
+            return field["text"].isNull() | result.otherwise(True)
+
+        fields = [F.struct(F.lit(n).alias("name"), F.col(n).alias("text")) for n in names]
+        return F.forall(F.array(*fields), check)
+
+    joined = F.concat_ws(";", *[F.coalesce(n, F.lit("0")) for n in texts])
+    plain = joined.rlike("^" + ";".join(_plain(t) for t in texts.values()) + "$")
+    by_type = {t: [n for n in texts if texts[n] == t] for t in texts.values()}
+    return F.when(plain, True).otherwise(reduce(and_, [careful(t, names) for t, names in by_type.items()]))
+
+
+def exact_decimal(text: Column, data_type: T.DecimalType, name: str) -> Column:
+    """Parse a number, NULL when it is none; digits beyond the column's scale are an error."""
     wide = text.try_cast(_WIDE)
-    value = wide.try_cast(data_type)
-    result = F.when(wide.isNotNull() & ~value.eqNullSafe(wide), _fail(name, text, "does not fit"))
-    if strict:
-        result = result.when(text.isNotNull() & wide.isNull(), _fail(name, text, "not a number"))
-    return result.otherwise(value).cast(data_type)
-
-
-def whole_number(text: Column, name: str, strict: bool) -> Column:
-    """Parse an integer; a fraction is rounded half away from zero, as an INTEGER column does."""
-    value = F.round(text.try_cast(_WIDE), 0).try_cast("int")
-    if not strict:
-        return value
-    return (
-        F.when(text.isNotNull() & value.isNull(), _fail(name, text, "not an integer"))
-        .otherwise(value)
-        .cast("int")
-    )
+    lossy = wide.isNotNull() & _lossy(wide, data_type)
+    return F.when(~lossy | _fail(F.lit(name), text, "does not fit"), wide.try_cast(data_type))
+
+
+def whole_number(text: Column) -> Column:
+    """Parse an integer, NULL when the text is no number; a fraction is rounded half away from
+    zero, as an INTEGER column does."""
+    return F.coalesce(text.try_cast("int"), _whole(text.try_cast(_WIDE)))
 
 
 def sale_date(text: Column, pattern: str) -> Column:

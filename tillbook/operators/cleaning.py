@@ -51,9 +51,9 @@ def coerce_types(df: DataFrame, date_pattern: str = DATE_PATTERN) -> DataFrame:
         changes["date"] = sale_date(F.col("date"), date_pattern)
     for name in ("unit_price", "total"):
         if types[name] == "string":
-            changes[name] = exact_decimal(F.col(name), MONEY, name, strict=False)
+            changes[name] = exact_decimal(F.col(name), MONEY, name)
     if types["quantity"] == "string":
-        changes["quantity"] = whole_number(F.col("quantity"), "quantity", strict=False)
+        changes["quantity"] = whole_number(F.col("quantity"))
     return df.withColumns(changes) if changes else df
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.functions import exact_decimal, missing_to_null, whole_number
+from tillbook.functions import missing_to_null, numbers_fit, whole_number
 from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, order_columns
 
 _CORRUPT = "_corrupt"
@@ -52,14 +52,13 @@ def to_raw(df: DataFrame) -> DataFrame:
         if field.name not in types:
             return F.lit(None).cast(field.dataType)
         value = F.col(field.name)
-        if types[field.name] == "string":
-            if isinstance(field.dataType, T.DecimalType):
-                return exact_decimal(value, field.dataType, field.name, strict=True)
-            if isinstance(field.dataType, T.IntegerType):
-                return whole_number(value, field.name, strict=True)
-        return value.cast(field.dataType)
-
-    return df.select(*[typed(f).alias(f.name) for f in RAW_SCHEMA], *extra)
+        if types[field.name] != "string":
+            return value.cast(field.dataType)
+        return whole_number(value) if field.dataType == T.IntegerType() else value.try_cast(field.dataType)
+
+    numbers = {f.name: f.dataType for f in RAW_SCHEMA if f.dataType != T.StringType() and types.get(f.name) == "string"}
+    checked = df.where(numbers_fit(numbers)) if numbers else df
+    return checked.select(*[typed(f).alias(f.name) for f in RAW_SCHEMA], *extra)
 
 
 def _quoted(name: str) -> Column:
