@@ -146,9 +146,13 @@ def test_files_with_different_headers_fail(spark, csv, tmp_path):
 
 
 def test_several_files_are_ordered_by_path(spark, csv, tmp_path):
-    csv(f"{HEADER}\n{line('X-3')}\n", "b.csv")
-    csv(f"{HEADER}\n{line('X-1')}\n{line('X-2')}\n", "a.csv")
+    tmp_path = tmp_path / "with space"
+    tmp_path.mkdir()
+    csv(f"{HEADER}\n{line('X-3')}\n", "with space/b.csv")
+    csv(f"{HEADER}\n{line('X-1')}\n{line('X-2')}\n", "with space/a.csv")
     assert read(spark, str(tmp_path), "invoice_id") == [("X-1",), ("X-2",), ("X-3",)]
+    files = read_sales_csv(spark, str(tmp_path)).select("_ord_file").distinct().collect()
+    assert sorted(r[0] for r in files) == ["a.csv", "b.csv"]
 
 
 @pytest.mark.parametrize(

@@ -1,5 +1,6 @@
 """Sales CSV files to the typed raw table."""
 
+import os
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,9 +108,12 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         )
         .csv(path)
     )
+    # The common folder is cut off: the path of its file travels with every row.
+    folder = os.path.commonprefix(lines.inputFiles()).rpartition("/")[0].replace(":///", ":/")
+    relative_path = F.replace(F.col("_metadata.file_path"), F.lit(f"{folder}/"), F.lit(""))
     fields = lines.select(
         *[missing_to_null(_quoted(h)).alias(name) for h, name in zip(header, names)],
-        F.col("_metadata.file_path").alias(f"{ORDER_PREFIX}file"),
+        relative_path.alias(f"{ORDER_PREFIX}file"),
         F.col("_metadata.file_block_start").alias(f"{ORDER_PREFIX}block"),
         F.monotonically_increasing_id().alias(f"{ORDER_PREFIX}row"),
         _CORRUPT,
