@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from golden import GOLDEN, changed, rows
 from tillbook.schema import RAW_COLUMNS, RAW_SCHEMA, order_columns
 from tillbook.sizing import size_for
-from tillbook.sources import jdbc
 from tillbook.sources.csv_source import normalize_headers, read_sales_csv, source_bytes, source_profile, to_raw
 
 HEADER = GOLDEN.splitlines()[0]
@@ -201,8 +200,3 @@ def test_partition_settings_grow_with_the_input(spark, tmp_path, monkeypatch):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
-def test_jdbc_options():
-    assert jdbc.connection_options("jdbc:x", "t", "u", "p@:/")["password"] == "p@:/"
-    assert "user" not in jdbc.connection_options("jdbc:x", "t")

@@ -20,7 +20,7 @@ from tillbook.operators.cleaning import (
 )
 from tillbook.plans.reports import branch_revenue_sample, row_count
 from tillbook.schema import (
-    RAW_SCHEMA, RAW_TABLE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns,
+    CRITICAL, RAW_SCHEMA, RAW_TABLE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns,
 )
 from tillbook.sizing import size_for
 from tillbook.sources.csv_source import read_sales_csv, source_bytes, to_raw
@@ -116,7 +116,11 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN)
 
     flag_counts = written.groupBy(FLAGS).agg(F.count(F.lit(1)).alias("n"))
     audit = _computed(cleaning_audit(flag_counts, F.max(F.lit(row_count(raw).first().row_count))))
-    log.info("cleaning: %s", audit.first().asDict())
+    counts = audit.first().asDict()
+    log.info("cleaning: %s", counts)
+    for column in CRITICAL:
+        if counts[f"null_{column}"]:
+            log.warning("column %s: %d rows without a value", column, counts[f"null_{column}"])
 
     rows = written.where(~F.col(_REJECTED)).select(*WAREHOUSE_SCHEMA.fieldNames())
     profile = _computed(quality.table_profile(rows))
@@ -156,7 +160,9 @@ def run(
     """
     log.info("source %s: %.2f KB", source, source_bytes(spark, source) / 1024)
     size_for(spark, source)
-    done = refresh(read_sales_csv(spark, source, multi_line), root, date_pattern)
+    sales = read_sales_csv(spark, source, multi_line)
+    log.info("columns: %s", ", ".join(sales.columns))
+    done = refresh(sales, root, date_pattern)
     checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
     publish(spark, raw_table, done.raw.path, done.raw.schema)
     publish(spark, warehouse_table, done.warehouse.path, WAREHOUSE_SCHEMA)

@@ -6,20 +6,27 @@ or repeated load therefore never touches the data readers see.
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+@lru_cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tillbook-{application_id}-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """Folder for written intermediate tables, as named by ``spark.checkpoint.dir``."""
+    """Folder for written intermediate tables, as named by ``spark.checkpoint.dir``. Only a local
+    session, whose tasks all run on this machine, may do without the setting."""
+    application_id = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillbook-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/tillbook/{spark.sparkContext.applicationId}"
+    if root:
+        return f"{root}/tillbook/{application_id}"
+    if not spark.conf.get("spark.master").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_root(application_id)
 
 
 def stage(df: DataFrame, root: str, name: str, *partition: str) -> str:
