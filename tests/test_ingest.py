@@ -188,15 +188,34 @@ def test_columns_are_matched_by_name(spark):
     assert rows(to_raw(df).select("branch", "quantity", "date", "total")) == [("A", 3, "2019-01-05", None)]
 
 
-def test_partition_settings_grow_with_the_input(spark, tmp_path, monkeypatch):
-    path = tmp_path / "big"
-    path.write_bytes(b"x" * 5000)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+@pytest.mark.parametrize(
+    ("n_bytes", "partitions", "split"),
+    [(10**9, None, None), (10**12, "932", None), (10**14, "93133", "1000000000b")],
+)
+def test_partition_settings_grow_with_the_input(spark, n_bytes, partitions, split):
+    shuffle, files = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(shuffle), spark.conf.get(files)
     try:
-        size_for(spark, str(path))
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        monkeypatch.setattr("tillbook.sizing.BYTES_PER_SHUFFLE_PARTITION", 100)
-        size_for(spark, str(path))
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        size_for(spark, n_bytes)
+        assert spark.conf.get(shuffle) == (partitions or before[0])
+        assert spark.conf.get(files) == (split or before[1])
+        size_for(spark, 1)
+        assert spark.conf.get(shuffle) == (partitions or before[0])
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(shuffle, before[0])
+        spark.conf.unset(files)
+
+
+def test_numbers_of_other_types_are_converted_exactly(spark):
+    df = spark.createDataFrame([(0.1, 7.5, 123456789.25)], ["unit_price", "quantity", "total"])
+    assert rows(to_raw(df).select("unit_price", "quantity", "total")) == [
+        (Decimal("0.1000"), 8, Decimal("123456789.2500"))
+    ]
+    finer = spark.createDataFrame([(Decimal("1.23456"),)], "unit_price decimal(20,6)")
+    with pytest.raises(PySparkException, match="does not fit"):
+        to_raw(finer).collect()
+
+
+def test_file_without_header(spark, csv):
+    with pytest.raises(ValueError, match="no header"):
+        read_sales_csv(spark, csv(""))

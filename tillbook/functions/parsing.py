@@ -22,7 +22,7 @@ def missing_to_null(text: Column) -> Column:
 
 
 def _fail(name: Column, text: Column, problem: str) -> Column:
-    return F.raise_error(F.concat(F.lit("column "), name, F.lit(f": {problem}: "), text)).cast("boolean")
+    return F.raise_error(F.concat(F.lit("column "), name, F.lit(f": {problem}: "), text))
 
 
 def _lossy(wide: Column, data_type: T.DecimalType) -> Column:
@@ -50,13 +50,15 @@ def numbers_fit(texts: dict[str, T.DataType]) -> Column:
 
     def careful(data_type, names):
         def check(field):
-            wide = field["text"].try_cast(_WIDE)
+            name, text = field["name"], field["text"]
+            wide = text.try_cast(_WIDE)
+            result = F.when(text.isNull(), True)
             if isinstance(data_type, T.DecimalType):
-                result = F.when(wide.isNull(), _fail(field["name"], field["text"], "not a number"))
-                result = result.when(_lossy(wide, data_type), _fail(field["name"], field["text"], "does not fit"))
+                result = result.when(wide.isNull(), _fail(name, text, "not a number"))
+                result = result.when(_lossy(wide, data_type), _fail(name, text, "does not fit"))
             else:
-                result = F.when(_whole(wide).isNull(), _fail(field["name"], field["text"], "not an integer"))
-            return field["text"].isNull() | result.otherwise(True)
+                result = result.when(_whole(wide).isNull(), _fail(name, text, "not an integer"))
+            return result.otherwise(True)
 
         fields = [F.struct(F.lit(n).alias("name"), F.col(n).alias("text")) for n in names]
         return F.forall(F.array(*fields), check)
@@ -70,8 +72,11 @@ def numbers_fit(texts: dict[str, T.DataType]) -> Column:
 def exact_decimal(text: Column, data_type: T.DecimalType, name: str) -> Column:
     """Parse a number, NULL when it is none; digits beyond the column's scale are an error."""
     wide = text.try_cast(_WIDE)
-    lossy = wide.isNotNull() & _lossy(wide, data_type)
-    return F.when(~lossy | _fail(F.lit(name), text, "does not fit"), wide.try_cast(data_type))
+    return (
+        F.when(wide.isNotNull() & _lossy(wide, data_type), _fail(F.lit(name), text, "does not fit"))
+        .otherwise(wide.try_cast(data_type))
+        .cast(data_type)
+    )
 
 
 def whole_number(text: Column) -> Column:

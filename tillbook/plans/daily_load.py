@@ -158,10 +158,10 @@ def run(
 
     ``root`` is a folder that all executors share. Folders of earlier loads stay until removed.
     """
-    log.info("source %s: %.2f KB", source, source_bytes(spark, source) / 1024)
-    size_for(spark, source)
+    n_bytes = source_bytes(spark, source)
+    size_for(spark, n_bytes)
     sales = read_sales_csv(spark, source, multi_line)
-    log.info("columns: %s", ", ".join(sales.columns))
+    log.info("source %s: %.2f KB, columns %s", source, n_bytes / 1024, ", ".join(sales.columns))
     done = refresh(sales, root, date_pattern)
     checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
     publish(spark, raw_table, done.raw.path, done.raw.schema)

@@ -1,23 +1,14 @@
 """Shuffle and split sizes for the amount of input."""
 
-from functools import lru_cache
-
 from pyspark.sql import SparkSession
 
-from tillbook.sources.csv_source import source_bytes
-
 BYTES_PER_SHUFFLE_PARTITION = 1 << 30
 MAX_SCAN_TASKS = 100_000
 DEFAULT_SPLIT = 128 << 20
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
-@lru_cache(maxsize=64)
-def _bytes_once(spark: SparkSession, path: str) -> int:
-    return source_bytes(spark, path)
-
-
-def size_for(spark: SparkSession, path: str) -> None:
+def size_for(spark: SparkSession, n_bytes: int) -> None:
     """Raise the session's partition settings where they are too small for the input.
 
     Settings are never lowered: adaptive execution joins small shuffle partitions by itself, but
@@ -25,7 +16,6 @@ def size_for(spark: SparkSession, path: str) -> None:
     otherwise need more than ``MAX_SCAN_TASKS`` tasks, because each pair of map and reduce task
     costs a shuffle block.
     """
-    n_bytes = _bytes_once(spark, path)
     partitions = -(-n_bytes // BYTES_PER_SHUFFLE_PARTITION)
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)

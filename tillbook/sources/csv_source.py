@@ -41,25 +41,32 @@ def source_profile(df: DataFrame) -> DataFrame:
 def to_raw(df: DataFrame) -> DataFrame:
     """Match columns by name to the raw schema: missing ones are NULL, unknown ones an error.
 
-    Text is parsed strictly. Order columns are kept, because "first" must survive storage.
+    Numbers of another type than the raw table's are checked and converted by way of their text, so
+    that none is cut short; for a float that is its shortest text. Order columns are kept, because
+    "first" must survive storage.
     """
     extra = order_columns(df)
     unknown = [c for c in df.columns if c not in RAW_COLUMNS and c not in extra]
     if unknown:
         raise ValueError(f"columns not in the raw table: {unknown}")
-    types = dict(df.dtypes)
+    given = {f.name: f.dataType for f in df.schema}
+    texts = {
+        f.name: f.dataType
+        for f in RAW_SCHEMA
+        if f.dataType != T.StringType() and given.get(f.name, f.dataType) != f.dataType
+    }
 
     def typed(field: T.StructField) -> Column:
-        if field.name not in types:
+        if field.name not in given:
             return F.lit(None).cast(field.dataType)
         value = F.col(field.name)
-        if types[field.name] != "string":
+        if field.name not in texts:
             return value.cast(field.dataType)
         return whole_number(value) if field.dataType == T.IntegerType() else value.try_cast(field.dataType)
 
-    numbers = {f.name: f.dataType for f in RAW_SCHEMA if f.dataType != T.StringType() and types.get(f.name) == "string"}
-    checked = df.where(numbers_fit(numbers)) if numbers else df
-    return checked.select(*[typed(f).alias(f.name) for f in RAW_SCHEMA], *extra)
+    if texts:
+        df = df.withColumns({name: F.col(name).cast("string") for name in texts}).where(numbers_fit(texts))
+    return df.select(*[typed(f).alias(f.name) for f in RAW_SCHEMA], *extra)
 
 
 def _quoted(name: str) -> Column:
@@ -79,11 +86,10 @@ def _well_formed(columns: list[str], multi_line: bool) -> Column:
         quotes = F.length(record) - F.length(F.replace(record, F.lit('"')))
         checked = checked.when(
             quotes % 2 == 1,
-            F.raise_error(F.concat(F.lit("open quote, read with multi_line=True: "), record)).cast("boolean"),
+            F.raise_error(F.concat(F.lit("open quote, read with multi_line=True: "), record)),
         )
-    return checked.when(
-        too_long, F.raise_error(F.concat(F.lit("row has too many fields: "), record)).cast("boolean")
-    ).otherwise(True)
+    too_many = F.raise_error(F.concat(F.lit("row has too many fields: "), record))
+    return checked.when(too_long, too_many).otherwise(True)
 
 
 def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -95,6 +101,8 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
     """
     dialect = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**dialect).csv(path).columns
+    if not header:
+        raise ValueError(f"no header in {path}")
     names = normalize_headers(header)
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _CORRUPT]])
     lines = (

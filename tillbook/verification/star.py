@@ -6,12 +6,14 @@ No join is told how to run: the optimizer broadcasts a dimension only below its
 """
 
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA
 from tillbook.sizing import size_for
+from tillbook.sources.csv_source import source_bytes
 
 ROW_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
@@ -75,6 +77,11 @@ def number_texts() -> dict[str, Column]:
     }
 
 
+@lru_cache
+def _sales_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return source_bytes(spark, f"{sf_dir}/lineitem.parquet")
+
+
 def raw_sales(
     spark: SparkSession,
     sf_dir: str,
@@ -84,7 +91,7 @@ def raw_sales(
     def table(name):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    size_for(spark, f"{sf_dir}/lineitem.parquet")
+    size_for(spark, _sales_bytes(spark, sf_dir))
     wanted = set(columns)
     sales = table("lineitem")
     if wanted & _PART:
