@@ -2,8 +2,8 @@
 
 from pyspark.sql import SparkSession
 
-BYTES_PER_SHUFFLE_PARTITION = 1 << 30
-MAX_SCAN_TASKS = 100_000
+BYTES_PER_SHUFFLE_PARTITION = 256 << 20
+MAX_TASKS = 100_000
 DEFAULT_SPLIT = 128 << 20
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 
@@ -12,13 +12,12 @@ def size_for(spark: SparkSession, n_bytes: int) -> None:
     """Raise the session's partition settings where they are too small for the input.
 
     Settings are never lowered: adaptive execution joins small shuffle partitions by itself, but
-    nothing splits a partition that is merely large. Scan splits grow only when the input would
-    otherwise need more than ``MAX_SCAN_TASKS`` tasks, because each pair of map and reduce task
-    costs a shuffle block.
+    nothing splits a partition that is merely large. Each pair of a map and a reduce task costs a
+    shuffle block, so beyond ``MAX_TASKS`` tasks a side the tasks grow instead of their number.
     """
-    partitions = -(-n_bytes // BYTES_PER_SHUFFLE_PARTITION)
+    partitions = min(-(-n_bytes // BYTES_PER_SHUFFLE_PARTITION), MAX_TASKS)
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    split = -(-n_bytes // MAX_SCAN_TASKS)
+    split = -(-n_bytes // MAX_TASKS)
     if split > DEFAULT_SPLIT and spark.conf.get(_SPLIT) == f"{DEFAULT_SPLIT}b":
         spark.conf.set(_SPLIT, f"{split}b")
