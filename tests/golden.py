@@ -1,7 +1,5 @@
 """The hand-worked sales file (FIXTURES.md, section 2) and helpers around it."""
 
-from decimal import Decimal
-
 GOLDEN = """\
 Invoice ID,Branch,City,Customer type,Gender,Product line,Unit price,Quantity,Tax 5%,Total,Date,Time,Payment,cogs,gross margin percentage,gross income,Rating
 I-01,A,Yangon,Member,Female,Health and beauty,10.00,2,1.00,21.00,1/5/2019,13:08,Ewallet,20.00,4.761904762,1.00,9.1
@@ -30,6 +28,3 @@ def changed(old, new):
 def rows(df):
     return [tuple(r) for r in df.collect()]
 
-
-def money(text):
-    return Decimal(text)

@@ -124,6 +124,8 @@ def test_run(spark, tmp_path):
     stamps = wh.select("loaded_at").distinct().collect()
     assert len(stamps) == 1 and abs((stamps[0][0] - before).total_seconds()) < 86400
     assert spark.table("raw_run").count() == 13
+    assert spark.read.parquet(result.raw_path).count() == 13
+    assert spark.read.parquet(result.warehouse_path).count() == 3
 
 
 def test_run_replaces_the_tables_and_repeats_without_doubling(spark, tmp_path):

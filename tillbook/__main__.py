@@ -26,6 +26,7 @@ def main() -> None:
     )
     for name, count in result.metrics.asDict().items():
         print(f"{name}: {count}")
+    print(f"raw table: {result.raw_path}\nwarehouse table: {result.warehouse_path}")
     result.branch_sample.show(truncate=False)
     spark.stop()
 

@@ -59,6 +59,8 @@ class LoadResult:
     audit: Row
     checks: list[Row]
     branch_sample: DataFrame
+    raw_path: str
+    warehouse_path: str
 
 
 @contextmanager
@@ -171,4 +173,6 @@ def run(
         done.warehouse.audit.first(),
         checks,
         branch_revenue_sample(spark.table(warehouse_table)),
+        done.raw.path,
+        done.warehouse.path,
     )

@@ -78,14 +78,15 @@ def _well_formed(columns: list[str], multi_line: bool) -> Column:
     record = F.col(_CORRUPT)
     # Naming a data column too: Spark reads no file for the malformed record alone.
     blank = (F.trim(record) == "") & (F.coalesce(F.trim(columns[0]), F.lit("")) == "")
-    outside_quotes = F.regexp_replace(record, r'(^|,)"([^"]|"")*"', "$1")
+    outside_quotes = F.regexp_replace(record, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
     too_long = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) >= len(columns)
     checked = F.when(record.isNull(), True).when(blank, False)
     if not multi_line:
-        # A quoted line break read line by line always leaves a ragged row with an open quote.
-        quotes = F.length(record) - F.length(F.replace(record, F.lit('"')))
+        # A quoted line break that is read line by line leaves a ragged row with the start of a
+        # quoted field, or, from the last column, one with its end. A text that just ends with a
+        # quote, in a short row, is taken for the latter.
         checked = checked.when(
-            quotes % 2 == 1,
+            outside_quotes.rlike(r'(^|,)"|"(,|$)'),
             F.raise_error(F.concat(F.lit("open quote, read with multi_line=True: "), record)),
         )
     too_many = F.raise_error(F.concat(F.lit("row has too many fields: "), record))
