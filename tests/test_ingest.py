@@ -189,14 +189,19 @@ def test_columns_are_matched_by_name(spark):
 
 
 @pytest.mark.parametrize(
-    ("n_bytes", "partitions", "split"),
-    [(10**9, None, None), (10**12, "3726", None), (10**14, "100000", "1000000000b")],
+    ("n_bytes", "growth", "partitions", "split"),
+    [
+        (10**9, 1, None, None),
+        (10**12, 1, "3726", None),
+        (10**12, 8, "29803", None),
+        (10**14, 1, "200000", "1000000000b"),
+    ],
 )
-def test_partition_settings_grow_with_the_input(spark, n_bytes, partitions, split):
+def test_partition_settings_grow_with_the_input(spark, n_bytes, growth, partitions, split):
     shuffle, files = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(shuffle), spark.conf.get(files)
     try:
-        size_for(spark, n_bytes)
+        size_for(spark, n_bytes, growth)
         assert spark.conf.get(shuffle) == (partitions or before[0])
         assert spark.conf.get(files) == (split or before[1])
         size_for(spark, 1)

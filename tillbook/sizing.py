@@ -3,21 +3,25 @@
 from pyspark.sql import SparkSession
 
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
-MAX_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 200_000
+MAX_SCAN_TASKS = 100_000
+PARQUET_GROWTH = 8
 DEFAULT_SPLIT = 128 << 20
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
-def size_for(spark: SparkSession, n_bytes: int) -> None:
+def size_for(spark: SparkSession, n_bytes: int, growth: int = 1) -> None:
     """Raise the session's partition settings where they are too small for the input.
 
-    Settings are never lowered: adaptive execution joins small shuffle partitions by itself, but
-    nothing splits a partition that is merely large. Each pair of a map and a reduce task costs a
-    shuffle block, so beyond ``MAX_TASKS`` tasks a side the tasks grow instead of their number.
+    ``growth`` is how much larger the rows are in a shuffle than in the input: encoded Parquet
+    columns take several times their stored size, CSV text does not. Settings are never lowered:
+    adaptive execution joins small shuffle partitions by itself, but nothing splits a partition
+    that is merely large. Each pair of a map and a reduce task costs a shuffle block, so beyond the
+    maxima the tasks grow instead of their number.
     """
-    partitions = min(-(-n_bytes // BYTES_PER_SHUFFLE_PARTITION), MAX_TASKS)
+    partitions = min(-(-n_bytes * growth // BYTES_PER_SHUFFLE_PARTITION), MAX_SHUFFLE_PARTITIONS)
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    split = -(-n_bytes // MAX_TASKS)
+    split = -(-n_bytes // MAX_SCAN_TASKS)
     if split > DEFAULT_SPLIT and spark.conf.get(_SPLIT) == f"{DEFAULT_SPLIT}b":
         spark.conf.set(_SPLIT, f"{split}b")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA
-from tillbook.sizing import size_for
+from tillbook.sizing import PARQUET_GROWTH, size_for
 from tillbook.sources.csv_source import source_bytes
 
 ROW_ORDER = [
@@ -91,7 +91,7 @@ def raw_sales(
     def table(name):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    size_for(spark, _sales_bytes(spark, sf_dir))
+    size_for(spark, _sales_bytes(spark, sf_dir), PARQUET_GROWTH)
     wanted = set(columns)
     sales = table("lineitem")
     if wanted & _PART:
