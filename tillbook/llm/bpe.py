@@ -28,9 +28,11 @@ from pyspark.sql import types as T
 
 from tillbook.llm.common import pieces
 
-#: Distinct words and prefixes that a worker process keeps; beyond, it starts anew.
+#: Distinct words, prefixes and words with their punctuation that a worker process keeps; beyond, it
+#: starts anew.
 KEPT_WORDS = 500_000
 KEPT_PREFIXES = 800_000
+KEPT_CHUNKS = 400_000
 
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _SPACE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -45,6 +47,8 @@ def _latin_word() -> re.Pattern:
 
 
 _LATIN_WORD, _BEYOND_LATIN = _latin_word(), re.compile("[^\x00-\u024f]")
+#: White space to ``str.split`` and not to the vocabulary.
+_ODD_SPACE, _CHUNK = "\x1c\x1d\x1e\x1f", re.compile(f"[^{_SPACE}]+")
 
 
 #: Code points that the ``regex`` module counts as letters or numbers and the
@@ -87,7 +91,7 @@ class Encoder:
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self._split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._symbols = str.maketrans({chr(b): s for b, s in _byte_symbols().items()})
-        # tokens inside a word and at its end, each with the lengths of those that end in a symbol
+        # tokens inside a word and at its end, each with the lengths of those that share an ending
         self._inner = {t: t for t in self.ids if t == self.end or not t.endswith(self.end)}
         self._final = {t[: -len(self.end)]: t for t in self.ids.keys() - self._inner.keys()}
         self._inner_lengths, self._final_lengths = (_lengths(tokens) for tokens in (self._inner, self._final))
@@ -96,6 +100,7 @@ class Encoder:
         self._follows: dict[tuple[str, str], bool] = {}
         self._states: dict[str, str] = {"": ""}
         self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
         self._texts: dict[str, str] = {}
 
     # -- which tokens may be neighbours -------------------------------------------------------
@@ -136,7 +141,7 @@ class Encoder:
         """The last token of the encoding of ``word[:depth]``, given the states of shorter prefixes."""
         tokens, lengths = (self._final, self._final_lengths) if closed else (self._inner, self._inner_lengths)
         states, follows = self._states, self._follows
-        for length in lengths[word[depth - 1]]:
+        for length in lengths.get(word[max(depth - 2, 0) : depth], (1,)):
             if length <= depth and (token := tokens.get(word[depth - length : depth])):
                 before = states[word[: depth - length]]
                 if (known := follows.get((before, token))) or known is None and self._may_follow(before, token):
@@ -166,48 +171,56 @@ class Encoder:
     # -- text ----------------------------------------------------------------------------------
 
     def _split(self, text: str | None) -> list[str]:
-        """Words of a text; special tokens stay whole, unless they begin inside one."""
+        """Chunks between white space; special tokens are chunks of their own."""
         if not text:
             return []
         if self._split_special and "<|" in text:
             parts = self._split_special.split(text)
             if len(parts) > 1:
                 return [w for p in parts for w in ([p] if p in self.special else self._split(p))]
-        if text.isascii():
-            return _ASCII_WORD.findall(text.lower())
+        return _CHUNK.findall(text) if any(c in text for c in _ODD_SPACE) else text.split()
+
+    def _words_of(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            return _ASCII_WORD.findall(chunk.lower())
         # lower-casing goes letter by letter: a sigma doesn't depend on its place
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return (_any_word() if _BEYOND_LATIN.search(text) else _LATIN_WORD).findall(text)
+        chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        return (_any_word() if _BEYOND_LATIN.search(chunk) else _LATIN_WORD).findall(chunk)
 
     def _split_all(self, texts: list[str | None]) -> list[list[str]]:
-        """Words of each text; all of them are known then."""
+        """Chunks of each text; all of them are known then."""
         split = [self._split(t) for t in texts]
-        known = self._words
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > KEPT_WORDS or len(self._states) > KEPT_PREFIXES:
+        known, words = self._chunks, self._words
+        new = {c for chunks in split for c in chunks if c not in known}
+        if len(known) + len(new) > KEPT_CHUNKS:
             known.clear()
             self._texts.clear()
+            new = set().union(*split)
+        if len(words) + len(new) > KEPT_WORDS or len(self._states) > KEPT_PREFIXES:
+            words.clear()
             self._states.clear()
             self._states[""] = ""
-            new = set().union(*split)
         for special in new & self.special.keys():
             new.remove(special)
             known[special] = array("I", [self.special[special]]).tobytes()
-        self._insert(new)
+        spelled = {c: self._words_of(c) for c in new}
+        self._insert({w for found in spelled.values() for w in found if w not in words})
+        for chunk, found in spelled.items():
+            known[chunk] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
         return split
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as unsigned 32-bit integers, little-endian on the usual machines."""
-        find = self._words.__getitem__
-        return [b"".join(map(find, words)) for words in self._split_all(texts)]
+        split, find = self._split_all(texts), self._chunks.__getitem__
+        return [b"".join(map(find, chunks)) for chunks in split]
 
     def round_trip(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
-        """For each text its ids and their decoding, which is made once for each distinct word."""
-        split, words, decoded = self._split_all(texts), self._words, self._texts
-        for word in {w for found in split for w in found if w not in decoded}:
-            decoded[word] = self.decode(words[word])
-        for found in split:
-            yield b"".join(map(words.__getitem__, found)), " ".join(map(decoded.__getitem__, found))
+        """For each text its ids and their decoding, which is made once for each distinct chunk."""
+        split, known, decoded = self._split_all(texts), self._chunks, self._texts
+        for chunk in {c for chunks in split for c in chunks if c not in decoded}:
+            decoded[chunk] = self.decode(known[chunk])
+        for chunks in split:
+            yield b"".join(map(known.__getitem__, chunks)), " ".join(map(decoded.__getitem__, chunks))
 
     def decode(self, ids: bytes) -> str:
         """Token texts with a space between, special ones included; ids that are none are left out."""
@@ -215,10 +228,11 @@ class Encoder:
 
 
 def _lengths(tokens: Iterable[str]) -> dict[str, list[int]]:
+    """For each last two symbols, and each single one, the lengths of the tokens that may end there."""
     found: dict[str, set[int]] = {}
     for token in tokens:
-        found.setdefault(token[-1], set()).add(len(token))
-    return {symbol: sorted(lengths, reverse=True) for symbol, lengths in found.items()}
+        found.setdefault(token[-2:], {1}).add(len(token))
+    return {end: sorted(lengths, reverse=True) for end, lengths in found.items()}
 
 
 @lru_cache(maxsize=2)
