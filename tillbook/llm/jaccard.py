@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillbook.llm.common import pieces, written
 from tillbook.llm.graph import components
@@ -182,16 +183,8 @@ def _pair_columns() -> list[Column]:
     return [F.col(f"{s}.{c}").alias(f"{t}{d}") for s, t in (("x", "a"), ("y", "b")) for c, d in (("fp", ""), ("key", "_key"), ("first_id", "_id"))]
 
 
-def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    A document's set holds the distinct ``width``-word shingles of its whole text (all words as one, if
-    fewer). Documents link when their sets' overlap is at least ``percent`` hundredths of their union;
-    component_id is the smallest doc_id among those reachable. Null and empty texts and texts of white
-    space have an empty set, link with nothing and keep their own id. Rows with one doc_id are separate
-    documents. A null doc_id links like any other and is never a component's smallest, so a component
-    of such rows alone has the id null. An empty table gives an empty one; other columns play no part.
-    """
+def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, fp) and distinct sets (fp, first_id, label); sets with one label are a component."""
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     described = written(_described(documents, width), "described")
     rows = described.where("chunk is null").select("doc_id", "n", "fp")
@@ -245,9 +238,46 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
         if more is not None and not more.isEmpty():
             labels = components(links.union(more))
 
-    joined = info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
-    smallest = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = joined.join(smallest, "label").select("fp", "component_id")
+    return rows, info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+
+
+def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    A document's set holds the distinct ``width``-word shingles of its whole text (all words as one, if
+    fewer). Documents link when their sets' overlap is at least ``percent`` hundredths of their union;
+    component_id is the smallest doc_id among those reachable. Null and empty texts and texts of white
+    space have an empty set, link with nothing and keep their own id. Rows with one doc_id are separate
+    documents. A null doc_id links like any other and is never a component's smallest, so a component
+    of such rows alone has the id null. An empty table gives an empty one; other columns play no part.
+    """
+    rows, sets = _labelled(documents, width, percent)
+    smallest = sets.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    found = sets.join(smallest, "label").select("fp", "component_id")
     return rows.join(found, "fp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def keep_one(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """One document of each component of ``linked_components``, with all its columns: that of the smallest
+    doc_id, and only one of equal rows. Documents with an empty set all stay."""
+    rows, sets = _labelled(documents, width, percent)
+    order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
+    chosen = sets.groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.first_id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
+    mark = next(n for n in ("_fp" + "_" * i for i in range(99)) if n not in documents.columns)
+    at = documents.columns.index("text")
+
+    def run(batches):
+        for piece in pieces(batches):
+            sets = shingle_sets(piece.column(at).cast(pa.binary()).to_pylist(), width)
+            prints = pa.array([_print(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*piece.columns, prints], names=[*piece.schema.names, mark])
+
+    marked = documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(mark, T.BinaryType())]))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col(mark) == F.col("kept_fp"))
+    kept = marked.where(F.col(mark).isNotNull()).join(chosen, same).select(*marked.columns)
+    repeated = rows.where("fp is not null").groupBy("doc_id", "fp").count().where("count > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["doc_id", mark])
+    return kept.unionByName(marked.where(F.col(mark).isNull())).select(*documents.columns)

@@ -1,3 +1,102 @@
-"""DuckDB SQL for the queries that SQL can express; the others are tested against brute force."""
+"""DuckDB SQL for the queries that SQL can express on whole tables; the others are tested against
+brute force."""
 
-SQL: dict[str, str] = {}
+from tillbook.llm.licenses import CUE, LICENSE_FILE, TEMPLATES, THRESHOLD
+
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+TOOL_CALLS = """
+WITH RECURSIVE users AS (
+    SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'
+), answers AS (
+    SELECT conv_id, turn - 1 AS asked, turn, min(text) AS text FROM conversations WHERE role = 'assistant' GROUP BY ALL
+), levels AS (
+    SELECT conv_id, turn, 0 AS level FROM users u
+    WHERE NOT EXISTS (FROM users b WHERE b.conv_id = u.conv_id AND b.turn = u.turn - 2)
+    UNION ALL
+    SELECT u.conv_id, u.turn, l.level + 1 FROM levels l JOIN users u ON u.conv_id = l.conv_id AND u.turn = l.turn + 2
+)
+SELECT u.conv_id, u.turn::VARCHAR AS call_id, u.turn, 'respond' AS name,
+       CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a.turn AS result_turn, l.level::INTEGER AS level,
+       CASE WHEN u.text IS NULL THEN 'missing prompt' ELSE '' END AS errors,
+       concat('{"arguments":{', CASE WHEN l.level > 0 THEN '"after":"$' || (u.turn - 2) || '"' END,
+              CASE WHEN l.level > 0 AND u.text IS NOT NULL THEN ',' END, '"prompt":' || to_json(u.text)::VARCHAR, '},"id":"', u.turn,
+              '","name":"respond"', ',"result":' || to_json(a.text)::VARCHAR, '}') AS json
+FROM users u JOIN levels l USING (conv_id, turn) LEFT JOIN answers a ON a.conv_id = u.conv_id AND a.asked = u.turn
+UNION ALL
+SELECT a.conv_id, a.asked::VARCHAR, a.turn, NULL, 'orphan', a.turn, NULL, '',
+       concat('{"id":"', a.asked, '"', ',"result":' || to_json(a.text)::VARCHAR, '}')
+FROM answers a WHERE NOT EXISTS (FROM users u WHERE u.conv_id = a.conv_id AND u.turn = a.asked)
+"""
+
+_TOKENS = "list_filter(list_transform(regexp_split_to_array(lower({}), '[^a-z0-9.]+'), lambda w: trim(w, '.')), lambda w: w <> '')"
+
+LICENSES = f"""
+WITH known(license, text) AS (VALUES {", ".join(f"('{license}', '{text}')" for license, text in TEMPLATES)}),
+files AS (
+    SELECT doc_id, text, concat(source, '/', doc_id // 1000,
+        CASE WHEN doc_id % 100 < 5 THEN '/LICENSE.' || doc_id WHEN doc_id % 100 < 10 THEN '/' || (doc_id // 100 % 10) || '/LICENSE.' || doc_id
+             ELSE '/' || (doc_id // 100 % 10) || '/' || doc_id || '.txt' END) AS path
+    FROM documents
+), named AS (
+    SELECT doc_id, path, text, array_to_string(string_split(path, '/')[:-2], '/') AS directory,
+           regexp_matches(string_split(path, '/')[-1], '{LICENSE_FILE}') AS is_license
+    FROM files
+), lines AS (
+    SELECT doc_id, path, directory, is_license,
+           unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(lower(x), '{CUE}')),
+                                            CASE WHEN is_license THEN [text] ELSE [] END))) AS passage
+    FROM named WHERE text IS NOT NULL
+), distinct_passages AS (SELECT passage, count(*) AS n FROM lines GROUP BY passage),
+texts AS (SELECT passage, n FROM distinct_passages UNION ALL SELECT text, 1 FROM known),
+total AS (SELECT sum(n) AS total FROM texts),
+frequency AS (
+    SELECT token, ln((any_value(total) + 1) / (sum(n) + 1)) + 1 AS idf
+    FROM (SELECT n, unnest(list_distinct({_TOKENS.format("passage")})) AS token FROM texts), total GROUP BY token
+), vectors AS (
+    SELECT passage, token, count(*) * any_value(idf) AS w
+    FROM (SELECT passage, unnest({_TOKENS.format("passage")}) AS token FROM distinct_passages) JOIN frequency USING (token) GROUP BY passage, token
+), sides AS (
+    SELECT license, text, token, count(*) * any_value(idf) AS w
+    FROM (SELECT license, text, unnest({_TOKENS.format("text")}) AS token FROM known) JOIN frequency USING (token) GROUP BY license, text, token
+), scored AS (
+    SELECT passage, license, round(sum(v.w * s.w) / (any_value(l.length) * any_value(t.length)), 6) AS score
+    FROM vectors v JOIN sides s USING (token)
+    JOIN (SELECT passage, sqrt(sum(w * w)) AS length FROM vectors GROUP BY passage) l USING (passage)
+    JOIN (SELECT license, text, sqrt(sum(w * w)) AS length FROM sides GROUP BY license, text) t USING (license, text)
+    GROUP BY passage, license, text
+), own AS (
+    SELECT doc_id, path, directory, is_license, license, score FROM lines JOIN scored USING (passage) WHERE score >= {THRESHOLD}
+    QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY score DESC, license) = 1
+), directories AS (
+    SELECT directory, license FROM own WHERE is_license
+    QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, path) = 1
+), near AS (
+    SELECT f.directory AS folder, d.directory, d.license
+    FROM (SELECT DISTINCT directory FROM named) f JOIN directories d ON f.directory = d.directory OR starts_with(f.directory, d.directory || '/')
+    QUALIFY row_number() OVER (PARTITION BY f.directory ORDER BY length(d.directory) DESC) = 1
+)
+SELECT n.doc_id, n.path, o.license AS own_license, o.score AS own_score, coalesce(o.license, near.license) AS license,
+       CASE WHEN o.license IS NULL THEN near.directory END AS inherited_from
+FROM named n LEFT JOIN own o USING (doc_id, path) LEFT JOIN near ON near.folder = n.directory
+"""
+
+SQL: dict[str, str] = {
+    "op1_exact_top_k": TOP_K,
+    "op7_tool_call_linking": TOOL_CALLS,
+    "op10_license_scan": LICENSES,
+}
