@@ -20,25 +20,22 @@ WHERE rank <= 20
 """
 
 TOOL_CALLS = """
-WITH RECURSIVE users AS (
+WITH users AS (
     SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'
 ), answers AS (
     SELECT conv_id, turn - 1 AS asked, turn, min(text) AS text FROM conversations WHERE role = 'assistant' GROUP BY ALL
-), levels AS (
-    SELECT conv_id, turn, 0 AS level FROM users u
-    WHERE NOT EXISTS (FROM users b WHERE b.conv_id = u.conv_id AND b.turn = u.turn - 2)
-    UNION ALL
-    SELECT u.conv_id, u.turn, l.level + 1 FROM levels l JOIN users u ON u.conv_id = l.conv_id AND u.turn = l.turn + 2
+), calls AS (
+    SELECT *, EXISTS (FROM users b WHERE b.conv_id = u.conv_id AND b.turn = u.turn - 2) AS follows FROM users u
 )
 SELECT u.conv_id, u.turn::VARCHAR AS call_id, u.turn, 'respond' AS name,
-       CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a.turn AS result_turn, l.level::INTEGER AS level,
+       CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a.turn AS result_turn, u.turn AS after_turn, 0 AS step,
        CASE WHEN u.text IS NULL THEN 'missing prompt' ELSE '' END AS errors,
-       concat('{"arguments":{', CASE WHEN l.level > 0 THEN '"after":"$' || (u.turn - 2) || '"' END,
-              CASE WHEN l.level > 0 AND u.text IS NOT NULL THEN ',' END, '"prompt":' || to_json(u.text)::VARCHAR, '},"id":"', u.turn,
+       concat('{"arguments":{', CASE WHEN follows THEN '"after":"$' || (u.turn - 2) || '"' END,
+              CASE WHEN follows AND u.text IS NOT NULL THEN ',' END, '"prompt":' || to_json(u.text)::VARCHAR, '},"id":"', u.turn,
               '","name":"respond"', ',"result":' || to_json(a.text)::VARCHAR, '}') AS json
-FROM users u JOIN levels l USING (conv_id, turn) LEFT JOIN answers a ON a.conv_id = u.conv_id AND a.asked = u.turn
+FROM calls u LEFT JOIN answers a ON a.conv_id = u.conv_id AND a.asked = u.turn
 UNION ALL
-SELECT a.conv_id, a.asked::VARCHAR, a.turn, NULL, 'orphan', a.turn, NULL, '',
+SELECT a.conv_id, a.asked::VARCHAR, a.turn, NULL, 'orphan', a.turn, NULL, NULL, '',
        concat('{"id":"', a.asked, '"', ',"result":' || to_json(a.text)::VARCHAR, '}')
 FROM answers a WHERE NOT EXISTS (FROM users u WHERE u.conv_id = a.conv_id AND u.turn = a.asked)
 """

@@ -1,8 +1,8 @@
 """Linking of tool calls and results in chats, with DataFrame functions only.
 
 Calls and results meet in a hash join by conversation and identifier. A call that refers to another
-call's result comes after it; the levels of this order are found by repeated joins along references.
-Arguments are checked against the tool's schema within the row, and everything is written as canonical
+call's result comes after it. The order of turns mostly says so already; calls that refer to a later one,
+and those that depend on them, are put in order by repeated joins along references. Arguments are checked against the tool's schema within the row, and everything is written as canonical
 JSON: keys sorted, no white space, null members left out.
 """
 
@@ -39,29 +39,45 @@ def parse_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _levels(first: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level): 0 without references, else one more than the highest call referred to.
+def _delayed(first: DataFrame) -> DataFrame | None:
+    """(conv_id, call_id, after_turn, step) for the calls that turns don't put in a topological order: those
+    that refer to a call of the same or a later place, and all that depend on them. Both numbers are null for
+    calls on a cycle of references, and behind one. None if turns will do.
 
-    References to identifiers that the conversation doesn't have are ignored. Calls on a cycle, and
-    those after one, have no row. The rounds are as many as the longest chain has calls.
+    References to identifiers that the conversation doesn't have are ignored. The rounds are as many as
+    the longest chain of such calls has members, not as many as a conversation has.
     """
-    needs = first.select(*_KEY, F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(r'"\$([^"\\]+)"'), F.lit(1)))).alias("need"))
-    there = first.select("conv_id", F.col("call_id").alias("need"))
+    needs = first.select(*_KEY, "turn", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(r'"\$([^"\\]+)"'), F.lit(1)))).alias("need"))
+    there = first.select("conv_id", F.col("call_id").alias("need"), F.col("turn").alias("need_turn"))
     edges = cut(needs.join(there, ["conv_id", "need"]))
-    done = cut(first.select(*_KEY).join(edges, _KEY, "left_anti").withColumn("level", F.lit(0)))
-    levels, rest = done, edges
+    late = F.struct(F.col("need_turn").alias("t"), F.col("need").alias("c")) >= F.struct(F.col("turn").alias("t"), F.col("call_id").alias("c"))
+    new = cut(edges.where(late).select(*_KEY).distinct())
+    if new.isEmpty():
+        return None
+    affected = new
+    while not new.isEmpty():
+        reached = new.select("conv_id", F.col("call_id").alias("need"))
+        new = cut(edges.join(reached, ["conv_id", "need"], "left_semi").select(*_KEY).distinct().join(affected, _KEY, "left_anti"))
+        affected = cut(affected.union(new))
+    # a call is placed once all it needs are; those that aren't affected have their turn
+    mine = cut(edges.join(affected, _KEY, "left_semi"))
+    place = F.struct(F.col("turn").alias("after_turn"), F.lit(0).alias("step")).alias("place")
+    placed = cut(first.select(*_KEY, place).join(affected, _KEY, "left_anti"))
+    rest, found = mine, None
     while not rest.isEmpty():
-        met = done.select("conv_id", F.col("call_id").alias("need"), F.col("level").alias("met_level"))
-        state = rest.join(met, ["conv_id", "need"], "left")
-        ready = state.groupBy(_KEY).agg(F.bool_and(F.col("met_level").isNotNull()).alias("all"), F.max("met_level").alias("m"))
-        new = cut(ready.where("all").select(*_KEY, (F.col("m") + 1).alias("level")))
+        met = placed.select("conv_id", F.col("call_id").alias("need"), F.struct("place.after_turn", (F.col("place.step") + 1).alias("step")).alias("need_place"))
+        ready = rest.join(met, ["conv_id", "need"], "left").groupBy(*_KEY, "turn").agg(
+            F.bool_and(F.col("need_place").isNotNull()).alias("all"), F.max("need_place").alias("last")
+        )
+        new = cut(ready.where("all").select(*_KEY, F.greatest(place, "last").alias("place")))
         if new.isEmpty():
             break
-        levels = levels.union(new)
-        # a call stays with all its references until the last of them has its level
-        done = cut(levels)
+        found = new if found is None else found.union(new)
+        placed = cut(placed.union(new))
         rest = cut(rest.join(new, _KEY, "left_anti"))
-    return levels
+    if found is None:
+        return affected.select(*_KEY, F.lit(None).cast("long").alias("after_turn"), F.lit(None).cast("int").alias("step"))
+    return affected.join(found, _KEY, "left").select(*_KEY, "place.after_turn", "place.step")
 
 
 def _typed(value: Column, wanted: Column) -> Column:
@@ -92,11 +108,11 @@ def _errors() -> Column:
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call, and per result without one: conv_id, call_id, turn, name, status, result_turn,
-    level, errors, json.
+    after_turn, step, errors, json.
 
-    ``level`` orders a conversation's calls topologically; ties go by turn and call_id. It is null for
-    calls on or behind a cycle of references, a reference being an argument's string ``$<call_id>``.
-    Status: ``linked``, ``unanswered``, ``duplicate`` (an earlier call of the conversation has the
+    (after_turn, step, call_id) orders a conversation's calls topologically by their references, an
+    argument's string ``$<call_id>``: a call's own turn and 0, unless it waits for one of the same or a
+    later place; null for calls on or behind a cycle of references. Status: ``linked``, ``unanswered``, ``duplicate`` (an earlier call of the conversation has the
     identifier; by name and arguments, if of the same turn) or ``orphan`` (a result without a call).
     Of several results the first by turn counts, then by content. Equal rows count once; null
     identifiers link with nothing; null arguments are unreadable. Empty tables give empty results;
@@ -112,15 +128,21 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     leading = keyed.groupBy(_KEY).agg(F.min(F.struct("turn", "name", "arguments")).alias("first"))
     first = leading.select(*_KEY, F.col("first.*"))
     answers = results.where("conv_id is not null and call_id is not null").groupBy(_KEY).agg(F.min(F.struct("turn", "content")).alias("answer"))
-    levels = _levels(first)
+    delayed = _delayed(first)
     leads = F.col("first").isNotNull() & F.struct("turn", "name", "arguments").eqNullSafe(F.col("first"))
     led = calls.join(leading, _KEY, "left").withColumn("leads", leads)
     joined = (
         led.join(answers.hint("shuffle_hash"), _KEY, "left")
-        .join(levels, _KEY, "left").join(by_tool, "name", "left")
+        .join(by_tool, "name", "left")
         .withColumn("given", F.from_json("arguments", "map<string,variant>"))
         .withColumn("parsed", F.try_parse_json("arguments"))
     )
+    if delayed is None:
+        joined = joined.withColumn("after_turn", F.col("turn")).withColumn("step", F.lit(0))
+    else:
+        joined = joined.join(delayed.withColumn("waits", F.lit(True)), _KEY, "left")
+        joined = joined.withColumn("after_turn", F.when(F.col("waits"), F.col("after_turn")).otherwise(F.col("turn")))
+        joined = joined.withColumn("step", F.when(F.col("waits"), F.col("step")).otherwise(F.lit(0)))
     answered = F.when(F.col("leads"), F.col("answer"))
     status = (
         F.when(~F.col("leads") & F.col("call_id").isNotNull() & F.col("conv_id").isNotNull(), "duplicate")
@@ -131,11 +153,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     ))
     done = joined.select(
         "conv_id", "call_id", "turn", "name", status.alias("status"), answered["turn"].alias("result_turn"),
-        F.when(F.col("leads"), F.col("level")).alias("level"), _errors().alias("errors"), canonical.alias("json"),
+        *[F.when(F.col("leads"), F.col(c)).alias(c) for c in ("after_turn", "step")], _errors().alias("errors"), canonical.alias("json"),
     )
     orphans = results.distinct().join(first.select(*_KEY), _KEY, "left_anti").select(
         "conv_id", "call_id", "turn", F.lit(None).cast("string").alias("name"), F.lit("orphan").alias("status"), F.col("turn").alias("result_turn"),
-        F.lit(None).cast("int").alias("level"), F.array().cast("array<string>").alias("errors"),
+        F.lit(None).cast("long").alias("after_turn"), F.lit(None).cast("int").alias("step"), F.array().cast("array<string>").alias("errors"),
         F.to_json(F.struct(F.col("call_id").alias("id"), F.col("content").alias("result"))).alias("json"),
     )
     return done.unionByName(orphans)
