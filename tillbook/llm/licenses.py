@@ -52,7 +52,9 @@ def match(passages: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -
     ``passages`` has a row per occurrence. A word's document frequency counts all occurrences and all
     templates. Scores are rounded to 6 decimals; of equal scores the first license by name wins.
     """
-    distinct = written(passages.where("passage is not null").groupBy("passage").agg(F.count("*").alias("n")), "passages")
+    distinct = written(
+        passages.where("passage is not null").groupBy("passage").agg(F.count("*").alias("n")).withColumn("no", F.monotonically_increasing_id()), "passages"
+    )
     texts = distinct.select("passage", "n").unionByName(known.select(F.col("text").alias("passage"), F.lit(1).cast("long").alias("n")))
     total = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequency = (
@@ -64,16 +66,16 @@ def match(passages: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -
         counted = rows.select(key, F.explode(_tokens(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("tf"))
         return counted.join(frequency, "token").select(key, "token", (F.col("tf") * F.col("idf")).alias("w"))
 
-    vectors = written(weights(distinct, "passage", "passage"), "passage_weights")
+    vectors = written(weights(distinct, "no", "passage"), "passage_weights")
     sides = weights(known.select("license", "text").distinct().withColumn("template", F.concat_ws("\n", "license", "text")), "template", "text")
-    lengths = vectors.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    lengths = vectors.groupBy("no").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     side_lengths = sides.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("side_length"))
-    dots = vectors.join(sides.withColumnRenamed("w", "v"), "token").groupBy("passage", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    scored = dots.join(lengths, "passage").join(side_lengths, "template").select(
-        "passage", F.substring_index("template", "\n", 1).alias("license"), F.round(F.col("dot") / (F.col("length") * F.col("side_length")), 6).alias("score")
+    dots = vectors.join(sides.withColumnRenamed("w", "v"), "token").groupBy("no", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    scored = dots.join(lengths, "no").join(side_lengths, "template").select(
+        "no", F.substring_index("template", "\n", 1).alias("license"), F.round(F.col("dot") / (F.col("length") * F.col("side_length")), 6).alias("score")
     )
-    best = scored.where(F.col("score") >= threshold).groupBy("passage").agg(F.min(F.struct((-F.col("score")).alias("down"), "license")).alias("best"))
-    return best.select("passage", F.col("best.license").alias("license"), (-F.col("best.down")).alias("score"))
+    best = scored.where(F.col("score") >= threshold).groupBy("no").agg(F.min(F.struct((-F.col("score")).alias("down"), "license")).alias("best"))
+    return distinct.join(best, "no").select("passage", F.col("best.license").alias("license"), (-F.col("best.down")).alias("score"))
 
 
 def _parents(path: Column) -> Column:
