@@ -1,9 +1,8 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Vectors are quantised to whole numbers. A shard's index holds, for each component, the rows in the
-order of their value: its posting segments are the runs of one value. For a query, a segment's impact
-is what it adds to a score above the least that the component can add. Segments are processed by
-descending impact, in levels. What a row may still gain is bounded by the level's impact for each
+Vectors are quantised to whole numbers. A shard's index codes each component by its distinct values; the
+rows of one value are a posting segment. For a query, a segment's impact is what it adds to a score
+above the least that the component can add. Segments are processed by descending impact, in levels. What a row may still gain is bounded by the level's impact for each
 component it hasn't been seen in. Once the k best rows seen so far, scored exactly, rule out all but a
 few rows, these possible members are scored exactly; without that proof, all segments are processed.
 """
@@ -19,26 +18,34 @@ from tillbook.llm.common import pieces, written
 from tillbook.llm.vectors import against_all, blocks, ranked, same_width, unpacked, usable
 
 #: Rows of a shard, at most 65,536, and of a block of queries.
-SHARD_ROWS = 8192
+SHARD_ROWS = 16384
 BLOCK_ROWS = 256
 #: Levels of impact, as shares of the largest; below the last one nothing is left unprocessed.
-LEVELS = (0.4, 0.2, 0.12, 0.09, 0.06, 0.03)
-#: Processing stops when at most this share of a shard is still possible.
-POSSIBLE = 0.25
+LEVELS = (0.12, 0.08, 0.04)
+#: Processing stops when at most this share of a shard is still possible: scoring a row exactly takes
+#: less time than processing the rest of its segments.
+POSSIBLE = 0.6
 
 
 class Shard:
-    """Posting segments of one shard: ``order[d]`` has the rows by component d, ascending."""
+    """Posting segments of one shard: ``values[d]`` are component d's distinct values, filled up with the
+    last one, and ``codes[d]`` says for each row which, as a place in all of ``values``."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        distinct = [np.unique(column, return_inverse=True) for column in vectors.T]
+        width = max((len(values) for values, _ in distinct), default=0)
+        self.values = np.array([np.pad(values, (0, width - len(values)), "edge") for values, _ in distinct])
+        self.codes = np.array([codes + d * width for d, (_, codes) in enumerate(distinct)])
         self.largest = np.abs(vectors).max(initial=0)
+        self.short = vectors.astype(np.float32)
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Exact: in doubles where all sums stay below 2^53, else in whole numbers."""
-        if self.largest * np.abs(query).sum() < 2.0**53:
+        """Exact: in floats or doubles where all sums fit them, else in whole numbers."""
+        most = self.largest * np.abs(query).sum()
+        if most < 2.0**24:
+            return (self.short[rows] @ query.astype(np.float32)).astype(np.int64)
+        if most < 2.0**53:
             return (self.vectors[rows] @ query).astype(np.int64)
         return self.vectors[rows].astype(np.int64) @ query.astype(np.int64)
 
@@ -46,33 +53,23 @@ class Shard:
         """Ids and scores of the ``k`` best rows whose id isn't ``own``, ties to smaller ids."""
         n = len(self.ids)
         others = self.ids != own
-        used = np.flatnonzero(query)
-        weights = query[used]
-        ends = np.where(weights > 0, self.values[used, 0], self.values[used, -1])
-        least = weights * ends
-        most = weights * np.where(weights > 0, self.values[used, -1], self.values[used, 0]) - least
+        adds = self.values * query[:, None]
+        least = adds.min(axis=1)
+        impacts = adds - least[:, None]
+        most = impacts.max(axis=1)
         # one sum for both: units of gain, and below them the number of components seen
-        unit = 1 << int(len(used)).bit_length()
-        sums = np.zeros(n)
-        done = np.zeros(len(used), np.int64)
+        unit = 1 << len(query).bit_length()
+        kind = np.int32 if (most.sum() + 1) * unit < 2**31 else np.float64
+        sums, above = np.zeros(n, kind), np.inf
         top = most.max(initial=0)
         possible = np.flatnonzero(others)
         for impact in [*(top * share for share in LEVELS), -1.0]:
-            rows, gains = [], []
-            for j, d in enumerate(used.tolist()):
-                w, values = weights[j], self.values[d]
-                if most[j] <= impact:
-                    continue
-                # the rows whose impact in this component is above the level, from the far end inwards
-                border = (impact + least[j]) / w
-                upto = n - int(np.searchsorted(values, border, "right")) if w > 0 else int(np.searchsorted(values, border, "left"))
-                if upto > done[j]:
-                    part = slice(n - upto, n - done[j]) if w > 0 else slice(done[j], upto)
-                    rows.append(self.order[d, part])
-                    gains.append(values[part] * (w * unit) + (1 - least[j] * unit))
-                    done[j] = upto
-            if rows:
-                sums += np.bincount(np.concatenate(rows), np.concatenate(gains), n)
+            segments = (impacts > impact) & (impacts <= above)
+            places = np.flatnonzero(segments.any(axis=1))
+            table = np.where(segments, impacts * unit + 1, 0).astype(kind).ravel()
+            codes = self.codes if len(places) == len(self.codes) else self.codes[places]
+            sums += np.take(table, codes, mode="clip").sum(axis=0, dtype=kind)
+            above = impact
             gained, seen = np.divmod(sums, unit)
             if impact < 0 and n > k:  # nothing is left to gain
                 worst = np.partition(np.where(others, gained, -1), n - k)[n - k]
@@ -89,6 +86,9 @@ class Shard:
             if len(possible) <= POSSIBLE * n:
                 break
         scores = self.scores(possible, query)
+        if len(scores) > k:
+            good = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+            possible, scores = possible[good], scores[good]
         best = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible[best]], scores[best]
 
