@@ -36,7 +36,7 @@ def revenue_by_branch_city(warehouse: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("total_transactions"),
             money(F.sum("total")).alias("total_revenue"),
-            average(F.avg("total")).alias("avg_revenue_per_transaction"),
+            average(F.sum("total"), F.count("total")).alias("avg_revenue_per_transaction"),
         )
         .orderBy(F.desc_nulls_first("total_revenue"), "branch", "city")
     )
@@ -49,7 +49,7 @@ def top_product_lines(warehouse: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("total_sold"),
             money(F.sum("total")).alias("total_revenue"),
-            average(F.avg("rating")).alias("avg_rating"),
+            average(F.sum("rating"), F.count("rating")).alias("avg_rating"),
         )
         .orderBy(F.desc_nulls_first("total_revenue"), "product_line")
         .limit(5)
@@ -62,7 +62,7 @@ def customer_segment_spend(warehouse: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("total_transactions"),
             money(F.sum("total")).alias("total_spent"),
-            average(F.avg("total")).alias("avg_spent"),
+            average(F.sum("total"), F.count("total")).alias("avg_spent"),
         )
         .orderBy(F.desc_nulls_first("total_spent"), "customer_type", "gender")
     )

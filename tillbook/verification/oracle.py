@@ -62,7 +62,10 @@ def _money(value):
 
 
 def _average(value):
-    return f"CAST(round(avg({value}), 2) AS DECIMAL(18,2))"
+    """In whole numbers, so that it is rounded once: a cent is 100 units of the last of 4 decimals."""
+    units, rows = f"CAST(sum({value}) * 10000 AS HUGEINT)", f"CAST(count({value}) AS HUGEINT)"
+    cents = f"((2 * abs({units}) + 100 * {rows}) // (200 * {rows})) * sign({units})"
+    return f"CAST(CAST({cents} AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))"
 
 
 def _check(table, check_id):
@@ -94,10 +97,14 @@ def _constraint(kind, column, count, rows):
 
 
 def _constraints():
-    """Uncleaned rows with the injected bad dates and missing cities."""
+    """Uncleaned rows with the injected bad dates and times and missing values."""
     variant = """, variant AS (
       SELECT * REPLACE (
         CASE WHEN l_partkey % 73 = 0 THEN NULL ELSE city END AS city,
+        CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE product_line END AS product_line,
+        CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE unit_price END AS unit_price,
+        CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE total END AS total,
+        CASE WHEN l_partkey % 67 = 0 THEN '25:99' ELSE time END AS time,
         CAST(try_strptime(CASE WHEN l_partkey % 79 = 0 THEN '2/30/2000' ELSE date END, '%-m/%-d/%Y') AS DATE) AS date
       ) FROM raw
     )"""

@@ -10,7 +10,7 @@ from tillbook.plans import daily_load, reports
 from tillbook.schema import CRITICAL, KEY, RAW_COLUMNS, WAREHOUSE_COLUMNS
 from tillbook.sources.csv_source import normalize_headers, source_profile
 from tillbook.sources.tables import read_staged, shared_root, stage
-from tillbook.verification.star import bad_dates, missing_cities, number_texts, raw_sales
+from tillbook.verification.star import bad_dates, bad_times, missing_values, number_texts, raw_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,7 +102,7 @@ def _coerce_numerics(spark, sf_dir):
 
 
 def _constraint_violations(spark, sf_dir):
-    sales = raw_sales(spark, sf_dir, variant=bad_dates() | missing_cities())
+    sales = raw_sales(spark, sf_dir, variant=bad_dates() | bad_times() | missing_values())
     stored = _stored(cleaning.coerce_types(sales), "unclean")
     return quality.constraint_violations(quality.table_profile(stored))
 

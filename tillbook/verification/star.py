@@ -6,14 +6,11 @@ No join is told how to run: the optimizer broadcasts a dimension only below its
 """
 
 from decimal import Decimal
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA
-from tillbook.sizing import PARQUET_GROWTH, size_for
-from tillbook.sources.csv_source import source_bytes
 
 ROW_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
@@ -64,8 +61,13 @@ def bad_dates() -> dict[str, Column]:
     return {"date": _every(79, F.lit("2/30/2000"), _columns()["date"])}
 
 
-def missing_cities() -> dict[str, Column]:
-    return {"city": _every(73, F.lit(None), _columns()["city"])}
+def missing_values() -> dict[str, Column]:
+    base = _columns()
+    return {c: _every(n, F.lit(None), base[c]) for c, n in (("city", 73), ("product_line", 61), ("unit_price", 59), ("total", 53))}
+
+
+def bad_times() -> dict[str, Column]:
+    return {"time": _every(67, F.lit("25:99"), _columns()["time"])}
 
 
 def number_texts() -> dict[str, Column]:
@@ -77,11 +79,6 @@ def number_texts() -> dict[str, Column]:
     }
 
 
-@lru_cache
-def _sales_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return source_bytes(spark, f"{sf_dir}/lineitem.parquet")
-
-
 def raw_sales(
     spark: SparkSession,
     sf_dir: str,
@@ -91,7 +88,6 @@ def raw_sales(
     def table(name):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    size_for(spark, _sales_bytes(spark, sf_dir), PARQUET_GROWTH)
     wanted = set(columns)
     sales = table("lineitem")
     if wanted & _PART:
