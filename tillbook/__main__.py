@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 from tillbook.operators.cleaning import DATE_PATTERN
 from tillbook.plans.daily_load import run
-from tillbook.schema import RAW_TABLE, WAREHOUSE_TABLE
+from tillbook.schema import RAW_TABLE, SCALE, WAREHOUSE_TABLE
 
 
 def main() -> None:
@@ -18,11 +18,18 @@ def main() -> None:
     parser.add_argument("--warehouse-table", default=WAREHOUSE_TABLE)
     parser.add_argument("--multi-line", action="store_true", help="allow line breaks inside quotes")
     parser.add_argument("--date-pattern", default=DATE_PATTERN)
+    parser.add_argument("--encoding", default="UTF-8", help="of the source files")
+    parser.add_argument("--scale", type=int, default=SCALE, help="decimals of money and ratings")
+    parser.add_argument("--round-digits", action="store_true", help="round further decimals and count them")
+    parser.add_argument("--growth", type=float, default=1.0, help="size of the source by that of its files")
+    parser.add_argument("--keep", type=int, default=2, help="versions of each table that stay; 0 keeps all")
+    parser.add_argument("--replace-definition", action="store_true", help="replace tables of another schema")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("tillbook").getOrCreate()
     result = run(
-        spark, args.source, args.root, args.raw_table, args.warehouse_table, args.multi_line, args.date_pattern
+        spark, args.source, args.root, args.raw_table, args.warehouse_table, args.multi_line, args.date_pattern,
+        args.encoding, args.scale, args.round_digits, args.growth, args.keep or None, args.replace_definition,
     )
     for name, count in result.metrics.asDict().items():
         print(f"{name}: {count}")

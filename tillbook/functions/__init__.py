@@ -1,9 +1,9 @@
 from tillbook.functions.money import average, money, percentage
 from tillbook.functions.parsing import (
-    exact_decimal, missing_to_null, numbers_fit, sale_date, sale_time, whole_number,
+    exact_decimal, lossy, missing_to_null, numbers_fit, sale_date, sale_time, whole_number,
 )
 
 __all__ = [
-    "average", "exact_decimal", "missing_to_null", "money", "numbers_fit", "percentage", "sale_date", "sale_time",
+    "average", "exact_decimal", "lossy", "missing_to_null", "money", "numbers_fit", "percentage", "sale_date", "sale_time",
     "whole_number",
 ]

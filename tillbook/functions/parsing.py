@@ -25,8 +25,17 @@ def _fail(name: Column, text: Column, problem: str) -> Column:
     return F.raise_error(F.concat(F.lit("column "), name, F.lit(f": {problem}: "), text))
 
 
-def _lossy(wide: Column, data_type: T.DecimalType) -> Column:
-    return ~wide.try_cast(data_type).eqNullSafe(wide)
+def _finer(text: Column) -> Column:
+    """Whether a number has more than the 18 decimals that the wide type keeps."""
+    decimals = F.length(F.regexp_extract(text, r"\.(\d*?)0*[eE]", 1))
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]\+?(-?\d+)", 1).try_cast("int"), F.lit(0))
+    return F.when(text.rlike("[eE]"), text.rlike("[1-9].*[eE]") & (decimals - exponent > 18)).otherwise(text.rlike(r"\.\d{18}\d*[1-9]"))
+
+
+def lossy(text: Column, data_type: T.DecimalType) -> Column:
+    """Whether a number text has more decimals than ``data_type``; false for other texts."""
+    wide = text.try_cast(_WIDE)
+    return F.coalesce(wide.isNotNull() & (_finer(text) | ~wide.try_cast(data_type).eqNullSafe(wide)), F.lit(False))
 
 
 def _whole(wide: Column) -> Column:
@@ -40,8 +49,9 @@ def _plain(data_type: T.DataType) -> str:
     return r"-?\d{1,9}"
 
 
-def numbers_fit(texts: dict[str, T.DataType]) -> Column:
-    """Row filter that is always true, or an error that names the text that is no such number.
+def numbers_fit(texts: dict[str, T.DataType], round_digits: bool = False) -> Column:
+    """Row filter that is always true, or an error that names the text that is no such number. With
+    ``round_digits``, more decimals than the type has are no error.
 
     Rows of plain numbers pass by a single pattern over all columns. Only a row with another text
     takes the careful way, written as a loop over the columns of one type: as an expression per
@@ -55,7 +65,8 @@ def numbers_fit(texts: dict[str, T.DataType]) -> Column:
             result = F.when(text.isNull(), True)
             if isinstance(data_type, T.DecimalType):
                 result = result.when(wide.isNull(), _fail(name, text, "not a number"))
-                result = result.when(_lossy(wide, data_type), _fail(name, text, "does not fit"))
+                finer = text.try_cast(data_type).isNull() if round_digits else lossy(text, data_type)
+                result = result.when(finer, _fail(name, text, "does not fit"))
             else:
                 result = result.when(_whole(wide).isNull(), _fail(name, text, "not an integer"))
             return result.otherwise(True)
@@ -71,10 +82,9 @@ def numbers_fit(texts: dict[str, T.DataType]) -> Column:
 
 def exact_decimal(text: Column, data_type: T.DecimalType, name: str) -> Column:
     """Parse a number, NULL when it is none; digits beyond the column's scale are an error."""
-    wide = text.try_cast(_WIDE)
     return (
-        F.when(wide.isNotNull() & _lossy(wide, data_type), _fail(F.lit(name), text, "does not fit"))
-        .otherwise(wide.try_cast(data_type))
+        F.when(lossy(text, data_type), _fail(F.lit(name), text, "does not fit"))
+        .otherwise(text.try_cast(_WIDE).try_cast(data_type))
         .cast(data_type)
     )
 
@@ -90,5 +100,13 @@ def sale_date(text: Column, pattern: str) -> Column:
 
 
 def sale_time(text: Column) -> Column:
-    """``7:08`` or ``13:08:09`` as ``HH:mm:ss``; NULL when the text is no time of day."""
-    return F.date_format(F.try_to_timestamp(text, F.lit("H:mm[:ss]")), "HH:mm:ss")
+    """A time of day as ``HH:mm:ss`` with up to six decimals; NULL when the text is none.
+
+    Takes ``7:08``, ``13:08:09.5``, twelve-hour times like ``8:59:00 PM``, and ``24:00:00``, the end of
+    the day, which stays as it is.
+    """
+    trimmed = F.trim(text)
+    seconds = "mm[:ss[.SSSSSS]]"
+    parsed = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f"{hour}:{seconds}{half}")) for hour, half in (("H", ""), ("h", "[ ]a"), ("K", "[ ]a"))])
+    end_of_day = trimmed.rlike(r"^24:00(:00(\.0{1,6})?)?$")
+    return F.when(end_of_day, "24:00:00").otherwise(F.regexp_replace(F.date_format(parsed, "HH:mm:ss.SSSSSS"), r"\.?0{1,6}$", ""))

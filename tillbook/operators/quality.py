@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, GroupedData, Row
 from pyspark.sql import functions as F
 
 from tillbook.functions import sale_time
@@ -29,6 +29,11 @@ def _row_metrics() -> dict[str, Column]:
     }
 
 
+def row_profile(rows: DataFrame | GroupedData, *more: Column) -> DataFrame:
+    """The counts over single rows, of all rows or by group."""
+    return rows.agg(*more, *[metric.alias(n) for n, metric in _row_metrics().items()])
+
+
 def _row_profile(df: DataFrame, names: list[str]) -> DataFrame:
     metrics = _row_metrics()
     return df.agg(*[metrics[n].alias(n) for n in names])
@@ -44,20 +49,20 @@ def _key_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def table_profile(df: DataFrame) -> DataFrame:
+def table_profile(df: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """One row with all counts that constraints and checks need.
 
-    One scan counts rows without a shuffle, one scan of the key column finds duplicates. The two
-    one-row results are laid over each other by a union and a sum.
+    One scan counts rows without a shuffle, unless ``rows`` has these counts already, one scan of the key
+    column finds duplicates. The results are laid over each other by a union and a sum.
     """
-    rows = _row_profile(df, list(_row_metrics()))
+    rows = row_profile(df) if rows is None else rows
     keys = _key_profile(df)
     names = rows.columns + keys.columns
 
     def padded(part: DataFrame) -> DataFrame:
         return part.select(*[F.col(n) if n in part.columns else F.lit(0).cast("bigint").alias(n) for n in names])
 
-    return padded(rows).union(padded(keys)).agg(*[F.sum(n).alias(n) for n in names])
+    return padded(rows).union(padded(keys)).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def constraint_violations(profile: DataFrame) -> DataFrame:

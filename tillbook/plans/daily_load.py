@@ -20,11 +20,11 @@ from tillbook.operators.cleaning import (
 )
 from tillbook.plans.reports import branch_revenue_sample, row_count
 from tillbook.schema import (
-    CRITICAL, RAW_SCHEMA, RAW_TABLE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns,
+    CRITICAL, RAW_COLUMNS, RAW_TABLE, ROUNDED, SCALE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns, with_scale,
 )
-from tillbook.sizing import size_for
-from tillbook.sources.csv_source import read_sales_csv, source_bytes, to_raw
-from tillbook.sources.tables import publish, read_staged, stage
+from tillbook.sizing import sized_for
+from tillbook.sources.csv_source import read_sales_csv, rounded_counts, source_bytes, to_raw
+from tillbook.sources.tables import new_version, publish, read_staged, remove_old_versions, remove_version, stage
 
 log = logging.getLogger(__name__)
 
@@ -36,11 +36,13 @@ class RawLoad:
     path: str
     schema: T.StructType
     rows: DataFrame
+    rounded: dict[str, int]  # rows per column, if rounding was asked for
 
 
 @dataclass
 class WarehouseLoad:
     path: str
+    schema: T.StructType
     rows: DataFrame
     audit: DataFrame  # one local row, see cleaning.cleaning_audit
     profile: DataFrame  # one local row, see quality.table_profile
@@ -79,25 +81,41 @@ def _computed(one_row: DataFrame) -> DataFrame:
     return _one_row(one_row.sparkSession, one_row.first().asDict())
 
 
+def _warehouse_schema(rows: DataFrame) -> T.StructType:
+    """The warehouse's columns with the number of decimals that the rows' totals have."""
+    return with_scale(WAREHOUSE_SCHEMA, rows.schema["total"].dataType.scale)
+
+
 def warehouse_rows(clean: DataFrame, *extra: str) -> DataFrame:
     """Cleaned sales in warehouse columns. A time that does not parse is left as it is, for the
     constraint check to find."""
     time_of_day = F.coalesce(sale_time(F.col("time")), F.col("time"))
-    types = {f.name: f.dataType for f in WAREHOUSE_SCHEMA}
+    types = {f.name: f.dataType for f in _warehouse_schema(clean)}
     return clean.withColumn("time", time_of_day).select(
         *[F.col(c).cast(types[c]).alias(c) for c in WAREHOUSE_COLUMNS], *extra
     )
 
 
-def load_raw(df: DataFrame, root: str) -> RawLoad:
-    """Write raw sales, with the columns that keep their order, and read them back."""
-    raw = to_raw(df)
-    schema = T.StructType(RAW_SCHEMA.fields + [raw.schema[c] for c in order_columns(raw)])
-    path = stage(raw, root, "raw")
-    return RawLoad(path, schema, read_staged(df.sparkSession, path, schema))
+def load_raw(df: DataFrame, root: str, version: str | None = None) -> RawLoad:
+    """Write raw sales, with the columns that keep their order, and read them back.
+
+    Sales that ``to_raw`` has not typed yet get the default number of decimals.
+    """
+    raw = df if ROUNDED in df.columns else to_raw(df, _scale(df))
+    names = [*RAW_COLUMNS, *order_columns(raw), *[c for c in raw.columns if c == ROUNDED]]
+    schema = T.StructType([T.StructField(n, raw.schema[n].dataType) for n in names])
+    path = stage(raw.select(*names), root, "raw", version=version)
+    rows = read_staged(df.sparkSession, path, schema)
+    return RawLoad(path, schema, rows, rounded_counts(rows).first().asDict() if ROUNDED in names else {})
 
 
-def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN) -> WarehouseLoad:
+def _scale(df: DataFrame) -> int:
+    given = next((f.dataType for f in df.schema if f.name == "total"), None)
+    known = isinstance(given, T.DecimalType) and given.precision == 14 + given.scale and given.scale >= 2
+    return given.scale if known else SCALE
+
+
+def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN, version: str | None = None) -> WarehouseLoad:
     """Clean raw sales into a new version of the warehouse table, in one pass over them.
 
     The rows that cleaning rejects are written too, in a folder beside the clean ones, with flags
@@ -112,11 +130,15 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN)
         .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
         .withColumn(_REJECTED, F.col(FLAGS) != 0)
     )
-    path = stage(stamped, root, "warehouse", _REJECTED)
-    schema = T.StructType(WAREHOUSE_SCHEMA.fields + [stamped.schema[FLAGS], stamped.schema[_REJECTED]])
-    written = read_staged(raw.sparkSession, path, schema)
-
-    flag_counts = written.groupBy(FLAGS).agg(F.count(F.lit(1)).alias("n"))
+    # both kinds of rows stay open, so that the rows need no sort by kind
+    path = stage(stamped, root, "warehouse", _REJECTED, version=version, writers=2)
+    schema = _warehouse_schema(raw)
+    written = read_staged(raw.sparkSession, path, T.StructType([*schema.fields, stamped.schema[FLAGS], stamped.schema[_REJECTED]]))
+
+    # one scan for what cleaning reports and for the constraints of single rows
+    by_flags = quality.row_profile(written.groupBy(FLAGS), F.count(F.lit(1)).alias("n"))
+    by_flags = raw.sparkSession.createDataFrame(by_flags.collect(), by_flags.schema)
+    flag_counts = by_flags.select(FLAGS, "n")
     audit = _computed(cleaning_audit(flag_counts, F.max(F.lit(row_count(raw).first().row_count))))
     counts = audit.first().asDict()
     log.info("cleaning: %s", counts)
@@ -125,23 +147,25 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN)
             log.warning("column %s: %d rows without a value", column, counts[f"null_{column}"])
 
     rows = written.where(~F.col(_REJECTED)).select(*WAREHOUSE_SCHEMA.fieldNames())
-    profile = _computed(quality.table_profile(rows))
+    clean = by_flags.where(f"{FLAGS} = 0").drop(FLAGS, "n")
+    profile = _computed(quality.table_profile(rows, clean))
     quality.enforce_constraints(quality.constraint_violations(profile))
-    return WarehouseLoad(f"{path}/{_REJECTED}=false", rows, audit, profile)
+    return WarehouseLoad(f"{path}/{_REJECTED}=false", schema, rows, audit, profile)
 
 
-def refresh(raw_sales: DataFrame, root: str, date_pattern: str = DATE_PATTERN) -> Refresh:
+def refresh(raw_sales: DataFrame, root: str, date_pattern: str = DATE_PATTERN, version: str | None = None) -> Refresh:
     """Write new versions of the raw and the warehouse table, with their row counts side by side."""
     with _timed("raw load"):
-        raw = load_raw(raw_sales, root)
+        raw = load_raw(raw_sales, root, version)
     with _timed("cleaning and warehouse load"):
-        warehouse = load_warehouse(raw.rows, root, date_pattern)
+        warehouse = load_warehouse(raw.rows, root, date_pattern, version)
     audit = warehouse.audit.first()
     counts = {
         "raw_row_count": audit.rows_before,
         "clean_row_count": audit.rows_after,
         "removed_row_count": audit.rows_removed,
         "warehouse_row_count": warehouse.profile.first().row_count,
+        **raw.rounded,
     }
     log.info("rows: %s", counts)
     return Refresh(raw, warehouse, _one_row(raw_sales.sparkSession, counts))
@@ -155,19 +179,43 @@ def run(
     warehouse_table: str = WAREHOUSE_TABLE,
     multi_line: bool = False,
     date_pattern: str = DATE_PATTERN,
+    encoding: str = "UTF-8",
+    scale: int = SCALE,
+    round_digits: bool = False,
+    growth: float = 1.0,
+    keep: int | None = 2,
+    replace_definition: bool = False,
 ) -> LoadResult:
     """One full refresh from CSV; raises without publishing anything when the data is rejected.
 
-    ``root`` is a folder that all executors share. Folders of earlier loads stay until removed.
+    ``root`` is a folder that all executors share, used by one load at a time. ``encoding``, ``scale`` and
+    ``round_digits``: see ``read_sales_csv``. ``growth``: how much larger the source is than its files,
+    say 5 for gzip; the session's partition settings follow it while the load runs. ``keep``: versions of
+    each table that stay, the published one included; the folders of a rejected load go. None keeps
+    everything. ``replace_definition``: see ``publish``.
+
+    The two tables are published one after the other. A crash in between leaves the new raw table beside
+    the old warehouse table, each complete in itself; running the load again publishes both.
     """
     n_bytes = source_bytes(spark, source)
-    size_for(spark, n_bytes)
-    sales = read_sales_csv(spark, source, multi_line)
-    log.info("source %s: %.2f KB, columns %s", source, n_bytes / 1024, ", ".join(sales.columns))
-    done = refresh(sales, root, date_pattern)
-    checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
-    publish(spark, raw_table, done.raw.path, done.raw.schema)
-    publish(spark, warehouse_table, done.warehouse.path, WAREHOUSE_SCHEMA)
+    version, published = new_version(), False
+    with sized_for(spark, n_bytes, growth):
+        try:
+            sales = read_sales_csv(spark, source, multi_line, encoding, scale, round_digits)
+            log.info("source %s: %.2f KB, columns %s", source, n_bytes / 1024, ", ".join(sales.columns))
+            done = refresh(sales, root, date_pattern, version)
+            checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
+            published = True
+            publish(spark, raw_table, done.raw.path, done.raw.schema, replace_definition)
+            publish(spark, warehouse_table, done.warehouse.path, done.warehouse.schema, replace_definition)
+        except Exception:
+            if not published and keep is not None:
+                for name in ("raw", "warehouse"):
+                    remove_version(spark, root, name, version)
+            raise
+    if keep is not None:
+        for name in ("raw", "warehouse"):
+            log.info("removed versions of %s: %s", name, remove_old_versions(spark, root, name, version, keep))
     return LoadResult(
         done.metrics.first(),
         done.warehouse.audit.first(),

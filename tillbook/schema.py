@@ -8,7 +8,9 @@ KEY = "invoice_id"
 RAW_TABLE = "raw_supermarket_sales"
 WAREHOUSE_TABLE = "warehouse_supermarket_sales"
 
-MONEY = T.DecimalType(18, 4)
+#: Decimals of money and ratings, unless a load asks for others.
+SCALE = 4
+MONEY = T.DecimalType(14 + SCALE, SCALE)
 MARGIN = T.DecimalType(20, 9)
 
 RAW_SCHEMA = T.StructType([
@@ -32,6 +34,16 @@ RAW_SCHEMA = T.StructType([
 ])
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
+
+def with_scale(schema: T.StructType, scale: int) -> T.StructType:
+    """The schema with ``scale`` decimals (2 to 18) for money and ratings; 14 whole digits stay."""
+    if not 2 <= scale <= 18:
+        raise ValueError(f"scale must be from 2 to 18: {scale}")
+    money = T.DecimalType(14 + scale, scale)
+    return T.StructType([T.StructField(f.name, money if f.dataType == MONEY else f.dataType) for f in schema])
+
+
+
 # Dropped by cleaning: the value is the same in every row.
 CONSTANT_COLUMN = "gross_margin_percentage"
 
@@ -60,6 +72,9 @@ NA_TOKENS = [
 # Columns with this prefix, in their order, say which of several rows came first.
 ORDER_PREFIX = "_ord_"
 
+# Which number columns of a row were rounded, one bit each in raw column order; see ``to_raw``.
+ROUNDED = "_rounded"
+
 
 def order_columns(df):
     return [c for c in df.columns if c.startswith(ORDER_PREFIX)]

@@ -1,16 +1,19 @@
 """Sales CSV files to the typed raw table."""
 
-import os
 from collections import Counter
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.functions import missing_to_null, numbers_fit, whole_number
-from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, order_columns
+from tillbook.functions import lossy, missing_to_null, numbers_fit, whole_number
+from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, ROUNDED, SCALE, order_columns, with_scale
 
 _CORRUPT = "_corrupt"
+# What a reader puts in place of bytes that it can't decode.
+_REPLACED = "\ufffd"
 
 
 def normalize_headers(names: list[str]) -> list[str]:
@@ -25,8 +28,9 @@ def normalize_headers(names: list[str]) -> list[str]:
 
 
 def source_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the source; a missing path raises. Reads file listings only, no contents."""
-    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    """Size of the source as stored; a missing path raises. Taken from the file listing that a scan needs
+    anyway, without a job over the files."""
+    return int(spark.read.text(path)._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
 def source_profile(df: DataFrame) -> DataFrame:
@@ -38,21 +42,25 @@ def source_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def to_raw(df: DataFrame) -> DataFrame:
+def to_raw(df: DataFrame, scale: int = SCALE, round_digits: bool = False) -> DataFrame:
     """Match columns by name to the raw schema: missing ones are NULL, unknown ones an error.
 
+    ``scale`` is the number of decimals that money and ratings keep. A number with more is an error, or
+    rounded half away from zero with ``round_digits``; ``_rounded`` then says where that was.
+
     Numbers of another type than the raw table's are checked and converted by way of their text, so
     that none is cut short; for a float that is its shortest text. Order columns are kept, because
     "first" must survive storage.
     """
     extra = order_columns(df)
+    schema = with_scale(RAW_SCHEMA, scale)
     unknown = [c for c in df.columns if c not in RAW_COLUMNS and c not in extra]
     if unknown:
         raise ValueError(f"columns not in the raw table: {unknown}")
     given = {f.name: f.dataType for f in df.schema}
     texts = {
         f.name: f.dataType
-        for f in RAW_SCHEMA
+        for f in schema
         if f.dataType != T.StringType() and given.get(f.name, f.dataType) != f.dataType
     }
 
@@ -65,8 +73,19 @@ def to_raw(df: DataFrame) -> DataFrame:
         return whole_number(value) if field.dataType == T.IntegerType() else value.try_cast(field.dataType)
 
     if texts:
-        df = df.withColumns({name: F.col(name).cast("string") for name in texts}).where(numbers_fit(texts))
-    return df.select(*[typed(f).alias(f.name) for f in RAW_SCHEMA], *extra)
+        df = df.withColumns({name: F.col(name).cast("string") for name in texts}).where(numbers_fit(texts, round_digits))
+    if round_digits:
+        bits = [F.when(lossy(F.col(n), t), 1 << RAW_COLUMNS.index(n)).otherwise(0) for n, t in texts.items() if t != T.IntegerType()]
+        extra = [*extra, reduce(add, bits, F.lit(0)).alias(ROUNDED)]
+    return df.select(*[typed(f).alias(f.name) for f in schema], *extra)
+
+
+def rounded_counts(raw: DataFrame) -> DataFrame:
+    """One row: per number column, the rows of ``to_raw`` in which it was rounded."""
+    return raw.agg(*[
+        F.count_if(F.col(ROUNDED).bitwiseAND(1 << i) != 0).alias(f"rounded_{f.name}")
+        for i, f in enumerate(RAW_SCHEMA) if isinstance(f.dataType, T.DecimalType)
+    ])
 
 
 def _quoted(name: str) -> Column:
@@ -93,17 +112,30 @@ def _well_formed(columns: list[str], multi_line: bool) -> Column:
     return checked.when(too_long, too_many).otherwise(True)
 
 
-def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as it begins in the file paths that rows carry."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(there).toUri().toString()
+
+
+def read_sales_csv(
+    spark: SparkSession, path: str, multi_line: bool = False, encoding: str = "UTF-8", scale: int = SCALE, round_digits: bool = False
+) -> DataFrame:
     """Read one headered CSV file, or a folder of files with the same header, as raw sales.
 
+    Files are in ``encoding``. Bytes that aren't UTF-8 in files read as such are an error that names the
+    file, as two different names could become one. ``scale`` and ``round_digits``: see ``to_raw``.
+
     Every field is read as text and typed afterwards. ``multi_line`` allows line breaks inside
     quotes but makes a file unsplittable, so it is off by default and such a file is reported.
     Order columns follow file order: path, offset of the split, running row number.
     """
-    dialect = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    dialect = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": encoding}
     header = spark.read.options(**dialect).csv(path).columns
     if not header:
         raise ValueError(f"no header in {path}")
+    if any(_REPLACED in h for h in header):
+        raise ValueError(f"header isn't {encoding} in {path}")
     names = normalize_headers(header)
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _CORRUPT]])
     lines = (
@@ -117,14 +149,21 @@ def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
         )
         .csv(path)
     )
-    # The common folder is cut off: the path of its file travels with every row.
-    folder = os.path.commonprefix(lines.inputFiles()).rpartition("/")[0].replace(":///", ":/")
-    relative_path = F.replace(F.col("_metadata.file_path"), F.lit(f"{folder}/"), F.lit(""))
-    fields = lines.select(
+    # The folder that was asked for is cut off: the path of its file travels with every row.
+    file_path = F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/"))
+    root = _qualified(spark, path).replace(":///", ":/").rstrip("/")
+    relative_path = (
+        F.when(file_path.startswith(f"{root}/"), F.substring(file_path, len(root) + 2, 1 << 30))
+        .when(file_path == root, F.substring_index(file_path, "/", -1))
+        .otherwise(file_path)
+    )
+    whole_line = F.concat_ws("", *[_quoted(h) for h in header])
+    readable = F.when(whole_line.contains(_REPLACED), F.raise_error(F.concat(F.lit(f"not {encoding}: "), F.col("_metadata.file_path")))).otherwise(True)
+    fields = lines.where(readable).select(
         *[missing_to_null(_quoted(h)).alias(name) for h, name in zip(header, names)],
         relative_path.alias(f"{ORDER_PREFIX}file"),
         F.col("_metadata.file_block_start").alias(f"{ORDER_PREFIX}block"),
         F.monotonically_increasing_id().alias(f"{ORDER_PREFIX}row"),
         _CORRUPT,
     )
-    return to_raw(fields.where(_well_formed(names, multi_line)).drop(_CORRUPT))
+    return to_raw(fields.where(_well_formed(names, multi_line)).drop(_CORRUPT), scale, round_digits)

@@ -6,11 +6,17 @@ or repeated load therefore never touches the data readers see.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_VERSION = "load_"
+
 
 @lru_cache
 def _local_root(application_id: str) -> str:
@@ -29,10 +35,27 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root(application_id)
 
 
-def stage(df: DataFrame, root: str, name: str, *partition: str) -> str:
-    """Write a new version of a table and return its folder."""
-    path = f"{root}/{name}/load_{uuid.uuid4().hex}"
-    df.write.mode("error").partitionBy(*partition).parquet(path)
+def new_version() -> str:
+    """Name of a version; names sort by time."""
+    return f"{_VERSION}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def _open_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
+def stage(df: DataFrame, root: str, name: str, *partition: str, version: str | None = None, writers: int = 0) -> str:
+    """Write a new version of a table and return its folder. A task keeps up to ``writers`` partitions
+    open at once; rows are sorted by partition only if there are more."""
+    path = f"{root}/{name}/{version or new_version()}"
+    with _open_writers(df.sparkSession, writers):
+        df.write.mode("error").partitionBy(*partition).parquet(path)
     return path
 
 
@@ -40,11 +63,49 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def publish(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
-    """Point ``table`` at a staged folder; for an existing table this is one catalog change."""
+class SchemaChangedError(ValueError):
+    """The new version of a published table has other columns or types."""
+
+
+def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, replace_definition: bool = False) -> None:
+    """Point ``table`` at a staged folder; for an existing table this is one catalog change.
+
+    A table keeps its columns: the new version's columns would read as NULL under other names, so another
+    schema is an error. With ``replace_definition`` the table is dropped and created anew in that case; its
+    files stay, but for a moment there is no table.
+    """
     if spark.catalog.tableExists(table):
-        location = path.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+        ours, theirs = ([(f.name, f.dataType) for f in s] for s in (schema, spark.table(table).schema))
+        if ours == theirs:
+            location = path.replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
+            return
+        if not replace_definition:
+            changed = sorted({n for n, _ in set(ours) ^ set(theirs)}) or "order of columns"
+            raise SchemaChangedError(f"{table} has another schema: {changed}; replace_definition would replace it")
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+
+
+def _folder(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_version(spark: SparkSession, root: str, name: str, version: str) -> None:
+    there, files = _folder(spark, f"{root}/{name}/{version}")
+    files.delete(there, True)
+
+
+def remove_old_versions(spark: SparkSession, root: str, name: str, version: str, keep: int) -> list[str]:
+    """Remove all but the ``keep`` latest versions up to ``version``, and return the removed ones. Later
+    versions and other folders are left alone."""
+    if keep < 1:
+        raise ValueError("at least the published version has to stay")
+    there, files = _folder(spark, f"{root}/{name}")
+    found = sorted(s.getPath().getName() for s in files.listStatus(there))
+    old = [v for v in found if v.startswith(_VERSION) and v <= version][:-keep]
+    for v in old:
+        remove_version(spark, root, name, v)
+    return old
