@@ -1,9 +1,11 @@
 """Every step and report on the hand-worked file, and runs that must fail."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 
 from golden import GOLDEN, changed, rows
 from tillbook.operators import cleaning, quality
@@ -138,6 +140,78 @@ def test_run_replaces_the_tables_and_repeats_without_doubling(spark, tmp_path):
     assert spark.table("raw_twice").count() == 1 and spark.table("wh_twice").count() == 1
 
 
+def folders(out):
+    return {name: sorted(os.listdir(f"{out}/{name}")) for name in ("raw", "warehouse")}
+
+
+def test_versions_that_nobody_needs_are_removed(spark, tmp_path):
+    source, out = write(tmp_path, GOLDEN), str(tmp_path / "out")
+    (tmp_path / "bad").mkdir()
+    bad = write(tmp_path / "bad", changed("Yangon", ""))
+    paths = []
+    for _ in range(3):
+        paths.append(daily_load.run(spark, source, out, "raw_kept", "wh_kept").raw_path)
+        with pytest.raises(quality.ConstraintError):
+            daily_load.run(spark, bad, out, "raw_kept", "wh_kept")
+    assert [os.path.basename(p) for p in paths[1:]] == folders(out)["raw"] == folders(out)["warehouse"]
+    assert spark.table("raw_kept").count() == 13 and spark.table("wh_kept").count() == 3
+    daily_load.run(spark, source, out, "raw_kept", "wh_kept", keep=None)
+    with pytest.raises(quality.ConstraintError):
+        daily_load.run(spark, bad, out, "raw_kept", "wh_kept", keep=None)
+    assert [len(v) for v in folders(out).values()] == [4, 4]
+    daily_load.run(spark, source, out, "raw_kept", "wh_kept", keep=1)
+    assert [len(v) for v in folders(out).values()] == [1, 1] and spark.table("wh_kept").count() == 3
+
+
+def test_a_run_after_a_crash_between_the_tables_repairs(spark, tmp_path, monkeypatch):
+    out, fewer = str(tmp_path / "out"), "\n".join(GOLDEN.splitlines()[:-2]) + "\n"
+    daily_load.run(spark, write(tmp_path, GOLDEN), out, "raw_crash", "wh_crash")
+    real = daily_load.publish
+
+    def crash(spark, table, *rest):
+        if table == "wh_crash":
+            raise RuntimeError("gone")
+        real(spark, table, *rest)
+
+    source = write(tmp_path, fewer)
+    monkeypatch.setattr(daily_load, "publish", crash)
+    with pytest.raises(RuntimeError, match="gone"):
+        daily_load.run(spark, source, out, "raw_crash", "wh_crash")
+    assert spark.table("raw_crash").count() == 11 and spark.table("wh_crash").count() == 3
+    monkeypatch.setattr(daily_load, "publish", real)
+    daily_load.run(spark, source, out, "raw_crash", "wh_crash")
+    assert spark.table("raw_crash").count() == 11 and spark.table("wh_crash").count() == 2
+
+
+def test_scale_rounding_and_encoding_reach_the_tables(spark, tmp_path):
+    text = changed("10.00,1,", "10.500000000000002,1,")
+    with pytest.raises(PySparkException, match="does not fit"):
+        daily_load.run(spark, write(tmp_path, text), str(tmp_path / "a"), "raw_scale", "wh_scale")
+    result = daily_load.run(spark, write(tmp_path, text), str(tmp_path / "a"), "raw_scale", "wh_scale", scale=15)
+    assert spark.table("wh_scale").where("invoice_id = 'I-08'").first().unit_price == Decimal("10.500000000000002")
+    assert spark.table("wh_scale").schema["total"].dataType.simpleString() == "decimal(29,15)"
+    rounded = daily_load.run(spark, write(tmp_path, text), str(tmp_path / "b"), "raw_round", "wh_round", round_digits=True)
+    assert rounded.metrics.rounded_unit_price == 1 and rounded.metrics.rounded_total == 0
+    assert "rounded_unit_price" not in result.metrics
+    assert spark.table("wh_round").where("invoice_id = 'I-08'").first().unit_price == Decimal("10.5000")
+    (tmp_path / "sales.csv").write_bytes(GOLDEN.replace("Yangon", "Zürich").encode("latin-1"))
+    daily_load.run(spark, str(tmp_path / "sales.csv"), str(tmp_path / "c"), "raw_latin", "wh_latin", encoding="ISO-8859-1")
+    assert "Zürich" in {r.city for r in spark.table("wh_latin").collect()}
+
+
+def test_settings_are_as_before_after_a_load(spark, tmp_path):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters")
+    before = [spark.conf.get(k) for k in keys]
+    daily_load.run(spark, write(tmp_path, GOLDEN), str(tmp_path / "out"), "raw_set", "wh_set", growth=10**11)
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_times_of_all_kinds_load(spark, tmp_path):
+    for given, stored in (("8:59:00 PM", "20:59:00"), ("24:00:00", "24:00:00"), ("13:08:09.5", "13:08:09.5")):
+        daily_load.run(spark, write(tmp_path, changed("20:59", given)), str(tmp_path / "out"), "raw_time", "wh_time")
+        assert spark.table("wh_time").where("invoice_id = 'I-08'").first().time == stored
+
+
 def test_only_clean_rows(spark, tmp_path):
     text = "\n".join(row for row in GOLDEN.splitlines() if row.startswith(("Invoice", "I-07", "I-08")))
     result = daily_load.run(spark, write(tmp_path, text), str(tmp_path / "out"), "raw_clean", "wh_clean")

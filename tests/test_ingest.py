@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from golden import GOLDEN, changed, rows
 from tillbook.schema import RAW_COLUMNS, RAW_SCHEMA, order_columns
-from tillbook.sizing import size_for
-from tillbook.sources.csv_source import normalize_headers, read_sales_csv, source_bytes, source_profile, to_raw
+from tillbook.sizing import sized_for, sizes
+from tillbook.sources.csv_source import normalize_headers, read_sales_csv, rounded_counts, source_bytes, source_profile, to_raw
 
 HEADER = GOLDEN.splitlines()[0]
 
@@ -17,6 +17,7 @@ HEADER = GOLDEN.splitlines()[0]
 def csv(tmp_path):
     def write(text, name="sales.csv"):
         path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
         path.write_bytes(text if isinstance(text, bytes) else text.encode())
         return str(path)
 
@@ -168,6 +169,60 @@ def test_bad_numbers_fail_the_raw_load(spark, csv, old, new, message):
         read(spark, csv(changed(old, new)), "unit_price", "quantity")
 
 
+def test_scale_is_a_parameter(spark, csv):
+    text = changed("10.00,1,", "10.500000000000002,1,")
+    for scale, error in ((4, "does not fit"), (14, "does not fit")):
+        with pytest.raises(PySparkException, match=error):
+            read(spark, csv(text), "unit_price", scale=scale)
+    got = read(spark, csv(text), "invoice_id", "unit_price", "gross_margin_percentage", scale=15)
+    assert ("I-08", Decimal("10.500000000000002"), Decimal("4.761904762")) in got
+    with pytest.raises(ValueError, match="scale"):
+        read_sales_csv(spark, csv(text), scale=1)
+
+
+def test_further_digits_can_be_rounded_and_are_counted(spark, csv):
+    prices = ["10.50005", "10.500049999999999999999999", "-0.00005", "1.0000", "1.00000", "1e-30", "7"]
+    path = csv("\n".join([HEADER] + [line(price=p, rating="7.00001") for p in prices]))
+    df = read_sales_csv(spark, path, round_digits=True)
+    assert [r.unit_price for r in df.orderBy(*order_columns(df)).collect()] == [
+        Decimal(p) for p in ("10.5001", "10.5000", "-0.0001", "1.0000", "1.0000", "0.0000", "7.0000")
+    ]
+    counts = rounded_counts(df).first().asDict()
+    assert counts["rounded_unit_price"] == 4 and counts["rounded_rating"] == 7
+    assert sum(counts.values()) == 11
+    for bad in ("abc", "123456789012345.5"):
+        with pytest.raises(PySparkException, match="not a number|does not fit"):
+            read(spark, csv(changed("10.00,1,", f"{bad},1,")), "unit_price", round_digits=True)
+
+
+def test_encoding(spark, csv, tmp_path):
+    text = f"{HEADER}\n{line(city='Zürich')}\n{line('X-2')}\n"
+    assert read(spark, csv(text), "city") == [("Zürich",), ("Yangon",)]
+    latin = csv(text.encode("latin-1"), "latin/one.csv")
+    assert read(spark, latin, "city", encoding="ISO-8859-1") == [("Zürich",), ("Yangon",)]
+    with pytest.raises(PySparkException, match="not UTF-8.*one.csv"):
+        read(spark, latin, "city")
+    headed = csv(text.replace("City", "Stadt ü").encode("latin-1"), "latin2.csv")
+    with pytest.raises(ValueError, match="header isn't UTF-8"):
+        read_sales_csv(spark, headed)
+
+
+def test_listing_runs_no_job_and_brings_no_paths(spark, csv, tmp_path):
+    for i in range(4):
+        csv(f"{HEADER}\n{line(f'X-{i}')}\n", f"many/{i}.csv")
+    csv(f"{HEADER}\n{line('Y')}\n", "other/0.csv")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "size of the source")
+    assert source_bytes(spark, str(tmp_path / "many")) == 4 * len(f"{HEADER}\n{line('X-1')}\n")
+    assert status.getJobIdsForGroup("listing") == []
+    spark.sparkContext._jsc.clearJobGroup()
+    one = read_sales_csv(spark, str(tmp_path / "many/2.csv")).first()
+    assert one["_ord_file"] == "2.csv"
+    # paths of a pattern stay whole, as names may repeat
+    both = read_sales_csv(spark, str(tmp_path / "*/0.csv"))
+    assert len({r["_ord_file"] for r in both.collect()}) == 2
+
+
 def test_integers_are_rounded_half_away_from_zero(spark, csv):
     numbers = ["7.5", "2.5", "-2.5", "7.0", "7.49", " 3 "]
     path = csv("\n".join([HEADER] + [line(quantity=n) for n in numbers]))
@@ -188,27 +243,36 @@ def test_columns_are_matched_by_name(spark):
     assert rows(to_raw(df).select("branch", "quantity", "date", "total")) == [("A", 3, "2019-01-05", None)]
 
 
-@pytest.mark.parametrize(
-    ("n_bytes", "growth", "partitions", "split"),
-    [
-        (10**9, 1, None, None),
-        (10**12, 1, "3726", None),
-        (10**12, 8, "29803", None),
-        (10**14, 1, "200000", "1000000000b"),
-    ],
-)
-def test_partition_settings_grow_with_the_input(spark, n_bytes, growth, partitions, split):
-    shuffle, files = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(shuffle), spark.conf.get(files)
-    try:
-        size_for(spark, n_bytes, growth)
-        assert spark.conf.get(shuffle) == (partitions or before[0])
-        assert spark.conf.get(files) == (split or before[1])
-        size_for(spark, 1)
-        assert spark.conf.get(shuffle) == (partitions or before[0])
-    finally:
-        spark.conf.set(shuffle, before[0])
-        spark.conf.unset(files)
+@pytest.mark.parametrize("n_bytes", [10**12, 2 * 10**13, 10**14])
+@pytest.mark.parametrize("growth", [1, 4, 8])
+def test_blocks_and_reduce_partitions_stay_in_bounds(n_bytes, growth):
+    partitions, split = sizes(n_bytes, growth)
+    maps = -(-n_bytes // max(split, 128 << 20))
+    shuffled = n_bytes * growth
+    assert shuffled / partitions <= 4 << 30
+    assert shuffled / (maps * partitions) >= 64_000
+
+
+def test_small_inputs_need_nothing(spark):
+    assert sizes(10**6)[0] == 1 and sizes(0)[0] == 1
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sized_for(spark, 10**6):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before[0]
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_settings_last_as_long_as_the_load(spark):
+    def settings():
+        return spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    before, inside = settings(), []
+    for n_bytes in (2 * 10**13, 10**14, 10**15):
+        with pytest.raises(RuntimeError), sized_for(spark, n_bytes):
+            inside.append((int(settings()[0]), int(settings()[1].removesuffix("b"))))
+            raise RuntimeError
+        assert settings() == before
+    # a larger input in the same session has larger splits again
+    assert inside == sorted(inside) and inside[0][1] < inside[1][1] < inside[2][1]
 
 
 def test_numbers_of_other_types_are_converted_exactly(spark):

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import types as T
 
 from tillbook.sources import jdbc
-from tillbook.sources.tables import publish, read_staged, shared_root, stage
+from tillbook.sources.tables import (
+    SchemaChangedError, new_version, publish, read_staged, remove_old_versions, shared_root, stage,
+)
 
 
 def session(master, folder=None):
@@ -39,6 +41,30 @@ def test_publish_moves_a_table_to_the_new_version(spark, tmp_path):
     assert len(os.listdir(f"{root}/numbers")) == 2
 
 
+def test_publish_does_not_take_another_schema_silently(spark, tmp_path):
+    old, new = (T.StructType([T.StructField(n, T.LongType())]) for n in ("id", "number"))
+    first, second = stage(spark.range(3), str(tmp_path), "t"), stage(spark.range(5).toDF("number"), str(tmp_path), "t")
+    publish(spark, "changing", first, old)
+    with pytest.raises(SchemaChangedError, match="id.*number"):
+        publish(spark, "changing", second, new)
+    assert spark.table("changing").count() == 3
+    publish(spark, "changing", second, new, replace_definition=True)
+    assert sorted(r.number for r in spark.table("changing").collect()) == [0, 1, 2, 3, 4]
+    with pytest.raises(SchemaChangedError):
+        publish(spark, "changing", second, T.StructType([T.StructField("number", T.StringType())]))
+
+
+def test_old_versions_go(spark, tmp_path):
+    versions = [new_version() for _ in range(4)]
+    for v in versions:
+        stage(spark.range(1), str(tmp_path), "t", version=v)
+    os.mkdir(tmp_path / "t" / "something else")
+    assert remove_old_versions(spark, str(tmp_path), "t", versions[2], 2) == versions[:1]
+    assert sorted(os.listdir(tmp_path / "t")) == sorted([*versions[1:], "something else"])
+    with pytest.raises(ValueError):
+        remove_old_versions(spark, str(tmp_path), "t", versions[2], 0)
+
+
 def test_jdbc_read_and_write_are_parallel():
     connection = jdbc.connection_options("jdbc:postgresql://h/db", "sales", "u", "p@:/")
     assert connection["password"] == "p@:/"
