@@ -19,6 +19,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -28,22 +29,22 @@ from pyspark.sql import types as T
 
 from tillbook.llm.common import pieces
 
-#: Distinct words, prefixes and words with their punctuation that a worker process keeps; beyond, it
-#: starts anew.
-KEPT_WORDS = 500_000
-KEPT_PREFIXES = 800_000
-KEPT_CHUNKS = 400_000
+#: Distinct words, prefixes and words with their punctuation that a worker process keeps. Beyond, the
+#: half that came last goes: common words come early.
+KEPT_WORDS = 600_000
+KEPT_PREFIXES = 1_200_000
+KEPT_CHUNKS = 500_000
 
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _SPACE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ASCII_WORD = re.compile(rf"{_ENDINGS}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+")
+_ASCII_WORD = re.compile(rf"{_ENDINGS}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+|\n")
 
 
 def _latin_word() -> re.Pattern:
     """The word pattern for texts below U+0250, where letters and numbers can be listed."""
     kinds = {k: "".join(c for c in map(chr, range(128, 0x250)) if unicodedata.category(c)[0] == k) for k in "LN"}
     letters, numbers = "a-z" + kinds["L"], "0-9" + kinds["N"]
-    return re.compile(rf"{_ENDINGS}|[{letters}]+|[{numbers}]|[^{_SPACE}{letters}{numbers}]+")
+    return re.compile(rf"{_ENDINGS}|[{letters}]+|[{numbers}]|[^{_SPACE}{letters}{numbers}]+|\n")
 
 
 _LATIN_WORD, _BEYOND_LATIN = _latin_word(), re.compile("[^\x00-\u024f]")
@@ -68,7 +69,7 @@ def _any_word() -> regex.Pattern:
     """The word pattern for all texts."""
     newer = "".join("-".join(f"\\U{code:0>8}" for code in r.split("-")) for r in _NEWER.split())
     return regex.compile(
-        rf"(?V1){_ENDINGS}|[\p{{L}}--[{newer}]]+|[\p{{N}}--[{newer}]]|(?:[^{_SPACE}\p{{L}}\p{{N}}]|[{newer}])+"
+        rf"(?V1){_ENDINGS}|[\p{{L}}--[{newer}]]+|[\p{{N}}--[{newer}]]|(?:[^{_SPACE}\p{{L}}\p{{N}}]|[{newer}])+|\n"
     )
 
 
@@ -79,6 +80,15 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text without special tokens, folded; line feeds stay between them."""
+    if text.isascii():
+        return _ASCII_WORD.findall(text.lower())
+    # lower-casing goes letter by letter: a sigma doesn't depend on its place
+    text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return (_any_word() if _BEYOND_LATIN.search(text) else _LATIN_WORD).findall(text)
+
+
 class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -90,7 +100,8 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self._split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self._symbols = str.maketrans({chr(b): s for b, s in _byte_symbols().items()})
+        self.byte_symbols = _byte_symbols()
+        self._symbols = str.maketrans({chr(b): s for b, s in self.byte_symbols.items()})
         # tokens inside a word and at its end, each with the lengths of those that share an ending
         self._inner = {t: t for t in self.ids if t == self.end or not t.endswith(self.end)}
         self._final = {t[: -len(self.end)]: t for t in self.ids.keys() - self._inner.keys()}
@@ -180,30 +191,23 @@ class Encoder:
                 return [w for p in parts for w in ([p] if p in self.special else self._split(p))]
         return _CHUNK.findall(text) if any(c in text for c in _ODD_SPACE) else text.split()
 
-    def _words_of(self, chunk: str) -> list[str]:
-        if chunk.isascii():
-            return _ASCII_WORD.findall(chunk.lower())
-        # lower-casing goes letter by letter: a sigma doesn't depend on its place
-        chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return (_any_word() if _BEYOND_LATIN.search(chunk) else _LATIN_WORD).findall(chunk)
-
     def _split_all(self, texts: list[str | None]) -> list[list[str]]:
         """Chunks of each text; all of them are known then."""
         split = [self._split(t) for t in texts]
         known, words = self._chunks, self._words
         new = {c for chunks in split for c in chunks if c not in known}
         if len(known) + len(new) > KEPT_CHUNKS:
-            known.clear()
+            _forget(known, KEPT_CHUNKS // 2)
             self._texts.clear()
-            new = set().union(*split)
-        if len(words) + len(new) > KEPT_WORDS or len(self._states) > KEPT_PREFIXES:
-            words.clear()
-            self._states.clear()
-            self._states[""] = ""
+            new = {c for chunks in split for c in chunks if c not in known}
+        if len(words) + len(new) > KEPT_WORDS:
+            _forget(words, KEPT_WORDS // 2)
+        if len(self._states) > KEPT_PREFIXES:  # a prefix came after the shorter ones it needs
+            _forget(self._states, KEPT_PREFIXES // 2)
         for special in new & self.special.keys():
             new.remove(special)
             known[special] = array("I", [self.special[special]]).tobytes()
-        spelled = {c: self._words_of(c) for c in new}
+        spelled = {c: words_of(c) for c in new}
         self._insert({w for found in spelled.values() for w in found if w not in words})
         for chunk, found in spelled.items():
             known[chunk] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
@@ -227,6 +231,12 @@ class Encoder:
         return " ".join([self.tokens[i] for i in array("I", ids) if i in self.tokens])
 
 
+def _forget(known: dict, keep: int) -> None:
+    """Drop all but the first ``keep`` entries."""
+    for key in [*islice(known, keep, None)]:
+        del known[key]
+
+
 def _lengths(tokens: Iterable[str]) -> dict[str, list[int]]:
     """For each last two symbols, and each single one, the lengths of the tokens that may end there."""
     found: dict[str, set[int]] = {}

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.llm.bpe import encoder
+from tillbook.llm.batch_bpe import batch_encoder
 from tillbook.llm.common import parts_for, pieces, written
 
 #: Rows that one partition packs, so that its memory doesn't grow with the input.
@@ -41,10 +41,10 @@ def token_pieces(documents: DataFrame, path: str, capacity: int = 4096, end_id:
     step, end = 4 * capacity, np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        kept = encoder(path)
+        kept = batch_encoder(path)
         for batch in pieces(batches):
             out: dict[str, list] = {n: [] for n in [*names, "ids"]}
-            for doc_id, ids in zip(batch.column(0).to_pylist(), kept.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), kept.encode(batch.column(1).cast(pa.binary()).to_pylist())):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]

@@ -6,11 +6,13 @@ taken from running sums over the whole buffer. A shingle's hash mixes those of i
 Two different shingles of a corpus share a hash with a chance of about 2^-60.
 """
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_FIRST_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 #: Bytes hashed at once; a longer text goes in parts that end between words.
@@ -37,28 +39,46 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
-def _words(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of lower-cased bytes."""
+def _words(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of lower-cased bytes."""
     if not buffer:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     data = np.frombuffer(buffer, np.uint8)
     blank = np.concatenate(([True], _BLANK[data], [True]))
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edges[::2], edges[1::2]
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _power("up", len(data)), dtype=np.uint64)))
     hashes = (sums[ends] - sums[starts]) * _power("down", len(data))[starts] if len(starts) else np.empty(0, np.uint64)
-    return starts, mix(hashes + (ends - starts).astype(np.uint64))
+    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64))
 
 
-def _parts(text: bytes) -> Iterator[bytes]:
-    """A long text in parts that end at white space."""
-    at = 0
+def _long_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_words`` of a long text, in parts that end at white space."""
+    found, at = [], 0
     while at < len(text):
         end = at + BUFFER
         if end < len(text):
-            found = np.flatnonzero(_BLANK[np.frombuffer(text, np.uint8, offset=end)][: len(text) - end])
-            end = end + int(found[0]) if len(found) else len(text)
-        yield text[at:end]
+            blank = _FIRST_BLANK.search(text, end)
+            end = blank.start() if blank else len(text)
+        starts, ends, hashes = _words(text[at:end])
+        found.append((starts + at, ends + at, hashes))
+        at = end
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def lowered_words(texts: list[bytes | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts in groups of bounded size: the group's bytes with A-Z lower-cased, each word's start, end
+    and hash, and the number of words before each text and after the last."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or b"") <= BUFFER):
+            size += len(texts[end] or b"") + 1
+            end += 1
+        group = [(t or b"").translate(_LOWER) for t in texts[at:end]]
+        buffer = b"\n".join(group)
+        starts, ends, hashes = _words(buffer) if len(buffer) <= 2 * BUFFER else _long_words(buffer)
+        yield buffer, starts, ends, hashes, np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in group]))
         at = end
 
 
@@ -78,22 +98,10 @@ def _set_of(words: np.ndarray, width: int) -> np.ndarray:
 def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``width`` words; a text of fewer
     words has one shingle of all, one without words and a null text have none."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or b"") <= BUFFER):
-            size += len(texts[end] or b"") + 1
-            end += 1
-        group = [(t or b"").translate(_LOWER) for t in texts[at:end]]
-        if len(group) == 1 and len(group[0]) > BUFFER:
-            yield _set_of(np.concatenate([_words(part)[1] for part in _parts(group[0])]), width)
-        else:
-            starts, words = _words(b"\n".join(group))
-            borders = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in group]))
-            rolled = _rolled(words, width) if len(words) >= width else None
-            for first, last in zip(borders.tolist(), borders[1:].tolist()):
-                if last - first >= width:
-                    yield np.unique(rolled[first : last - width + 1])
-                else:
-                    yield _set_of(words[first:last], width)
-        at = end
+    for _, _, _, words, borders in lowered_words(texts):
+        rolled = _rolled(words, width) if len(words) >= width else None
+        for first, last in zip(borders.tolist(), borders[1:].tolist()):
+            if last - first >= width:
+                yield np.unique(rolled[first : last - width + 1])
+            else:
+                yield _set_of(words[first:last], width)
