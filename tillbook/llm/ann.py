@@ -22,7 +22,7 @@ BLOCK_ROWS = 512
 DEGREE = 32
 #: Candidates that a search keeps while building, and while answering.
 BUILD_BEAM = 48
-QUERY_BEAM = 64
+QUERY_BEAM = 128
 #: A candidate goes if a kept neighbour is this many times closer to it than the node is.
 RELAXED = 1.2
 #: Nodes that join the graph at once, at most; they don't see each other.
