@@ -72,8 +72,9 @@ def test_language_edge_cases(spark, model):
     assert kept.columns == df.columns and kept.count() == 4
     none = spark.createDataFrame([], DOCUMENTS)
     assert langid.identify(none, model).collect() == [] == langid.identify_held_out(none).collect()
-    untaught = langid.identify_held_out(documents(spark, ["text without language"])).collect()
-    assert [r.lang_pred for r in untaught] == ["und"]
+    untaught = documents(spark, ["text without language", "12", None])
+    assert [r.lang_pred for r in langid.identify_held_out(untaught).collect()] == ["und"] * 3
+    assert [r.doc_id for r in langid.keep_identified(untaught, langid.learn(untaught)).collect()] == [0]
 
 
 def test_quality_held_out(spark):

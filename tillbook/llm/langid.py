@@ -174,14 +174,19 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with a language, with all their columns: those without a letter go."""
+    """The documents with a language, with all their columns: those without a letter go. Without a learned
+    language, too, documents with letters stay."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
 
     def run(batches):
         for piece in pieces(batches):
-            chosen, _ = infer(shared.value, piece.column(at).to_pylist())
-            yield piece.filter(pa.array(chosen.any(axis=1), pa.bool_()))
+            texts = piece.column(at).to_pylist()
+            if shared.value.languages:
+                kept = infer(shared.value, texts)[0].any(axis=1)
+            else:
+                kept = [len(trigram_counts(t)[0]) > 0 for t in texts]
+            yield piece.filter(pa.array(kept, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
