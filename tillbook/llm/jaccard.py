@@ -11,12 +11,15 @@ that the threshold leaves beyond the shared part), so the product only runs over
   pivot are in one component, and links inside it can't change the components. Only the others meet
   the rest of the column, and only across components.
 
-Pairs are dropped by bounds from sizes: those of the two sets, and those of their parts in each of a
-few hash classes, whose smaller counts add up to at least the overlap. The rest is counted exactly.
+Pairs are dropped by bounds from sizes: those of the two sets, and the parities of their sizes in each of
+1,024 hash classes, as two sets differ by at least the number of classes whose parities differ. The rest
+is counted exactly.
 Blocks are shuffle partitions; the joins are plain sort-merge joins that Spark can split at hot keys.
 """
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +31,16 @@ from tillbook.llm.common import pieces, written
 from tillbook.llm.graph import components
 from tillbook.llm.shingles import shingle_sets
 
-#: Rows of a column that still contributes all pairs: its pairs stay below 16 for each of its rows.
-LIGHT = 32
+#: Rows of a column that still contributes all pairs: its pairs stay below 8 for each of its rows.
+LIGHT = 16
 #: Buckets in which columns are counted to order them: 2 MB on the driver and each worker.
 BUCKET_BITS = 18
 _CHUNK = 4096
-CLASSES = 32
+#: Hash classes whose parities are kept, 64 in a column.
+CLASSES = 1024
 #: Buckets of the filter that says which sets a pass over the texts must give back: 128 KB.
 WANTED = 1 << 20
-_SIZES = [f"c{i}" for i in range(CLASSES)]
+_PARITIES = [f"p{i}" for i in range(CLASSES // 64)]
 
 
 def _column_bucket(hashes: np.ndarray) -> np.ndarray:
@@ -52,6 +56,11 @@ def _key(fingerprint: bytes) -> int:
     return int.from_bytes(fingerprint[:8], "little", signed=True)
 
 
+def _parities(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sets(batches, width: int):
     """(ids, fingerprints, sets) of small pieces; texts are read as bytes."""
     for piece in pieces(batches):
@@ -61,22 +70,22 @@ def _sets(batches, width: int):
 
 def _described(documents: DataFrame, width: int) -> DataFrame:
     """A row per document, and rows with the task's column counts."""
-    schema = "doc_id long, n long, fp binary, key long, chunk int, counts binary, " + ", ".join(f"{c} int" for c in _SIZES)
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), *[pa.int32()] * CLASSES]
-    names = ["doc_id", "n", "fp", "key", "chunk", "counts", *_SIZES]
+    schema = "doc_id long, n long, fp binary, key long, chunk int, counts binary, " + ", ".join(f"{c} long" for c in _PARITIES)
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * len(_PARITIES)]
+    names = ["doc_id", "n", "fp", "key", "chunk", "counts", *_PARITIES]
 
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for ids, prints, sets in _sets(batches, width):
             counts += np.bincount(_column_bucket(np.concatenate(sets)), minlength=len(counts))
-            classes = np.array([np.bincount((s % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES) for s in sets])
+            parities = np.array([_parities(s) for s in sets])
             none = [None] * len(ids)
-            columns = [ids, [len(s) for s in sets], prints, [p and _key(p) for p in prints], none, none, *classes.T]
+            columns = [ids, [len(s) for s in sets], prints, [p and _key(p) for p in prints], none, none, *parities.T]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
         chunks = counts.reshape(-1, _CHUNK)
         full = np.flatnonzero(chunks.any(axis=1))
         none = [None] * len(full)
-        columns = [none, none, none, none, full, [chunks[c].tobytes() for c in full], *[none] * CLASSES]
+        columns = [none, none, none, none, full, [chunks[c].tobytes() for c in full], *[none] * len(_PARITIES)]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return documents.mapInArrow(run, schema)
@@ -175,8 +184,8 @@ def _linked(documents: DataFrame, width: int, percent: int, pairs: DataFrame) ->
 def _may_link(x: str, y: str, percent: int) -> Column:
     """Bounds from sizes; a pair that fails can't reach the threshold."""
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    most = sum((F.least(f"{x}.{c}", f"{y}.{c}") for c in _SIZES[1:]), F.least(f"{x}.{_SIZES[0]}", f"{y}.{_SIZES[0]}"))
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
+    differ = reduce(add, (F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in _PARITIES))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * differ <= (100 - percent) * (a + b))
 
 
 def _pair_columns() -> list[Column]:
@@ -190,7 +199,7 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
     rows = described.where("chunk is null").select("doc_id", "n", "fp")
     info = written(
         described.where("fp is not null").groupBy("fp", "key").agg(
-            F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in _SIZES]
+            F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in _PARITIES]
         ),
         "distinct_sets",
     )
