@@ -11,9 +11,10 @@ that the threshold leaves beyond the shared part), so the product only runs over
   pivot are in one component, and links inside it can't change the components. Only the others meet
   the rest of the column, and only across components.
 
-Pairs are dropped by bounds from sizes: those of the two sets, and the parities of their sizes in each of
-1,024 hash classes, as two sets differ by at least the number of classes whose parities differ. The rest
-is counted exactly.
+The product accumulates how many leading columns a pair shares. Pairs are dropped by bounds from sizes:
+those of the two sets; the shared leading columns, as all else that is shared lies behind the leading
+columns of one set; and the parities of the sets' sizes in each of 1,024 hash classes, as two sets differ
+by at least the number of classes whose parities differ. The rest is counted exactly.
 Blocks are shuffle partitions; the joins are plain sort-merge joins that Spark can split at hot keys.
 """
 
@@ -135,8 +136,9 @@ def _postings(documents: DataFrame, width: int, percent: int, loads: np.ndarray)
     return documents.mapInArrow(run, "col long, key long")
 
 
-def _wanted_sets(documents: DataFrame, width: int, pairs: DataFrame) -> DataFrame:
-    """(fp, items) of the sets in ``pairs``, and of a few more that share a bucket with one."""
+def _wanted_sets(documents: DataFrame, width: int, pairs: DataFrame, repeated: bool) -> DataFrame:
+    """(fp, items) of the sets in ``pairs``, and of a few more that share a bucket with one. A set comes from
+    the row with its smallest doc_id; with ``repeated`` rows the same one may come often."""
     rows = pairs.select(F.col("a_key").alias("key"), F.col("a_id").alias("id")).union(pairs.select("b_key", "b_id"))
     bucket = F.pmod(F.col("key").bitwiseXOR(F.coalesce("id", F.lit(0))), F.lit(WANTED)) + 1
     maps = rows.select(bucket.alias("x")).groupBy(F.bitmap_bucket_number("x")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")))
@@ -156,12 +158,13 @@ def _wanted_sets(documents: DataFrame, width: int, pairs: DataFrame) -> DataFram
                 [pa.array([p for p, _ in out], pa.binary()), pa.array([s for _, s in out], pa.binary())], names=["fp", "items"]
             )
 
-    return documents.mapInArrow(run, "fp binary, items binary").dropDuplicates(["fp"])
+    sets = documents.mapInArrow(run, "fp binary, items binary")
+    return sets.dropDuplicates(["fp"]) if repeated else sets
 
 
-def _linked(documents: DataFrame, width: int, percent: int, pairs: DataFrame) -> DataFrame:
+def _linked(documents: DataFrame, width: int, percent: int, pairs: DataFrame, repeated: bool) -> DataFrame:
     """The pairs (a, b of fingerprints) whose counted overlap reaches the threshold."""
-    sets = written(_wanted_sets(documents, width, pairs), "sets")
+    sets = written(_wanted_sets(documents, width, pairs, repeated), "sets")
     both = (
         pairs.select("a", "b")
         .join(sets.select(F.col("fp").alias("b"), F.col("items").alias("b_items")), "b")
@@ -181,11 +184,17 @@ def _linked(documents: DataFrame, width: int, percent: int, pairs: DataFrame) ->
     return both.select("a", "b", "a_items", "b_items").mapInArrow(run, "a binary, b binary")
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
-    """Bounds from sizes; a pair that fails can't reach the threshold."""
+def _may_link(x: str, y: str, percent: int, shared: Column) -> Column:
+    """Bounds from sizes; a pair that fails can't reach the threshold. ``shared``: light leading columns in
+    both; of the heavy ones (h) at most the smaller number is in both."""
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+    behind = F.floor((percent * F.greatest(a, b) + 99) / 100) - 1
+    most = shared + F.least(f"{x}.h", f"{y}.h") + behind
     differ = reduce(add, (F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in _PARITIES))
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * differ <= (100 - percent) * (a + b))
+    return (
+        (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
+        & ((100 + percent) * differ <= (100 - percent) * (a + b))
+    )
 
 
 def _pair_columns() -> list[Column]:
@@ -209,7 +218,7 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
     marked = hits.join(hits.groupBy("col").agg(F.count("*").alias("rows")), "col")
     heavy = written(marked.where(F.col("rows") > LIGHT).select("col", "key"), "heavy")
     light = marked.where(F.col("rows") <= LIGHT).select("col", "key")
-    pairs = light.alias("l").join(light.alias("r"), "col").where("l.key < r.key").select(F.col("l.key").alias("x"), F.col("r.key").alias("y"))
+    pairs = light.alias("l").join(light.alias("r"), "col").where("l.key < r.key").select(F.col("l.key").alias("x"), F.col("r.key").alias("y"), F.lit(1).alias("shared"))
 
     some_heavy = not heavy.isEmpty()
     if some_heavy:
@@ -218,32 +227,37 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
             heavy.join(weights, "key").groupBy("col").agg(F.max(F.struct("weight", "key"))["key"].alias("pivot")), "pivots"
         )
         stars = heavy.join(pivots, "col").where("key <> pivot")
-        pairs = pairs.union(stars.select(F.least("key", "pivot"), F.greatest("key", "pivot")))
-    pairs = pairs.distinct()
+        pairs = pairs.union(stars.select(F.least("key", "pivot"), F.greatest("key", "pivot"), F.lit(0)))
+        sized = written(info.join(weights.withColumnRenamed("weight", "h"), "key", "left").fillna(0, ["h"]), "sized_sets")
+    else:
+        sized = info.withColumn("h", F.lit(0))
+    pairs = pairs.groupBy("x", "y").agg(F.sum("shared").alias("shared")).alias("p")
     bounded = (
-        pairs.join(info.alias("x"), F.col("x") == F.col("x.key")).join(info.alias("y"), F.col("y") == F.col("y.key"))
-        .where(_may_link("x", "y", percent)).select(_pair_columns())
+        pairs.join(sized.alias("x"), F.col("p.x") == F.col("x.key")).join(sized.alias("y"), F.col("p.y") == F.col("y.key"))
+        .where(_may_link("x", "y", percent, F.col("p.shared"))).select(_pair_columns())
     )
-    links = written(_linked(documents, width, percent, written(bounded, "bounded")), "links")
+    repeated = not rows.where("fp is not null").groupBy("doc_id", "fp").count().where("count > 1").isEmpty()
+    links = written(_linked(documents, width, percent, written(bounded, "bounded"), repeated), "links")
     labels = components(links)
 
     if some_heavy:
         label = F.coalesce("label", "fp").alias("label")
         placed = written(
-            heavy.join(info, "key").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(*heavy.columns, *[c for c in info.columns if c != "key"], label),
+            heavy.join(sized, "key").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(*heavy.columns, *[c for c in sized.columns if c != "key"], label),
             "placed",
         )
         at_pivot = placed.join(pivots, "col").where("key = pivot").select("col", F.col("label").alias("pivot_label"))
         others = placed.join(at_pivot, "col").where("label <> pivot_label").drop("pivot_label")
+        # a pair that shares light columns has been decided, so these count for none here
         crossing = (
             others.alias("x").join(placed.alias("y"), F.col("x.col") == F.col("y.col"))
-            .where((F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent))
+            .where((F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent, F.lit(0)))
             .select(_pair_columns())
         )
         first = F.col("a") < F.col("b")
         ordered = [F.when(first, F.col(f"{u}{c}")).otherwise(F.col(f"{v}{c}")).alias(f"{u}{c}") for u, v in ("ab", "ba") for c in ("", "_key", "_id")]
         rest = written(crossing.select(ordered).distinct(), "crossing")
-        more = written(_linked(documents, width, percent, rest), "more_links") if not rest.isEmpty() else None
+        more = written(_linked(documents, width, percent, rest, repeated), "more_links") if not rest.isEmpty() else None
         if more is not None and not more.isEmpty():
             labels = components(links.union(more))
 
