@@ -31,34 +31,36 @@ def texts() -> list[str]:
     return ODD + letters + signs + wide + ["the " * 5000 + "a" * 20000]
 
 
-def test_trie_encoder_equals_the_library(library):
-    for text, (ids, decoded) in zip(texts(), bpe.encoder(PATH).round_trip(texts())):
+def test_trie_equals_the_library(library):
+    data = texts()
+    plain, batch = bpe.Encoder(PATH), batch_bpe.TrieEncoder(PATH)
+    for text, ids, (same, decoded) in zip(data, plain.encode(data), batch.round_trip([t.encode() for t in data])):
         expected = library.encode(text, add_special_tokens=False).ids
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == expected, text[:50]
-        assert decoded == library.decode(expected, skip_special_tokens=False)
-        assert decoded == bpe.encoder(PATH).decode(ids)
+        assert same == ids
+        assert decoded.decode() == library.decode(expected, skip_special_tokens=False) == plain.decode(ids)
 
 
-def test_batch_encoder_equals_the_trie():
-    data = texts()
-    assert batch_bpe.batch_encoder(PATH).encode([t.encode() for t in data]) == bpe.encoder(PATH).encode(data)
+def test_merging_equals_the_trie():
+    data = [t.encode() for t in texts()]
+    assert batch_bpe.BatchEncoder(PATH).encode(data) == batch_bpe.TrieEncoder(PATH).encode(data)
+    assert batch_bpe.BatchEncoder(PATH).encode([None, b"", b" "]) == [b"", b"", b""]
 
 
 def test_encoders_start_anew_when_full(monkeypatch):
+    data = texts()[20:1500]
+    expected = bpe.Encoder(PATH).encode(data)
     for module, names in ((bpe, ("KEPT_WORDS", "KEPT_PREFIXES", "KEPT_CHUNKS")), (batch_bpe, ("KEPT_WORDS", "KEPT_CHUNKS"))):
         for name in names:
             monkeypatch.setattr(module, name, 50)
-    data = texts()[20:1500]
-    small, batch = bpe.Encoder(PATH), batch_bpe.BatchEncoder(PATH)
-    expected = bpe.encoder(PATH).encode(data)
-    assert [small.encode([t])[0] for t in data] == expected
-    assert [batch.encode([t.encode()])[0] for t in data] == expected
+    for small in (bpe.Encoder(PATH), batch_bpe.BatchEncoder(PATH), batch_bpe.TrieEncoder(PATH)):
+        assert [small.encode([t if isinstance(small, bpe.Encoder) else t.encode()])[0] for t in data] == expected
 
 
 def test_query_columns(spark, library):
     data = [None, *ODD, ODD[2]]
     ids = [None, *range(len(ODD)), 2]
-    rows = bpe.token_digests(with_clashes(documents(spark, data, ids)), PATH).collect()
+    rows = batch_bpe.token_digests(with_clashes(documents(spark, data, ids)), PATH).collect()
     assert len(rows) == len(data)
     expected = []
     for i, text in zip(ids, data):
@@ -70,6 +72,6 @@ def test_query_columns(spark, library):
 
 
 def test_ids_and_texts(spark, library):
-    row = bpe.encode_documents(documents(spark, [ODD[2]]), PATH).first()
+    row = batch_bpe.encode_documents(documents(spark, [ODD[2]]), PATH).first()
     assert row.ids == library.encode(ODD[2], add_special_tokens=False).ids
-    assert bpe.encode_documents(spark.createDataFrame([], DOCUMENTS), PATH).collect() == []
+    assert batch_bpe.encode_documents(spark.createDataFrame([], DOCUMENTS), PATH).collect() == []

@@ -1,15 +1,22 @@
-"""BPE ids of many texts at once with numpy, for uses that need ids only.
+"""BPE ids of many texts at once.
 
 Text between white space is looked up whole by a 64-bit hash; what isn't known yet is split into words,
-and the new words of a batch are merged together, in each step the first of the best pairs of every
-word. Gives the same ids as ``bpe.Encoder``, which texts that hold a special token still go through.
+and the new words of a batch are encoded together: by the trie of ``bpe.Encoder`` (TrieEncoder), or, for
+uses that need ids only, by merging with numpy, in each step the first of the best pairs of every word
+(BatchEncoder). Texts that hold a special token go through ``bpe.Encoder`` whole.
 """
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillbook.llm.bpe import Encoder, words_of
+from tillbook.llm.common import pieces
 from tillbook.llm.shingles import lowered_words
 
 #: Distinct chunks and words that a worker process keeps; beyond, it starts anew.
@@ -124,11 +131,9 @@ class BatchEncoder:
         self._chunk_at |= zip(hashes, range(self._chunk_ids.count, self._chunk_ids.count + len(chunks)))
         self._chunk_ids.add(ids, np.diff(np.r_[0, ends]))
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """For each text its ids as unsigned 32-bit integers."""
-        plain = [b"" if t is None or b"<|" in t else t for t in texts]
-        out: list[bytes] = []
-        for buffer, starts, ends, hashes, borders in lowered_words(plain):
+    def _looked_up(self, texts: list[bytes]):
+        """For each group of texts the place of each chunk and the number of chunks before each text."""
+        for buffer, starts, ends, hashes, borders in lowered_words(texts):
             distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self._chunk_at) + len(distinct) > KEPT_CHUNKS or len(self._word_at) > KEPT_WORDS:
                 self._start()
@@ -139,7 +144,13 @@ class BatchEncoder:
                 spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
                 self._learn(distinct[new].tolist(), [buffer[a:b].decode() for a, b in spans])
                 at[new] = next_ + np.arange(len(new))
-            ids, sizes = self._chunk_ids.of(at[which])
+            yield at[which], borders
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """For each text its ids as unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for at, borders in self._looked_up([b"" if t is None or b"<|" in t else t for t in texts]):
+            ids, sizes = self._chunk_ids.of(at)
             cuts = np.r_[0, np.cumsum(sizes)][borders].tolist()
             out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
         for i, text in enumerate(texts):
@@ -148,7 +159,95 @@ class BatchEncoder:
         return out
 
 
+class TrieEncoder(BatchEncoder):
+    """Encodes new words by the trie, and keeps the decoding of every chunk."""
+
+    def _start(self) -> None:
+        super()._start()
+        self._chunk_texts: list[bytes] = []
+
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.base.insert(words)
+        ids = [found[w] for w in words]
+        return np.frombuffer(b"".join(ids), np.uint32), np.array([len(i) // 4 for i in ids], np.int64)
+
+    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+        known = self._chunk_ids.count
+        super()._learn(hashes, chunks)
+        ids, sizes = self._chunk_ids.of(np.arange(known, self._chunk_ids.count))
+        tokens = list(map(self.base.tokens.__getitem__, ids.tolist()))
+        ends = np.cumsum(sizes).tolist()
+        self._chunk_texts += [" ".join(tokens[b - n : b]).encode() for b, n in zip(ends, sizes.tolist())]
+
+    def round_trip(self, texts: list[bytes | None]) -> list[tuple[bytes, bytes]]:
+        """For each text its ids, and their decoding: token texts with a space between."""
+        out: list[tuple[bytes, bytes]] = []
+        for at, borders in self._looked_up([b"" if t is None or b"<|" in t else t for t in texts]):
+            ids, sizes = self._chunk_ids.of(at)
+            cuts = np.r_[0, np.cumsum(sizes)][borders].tolist()
+            some = np.r_[0, np.cumsum(sizes > 0)][borders].tolist()
+            parts = list(map(self._chunk_texts.__getitem__, at[sizes > 0].tolist()))
+            out += [
+                (ids[a:b].tobytes(), b" ".join(parts[c:d]))
+                for a, b, c, d in zip(cuts, cuts[1:], some, some[1:])
+            ]
+        for i, text in enumerate(texts):
+            if text is not None and b"<|" in text:
+                ids = self.base.encode([text.decode()])[0]
+                out[i] = ids, self.base.decode(ids).encode()
+        return out
+
+
 @lru_cache(maxsize=2)
 def batch_encoder(path: str) -> BatchEncoder:
     """One a worker process, kept between tasks."""
     return BatchEncoder(path)
+
+
+@lru_cache(maxsize=2)
+def trie_encoder(path: str) -> TrieEncoder:
+    """One a worker process, kept between tasks."""
+    return TrieEncoder(path)
+
+
+def encode_documents(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: its id, ``ids`` (array of int), ``decoded``.
+
+    Null and empty texts and texts of white space have no ids and decode to the empty text. Rows are
+    taken one by one: repeated rows and null ids stay, other columns play no part.
+    """
+    fields = f"{id_column} {documents.schema[id_column].dataType.simpleString()}, ids array<int>, decoded string"
+    schema = T._parse_datatype_string(fields)
+
+    def run(batches):
+        kept = trie_encoder(path)
+        for piece in pieces(batches):
+            out = kept.round_trip(piece.column(1).cast(pa.binary()).to_pylist())
+            ids = [np.frombuffer(i, np.uint32).tolist() for i, _ in out]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([d.decode() for _, d in out], pa.string())],
+                names=[f.name for f in schema.fields],
+            )
+
+    return documents.select(id_column, text_column).mapInArrow(run, schema)
+
+
+def token_digests(documents: DataFrame, path: str) -> DataFrame:
+    """``encode_documents`` with sums in place of the ids and texts, made before rows leave Python."""
+    schema = T._parse_datatype_string("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+    def run(batches):
+        kept = trie_encoder(path)
+        for piece in pieces(batches):
+            out = kept.round_trip(piece.column(1).cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column(0).cast(pa.int64()),
+                    pa.array([len(ids) // 4 for ids, _ in out], pa.int64()),
+                    pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in out]),
+                    pa.array([hashlib.sha256(text).hexdigest() for _, text in out]),
+                ],
+                names=[f.name for f in schema.fields],
+            )
+
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

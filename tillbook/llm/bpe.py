@@ -9,28 +9,21 @@ against the state where it would begin, and a shared prefix is computed once. A
 its last symbol, so each word needs one closing step.
 
 The vocabulary is a ``tokenizers`` file with a BPE model that marks word ends, byte-level symbols and
-lower-cased NFC text; the file's path is a parameter and every executor must find it there.
+lower-cased NFC text; the file's path is a parameter and every executor must find it there. This module
+encodes text by text; ``batch_bpe`` walks the new words of many texts through the same trie at once.
 """
 
-import hashlib
 import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import lru_cache
-from itertools import islice
 
-import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillbook.llm.common import pieces
-
-#: Distinct words, prefixes and words with their punctuation that a worker process keeps. Beyond, the
-#: half that came last goes: common words come early.
+#: Distinct words, prefixes and words with their punctuation that a worker process keeps; beyond, it
+#: starts anew.
 KEPT_WORDS = 600_000
 KEPT_PREFIXES = 1_200_000
 KEPT_CHUNKS = 500_000
@@ -112,7 +105,6 @@ class Encoder:
         self._states: dict[str, str] = {"": ""}
         self._words: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
-        self._texts: dict[str, str] = {}
 
     # -- which tokens may be neighbours -------------------------------------------------------
 
@@ -159,9 +151,12 @@ class Encoder:
                     return token
         raise ValueError(f"no token of the vocabulary ends {word[:depth]!r}")
 
-    def _insert(self, words: Iterable[str]) -> None:
-        """Walk new words through the trie and keep their ids."""
-        states, ids = self._states, self.ids
+    def insert(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Walk words through the trie; their ids as unsigned 32-bit integers."""
+        states, ids, out = self._states, self.ids, {}
+        if len(states) > KEPT_PREFIXES:
+            states.clear()
+            states[""] = ""
         for word in sorted(words):
             symbols = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self._symbols)
             depth = len(symbols) - 1
@@ -170,14 +165,15 @@ class Encoder:
             for d in range(depth + 1, len(symbols)):
                 states[symbols[:d]] = self._last(symbols, d, closed=False)
             token = self._last(symbols, len(symbols), closed=True)
-            out = [ids[token]]
+            found = [ids[token]]
             at = len(symbols) - len(token) + len(self.end)
             while at:
                 token = states[symbols[:at]]
-                out.append(ids[token])
+                found.append(ids[token])
                 at -= len(token)
-            out.reverse()
-            self._words[word] = array("I", out).tobytes()
+            found.reverse()
+            out[word] = array("I", found).tobytes()
+        return out
 
     # -- text ----------------------------------------------------------------------------------
 
@@ -196,19 +192,15 @@ class Encoder:
         split = [self._split(t) for t in texts]
         known, words = self._chunks, self._words
         new = {c for chunks in split for c in chunks if c not in known}
-        if len(known) + len(new) > KEPT_CHUNKS:
-            _forget(known, KEPT_CHUNKS // 2)
-            self._texts.clear()
-            new = {c for chunks in split for c in chunks if c not in known}
-        if len(words) + len(new) > KEPT_WORDS:
-            _forget(words, KEPT_WORDS // 2)
-        if len(self._states) > KEPT_PREFIXES:  # a prefix came after the shorter ones it needs
-            _forget(self._states, KEPT_PREFIXES // 2)
+        if len(known) + len(new) > KEPT_CHUNKS or len(words) + len(new) > KEPT_WORDS:
+            known.clear()
+            words.clear()
+            new = set().union(*split)
         for special in new & self.special.keys():
             new.remove(special)
             known[special] = array("I", [self.special[special]]).tobytes()
         spelled = {c: words_of(c) for c in new}
-        self._insert({w for found in spelled.values() for w in found if w not in words})
+        words |= self.insert({w for found in spelled.values() for w in found if w not in words})
         for chunk, found in spelled.items():
             known[chunk] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
         return split
@@ -218,77 +210,14 @@ class Encoder:
         split, find = self._split_all(texts), self._chunks.__getitem__
         return [b"".join(map(find, chunks)) for chunks in split]
 
-    def round_trip(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
-        """For each text its ids and their decoding, which is made once for each distinct chunk."""
-        split, known, decoded = self._split_all(texts), self._chunks, self._texts
-        for chunk in {c for chunks in split for c in chunks if c not in decoded}:
-            decoded[chunk] = self.decode(known[chunk])
-        for chunks in split:
-            yield b"".join(map(known.__getitem__, chunks)), " ".join(map(decoded.__getitem__, chunks))
-
     def decode(self, ids: bytes) -> str:
         """Token texts with a space between, special ones included; ids that are none are left out."""
         return " ".join([self.tokens[i] for i in array("I", ids) if i in self.tokens])
 
 
-def _forget(known: dict, keep: int) -> None:
-    """Drop all but the first ``keep`` entries."""
-    for key in [*islice(known, keep, None)]:
-        del known[key]
-
-
 def _lengths(tokens: Iterable[str]) -> dict[str, list[int]]:
     """For each last two symbols, and each single one, the lengths of the tokens that may end there."""
     found: dict[str, set[int]] = {}
     for token in tokens:
         found.setdefault(token[-2:], {1}).add(len(token))
     return {end: sorted(lengths, reverse=True) for end, lengths in found.items()}
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process, kept between tasks."""
-    return Encoder(path)
-
-
-def encode_documents(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its id, ``ids`` (array of int), ``decoded``.
-
-    Null and empty texts and texts of white space have no ids and decode to the empty text. Rows are
-    taken one by one: repeated rows and null ids stay, other columns play no part.
-    """
-    fields = f"{id_column} {documents.schema[id_column].dataType.simpleString()}, ids array<int>, decoded string"
-    schema = T._parse_datatype_string(fields)
-
-    def run(batches):
-        kept = encoder(path)
-        for piece in pieces(batches):
-            out = list(kept.round_trip(piece.column(1).to_pylist()))
-            ids = [array("I", i).tolist() for i, _ in out]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([d for _, d in out], pa.string())],
-                names=[f.name for f in schema.fields],
-            )
-
-    return documents.select(id_column, text_column).mapInArrow(run, schema)
-
-
-def token_digests(documents: DataFrame, path: str) -> DataFrame:
-    """``encode_documents`` with sums in place of the ids and texts, made before rows leave Python."""
-    schema = T._parse_datatype_string("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-    def run(batches):
-        kept = encoder(path)
-        for piece in pieces(batches):
-            out = list(kept.round_trip(piece.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column(0).cast(pa.int64()),
-                    pa.array([len(ids) // 4 for ids, _ in out], pa.int64()),
-                    pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in out]),
-                    pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in out]),
-                ],
-                names=[f.name for f in schema.fields],
-            )
-
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import ann, bpe, extract, jaccard, langid, licenses, packing, quality, toolcalls, topk
+from tillbook.llm import ann, batch_bpe, extract, jaccard, langid, licenses, packing, quality, toolcalls, topk
 from tillbook.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -56,7 +56,7 @@ def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+    return batch_bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
