@@ -105,8 +105,14 @@ def sale_time(text: Column) -> Column:
     Takes ``7:08``, ``13:08:09.5``, twelve-hour times like ``8:59:00 PM``, and ``24:00:00``, the end of
     the day, which stays as it is.
     """
+    # nearly all times are plain; only the others take the careful way
+    plain = F.try_to_timestamp(text, F.lit("H:mm[:ss]"))
     trimmed = F.trim(text)
     seconds = "mm[:ss[.SSSSSS]]"
     parsed = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f"{hour}:{seconds}{half}")) for hour, half in (("H", ""), ("h", "[ ]a"), ("K", "[ ]a"))])
     end_of_day = trimmed.rlike(r"^24:00(:00(\.0{1,6})?)?$")
-    return F.when(end_of_day, "24:00:00").otherwise(F.regexp_replace(F.date_format(parsed, "HH:mm:ss.SSSSSS"), r"\.?0{1,6}$", ""))
+    return (
+        F.when(plain.isNotNull(), F.date_format(plain, "HH:mm:ss"))
+        .when(end_of_day, "24:00:00")
+        .otherwise(F.regexp_replace(F.date_format(parsed, "HH:mm:ss.SSSSSS"), r"\.?0{1,6}$", ""))
+    )

@@ -137,7 +137,7 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN,
 
     # one scan for what cleaning reports and for the constraints of single rows
     by_flags = quality.row_profile(written.groupBy(FLAGS), F.count(F.lit(1)).alias("n"))
-    by_flags = raw.sparkSession.createDataFrame(by_flags.collect(), by_flags.schema)
+    by_flags = raw.sparkSession.createDataFrame(by_flags.toArrow(), by_flags.schema)  # a local relation
     flag_counts = by_flags.select(FLAGS, "n")
     audit = _computed(cleaning_audit(flag_counts, F.max(F.lit(row_count(raw).first().row_count))))
     counts = audit.first().asDict()
