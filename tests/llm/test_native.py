@@ -118,6 +118,73 @@ def test_every_template_matches_itself(spark):
     assert [found[i][0] for i in range(len(licenses.TEMPLATES))] == [name for name, _ in licenses.TEMPLATES]
 
 
+def commented(mark, text):
+    return "\n".join(f"{mark} {line}" for line in text.split("\n")) + "\nimport x\n"
+
+
+GPL_HEADER = """Frob - a tool for frobbing
+Copyright (C) 1999 Jane Doe
+
+Frob is free software; you may redistribute it and/or modify it
+under the terms of the GNU General Public License as published
+by the Free Software Foundation; either version 2, or (at your option)
+any later version.
+
+Frob is distributed in the hope that it will be of use, but
+WITHOUT ANY WARRANTY."""
+MIT_BODY = """Copyright 2011 The Frob Authors
+
+Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files, to deal in
+the Software without restriction, including the rights to use, copy,
+modify, merge, publish, distribute and sell copies of the Software,
+subject to the following conditions:
+
+This copyright notice shall be included in all copies of the Software."""
+BSD_BODY = """Copyright (c) 1990 The Regents of Frob
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that these conditions are met:
+- Redistributions of source code must retain the above copyright
+  notice and this list of conditions.
+- Redistributions in binary form must reproduce the above copyright
+  notice and this list of conditions in the documentation.
+{}
+THIS SOFTWARE IS PROVIDED BY THE REGENTS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING THE IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS FOR A PARTICULAR PURPOSE, ARE DISCLAIMED. IN NO EVENT SHALL
+THE REGENTS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL OR
+CONSEQUENTIAL DAMAGES (INCLUDING PROCUREMENT OF SUBSTITUTE GOODS, LOSS OF
+USE, DATA, OR PROFITS) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT OR TORT, ARISING OUT OF THE USE OF THIS SOFTWARE."""
+BSD_NAMES = """- Neither the name of Frob nor the names of contributors may be used to
+  endorse or promote products derived from this software without prior
+  written permission.
+"""
+
+
+def test_other_wordings_in_blocks_and_files(spark):
+    """None of these is a template's own text, and all stand below a directory of another license."""
+    agpl = GPL_HEADER.replace("General", "Affero General").replace("version 2", "version 3")
+    lesser = GPL_HEADER.replace("General", "Lesser General").replace("version 2", "version 2.1")
+    permitted = "Permission to use, copy, modify and distribute this software for any purpose is hereby granted, provided that\nthe above copyright notice and this permission notice appear in all copies of it."
+    cases = [
+        ("a.c", "SPDX-License-Identifier: MIT", "MIT"), ("a.c", "// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("a.c", "/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 */", "GPL-2.0"),
+        ("a.c", "# spdx-license-identifier: (MPL-2.0 OR MIT)", "MIT"), ("a.html", "<!-- SPDX-License-Identifier: CC-BY-SA-4.0-->", "CC-BY-SA-4.0"),
+        ("a.c", "# SPDX-License-Identifier: LicenseRef-Frob", None), ("README", "The Mozilla Public License, Version 2.0", "MPL-2.0"),
+        ("a.py", commented("#", GPL_HEADER), "GPL-2.0"), ("a.c", f"/*\n{GPL_HEADER}\n*/\nint x;", "GPL-2.0"), ("a.c", commented(" *", agpl), "AGPL-3.0"),
+        ("a.py", f'"""Frob.\n\n{lesser}\n"""\nimport x', "LGPL-2.1"), ("a.el", commented(";;", MIT_BODY), "MIT"), ("LICENSE", MIT_BODY, "MIT"),
+        ("a.c", commented("//", BSD_BODY.format("")), "BSD-2-Clause"), ("LICENSE", BSD_BODY.format(BSD_NAMES), "BSD-3-Clause"),
+        ("a.sql", commented("--", permitted), "ISC"), ("COPYING", "\tGNU General Public License\r\n\tVersion 3, 29 Jun 2007\r\n\r\nPreamble\r\n\r\n" + "words of it\r\n" * 300, "GPL-3.0"),
+        ("LICENSE", "Legal Code\n\nCC0 1.0 Universal:\n\nStatement of Purpose\n" + "words of it\n" * 300, "CC0-1.0"),
+        ("a.py", "# Copyright 2020 Frob Inc. All rights reserved.\n# This file is confidential and may not be\n# copied or shared with third parties.", None),
+        ("a.py", commented("#", "words\n" * 20_000 + "\nlicense"), None),
+    ]
+    found, _ = scanned(spark, [(-1, "LICENSE", "Licensed under the EPL 2.0, the Eclipse Public License, version 2.0.")] + [(i, f"{i}/{name}", text) for i, (name, text, _) in enumerate(cases)])
+    assert [found[i] for i in range(len(cases))] == [(own, own or "EPL-2.0", None if own else "") for _, _, own in cases]
+
+
 def test_no_files(spark):
     assert scanned(spark, []) == ({}, [])
 
