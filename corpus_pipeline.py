@@ -25,8 +25,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return jaccard.keep_one(docs, width=4, percent=85)
+    """One document of each group of near duplicates stays: five-word shingles, similarity of 0.8 at least."""
+    return jaccard.keep_one(docs, width=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

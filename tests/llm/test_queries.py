@@ -63,6 +63,17 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in pieces} == {r.doc_id for r in single.select("doc_id").collect()}
 
 
+def test_pipeline_joins_at_five_words_and_four_fifths(spark):
+    """Words added to a copy leave the similarity between 0.80 and 0.85, or just below 0.80."""
+    base = [f"w{k}" for k in range(104)]
+    texts = [base, base + [f"x{k}" for k in range(20)], base + [f"y{k}" for k in range(25)], base + [f"z{k}" for k in range(26)], [f"v{k}" for k in range(50)]]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    docs = spark.createDataFrame([(i, text, None, None, 0) for i, text in rows], DOCUMENTS)
+    _, distinct = corpus_pipeline.STAGES[2]
+    kept = sorted(r.doc_id for r in distinct(spark, docs, SF_DIR).collect())
+    assert kept == sorted(i for i, _, c in brute_force(rows, width=5, percent=80) if c == i) == [0, 3, 4]
+
+
 def test_pipeline_bears_no_rows(spark):
     docs = spark.createDataFrame([], DOCUMENTS)
     for _, stage in corpus_pipeline.STAGES:
