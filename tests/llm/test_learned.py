@@ -8,7 +8,7 @@ import pytest
 
 from tests.llm.fixtures import DOCUMENTS, documents, with_clashes
 from tillbook.llm import boosting, extract, langid, quality
-from tillbook.llm.dom import Page
+from tillbook.llm.dom import FEATURES, Page, features
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -208,3 +208,24 @@ def test_trees_learn_a_rule():
     trees = boosting.fit(rows[:1500], labels[:1500], np.ones(1500))
     assert ((trees.probability(rows[1500:]) > 0.5) == labels[1500:]).mean() > 0.93
     assert boosting.fit(rows[:5], np.ones(5), np.ones(5)).probability(rows[:3]) == pytest.approx([0.999] * 3)
+
+
+@pytest.mark.parametrize("paragraphs", [63, 64, 500])
+def test_sibling_statistics_of_wide_articles(paragraphs):
+    """An advert in the middle and comments at the end are seen among their neighbours in any article."""
+    advert, comments = "<aside><a href=x>Buy now</a></aside>", "<section>first comment</section>"
+    body = [f"<p>{'w' * (k + 1)}</p>" for k in range(paragraphs)]
+    body = [*body[: paragraphs // 2], advert, *body[paragraphs // 2 :], comments]
+    page = Page(f"<html><body><article>{''.join(body)}</article></body></html>")
+    rows = [dict(zip(FEATURES, row)) for row in features(page)]
+    at = page.tag.index("article")
+    family = [k for k in range(len(page.tag)) if page.parent[k] == at]
+    assert len(family) == paragraphs + 2
+    chars = [rows[k - 1]["all_chars"] for k in family]
+    for place, k in enumerate(family):
+        row = rows[k - 1]
+        assert (row["rank"], row["siblings"]) == (place, paragraphs + 2)
+        assert row["same_siblings"] == sum(all(rows[c - 1][f] == row[f] for f in FEATURES if f.startswith("is_")) for c in family)
+        assert row["before_chars"] == (chars[place - 1] if place else 0) and row["after_chars"] == (chars[place + 1] if place + 1 < len(family) else 0)
+    middle = family.index(page.tag.index("aside"))
+    assert rows[family[middle + 1] - 1]["before_links"] == rows[family[middle - 1] - 1]["after_links"] == 1

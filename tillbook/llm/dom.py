@@ -5,6 +5,7 @@ without an element of block kind in between. Missing end tags are implied where
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -227,9 +228,17 @@ def features(page: Page) -> np.ndarray:
     children: list[list[int]] = [[] for _ in range(n)]
     for k in range(1, n):
         children[parent[k]].append(k)
+    group = [_GROUP.get(t, len(GROUPS)) for t in page.tag]
+    # of each element: its place among its siblings, those beside it (0 for none), those of its group
+    rank, previous, following, alike = ([0] * n for _ in range(4))
+    for family in children:
+        groups = Counter(group[c] for c in family)
+        for place, k in enumerate(family):
+            rank[k], alike[k] = place, groups[group[k]]
+            if place:
+                previous[k], following[family[place - 1]] = family[place - 1], k
     bad = [sum(w in BOILERPLATE for w in ws) for ws in page.words]
     good = [sum(w in CONTENT for w in ws) for ws in page.words]
-    group = [_GROUP.get(t, len(GROUPS)) for t in page.tag]
     depth, bad_above, good_above, tag_bad, tag_good = ([0] * n for _ in range(5))
     out = np.zeros((n - 1, len(FEATURES)), np.float32)
     kinds = len(GROUPS) + 1
@@ -239,18 +248,14 @@ def features(page: Page) -> np.ndarray:
         bad_above[k], good_above[k] = bad_above[p] + bad[p], good_above[p] + good[p]
         tag_bad[k] = tag_bad[p] or 1 <= group[p] <= 5
         tag_good[k] = tag_good[p] or group[p] == 0
-        family = children[p]
-        rank = family.index(k) if len(family) < 64 else 64
-        before = family[rank - 1] if 0 < rank < 64 else 0
-        after = family[rank + 1] if rank + 1 < len(family) and rank < 64 else 0
-        same = sum(group[c] == group[k] for c in family[:64])
+        before, after = previous[k], following[k]
         row = out[k - 1]
         row[group[k]] = 1
         row[kinds:] = (
             bad[k], good[k], bad_above[k], good_above[k], tag_bad[k], tag_good[k],
             depth[k], own[k], chars[k], words[k], linked[k] / max(1, chars[k]), links[k], chars[k] / nodes[k], stops[k] / max(1, words[k]),
             words[k] / max(1, blocks[k]), blocks[k], controls[k], notices[k], first[k] / total, chars[k] / total, chars[k] / max(1, chars[p]),
-            len(family), same, rank, chars[before] if before else 0, chars[after] if after else 0,
+            len(children[p]), alike[k], rank[k], chars[before] if before else 0, chars[after] if after else 0,
             linked[before] / max(1, chars[before]) if before else 0, linked[after] / max(1, chars[after]) if after else 0, longest[k],
         )
     return out
