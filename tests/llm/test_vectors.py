@@ -125,3 +125,28 @@ def test_blocks_spread_equal_rows(spark):
     rows = vectors.usable(table(spark, [(5, [1.0, 2.0])] * 1000))
     sizes = [len(bytes(r.ids)) // 8 for r in vectors.blocks(rows, 100).collect()]
     assert sum(sizes) == 1000 and max(sizes) < 200
+
+
+def test_every_back_edge_is_weighed(monkeypatch):
+    """Nodes in the middle of a dense cluster get more new edges from a batch than one round takes."""
+    random = np.random.default_rng(3)
+    rows = np.r_[0.02 * random.normal(size=(60, 24)), 0.5 * random.normal(size=(2500, 24))] + 1
+    units = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
+    prune, due, most = ann.robust_prune, set(), [0]
+
+    def spied(units, nodes, candidates):
+        seen = {(int(t), int(c)) for t, cs in zip(nodes, candidates) for c in cs}
+        due.difference_update(seen)
+        out = prune(units, nodes, candidates)
+        if not spied.joined.issuperset(nodes.tolist()):
+            assert not due
+            spied.joined.update(nodes.tolist())
+            if len(spied.joined) > len(nodes):
+                due.update((int(t), int(k)) for k, ts in zip(nodes, out) for t in ts if t >= 0)
+                most[0] = max(most[0], int(np.unique(out[out >= 0], return_counts=True)[1].max()))
+        return out
+
+    spied.joined = set()
+    monkeypatch.setattr(ann, "robust_prune", spied)
+    ann.build(units)
+    assert not due and most[0] > 2 * ann.DEGREE

@@ -111,18 +111,22 @@ def build(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         graph[batch] = robust_prune(units, batch, met)
         back, source = graph[batch].ravel(), np.repeat(batch, DEGREE)
         back, source = back[back >= 0], source[back >= 0]
-        by_target = np.argsort(back, kind="stable")
+        by_target = np.lexsort((-np.einsum("ij,ij->i", units[back], units[source]), back))
         back, source = back[by_target], source[by_target]
         targets, starts, counts = np.unique(back, return_index=True, return_counts=True)
-        # a target with very many new edges takes the first ones; its own search found the nearest
-        width = min(int(counts.max()), 2 * DEGREE)
-        extra = np.full((len(targets), width), -1, np.int64)
         place = np.arange(len(back)) - np.repeat(starts, counts)
-        fits = place < width
-        extra[np.repeat(np.arange(len(targets)), counts)[fits], place[fits]] = source[fits]
-        for at in range(0, len(targets), BATCH):
-            part = slice(at, at + BATCH)
-            graph[targets[part]] = robust_prune(units, targets[part], np.concatenate((graph[targets[part]], extra[part]), axis=1))
+        # a target's new edges, nearest first, are weighed in rounds of a bounded width until none is left:
+        # the target joined before these nodes, so its own search can't have found them
+        width = 2 * DEGREE
+        for low in range(0, int(counts.max(initial=0)), width):
+            more = np.flatnonzero(counts > low)
+            row = np.searchsorted(more, np.repeat(np.arange(len(targets)), counts))
+            fits = (place >= low) & (place < low + width)
+            extra = np.full((len(more), min(width, int(counts.max()) - low)), -1, np.int64)
+            extra[row[fits], place[fits] - low] = source[fits]
+            for at in range(0, len(more), BATCH):
+                part, some = slice(at, at + BATCH), targets[more[at : at + BATCH]]
+                graph[some] = robust_prune(units, some, np.concatenate((graph[some], extra[part]), axis=1))
         joined += len(batch)
     return graph, entries
 
