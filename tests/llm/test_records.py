@@ -1,0 +1,284 @@
+"""Prefix trie, Merkle manifest and WARC archives against brute force, with nulls, ties, long and odd texts."""
+
+import base64
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.llm.fixtures import with_clashes
+from tillbook.llm import merkle, spread, trie, warc
+from tillbook.llm.common import shared_folder
+
+TURNS = "conv_id long, turn long, role string, text string"
+DOCUMENTS = "doc_id long, source string, lang string, n_chars long, text string"
+PAGES = "page_id long, url string, html string"
+TRIE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def crc(number):
+    return zlib.crc32(str(number).encode())
+
+
+def brute_trie(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own[conv].append(((turn is not None, turn or 0), role, text[:64], digest, text))
+    turns = {c: [(t[1], t[4]) for t in sorted(ts)] for c, ts in own.items()}
+    full = {c: turns.get(c - int(abs(c) % 5 * (1 if c > 0 else -1)), [])[: crc(c) % 9] + ts[crc(c) % 9 :] for c, ts in turns.items()}
+    members = defaultdict(list)
+    for c, ts in full.items():
+        for d in range(len(ts) + 1):
+            members[tuple(ts[:d])].append(c)
+    out = []
+    for node, convs in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        leaves = sum(not any(len(m) == len(n) + 1 and m[: len(n)] == n for m in below) for n in below)
+        saved = sum((len(members[n]) - 1) * len(n[-1][1].encode()) for n in below if n)
+        children = sum(len(n) == len(node) + 1 for n in below)
+        ends = sorted(c for c in convs if len(full[c]) == len(node))
+        out.append((min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), children, leaves, saved, sha(",".join(map(str, ends)))))
+    return sorted(out, key=repr)
+
+
+def chats(choose):
+    """Copies of chats, forks at every depth, equal and null turns, repeated rows, and chats of one turn."""
+    rows = []
+    for conv in [*range(-7, 60), 200, 10**12]:
+        length, kind = choose.choice((1, 2, 5, 12)), choose.randrange(3)
+        for turn in range(length):
+            text = choose.choice(("a", "b", "é" * 70 + str(kind), None, "")) if choose.random() < 0.3 else f"{kind} {turn}"
+            rows.append((conv, choose.choice((turn, turn, turn, None, 3)), choose.choice(("user", "user", "user", None)), text))
+    rows += choose.sample(rows, 20)
+    return rows + [(None, 1, "user", "nobody's"), (None, None, None, None)]
+
+
+@pytest.mark.parametrize("block, ids", [(128, 4096), (2, 3)])
+def test_trie_equals_brute_force(spark, monkeypatch, block, ids):
+    monkeypatch.setattr(trie, "BLOCK", block)
+    monkeypatch.setattr(trie, "IDS", ids)
+    rows = chats(random.Random(block))
+    found = trie.build(with_clashes(spark.createDataFrame(rows, TURNS)))
+    assert found.columns == TRIE and {t for _, t in found.dtypes[:-1]} == {"bigint"}
+    assert sorted(map(tuple, found.collect()), key=repr) == brute_trie(rows)
+
+
+def test_trie_of_a_long_chat_and_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(spread, "HOT_ROWS", 4)
+    rows = [(5, k, "user", "x" * (k % 7)) for k in range(300)] + [(c, k, "user", "same") for c in range(100, 160) for k in range(3)]
+    rows.append((7, 0, "user", "long " * 50_000))
+    assert sorted(map(tuple, trie.build(spark.createDataFrame(rows, TURNS)).collect()), key=repr) == brute_trie(rows)
+
+
+def test_trie_edge_cases(spark):
+    assert trie.build(spark.createDataFrame([], TURNS)).collect() == []
+    assert trie.build(spark.createDataFrame([(None, 1, "user", "a")], TURNS)).collect() == []
+    # conversation 1 takes over its base's turns, and there is no such conversation
+    lone = [(1, 0, "user", "a")]
+    assert crc(1) % 9 > 0
+    assert [tuple(r) for r in trie.build(spark.createDataFrame(lone, TURNS)).collect()] == [(1, 0, None, 1, 0, 1, 0, sha("1"))]
+
+
+def test_subtree_totals_of_random_trees(spark):
+    """Stars, chains, combs and random trees, more than one at once."""
+    choose = random.Random(3)
+    parent = {}
+    for tree in range(4):
+        base = 1000 * tree
+        for k in range(1, 120):
+            parent[base + k] = base + (0 if tree == 0 else k - 1 if tree == 1 else max(0, k - 1 - k % 2) if tree == 2 else choose.randrange(k))
+        parent[base] = None
+    depth = {}
+    for n in sorted(parent):
+        depth[n] = 0 if parent[n] is None else depth[parent[n]] + 1
+    children = Counter(p for p in parent.values() if p is not None)
+    amount = {n: choose.randrange(100) for n in parent}
+    rows = [(n, depth[n], parent[n], children[n], 1, amount[n]) for n in parent]
+    nodes = spark.createDataFrame(rows, "conv_id long, depth long, parent_conv_id long, n_children long, one long, amount long")
+    total = {n: [1, amount[n]] for n in parent}
+    for n in sorted(parent, reverse=True):
+        if parent[n] is not None:
+            total[parent[n]] = [a + b for a, b in zip(total[parent[n]], total[n])]
+    found = {r.conv_id: [r.one, r.amount] for r in trie.subtree_totals(nodes, ["one", "amount"]).collect()}
+    assert found == total
+
+
+def test_numbered_and_attached_spread_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(spread, "HOT_ROWS", 4)
+    rows = [("hot", k // 50) for k in range(500)] + [(None, 1), (None, None), ("a", 2), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, o long")
+    found = spread.numbered(df, ["g"], ["o"], "at", "test").collect()
+    for g in ("hot", None, "a"):
+        mine = sorted((r.at, r.o if r.o is not None else -1) for r in found if r.g == g)
+        assert [m[0] for m in mine] == list(range(len(mine))) and [m[1] for m in mine] == sorted(m[1] for m in mine)
+    lookup = spark.createDataFrame([("hot", 1), ("a", 2), ("z", 3)], "g string, v long")
+    assert Counter((r.g, r.v) for r in spread.attached(df, lookup, ["g"]).collect()) == Counter((g, {"hot": 1, "a": 2}.get(g)) for g, _ in rows)
+
+
+def brute_manifest(rows):
+    def h(fields):
+        return sha("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][k : k + 2])) for k in range(0, len(out[-1]), 2)])
+        return out
+
+    def siblings(tree, at):
+        path = []
+        for nodes in tree[:-1]:
+            path.append((at % 2, nodes[at ^ 1] if at ^ 1 < len(nodes) else None))
+            at //= 2
+        return path
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[2]].append((r[0] is not None, r[0] or 0, h(r), r))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {g: levels([x[2] for x in sorted(groups[g], key=lambda x: x[:3])]) for g in langs}
+    top = levels([trees[g][-1][0] for g in langs])
+    out = []
+    for k, g in enumerate(langs):
+        for at, (_, _, leaf, r) in enumerate(sorted(groups[g], key=lambda x: x[:3])):
+            path = siblings(trees[g], at) + siblings(top, k)
+            changed = r[0] is not None and crc(r[0]) % 7 == 0 and r[3] is not None
+            node = h((*r[:3], r[3] + 1, r[4])) if changed else leaf
+            for right, sibling in path:
+                node = sha(node if sibling is None else sibling + node if right else node + sibling)
+            proof = sha("".join(s for _, s in path if s))
+            out.append((r[0], leaf, trees[g][-1][0], top[-1][0], proof, node, node == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits, sizes", [(8, (1, 2, 3, 300)), (2, (1, 4, 5, 16, 17, 33)), (1, (7, 8))])
+def test_manifest_equals_brute_force(spark, monkeypatch, bits, sizes):
+    monkeypatch.setattr(merkle, "BITS", bits)
+    choose = random.Random(bits)
+    rows = []
+    for k, (size, lang) in enumerate(zip(sizes, (None, "en", "é", "z", "", "Z"))):
+        rows += [(choose.choice((1000 * k + n, 1000 * k + n, 3, None)), choose.choice(("s", None, "")), lang, choose.choice((None, n)), choose.choice((None, "", "text é\n", "1:-"))) for n in range(size)]
+    rows += [rows[-1], rows[-1], (7, "s", "en", 3, "word " * 100_000)]
+    found = merkle.audit(with_clashes(spark.createDataFrame(rows, DOCUMENTS)))
+    assert found.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    expected = brute_manifest(rows)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected
+    assert True in {r[-1] for r in expected} and (bits == 1 or False in {r[-1] for r in expected})
+
+
+def test_manifest_of_few_rows(spark):
+    assert merkle.audit(spark.createDataFrame([], DOCUMENTS)).collect() == []
+    for rows in ([(1, "s", "en", 2, "ab")], [(None, None, None, None, None)], [(1, "s", "en", 2, "ab"), (1, "s", "de", 2, "ab")]):
+        assert sorted(map(tuple, merkle.audit(spark.createDataFrame(rows, DOCUMENTS)).collect()), key=repr) == brute_manifest(rows)
+
+
+def page_rows():
+    choose = random.Random(11)
+    big = "<p>" + "".join(choice for choice in choose.choices("abcdé\r\n ", k=40_000))
+    nasty = ["WARC/1.1\r\nWARC-Type: response\r\n\r\n", "\r\n\r\nWARC/1.1\r\n", "x" * 997 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" + "y" * 4000, "0\r\n\r\n", "WARC/1.1"]
+    rows = [(k, f"http://h/{k}", f"page {k % 9}") for k in range(40)]
+    rows += [(100, "http://h/ x\r\nWARC-Type: evil", None), (101, None, ""), (None, "u", "page 1"), (None, "u", "nobody's"), (None, "v", "nobody's")]
+    rows += [(200 + k, "http://n", t * (1 + 300 * (k % 2))) for k, t in enumerate(nasty)] + [(300, "b", big), (301, "b", big), (302, "c", big + "!"), (302, "c", big + "!"), (302, "d", big + "!")]
+    return rows
+
+
+def brute_pages(rows):
+    def b32(data):
+        return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    most = {}
+    for page, _, html in rows:
+        most[html or ""] = max((p for p in (page, most.get(html or "")) if p is not None), default=None)
+    out = []
+    for page, _, html in rows:
+        data, target = (html or "").encode(), most[html or ""]
+        revisit = target is not None and page != target
+        out.append((page, len(data), b32(data), "revisit" if revisit else "response", target if revisit else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("segment, chunk, split", [(16 << 10, 4 << 10, "128m"), (700, 100, "4k"), (64, 7, "1000")])
+def test_archives_round_trip(spark, segment, chunk, split):
+    rows = page_rows()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = warc.round_trip(with_clashes(spark.createDataFrame(rows, PAGES)), segment, chunk)
+        assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+        assert sorted(map(tuple, found.collect()), key=repr) == brute_pages(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_payloads_and_hot_copies_come_back_whole(spark, monkeypatch):
+    monkeypatch.setattr(spread, "HOT_ROWS", 4)
+    rows = page_rows() + [(1000 + k, "http://hot", "the same") for k in range(60)]
+    path = shared_folder(spark, "test_archives")
+    warc.write_archives(spark.createDataFrame(rows, PAGES), path, segment_bytes=900, chunk_bytes=256, compression="gzip")
+    read = warc.read_archives(spark, path).collect()
+    assert not [r for r in read if r.error]
+    responses = {(r[0], r[2]) for r in brute_pages(rows) if r[3] == "response"}
+    whole = {(p, h or "") for p, _, h in rows if (p, base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()) in responses}
+    assert {(r.page_id, bytes(r.payload).decode()) for r in read if r.record_type == "response"} == whole
+    assert {r.target_uri for r in read if r.page_id == 100} == {"http://h/%20x%0D%0AWARC-Type:%20evil"}
+    assert {r.target_uri for r in read if r.page_id == 101} == {None}
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.resolved(warc.read_archives(spark, path)).collect() if r.page_id is not None) == sorted((r[0], r[1]) for r in brute_pages(rows) if r[0] is not None)
+
+
+def test_small_payloads_are_no_revisits(spark):
+    path = shared_folder(spark, "test_archives")
+    warc.write_archives(spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], PAGES), path, at_least=3)
+    assert {(r.page_id, r.record_type) for r in warc.read_archives(spark, path).collect()} == {(1, "response"), (2, "response"), (3, "revisit"), (4, "response")}
+
+
+def test_no_pages(spark):
+    assert warc.round_trip(spark.createDataFrame([], PAGES), 1000, 100).collect() == []
+
+
+def record(headers, block):
+    return b"WARC/1.1\r\n" + b"".join(b"%b: %b\r\n" % h for h in headers) + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+
+def test_foreign_and_broken_archives(spark, tmp_path):
+    http = (b"Content-Type", b"application/http;msgtype=response")
+    plain = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody \xff\r\n\r\nWARC/1.1\r\nnot a record"
+    long = b"HTTP/1.0 200 OK\r\nTransfer-Encoding: gzip, chunked\r\n\r\n5;ext=1\r\nabcde\r\n1\r\n!\r\n0\r\nTrailer: t\r\n\r\n"
+
+    def segment(origin, number, part, total=None):
+        kind = [(b"WARC-Type", b"response" if number == 1 else b"continuation"), (b"WARC-Record-ID", origin if number == 1 else b"<%b-%d>" % (origin, number)), http, (b"WARC-Segment-Number", b"%d" % number)]
+        return record(kind + ([(b"WARC-Segment-Origin-ID", origin)] if number > 1 else []) + ([(b"WARC-Segment-Total-Length", b"%d" % total)] if total else []), part)
+
+    parts = [
+        record([(b"warc-type", b"warcinfo"), (b"WARC-Record-ID", b"<i>")], b"software: x"),
+        record([(b"WARC-Type", b"response"), (b"WARC-Record-ID", b"<p>"), http], plain),
+        segment(b"<s>", 2, long[60:70]), segment(b"<s>", 1, long[:60]), segment(b"<s>", 3, long[70:], len(long)),
+        segment(b"<gap>", 1, long[:60]), segment(b"<gap>", 3, long[70:], len(long)),
+        segment(b"<total>", 1, long[:60]), segment(b"<total>", 2, long[60:], len(long) + 1),
+        segment(b"<headless>", 2, long[60:], len(long)),
+        record([(b"WARC-Type", b"response"), (b"WARC-Record-ID", b"<bad>"), http], b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nzz\r\n"),
+        record([(b"WARC-Type", b"response"), (b"WARC-Record-ID", b"<digest>"), (b"WARC-Payload-Digest", b"sha1:AAAA"), http], plain),
+        b"WARC/1.1\r\nWARC-Type: response\r\n\r\n",
+        record([(b"WARC-Type", b"revisit"), (b"WARC-Record-ID", b"<r>"), (b"WARC-Refers-To", b"<nowhere>")], b""),
+        b"WARC/1.1\r\nWARC-Record-ID: <cut>\r\nContent-Length: 500\r\n\r\nshort",
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    rows = warc.resolved(warc.read_archives(spark, str(tmp_path))).collect()
+    found = {r.record_id: r for r in rows if r.record_id}
+    assert bytes(found["<i>"].payload) == b"software: x"
+    assert bytes(found["<p>"].payload) == plain.partition(b"\r\n\r\n")[2]
+    assert bytes(found["<s>"].payload) == b"abcde!" and found["<s>"].error is None
+    assert found["<gap>"].error == "segment 2 missing" and found["<headless>"].error == "segment 1 missing"
+    assert found["<total>"].error == f"segments of {len(long)} bytes, not {len(long) + 1}"
+    assert found["<bad>"].error.startswith("unreadable framing") and found["<digest>"].error == "payload digest differs"
+    assert found["<r>"].error == "refers to no record"
+    assert sorted(r.error for r in rows if not r.record_id) == ["record shorter than its Content-Length", "unreadable record header"]
+    assert len(rows) == 11

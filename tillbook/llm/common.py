@@ -17,11 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new name in the folder that all executors share."""
+    return f"{shared_root(spark)}/llm/{name}_{uuid.uuid4().hex}"
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Let a written folder go when the driver ends; until then, results that aren't yet computed may read it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the folder all executors share and read again, so that a lost executor costs no
     more than the task it ran."""
-    path = f"{shared_root(df.sparkSession)}/llm/{name}_{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    drop_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import ann, batch_bpe, extract, jaccard, langid, licenses, packing, quality, toolcalls, topk
+from tillbook.llm import ann, batch_bpe, extract, jaccard, langid, licenses, merkle, packing, quality, toolcalls, topk, trie, warc
 from tillbook.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -75,10 +75,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files, licenses.templates(spark)).withColumnRenamed("file_id", "doc_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), every=7)
+
+
+def op13_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=16 << 10, chunk_bytes=4 << 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_top_k, op2_language_mixture, op3_ngram_jaccard_join, op4_html_extraction, op5_quality_score,
-        op6_best_fit_packing, op7_tool_call_linking, op8_ann_search, op9_bpe_round_trip, op10_license_scan,
+        op6_best_fit_packing, op7_tool_call_linking, op8_ann_search, op9_bpe_round_trip, op10_license_scan, op11_prefix_trie,
+        op12_merkle_manifest, op13_warc_round_trip,
     )
 }
