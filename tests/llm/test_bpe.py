@@ -75,3 +75,44 @@ def test_ids_and_texts(spark, library):
     row = batch_bpe.encode_documents(documents(spark, [ODD[2]]), PATH).first()
     assert row.ids == library.encode(ODD[2], add_special_tokens=False).ids
     assert batch_bpe.encode_documents(spark.createDataFrame([], DOCUMENTS), PATH).collect() == []
+
+
+def thue_morse(letters):
+    text = "a"
+    while len(text) < letters:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [1024, 4096, 65536])
+def test_words_made_to_collide(library, letters):
+    a, b = thue_morse(letters)
+    data = [a, b, f"the {a} and", f"the {b} and", "usual words"]
+    for encoder in (batch_bpe.BatchEncoder(PATH), batch_bpe.TrieEncoder(PATH)):
+        for texts_ in ([[t] for t in data], [data]):
+            found = [ids for part in texts_ for ids in encoder.encode([t.encode() for t in part])]
+            for text, ids in zip(data, found):
+                assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_hashes_do_not_mix_words(library, monkeypatch):
+    """With a hash that has two values only, bytes decide."""
+    real = batch_bpe.lowered_words
+
+    def poor(texts_):
+        for buffer, starts, ends, hashes, borders in real(texts_):
+            yield buffer, starts, ends, hashes % 2, borders
+
+    monkeypatch.setattr(batch_bpe, "lowered_words", poor)
+    monkeypatch.setattr(batch_bpe, "COMPARED", 100)
+    data = texts()[:2000] + ["x" * 5000, "x" * 5000, "y" * 5000]
+    encoder = batch_bpe.BatchEncoder(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in data]
+    assert [list(struct.unpack(f"<{len(i) // 4}I", i)) for i in encoder.encode([t.encode() for t in data])] == expected
+
+
+def test_encoders_start_anew_by_bytes(monkeypatch):
+    monkeypatch.setattr(batch_bpe, "KEPT_BYTES", 1000)
+    data = [t.encode() for t in texts()[20:600]]
+    small = batch_bpe.TrieEncoder(PATH)
+    assert [small.encode([t])[0] for t in data] == bpe.Encoder(PATH).encode([t.decode() for t in data])

@@ -9,7 +9,7 @@ import pytest
 from tests.llm.fixtures import DOCUMENTS, documents, prose, with_clashes
 from tillbook.llm import jaccard
 from tillbook.llm.graph import components
-from tillbook.llm.shingles import BUFFER, shingle_sets
+from tillbook.llm.shingles import BUFFER, LONG, draw_base, shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -109,3 +109,65 @@ def test_components(spark):
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, 10: 10, 20: 10} | {100 + i: 100 for i in range(41)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def thue_morse(letters):
+    text = "a"
+    while len(text) < letters:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [1024, 4096, 65536])
+def test_words_made_to_collide(spark, letters):
+    """Polynomials over two to a power can't tell these words apart, whatever their base."""
+    a, b = thue_morse(letters)
+    rows = [(1, a), (2, b), (3, f"{a} x y z"), (4, f"{b} x y z"), (5, a), (6, f"one two three {a} four"), (7, f"one two three {b} four")]
+    for base in (draw_base(), draw_base()):
+        assert len({int(next(shingle_sets([t.encode()], 4, base))[0]) for t in (a, b)}) == 2
+    df = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    assert sorted(map(tuple, jaccard.linked_components(df).collect())) == brute_force(rows)
+
+
+def test_hashes_are_those_of_the_polynomial():
+    base, prime = draw_base(), 2**61 - 1
+    words = ["a", "é", "word", "\x00\x01", "x" * LONG, "x" * (LONG - 1) + "y", "\xff" * 2000]
+    from tillbook.llm.shingles import lowered_words, mix
+
+    for text in ([" ".join(words).encode()], [w.encode() for w in words]):
+        found = np.concatenate([h for _, _, _, h, _ in lowered_words(text, base)])
+        values = [sum((byte + 1) * pow(base, k, prime) for k, byte in enumerate(w.encode())) % prime for w in words]
+        assert found.tolist() == mix(np.array(values, np.uint64)).tolist()
+
+
+@pytest.mark.parametrize("light, growth", [(2, 2), (16, 8)])
+def test_a_passage_with_other_words_around_it(spark, monkeypatch, light, growth):
+    """Rows that share a column with many others and link with few of them: by size, by words of their own, or not."""
+    monkeypatch.setattr(jaccard, "LIGHT", light)
+    monkeypatch.setattr(jaccard, "GROWTH", growth)
+    choose = random.Random(light)
+    passage = [f"p{k}" for k in range(60)]
+    other = passage[:40] + [f"q{k}" for k in range(25)]
+    rows = []
+    for i in range(160):
+        base = choose.choice((passage, passage, other))
+        own = [f"o{i}_{k}" for k in range(choose.choice((0, 2, 5, 6, 7, 9, 14)))]
+        rows.append(base[choose.randrange(4) :] + own)
+    for i in range(40):
+        rows.append(rows[choose.randrange(160)][: -1 - choose.randrange(2)])
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    for percent in (85, 70):
+        found = jaccard.linked_components(documents(spark, [t for _, t in rows], [i for i, _ in rows]), 4, percent).collect()
+        assert sorted(map(tuple, found), key=repr) == brute_force(rows, 4, percent)
+
+
+def test_overlaps_of_rows_with_many_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_PAIRS", 5)
+    choose = np.random.default_rng(2)
+    sets = {bytes([k]): np.unique(choose.integers(0, 200, choose.integers(1, 90))).astype(np.uint64) for k in range(60)}
+    pairs = [(a, b) for a in sets for b in sets if a < b and (a == bytes([3]) or b == bytes([7]) or choose.random() < 0.05)]
+    found = jaccard.overlaps(
+        spark.createDataFrame(pairs, "a binary, b binary"), spark.createDataFrame([(k, v.tobytes()) for k, v in sets.items()], "fp binary, items binary")
+    )
+    got = sorted((bytes(r.a), bytes(r.b), r.shared) for r in found.collect())
+    assert got == sorted((a, b, len(np.intersect1d(sets[a], sets[b]))) for a, b in pairs)

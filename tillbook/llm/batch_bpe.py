@@ -1,7 +1,8 @@
 """BPE ids of many texts at once.
 
-Text between white space is looked up whole by a 64-bit hash; what isn't known yet is split into words,
-and the new words of a batch are encoded together: by the trie of ``bpe.Encoder`` (TrieEncoder), or, for
+Text between white space is looked up whole: the chunks of a batch are grouped by a 64-bit hash, compared
+byte by byte within a group, and each group's bytes are the key of what is known. What isn't known yet is split
+into words, and the new words of a batch are encoded together: by the trie of ``bpe.Encoder`` (TrieEncoder), or, for
 uses that need ids only, by merging with numpy, in each step the first of the best pairs of every word
 (BatchEncoder). Texts that hold a special token go through ``bpe.Encoder`` whole.
 """
@@ -17,11 +18,15 @@ from pyspark.sql import types as T
 
 from tillbook.llm.bpe import Encoder, words_of
 from tillbook.llm.common import pieces
-from tillbook.llm.shingles import lowered_words
+from tillbook.llm.shingles import LONG, lowered_words
 
 #: Distinct chunks and words that a worker process keeps; beyond, it starts anew.
 KEPT_CHUNKS = 600_000
 KEPT_WORDS = 600_000
+#: Bytes of the chunks that a worker process keeps; beyond, too, it starts anew.
+KEPT_BYTES = 64 << 20
+#: Bytes that are compared at once.
+COMPARED = 1 << 19
 _NONE = np.iinfo(np.int64).max
 
 
@@ -56,6 +61,29 @@ def _grown(array: np.ndarray, used: int, more: int) -> np.ndarray:
     return out
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all bytes of the spans, one span after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def unlike(buffer: bytes, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The words whose bytes aren't those of word ``other[k]``."""
+    sizes = ends - starts
+    out = sizes != sizes[other]
+    data = np.frombuffer(buffer, np.uint8)
+    check = np.flatnonzero((other != np.arange(len(other))) & ~out)
+    for k in check[sizes[check] > LONG].tolist():
+        out[k] = buffer[starts[k] : ends[k]] != buffer[starts[other[k]] : ends[other[k]]]
+    check = check[sizes[check] <= LONG]
+    cuts = np.searchsorted(np.cumsum(sizes[check]), np.arange(COMPARED, sizes[check].sum() + COMPARED, COMPARED))
+    for part in np.split(check, np.unique(cuts)):
+        if len(part):
+            differ = data[_spans(starts[part], sizes[part])] != data[_spans(starts[other[part]], sizes[part])]
+            if differ.any():
+                out[part] = np.logical_or.reduceat(differ, np.cumsum(sizes[part]) - sizes[part])
+    return np.flatnonzero(out)
+
+
 class BatchEncoder:
     def __init__(self, path: str):
         self.base = Encoder(path)
@@ -69,7 +97,8 @@ class BatchEncoder:
         self._start()
 
     def _start(self) -> None:
-        self._chunk_at: dict[int, int] = {}
+        self._chunk_at: dict[bytes, int] = {}
+        self._chunk_bytes = 0
         self._chunk_ids, self._word_ids = Slices(), Slices()
         # the break between chunks is a word without ids
         self._word_at: dict[str, int] = {"\n": 0}
@@ -118,9 +147,9 @@ class BatchEncoder:
         order = np.argsort(owners, kind="stable")
         return ids[order].astype(np.uint32), np.bincount(owners, minlength=len(words))
 
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         """Look up the ids of new chunks, after those of their new words."""
-        words, known = words_of("\n".join(chunks)), self._word_at
+        words, known = words_of(b"\n".join(chunks).decode()), self._word_at
         new = [*dict.fromkeys([w for w in words if w not in known])]
         if new:
             known |= zip(new, range(self._word_ids.count, self._word_ids.count + len(new)))
@@ -128,22 +157,26 @@ class BatchEncoder:
         which = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         ids, sizes = self._word_ids.of(which)
         ends = np.r_[np.cumsum(sizes)[which == 0], len(ids)]
-        self._chunk_at |= zip(hashes, range(self._chunk_ids.count, self._chunk_ids.count + len(chunks)))
+        self._chunk_bytes += sum(map(len, chunks))
+        self._chunk_at |= zip(chunks, range(self._chunk_ids.count, self._chunk_ids.count + len(chunks)))
         self._chunk_ids.add(ids, np.diff(np.r_[0, ends]))
 
     def _looked_up(self, texts: list[bytes]):
         """For each group of texts the place of each chunk and the number of chunks before each text."""
         for buffer, starts, ends, hashes, borders in lowered_words(texts):
-            distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self._chunk_at) + len(distinct) > KEPT_CHUNKS or len(self._word_at) > KEPT_WORDS:
+            _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+            wrong = unlike(buffer, starts, ends, first[which])
+            if len(wrong):  # other words with the same hash: each is looked up by itself
+                which[wrong] = len(first) + np.arange(len(wrong))
+                first = np.r_[first, wrong]
+            if len(self._chunk_at) + len(first) > KEPT_CHUNKS or len(self._word_at) > KEPT_WORDS or self._chunk_bytes > KEPT_BYTES:
                 self._start()
-            found, next_ = self._chunk_at.get, self._chunk_ids.count
-            at = np.array([found(key, -1) for key in distinct.tolist()], np.int64)
-            new = np.flatnonzero(at < 0)
-            if len(new):
-                spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-                self._learn(distinct[new].tolist(), [buffer[a:b].decode() for a, b in spans])
-                at[new] = next_ + np.arange(len(new))
+            chunks = [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            known = self._chunk_at
+            new = [*dict.fromkeys([c for c in chunks if c not in known])]
+            if new:
+                self._learn(new)
+            at = np.array([known[c] for c in chunks], np.int64)
             yield at[which], borders
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
@@ -171,9 +204,9 @@ class TrieEncoder(BatchEncoder):
         ids = [found[w] for w in words]
         return np.frombuffer(b"".join(ids), np.uint32), np.array([len(i) // 4 for i in ids], np.int64)
 
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         known = self._chunk_ids.count
-        super()._learn(hashes, chunks)
+        super()._learn(chunks)
         ids, sizes = self._chunk_ids.of(np.arange(known, self._chunk_ids.count))
         tokens = list(map(self.base.tokens.__getitem__, ids.tolist()))
         ends = np.cumsum(sizes).tolist()

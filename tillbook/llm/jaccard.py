@@ -8,14 +8,17 @@ that the threshold leaves beyond the shared part), so the product only runs over
 - A light column (few rows) contributes all its pairs.
 - A heavy column would contribute pairs with the square of its rows. Instead each row meets the
   column's pivot, the row with most of its leading columns among the heavy ones. Rows that link to the
-  pivot are in one component, and links inside it can't change the components. Only the others meet
-  the rest of the column, and only across components.
+  pivot are in one component, and links inside it can't change the components.
+- Heavy columns with rows that don't link to their pivot are taken up again, with exact counts of all
+  columns of their rows, see ``_across``: pairs that share a column of few rows come from such a column,
+  all others share heavy columns alone, so rows with the same heavy columns are one row of a smaller
+  incidence, in which the sizes alone decide who links.
 
 The product accumulates how many leading columns a pair shares. Pairs are dropped by bounds from sizes:
 those of the two sets; the shared leading columns, as all else that is shared lies behind the leading
 columns of one set; and the parities of the sets' sizes in each of 1,024 hash classes, as two sets differ
-by at least the number of classes whose parities differ. The rest is counted exactly.
-Blocks are shuffle partitions; the joins are plain sort-merge joins that Spark can split at hot keys.
+by at least the number of classes whose parities differ. What is left is multiplied out exactly, block by
+block: one row against up to BLOCK_PAIRS others, which it is shipped for once.
 """
 
 import hashlib
@@ -24,23 +27,29 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.llm.common import pieces, written
 from tillbook.llm.graph import components
-from tillbook.llm.shingles import shingle_sets
+from tillbook.llm.shingles import draw_base, shingle_sets
+from tillbook.llm.spread import attached
 
 #: Rows of a column that still contributes all pairs: its pairs stay below 8 for each of its rows.
 LIGHT = 16
+#: How much more rows a light column may have in each further incidence of ``_across``.
+GROWTH = 8
+#: Pairs of one row that are multiplied out in one block.
+BLOCK_PAIRS = 256
 #: Buckets in which columns are counted to order them: 2 MB on the driver and each worker.
 BUCKET_BITS = 18
 _CHUNK = 4096
 #: Hash classes whose parities are kept, 64 in a column.
 CLASSES = 1024
-#: Buckets of the filter that says which sets a pass over the texts must give back: 128 KB.
-WANTED = 1 << 20
+#: Buckets of the filters that spare sets and texts a shuffle: what passes by chance is sorted out by joins.
+FILTER = 1 << 23
+DROPPED_BUCKETS = 1 << 20
 _PARITIES = [f"p{i}" for i in range(CLASSES // 64)]
 
 
@@ -62,14 +71,14 @@ def _parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _sets(batches, width: int):
+def _sets(batches, width: int, base: int):
     """(ids, fingerprints, sets) of small pieces; texts are read as bytes."""
     for piece in pieces(batches):
-        sets = list(shingle_sets(piece.column(1).cast(pa.binary()).to_pylist(), width))
+        sets = list(shingle_sets(piece.column(1).cast(pa.binary()).to_pylist(), width, base))
         yield piece.column(0).to_pylist(), [_print(s) if len(s) else None for s in sets], sets
 
 
-def _described(documents: DataFrame, width: int) -> DataFrame:
+def _described(documents: DataFrame, width: int, base: int) -> DataFrame:
     """A row per document, and rows with the task's column counts."""
     schema = "doc_id long, n long, fp binary, key long, chunk int, counts binary, " + ", ".join(f"{c} long" for c in _PARITIES)
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * len(_PARITIES)]
@@ -77,7 +86,7 @@ def _described(documents: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        for ids, prints, sets in _sets(batches, width):
+        for ids, prints, sets in _sets(batches, width, base):
             counts += np.bincount(_column_bucket(np.concatenate(sets)), minlength=len(counts))
             parities = np.array([_parities(s) for s in sets])
             none = [None] * len(ids)
@@ -114,13 +123,13 @@ def _column_loads(described: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _postings(documents: DataFrame, width: int, percent: int, loads: np.ndarray) -> DataFrame:
+def _postings(documents: DataFrame, width: int, base: int, percent: int, loads: np.ndarray) -> DataFrame:
     """(column, key) for the leading columns of every set."""
     shared = documents.sparkSession.sparkContext.broadcast(loads)
 
     def run(batches):
         order = shared.value
-        for _, prints, sets in _sets(batches, width):
+        for _, prints, sets in _sets(batches, width, base):
             columns, keys = [], []
             for fingerprint, hashes in zip(prints, sets):
                 if fingerprint:
@@ -136,52 +145,181 @@ def _postings(documents: DataFrame, width: int, percent: int, loads: np.ndarray)
     return documents.mapInArrow(run, "col long, key long")
 
 
-def _wanted_sets(documents: DataFrame, width: int, pairs: DataFrame, repeated: bool) -> DataFrame:
-    """(fp, items) of the sets in ``pairs``, and of a few more that share a bucket with one. A set comes from
-    the row with its smallest doc_id; with ``repeated`` rows the same one may come often."""
-    rows = pairs.select(F.col("a_key").alias("key"), F.col("a_id").alias("id")).union(pairs.select("b_key", "b_id"))
-    bucket = F.pmod(F.col("key").bitwiseXOR(F.coalesce("id", F.lit(0))), F.lit(WANTED)) + 1
-    maps = rows.select(bucket.alias("x")).groupBy(F.bitmap_bucket_number("x")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")))
-    bits = np.zeros(WANTED, bool)
-    for number, bitmap in maps.collect():
-        part = np.unpackbits(np.frombuffer(bytes(bitmap), np.uint8), bitorder="little").astype(bool)
-        bits[(number - 1) * len(part) : number * len(part)] = part[: WANTED - (number - 1) * len(part)]
+def _wanted_sets(documents: DataFrame, width: int, base: int, wanted: DataFrame) -> DataFrame:
+    """(fp, items) of the sets in ``wanted`` (fp, key, id), each once: from a row with its smallest doc_id. A filter
+    keeps most others out of the shuffle, and the join what passes it by chance."""
+    wanted = written(wanted.distinct(), "wanted")
+    bucket = F.pmod(F.col("key").bitwiseXOR(F.coalesce("id", F.lit(0))), F.lit(FILTER)) + 1
+    maps = wanted.select(bucket.alias("x")).groupBy(F.bitmap_bucket_number("x")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")))
+    bits = np.zeros(FILTER // 8, np.uint8)
+    for number, bitmap in maps.collect():  # FILTER bits in all
+        bits[(number - 1) * len(bitmap) : number * len(bitmap)] = np.frombuffer(bytes(bitmap), np.uint8)[: len(bits) - (number - 1) * len(bitmap)]
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
-        wanted = shared.value
-        for ids, prints, sets in _sets(batches, width):
-            out = [
-                (p, s.tobytes()) for i, p, s in zip(ids, prints, sets) if p and wanted[(_key(p) ^ (i or 0)) % WANTED]
-            ]
+        filter_ = shared.value
+        for ids, prints, sets in _sets(batches, width, base):
+            places = [p and (_key(p) ^ (i or 0)) % FILTER for i, p in zip(ids, prints)]
+            out = [(p, i, s.tobytes()) for p, i, s, at in zip(prints, ids, sets, places) if p and filter_[at >> 3] >> (at & 7) & 1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in out], pa.binary()), pa.array([s for _, s in out], pa.binary())], names=["fp", "items"]
+                [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], names=["fp", "id", "items"]
             )
 
-    sets = documents.mapInArrow(run, "fp binary, items binary")
-    return sets.dropDuplicates(["fp"]) if repeated else sets
+    sets = documents.mapInArrow(run, "fp binary, id long, items binary").alias("s")
+    known = wanted.select("fp", "id").alias("w")
+    found = sets.join(known, (F.col("s.fp") == F.col("w.fp")) & F.col("s.id").eqNullSafe(F.col("w.id")), "left_semi")
+    return found.dropDuplicates(["fp"]).select("fp", "items")
 
 
-def _linked(documents: DataFrame, width: int, percent: int, pairs: DataFrame, repeated: bool) -> DataFrame:
-    """The pairs (a, b of fingerprints) whose counted overlap reaches the threshold."""
-    sets = written(_wanted_sets(documents, width, pairs, repeated), "sets")
-    both = (
-        pairs.select("a", "b")
-        .join(sets.select(F.col("fp").alias("b"), F.col("items").alias("b_items")), "b")
-        .join(sets.select(F.col("fp").alias("a"), F.col("items").alias("a_items")), "a")
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, shared) for ``pairs`` (a, b, each once) of rows of ``sets`` (fp, items: sorted 64-bit numbers).
+
+    Of each pair the row that has more pairs is the first; it goes to blocks of about BLOCK_PAIRS of its pairs, so
+    that no task gets all pairs of one row. A block is a product of one row with others.
+    """
+    degrees = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).groupBy("fp").agg(F.count("*").alias("n"))
+    degrees = written(degrees.where("n > 1"), "degrees")
+
+    def degree(side: str) -> DataFrame:
+        return degrees.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"))
+
+    counts = degrees.withColumnRenamed("fp", "a")
+    turned = attached(pairs, degree("a"), ["a"], counts)
+    turned = attached(turned, degree("b"), ["b"], degrees.withColumnRenamed("fp", "b")).fillna(1, ["n_a", "n_b"])
+    first = F.col("n_a") >= F.col("n_b")
+    turned = turned.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("y"),
+        F.greatest("n_a", "n_b").alias("n"), first.alias("kept"),
     )
+    block = F.when(F.col("n") > BLOCK_PAIRS, F.pmod(F.xxhash64("y"), F.ceil(F.col("n") / BLOCK_PAIRS))).otherwise(0).cast("long")
+    turned = written(turned.select("x", "y", "kept", block.alias("block")), "turned")
+    heads = turned.select("x", "block").distinct().join(sets.select(F.col("fp").alias("x"), "items"), "x")
+    heads = heads.select("x", "block", F.lit(None).cast("binary").alias("y"), F.lit(None).cast("boolean").alias("kept"), "items")
+    others = turned.join(sets.select(F.col("fp").alias("y"), "items"), "y").select("x", "block", "y", "kept", "items")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("shared", pa.int64())])
 
     def run(batches):
+        row = np.empty(0, np.uint64)
         for piece in pieces(batches):
-            a, b, a_items, b_items = (piece.column(n) for n in ("a", "b", "a_items", "b_items"))
-            keep = []
-            for left, right in zip(a_items, b_items):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            x, y, kept = (piece.column(n).to_pylist() for n in ("x", "y", "kept"))
+            items = [np.frombuffer(v.as_buffer(), np.uint64) for v in piece.column("items")]
+            borders = [k for k in range(len(y)) if y[k] is None] + [len(y)]
+            for start, end in zip([0, *[k + 1 for k in borders[:-1]]], borders):
+                block = items[start:end]
+                if block:
+                    columns = np.concatenate(block)
+                    at = np.minimum(np.searchsorted(row, columns), len(row) - 1)
+                    owner = np.repeat(np.arange(len(block)), [len(b) for b in block])
+                    shared = np.bincount(owner, row[at] == columns, len(block)).astype(np.int64).tolist()
+                    out += [(i, j, n) if k else (j, i, n) for i, j, k, n in zip(x[start:end], y[start:end], kept[start:end], shared)]
+                if end < len(y):
+                    row = items[end].copy()
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
+
+    both = heads.unionByName(others).repartition("x", "block").sortWithinPartitions("x", "block", "y")
+    return both.mapInArrow(run, "a binary, b binary, shared long")
+
+
+def _linked(documents: DataFrame, width: int, base: int, percent: int, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b of fingerprints) whose overlap reaches the threshold; ``pairs`` has keys, ids and sizes too."""
+    sides = [pairs.select(F.col(s).alias("fp"), F.col(f"{s}_key").alias("key"), F.col(f"{s}_id").alias("id")) for s in "ab"]
+    sets = written(_wanted_sets(documents, width, base, sides[0].unionAll(sides[1])), "sets")
+    found = written(overlaps(pairs.select("a", "b"), sets), "overlaps")
+    reached = 100 * F.col("shared") >= percent * (F.col("a_n") + F.col("b_n") - F.col("shared"))
+    return pairs.join(found, ["a", "b"]).where(reached).select("a", "b")
+
+
+def _exploded(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """A row with ``keep`` and col for each item of each row."""
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("col", T.LongType())])
+    names = schema.names
+
+    def run(batches):
+        for piece in pieces(batches, 16):
+            items = [np.frombuffer(v.as_buffer(), np.int64) for v in piece.column("items")]
+            at = pa.array(np.repeat(np.arange(len(items)), [len(i) for i in items]))
+            yield pa.RecordBatch.from_arrays([*[piece.column(c).take(at) for c in names[:-1]], pa.array(np.concatenate(items))], names=names)
 
-    return both.select("a", "b", "a_items", "b_items").mapInArrow(run, "a binary, b binary")
+    return rows.select(*keep, "items").mapInArrow(run, schema)
+
+
+def _with_items(rows: DataFrame) -> DataFrame:
+    """``rows`` with the array ``cols`` as ``items``, the way sets are kept."""
+    kept = [f for f in rows.schema.fields if f.name != "cols"]
+    names = [f.name for f in kept]
+
+    def run(batches):
+        for piece in pieces(batches):
+            items = [np.sort(v.values.to_numpy().view(np.uint64)).tobytes() for v in piece.column("cols")]
+            yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], pa.array(items, pa.binary())], names=[*names, "items"])
+
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("items", T.BinaryType())]))
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame | None:
+    """(a, b) links that join the components of ``rows`` (fp, n, label, items), as far as pairs of rows that reach
+    the threshold have other labels. Not all such pairs, but enough for the components.
+
+    Columns are ordered by their exact counts, rare ones first. The first column that two linking rows share is among
+    the leading ones of both. If few rows have it, the pair comes from it. Else all they share is in many rows;
+    what a row has of such columns is its core, and the overlap of two such rows that of their cores. So rows
+    with one core are one row of the next incidence, with the size of the smallest, and the smallest links
+    to all that it may link to by size. There, what few and many means grows by GROWTH.
+    """
+
+    def needed(n: Column) -> Column:
+        return F.ceil(percent * n / 100)
+
+    def links(of: Column) -> Column:
+        """The most that two sizes may add up to with an overlap."""
+        return F.floor(of * (100 + percent) / percent)
+
+    mixed = "not (lo = hi and other_lo = other_hi and lo = other_lo)"
+    members = rows.select(F.col("fp").alias("core"), "fp", "n")
+    label = F.xxhash64("label")
+    cores = rows.select(
+        F.col("fp").alias("core"), F.col("n").cast("int").alias("size"), F.col("n").alias("least"), F.col("fp").alias("first"), label.alias("lo"), label.alias("hi"), "items"
+    )
+    out: list[DataFrame] = []
+    few = LIGHT
+    while True:
+        cores = written(cores, "cores")
+        about = cores.drop("items")
+        columns = written(_exploded(cores, ["core", "size", "least", "first", "lo", "hi"]), "core_columns")
+        counts = written(columns.groupBy("col").agg(F.count("*").alias("n"), (F.min("lo") < F.max("hi")).alias("crosses")), "core_counts")
+        counted = written(attached(columns, counts.where("n > 1").withColumnRenamed("n", "rows"), ["col"], counts).fillna(1, ["rows"]), "counted")
+        place = F.row_number().over(Window.partitionBy("core").orderBy("rows", "col"))
+        leading = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - needed(F.col("least")) + 1)
+        leading = leading.where((F.col("rows") > 1) & (F.col("rows") <= few) & F.col("crosses")).select("col", "core", "lo", "hi", "size", "least")
+        other = leading.select("col", *[F.col(c).alias(f"other_{c}") for c in leading.columns if c != "col"])
+        most = F.least("size", "other_size")
+        pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(most) >= F.col("least") + F.col("other_least"))
+        pairs = written(pairs.select(F.col("core").alias("a"), F.col("other_core").alias("b")).distinct(), "core_pairs")
+        if not pairs.isEmpty():
+            shared = written(overlaps(pairs, cores.select(F.col("core").alias("fp"), "items")), "core_overlaps")
+            for near, far in (("a", "b"), ("b", "a")):
+                starred = shared.join(about.select(F.col("core").alias(near), "first", "least"), near)
+                starred = starred.join(members.select(F.col("core").alias(far), "fp", F.col("n").alias("size")), far)
+                out.append(starred.where(F.col("least") + F.col("size") <= links(F.col("shared"))).select(F.col("first").alias("a"), F.col("fp").alias("b")))
+        heavy = counted.where(F.col("rows") > few)
+        core = F.sort_array(F.collect_list("col")).alias("cols")
+        smaller = heavy.groupBy("core").agg(core, *[F.first(c).alias(c) for c in ("least", "first", "lo", "hi")]).where(F.size("cols") >= needed(F.col("least")))
+        smaller = written(smaller.withColumn("next", F.unhex(F.sha2(F.concat_ws(",", F.col("cols").cast("array<string>")), 256))), "smaller_cores")
+        best = F.min(F.struct("least", "first"))
+        merged = smaller.groupBy("next").agg(F.first("cols").alias("cols"), best.alias("best"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        merged = written(
+            merged.select(F.col("next").alias("core"), "cols", F.size("cols").alias("size"), "best.least", "best.first", "lo", "hi"), "merged_cores"
+        )
+        members = attached(members, smaller.select("core", "next"), ["core"]).where("next is not null").select(F.col("next").alias("core"), "fp", "n")
+        members = written(attached(members, merged.select("core", "size"), ["core"]).where(F.col("size") >= needed(F.col("n"))).drop("size"), "core_members")
+        inside = attached(members, merged.where("lo < hi").select("core", "least", "first", "size"), ["core"])
+        out.append(inside.where((F.col("fp") != F.col("first")) & (F.col("least") + F.col("n") <= links(F.col("size")))).select(F.col("first").alias("a"), F.col("fp").alias("b")))
+        if merged.agg(F.min("lo") < F.max("hi")).first()[0] is not True:
+            break
+        cores = _with_items(merged)
+        few *= GROWTH
+    return reduce(DataFrame.unionAll, out).distinct() if out else None
 
 
 def _may_link(x: str, y: str, percent: int, shared: Column) -> Column:
@@ -198,13 +336,16 @@ def _may_link(x: str, y: str, percent: int, shared: Column) -> Column:
 
 
 def _pair_columns() -> list[Column]:
-    return [F.col(f"{s}.{c}").alias(f"{t}{d}") for s, t in (("x", "a"), ("y", "b")) for c, d in (("fp", ""), ("key", "_key"), ("first_id", "_id"))]
+    fields = (("fp", ""), ("key", "_key"), ("first_id", "_id"), ("n", "_n"))
+    return [F.col(f"{s}.{c}").alias(f"{t}{d}") for s, t in (("x", "a"), ("y", "b")) for c, d in fields]
 
 
-def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, fp) and distinct sets (fp, first_id, label); sets with one label are a component."""
+def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """Rows (doc_id, n, fp), distinct sets (fp, first_id, label), and the base of their hashes; sets with one label
+    are a component."""
+    base = draw_base()
     documents = documents.select(F.col("doc_id").cast("long"), "text")
-    described = written(_described(documents, width), "described")
+    described = written(_described(documents, width, base), "described")
     rows = described.where("chunk is null").select("doc_id", "n", "fp")
     info = written(
         described.where("fp is not null").groupBy("fp", "key").agg(
@@ -212,23 +353,24 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         ),
         "distinct_sets",
     )
-    postings = written(_postings(documents, width, percent, _column_loads(described)), "postings")
+    postings = written(_postings(documents, width, base, percent, _column_loads(described)), "postings")
     shared = postings.groupBy("col").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("col")
     hits = written(postings.join(shared, "col").distinct(), "hits")
-    marked = hits.join(hits.groupBy("col").agg(F.count("*").alias("rows")), "col")
+    counts = written(hits.groupBy("col").agg(F.count("*").alias("n")), "hit_counts")
+    marked = attached(hits, counts.withColumnRenamed("n", "rows"), ["col"], counts)
     heavy = written(marked.where(F.col("rows") > LIGHT).select("col", "key"), "heavy")
     light = marked.where(F.col("rows") <= LIGHT).select("col", "key")
     pairs = light.alias("l").join(light.alias("r"), "col").where("l.key < r.key").select(F.col("l.key").alias("x"), F.col("r.key").alias("y"), F.lit(1).alias("shared"))
 
     some_heavy = not heavy.isEmpty()
     if some_heavy:
-        weights = heavy.groupBy("key").agg(F.count("*").alias("weight"))
-        pivots = written(
-            heavy.join(weights, "key").groupBy("col").agg(F.max(F.struct("weight", "key"))["key"].alias("pivot")), "pivots"
-        )
-        stars = heavy.join(pivots, "col").where("key <> pivot")
+        weights = heavy.groupBy("key").agg(F.count("*").alias("h"))
+        weighed = heavy.join(weights, "key")
+        pivots = written(weighed.groupBy("col").agg(F.max(F.struct("h", "key"))["key"].alias("pivot")), "pivots")
+        at_pivot = written(attached(heavy, pivots, ["col"], counts.where(F.col("n") > LIGHT)), "at_pivot")
+        stars = at_pivot.where("key <> pivot")
         pairs = pairs.union(stars.select(F.least("key", "pivot"), F.greatest("key", "pivot"), F.lit(0)))
-        sized = written(info.join(weights.withColumnRenamed("weight", "h"), "key", "left").fillna(0, ["h"]), "sized_sets")
+        sized = written(info.join(weights, "key", "left").fillna(0, ["h"]), "sized_sets")
     else:
         sized = info.withColumn("h", F.lit(0))
     pairs = pairs.groupBy("x", "y").agg(F.sum("shared").alias("shared")).alias("p")
@@ -236,32 +378,24 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         pairs.join(sized.alias("x"), F.col("p.x") == F.col("x.key")).join(sized.alias("y"), F.col("p.y") == F.col("y.key"))
         .where(_may_link("x", "y", percent, F.col("p.shared"))).select(_pair_columns())
     )
-    repeated = not rows.where("fp is not null").groupBy("doc_id", "fp").count().where("count > 1").isEmpty()
-    links = written(_linked(documents, width, percent, written(bounded, "bounded"), repeated), "links")
+    links = written(_linked(documents, width, base, percent, written(bounded, "bounded")), "links")
     labels = components(links)
 
     if some_heavy:
-        label = F.coalesce("label", "fp").alias("label")
-        placed = written(
-            heavy.join(sized, "key").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(*heavy.columns, *[c for c in sized.columns if c != "key"], label),
-            "placed",
-        )
-        at_pivot = placed.join(pivots, "col").where("key = pivot").select("col", F.col("label").alias("pivot_label"))
-        others = placed.join(at_pivot, "col").where("label <> pivot_label").drop("pivot_label")
-        # a pair that shares light columns has been decided, so these count for none here
-        crossing = (
-            others.alias("x").join(placed.alias("y"), F.col("x.col") == F.col("y.col"))
-            .where((F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent, F.lit(0)))
-            .select(_pair_columns())
-        )
-        first = F.col("a") < F.col("b")
-        ordered = [F.when(first, F.col(f"{u}{c}")).otherwise(F.col(f"{v}{c}")).alias(f"{u}{c}") for u, v in ("ab", "ba") for c in ("", "_key", "_id")]
-        rest = written(crossing.select(ordered).distinct(), "crossing")
-        more = written(_linked(documents, width, percent, rest, repeated), "more_links") if not rest.isEmpty() else None
-        if more is not None and not more.isEmpty():
-            labels = components(links.union(more))
-
-    return rows, info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+        placed = info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "key", "first_id", "n", F.coalesce("label", "fp").alias("label"))
+        placed = written(placed, "placed")
+        # a column is settled if all of its rows are in one component
+        label_of = placed.select("key", F.xxhash64("label").alias("label"))
+        open_ = at_pivot.join(label_of, "key").groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("col", F.lit(True).alias("open"))
+        left = attached(heavy, open_, ["col"], counts.where(F.col("n") > LIGHT)).where("open").select("key").distinct()
+        left = written(left.join(placed, "key"), "left")
+        if not left.isEmpty():
+            sets = _wanted_sets(documents, width, base, left.select("fp", "key", F.col("first_id").alias("id")))
+            more = written(_across(left.select("fp", "n", "label").join(sets, "fp"), percent), "more_links")
+            if not more.isEmpty():
+                labels = components(links.union(more))
+
+    return rows, info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), base
 
 
 def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -274,7 +408,7 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
     documents. A null doc_id links like any other and is never a component's smallest, so a component
     of such rows alone has the id null. An empty table gives an empty one; other columns play no part.
     """
-    rows, sets = _labelled(documents, width, percent)
+    rows, sets, _ = _labelled(documents, width, percent)
     smallest = sets.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = sets.join(smallest, "label").select("fp", "component_id")
     return rows.join(found, "fp", "left").select(
@@ -284,23 +418,43 @@ def linked_components(documents: DataFrame, width: int = 4, percent: int = 85) -
 
 def keep_one(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """One document of each component of ``linked_components``, with all its columns: that of the smallest
-    doc_id, and only one of equal rows. Documents with an empty set all stay."""
-    rows, sets = _labelled(documents, width, percent)
+    doc_id, and only one of equal rows. Documents with an empty set all stay.
+
+    Documents whose doc_id shares no bucket with one that goes, or that comes twice, stay as they are; only the
+    others' texts are read again, for their fingerprints, and shuffled to the decision.
+    """
+    rows, sets, base = _labelled(documents, width, percent)
     order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
-    chosen = sets.groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.first_id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
-    mark = next(n for n in ("_fp" + "_" * i for i in range(99)) if n not in documents.columns)
-    at = documents.columns.index("text")
+    chosen = sets.groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.first_id").alias("id"), F.col("first.fp").alias("fp"))
+    chosen = written(chosen, "chosen")
+    keys = rows.where("fp is not null").groupBy("doc_id", "fp").count()
+    met = keys.alias("k").join(chosen.withColumn("stays", F.lit(True)).alias("c"), (F.col("k.fp") == F.col("c.fp")) & F.col("k.doc_id").eqNullSafe(F.col("c.id")), "left")
+    bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(DROPPED_BUCKETS))
+    unclear = met.where("stays is null or count > 1").select(bucket.alias("bucket")).distinct()
+    unclear = written(unclear.withColumn("unclear", F.lit(True)), "unclear_buckets")
+
+    # the documents' own columns go by position, so that no name of theirs can clash
+    own = [f"_{k}" for k in range(len(documents.columns))]
+    plain = documents.toDF(*own)
+    doc_id, text = (F.col(own[documents.columns.index(c)]) for c in ("doc_id", "text"))
+    place = F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(DROPPED_BUCKETS)).alias("bucket")
+    dealt = plain.select("*", place).join(F.broadcast(unclear), "bucket", "left")  # DROPPED_BUCKETS rows at most
+    clear = dealt.where("unclear is null").select(*own)
 
     def run(batches):
         for piece in pieces(batches):
-            sets = shingle_sets(piece.column(at).cast(pa.binary()).to_pylist(), width)
+            sets = shingle_sets(piece.column(1).cast(pa.binary()).to_pylist(), width, base)
             prints = pa.array([_print(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*piece.columns, prints], names=[*piece.schema.names, mark])
-
-    marked = documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(mark, T.BinaryType())]))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col(mark) == F.col("kept_fp"))
-    kept = marked.where(F.col(mark).isNotNull()).join(chosen, same).select(*marked.columns)
-    repeated = rows.where("fp is not null").groupBy("doc_id", "fp").count().where("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", mark])
-    return kept.unionByName(marked.where(F.col(mark).isNull())).select(*documents.columns)
+            yield pa.RecordBatch.from_arrays([piece.column(0), *piece.columns[2:], piece.column(1), prints], names=names)
+
+    rest = [c for c in own if c not in (own[documents.columns.index("doc_id")], own[documents.columns.index("text")])]
+    unsure = dealt.where("unclear").select(doc_id, text, *rest)
+    names = [unsure.columns[0], *rest, unsure.columns[1], "fp"]
+    schema = T.StructType([*[unsure.schema[n] for n in names[:-1]], T.StructField("fp", T.BinaryType())])
+    marked = unsure.mapInArrow(run, schema)
+    same = (F.col("m.fp") == F.col("c.fp")) & F.col(f"m.{names[0]}").cast("long").eqNullSafe(F.col("c.id"))
+    kept = marked.alias("m").join(chosen.alias("c"), same, "left").where("c.fp is not null or m.fp is null").select("m.*")
+    # equal rows of a chosen document: any one of them; a row without fingerprint is alone
+    alone = F.when(F.col("fp").isNull(), F.monotonically_increasing_id())
+    kept = kept.withColumn("alone", alone).dropDuplicates([names[0], "fp", "alone"])
+    return clear.unionByName(kept.select(*own)).toDF(*documents.columns)

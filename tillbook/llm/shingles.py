@@ -1,12 +1,16 @@
 """Word shingles of whole texts as sets of 64-bit hashes, made for many texts at a time with numpy.
 
 Words are the maximal runs of bytes other than space and tab to carriage return, with A-Z lower-cased.
-A word's hash is a polynomial over its bytes modulo 2^64 with a random number for each byte value,
-taken from running sums over the whole buffer. A shingle's hash mixes those of its words in order.
-Two different shingles of a corpus share a hash with a chance of about 2^-60.
+A word's hash is a polynomial over its bytes modulo the prime 2^61 - 1, at a base that is drawn at random
+for each run, so texts can't be made to collide: two different words of at most LONG bytes share a hash for
+LONG bases of 2^61 at most, a chance below 2^-49 (2^-55 up to 64 bytes). Longer words have a BLAKE2 hash with
+the base as its key. A shingle's hash mixes those of its words in order; two different shingles of
+usual words share one with a chance of about 2^-55.
 """
 
+import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,44 +19,68 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _FIRST_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
+#: What a byte adds: blanks nothing, others one more than their value, so that words of other lengths differ.
+_DIGIT = np.where(_BLANK, 0, np.arange(1, 257)).astype(np.uint64)
 #: Bytes hashed at once; a longer text goes in parts that end between words.
 BUFFER = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 3
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Bytes of the longest word that is hashed as a polynomial.
+LONG = 4096
+_PRIME = (1 << 61) - 1
+_P = np.uint64(_PRIME)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def draw_base() -> int:
+    """A random base; one run needs the same in all of its tasks."""
+    return 256 + secrets.randbelow(_PRIME - 512)
+
+
+#: The base of a process whose hashes never leave it.
+_OWN_BASE = draw_base()
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+def _halves(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The low 31 and the high 30 bits of the powers of ``base``."""
+    if base not in _powers:
+        found, power = [], 1
+        for _ in range(LONG):
+            found.append(power)
+            power = power * base % _PRIME
+        if len(_powers) > 8:
+            _powers.clear()
+        _powers[base] = np.array([x & 0x7FFFFFFF for x in found], np.uint64), np.array([x >> 31 for x in found], np.uint64)
+    return _powers[base]
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    if len(_powers[kind]) < n:
-        factors = np.full(max(n, BUFFER), _BASE if kind == "up" else _INVERSE, np.uint64)
-        factors[0] = 1
-        _powers[kind] = np.multiply.accumulate(factors)
-    return _powers[kind][:n]
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _words(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _words(buffer: bytes, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of each word of lower-cased bytes."""
-    if not buffer:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     data = np.frombuffer(buffer, np.uint8)
     blank = np.concatenate(([True], _BLANK[data], [True]))
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edges[::2], edges[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _power("up", len(data)), dtype=np.uint64)))
-    hashes = (sums[ends] - sums[starts]) * _power("down", len(data))[starts] if len(starts) else np.empty(0, np.uint64)
-    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64))
-
-
-def _long_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not len(starts):
+        return starts, ends, np.empty(0, np.uint64)
+    first = int(starts[0])
+    place = np.arange(first, len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.diff(starts, append=len(data)))
+    digits = _DIGIT[data[first:]]
+    # the sums of a word's digits with either half of the powers stay below 2^52
+    low, high = (np.add.reduceat(digits * np.take(half, place, mode="clip"), starts - first) for half in _halves(base))
+    value = low + (high >> np.uint64(30)) + ((high & np.uint64((1 << 30) - 1)) << np.uint64(31))
+    value = (value & _P) + (value >> np.uint64(61))
+    hashes = mix(np.where(value >= _P, value - _P, value))
+    for k in np.flatnonzero(ends - starts > LONG):
+        word = hashlib.blake2b(buffer[starts[k] : ends[k]], digest_size=8, key=base.to_bytes(8, "little"))
+        hashes[k] = int.from_bytes(word.digest(), "little")
+    return starts, ends, hashes
+
+
+def _long_words(text: bytes, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``_words`` of a long text, in parts that end at white space."""
     found, at = [], 0
     while at < len(text):
@@ -60,13 +88,13 @@ def _long_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if end < len(text):
             blank = _FIRST_BLANK.search(text, end)
             end = blank.start() if blank else len(text)
-        starts, ends, hashes = _words(text[at:end])
+        starts, ends, hashes = _words(text[at:end], base)
         found.append((starts + at, ends + at, hashes))
         at = end
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def lowered_words(texts: list[bytes | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def lowered_words(texts: list[bytes | None], base: int = _OWN_BASE) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """The texts in groups of bounded size: the group's bytes with A-Z lower-cased, each word's start, end
     and hash, and the number of words before each text and after the last."""
     at = 0
@@ -77,7 +105,7 @@ def lowered_words(texts: list[bytes | None]) -> Iterator[tuple[bytes, np.ndarray
             end += 1
         group = [(t or b"").translate(_LOWER) for t in texts[at:end]]
         buffer = b"\n".join(group)
-        starts, ends, hashes = _words(buffer) if len(buffer) <= 2 * BUFFER else _long_words(buffer)
+        starts, ends, hashes = _words(buffer, base) if len(buffer) <= 2 * BUFFER else _long_words(buffer, base)
         yield buffer, starts, ends, hashes, np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in group]))
         at = end
 
@@ -95,10 +123,10 @@ def _set_of(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(_rolled(words, min(width, len(words)))) if len(words) else np.empty(0, np.uint64)
 
 
-def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], width: int, base: int = _OWN_BASE) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``width`` words; a text of fewer
     words has one shingle of all, one without words and a null text have none."""
-    for _, _, _, words, borders in lowered_words(texts):
+    for _, _, _, words, borders in lowered_words(texts, base):
         rolled = _rolled(words, width) if len(words) >= width else None
         for first, last in zip(borders.tolist(), borders[1:].tolist()):
             if last - first >= width:

@@ -68,11 +68,18 @@ def attached(rows: DataFrame, lookup: DataFrame, keys: list[str], counts: DataFr
     values = [c for c in lookup.columns if c not in keys]
     if counts is None:
         counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n"))
-    limit = max(HOT_ROWS, -(-rows.count() // HOT_SHARE))
-    hot = counts.where(F.col("n") > limit).select(*keys).join(lookup, keys, "left")
-    hot = written(hot.select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]), "hot_keys")
-    found = rows.join(F.broadcast(hot), keys, "left")
-    alone = reduce(Column.__or__, [F.col(k).isNull() for k in keys], F.coalesce("_hot", F.lit(False)))
-    found = found.withColumn("_own", F.when(alone, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)).cast("long"))
-    found = found.join(lookup.withColumn("_own", F.lit(0).cast("long")), [*keys, "_own"], "left")
-    return found.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values])
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(HOT_ROWS, -(-(total or 0) // HOT_SHARE))
+    alone = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    if some_hot := (most or 0) > limit:
+        hot = counts.where(F.col("n") > limit).select(*keys).join(lookup, keys, "left")
+        hot = written(hot.select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]), "hot_keys")
+        rows, columns = rows.join(F.broadcast(hot), keys, "left"), rows.columns
+        alone |= F.coalesce("_hot", F.lit(False))
+    else:
+        columns = rows.columns
+    spread = rows.withColumn("_own", F.when(alone, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)).cast("long"))
+    found = spread.join(lookup.withColumn("_own", F.lit(0).cast("long")), [*keys, "_own"], "left")
+    if not some_hot:
+        return found.select(*columns, *values)
+    return found.select(*columns, *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values])
