@@ -150,3 +150,83 @@ def test_every_back_edge_is_weighed(monkeypatch):
     monkeypatch.setattr(ann, "robust_prune", spied)
     ann.build(units)
     assert not due and most[0] > 2 * ann.DEGREE
+
+
+@pytest.mark.parametrize("dims", [1, 16, 64, 300])
+@pytest.mark.parametrize("scale", [1.0, 1e3, 1e5, 1e6])
+def test_shards_are_exact_at_every_scale(dims, scale):
+    """Equal to whole-number products of all rows, ties included."""
+    random = np.random.default_rng(dims)
+    rows = np.floor(64 * scale * random.normal(size=(1500, dims)))
+    rows[700:720] = rows[5]
+    rows[:, dims // 2] = 3
+    shard = topk.Shard(np.arange(1500) * 3, rows)
+    whole = rows.astype(np.int64)
+    for q in [*range(0, 40), 705]:
+        scores = whole @ whole[q]
+        order = [int(i) for i in np.lexsort((np.arange(1500), -scores)) if i != q][:20]
+        ids, found, _ = shard.search(rows[q], 3 * q, 20)
+        assert ids.tolist() == [3 * i for i in order] and found.tolist() == scores[order].tolist()
+
+
+def test_scores_beyond_doubles_and_longs():
+    random = np.random.default_rng(1)
+    for scale in (2.0**27, 2.0**29, 2.0**45, 2.0**61):
+        rows = np.floor(scale * random.uniform(-1, 1, size=(300, 3)))
+        shard = topk.Shard(np.arange(300), rows)
+        for q in range(10):
+            exact_ = [min(max(sum(int(a) * int(b) for a, b in zip(row, rows[q])), -(2**63)), 2**63 - 1) for row in rows]
+            order = sorted((i for i in range(300) if i != q), key=lambda i: (-exact_[i], i))[:7]
+            ids, found, _ = shard.search(rows[q], q, 7)
+            assert ids.tolist() == order and found.tolist() == [exact_[i] for i in order]
+
+
+def test_postings_rule_out_most_rows():
+    """Near rows are proven to be the best before most of the postings are processed."""
+    rows = np.floor(64 * clustered(4000, 32, 7).astype(float))
+    shard = topk.Shard(np.arange(4000), rows)
+    scored = [shard.search(rows[q], q, 20)[2] for q in range(0, 4000, 100)]
+    assert max(scored) <= topk.POSSIBLE * 4000
+
+
+def recall_of(rows, k=5, step=17):
+    """Recall of every step-th row's nearest by a single graph, by row."""
+    units = ann._unit(rows)
+    graph, entries = ann.build(units)
+    assert ann.reached(graph, entries).all()
+    asked = np.arange(0, len(rows), step)
+    met, _ = ann.beam_search(units, graph, entries, units[asked], ann.QUERY_BEAM)
+    exact_units = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    scores = exact_units[asked] @ exact_units.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    truth = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    # what a search meets is scored in double precision
+    got = [sorted((v for v in row if v >= 0 and v != q), key=lambda v: -of[v])[:k] for row, q, of in zip(met.tolist(), asked.tolist(), scores)]
+    return asked, np.array([len(set(a) & set(b)) / k for a, b in zip(got, truth.tolist())])
+
+
+@pytest.mark.parametrize("share, spread", [(0.5, 0.002), (0.5, 0.02), (0.5, 0.2), (0.9, 0.02), (0.9, 0.2)])
+def test_recall_inside_and_outside_a_dense_cluster(share, spread):
+    random = np.random.default_rng(int(spread * 1000))
+    n, dims = 4096, 64
+    inside = random.random(n) < share
+    rows = np.where(inside[:, None], random.normal(size=dims) + spread * random.normal(size=(n, dims)), random.normal(size=(n, dims)))
+    asked, recall = recall_of(rows)
+    assert recall[inside[asked]].mean() >= 0.95
+    assert recall[~inside[asked]].mean() >= 0.95
+
+
+def test_lost_nodes_are_tied_to_near_ones():
+    random = np.random.default_rng(5)
+    units = ann._unit(random.normal(size=(400, 12)))
+    graph = np.full((400, ann.DEGREE), -1, np.int64)
+    graph[:200, 0] = np.roll(np.arange(200), 1)
+    tied, entries = ann._tied(units, graph, np.array([0]))
+    assert ann.reached(tied, entries).all() and (tied[:, : ann.DEGREE] == graph).all()
+
+
+def test_scores_of_extreme_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    found = ann.search(ann.build_index(df, 5), df.where("vec_id = 0"), 5).orderBy("rank").collect()
+    assert [(r.vec_id, round(r.score, 12)) for r in found] == [(2, 1.0), (3, 1.0), (1, round(math.sqrt(0.5), 12))]

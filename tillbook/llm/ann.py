@@ -3,8 +3,13 @@
 Rows are dealt to shards, each with its own graph over unit vectors. Nodes join in batches: a greedy
 beam search over the graph so far proposes a node's neighbours, and relaxed pruning keeps the nearest
 of them and those that no kept one is much closer to, so edges point in diverse directions. Edges are
-also laid back, and pruned again where a node has too many. A query runs a beam search in every shard
-and scores what it found in double precision on the original vectors.
+also laid back, and pruned again where a node has too many. At the end nodes that no path leads to are
+tied to a near one that can be reached. A query runs a beam search in every shard and scores what it found
+in double precision on the original vectors.
+
+Searches start from nodes that are spread by distance, each the farthest from those before it. A dense cluster
+gets few of them, and what lies outside many: such a search would otherwise fill its beam with the cluster,
+whose nodes are alike in their distance, before it meets a neighbour outside.
 """
 
 import zlib
@@ -17,12 +22,22 @@ from pyspark.sql import functions as F
 from tillbook.llm.common import pieces, written
 from tillbook.llm.vectors import against_all, blocks, ranked, same_width, unpacked, usable
 
-SHARD_ROWS = 4096
+#: Rows of a shard: as many as make SHARDS shards, within these bounds. The upper one is what a task of a few GB holds.
+LEAST_SHARD_ROWS, SHARD_ROWS = 4096, 1 << 17
+SHARDS = 64
 BLOCK_ROWS = 512
+#: Tasks that the blocks of queries of one shard are dealt to.
+COPIES = 1
 DEGREE = 32
+#: Further edges of a node, to nodes that nothing else leads to.
+TIES = 4
+#: Nodes to start from.
+ENTRIES = 512
 #: Candidates that a search keeps while building, and while answering.
 BUILD_BEAM = 48
 QUERY_BEAM = 128
+#: Searches answered at once.
+SEARCHES = 256
 #: A candidate goes if a kept neighbour is this many times closer to it than the node is.
 RELAXED = 1.2
 #: Nodes that join the graph at once, at most; they don't see each other.
@@ -40,9 +55,9 @@ def beam_search(units: np.ndarray, graph: np.ndarray, entries: np.ndarray, asked
     n, q = len(units), len(asked)
     ids = np.full((q, width), -1, np.int64)
     far = np.full((q, width), np.inf, np.float32)
-    entries = entries[:width]
-    ids[:, : len(entries)] = entries
-    far[:, : len(entries)] = _squared(asked, np.broadcast_to(units[entries], (q, len(entries), units.shape[1])))
+    away = 2 - 2 * (asked @ units[entries].T)
+    first = np.argpartition(away, width - 1, axis=1)[:, :width] if len(entries) > width else np.broadcast_to(np.arange(len(entries)), away.shape)
+    ids[:, : first.shape[1]], far[:, : first.shape[1]] = entries[first], np.take_along_axis(away, first, axis=1)
     known = np.zeros((q, n), bool)
     known[:, entries] = True
     expanded = np.zeros((q, width), bool)
@@ -96,14 +111,60 @@ def robust_prune(units: np.ndarray, nodes: np.ndarray, candidates: np.ndarray) -
     return out
 
 
+def spread_nodes(units: np.ndarray, count: int) -> np.ndarray:
+    """Nodes each of which is the farthest from those before it."""
+    found = [0]
+    nearest = np.full(len(units), np.inf, np.float32)
+    for _ in range(min(count, len(units)) - 1):
+        nearest = np.minimum(nearest, 2 - 2 * (units @ units[found[-1]]))
+        nearest[found[-1]] = -1
+        found.append(int(nearest.argmax()))
+    return np.array(found, np.int64)
+
+
+def reached(graph: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """Whether a path leads from the entries to each node."""
+    seen = np.zeros(len(graph), bool)
+    seen[entries] = True
+    while len(entries):
+        near = np.unique(graph[entries])
+        entries = near[(near >= 0) & ~seen[near]]
+        seen[entries] = True
+    return seen
+
+
+def _tied(units: np.ndarray, graph: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The graph with ties to nodes that couldn't be reached, from near ones that can; those for which no near one has a
+    tie left are entries too."""
+    graph = np.c_[graph, np.full((len(graph), TIES), -1, np.int64)]
+    while len(lost := np.flatnonzero(~reached(graph, entries))):
+        open_ = lost
+        for at in range(0, len(lost), SEARCHES):
+            part = lost[at : at + SEARCHES]
+            met, _ = beam_search(units, graph, entries, units[part], BUILD_BEAM)
+            for node, near in zip(part.tolist(), met.tolist()):
+                for other in near:
+                    free = np.flatnonzero(graph[other, DEGREE:] < 0) if other >= 0 else ()
+                    if len(free):
+                        graph[other, DEGREE + free[0]] = node
+                        open_ = open_[open_ != node]
+                        break
+        if len(open_):
+            entries = np.r_[entries, open_]
+    return graph, entries
+
+
 def build(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Graph (a row of DEGREE neighbours for each node, -1 for none) and the nodes to start from."""
+    """Graph (a row of DEGREE + TIES neighbours for each node, -1 for none) and the nodes to start from. Every node
+    can be reached from these."""
     n = len(units)
     graph = np.full((n, DEGREE), -1, np.int64)
+    entries = spread_nodes(units, ENTRIES)
     order = np.random.default_rng(8).permutation(n)
-    first = order[: min(n, 4 * DEGREE)]
-    graph[first] = robust_prune(units, first, np.broadcast_to(first, (len(first), len(first))).copy())
-    entries = first[:16]
+    order = np.r_[entries, order[~np.isin(order, entries)]]
+    first = order[: max(len(entries), min(n, 4 * DEGREE))]
+    near = np.argsort(-(units[first] @ units[first].T), axis=1, kind="stable")[:, : 4 * DEGREE]
+    graph[first] = robust_prune(units, first, first[near])
     joined = len(first)
     while joined < n:
         batch = order[joined : joined + min(BATCH, joined)]
@@ -128,13 +189,18 @@ def build(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 part, some = slice(at, at + BATCH), targets[more[at : at + BATCH]]
                 graph[some] = robust_prune(units, some, np.concatenate((graph[some], extra[part]), axis=1))
         joined += len(batch)
-    return graph, entries
+    return _tied(units, graph, entries)
+
+
+def _lengths(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows by powers of two, so that squares neither overflow nor vanish, and the lengths of these."""
+    matrix = np.ldexp(matrix, -np.frexp(np.abs(matrix).max(axis=1, keepdims=True))[1])
+    return matrix, np.sqrt((matrix * matrix).sum(axis=1))
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
-    # the largest component first, so that squares neither overflow nor vanish
-    matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
-    return (matrix / np.linalg.norm(matrix, axis=1, keepdims=True)).astype(np.float32)
+    scaled, lengths = _lengths(matrix)
+    return (scaled / lengths[:, None]).astype(np.float32)
 
 
 def build_index(vectors: DataFrame, k: int, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -159,7 +225,9 @@ def build_index(vectors: DataFrame, k: int, id_column: str = "vec_id", vector_co
             )
 
     # a graph takes far longer than its row is large, so each shard's row is a task's work
-    packed = written(blocks(written(kept, "ann_rows"), SHARD_ROWS), "ann_blocks")
+    kept = written(kept, "ann_rows")
+    shard_rows = min(max(kept.count() // SHARDS, LEAST_SHARD_ROWS), SHARD_ROWS)
+    packed = written(blocks(kept, shard_rows), "ann_blocks")
     spread = packed.repartitionByRange(max(1, packed.count()), "block")
     return written(spread.mapInArrow(run, schema), "ann_index")
 
@@ -184,13 +252,16 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_i
             by_node = np.argsort(node_of, kind="stable")  # ids are ascending within a node
             starts = np.searchsorted(node_of[by_node], np.arange(node_of.max() + 2))
             distinct = own[by_node[starts[:-1]]]
-            graph = np.frombuffer(graph, np.int32).reshape(-1, DEGREE).astype(np.int64)
-            met, _ = beam_search(_unit(distinct), graph, np.frombuffer(entries, np.int64), _unit(asked_rows), max(QUERY_BEAM, k + 1))
-            lengths = np.sqrt((distinct * distinct).sum(axis=1))
+            graph = np.frombuffer(graph, np.int32).reshape(-1, DEGREE + TIES).astype(np.int64)
+            units, asked_units, entries = _unit(distinct), _unit(asked_rows), np.frombuffer(entries, np.int64)
+            parts = [beam_search(units, graph, entries, asked_units[at : at + SEARCHES], max(QUERY_BEAM, k + 1))[0] for at in range(0, len(asked_units), SEARCHES)]
+            met = np.concatenate(parts)
+            distinct, lengths = _lengths(distinct)
+            scaled, asked_lengths = _lengths(asked_rows)
             out: list[tuple] = []
-            for query_id, query, nodes in zip(query_ids.tolist(), asked_rows, met):
+            for query_id, query, row, length, nodes in zip(query_ids.tolist(), asked_rows, scaled, asked_lengths, met):
                 nodes = nodes[nodes >= 0]
-                scores = (distinct[nodes] * query).sum(axis=1) / (lengths[nodes] * np.sqrt((query * query).sum()))
+                scores = (distinct[nodes] * row).sum(axis=1) / (lengths[nodes] * length)
                 found = [(-s, int(i)) for s, v in zip(scores.tolist(), nodes) for i in ids[by_node[starts[v] : starts[v + 1]]] if i != query_id]
                 number = zlib.crc32(query.tobytes())
                 out += [(query_id, number, i, -s) for s, i in sorted(found)[:k]]
@@ -199,5 +270,5 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_i
                 [pa.array(c, t) for c, t in zip(columns, [*[pa.int64()] * 3, pa.float64()])], names=["query_id", "query_no", "vec_id", "score"]
             )
 
-    found = against_all(index, asked).mapInArrow(run, "query_id long, query_no long, vec_id long, score double")
+    found = against_all(index, asked, COPIES).mapInArrow(run, "query_id long, query_no long, vec_id long, score double")
     return ranked(found, k).select("query_id", "rank", "vec_id", "score")

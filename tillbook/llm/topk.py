@@ -1,10 +1,13 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Vectors are quantised to whole numbers. A shard's index codes each component by its distinct values; the
-rows of one value are a posting segment. For a query, a segment's impact is what it adds to a score
-above the least that the component can add. Segments are processed by descending impact, in levels. What a row may still gain is bounded by the level's impact for each
-component it hasn't been seen in. Once the k best rows seen so far, scored exactly, rule out all but a
-few rows, these possible members are scored exactly; without that proof, all segments are processed.
+Vectors are quantised to whole numbers. A shard's index has, for each component, its rows in the order of
+their values: the rows of one value are a posting segment, a run of that list. For a query, a segment's impact
+is what it adds to a score above the least that the component can add, so either end of a list has the
+segments of the largest impact. Segments are processed by descending impact, in levels: each level takes the
+next run off every list, and only the rows in it gain. What a row may still gain is bounded by the level's
+impact for each component it hasn't been seen in. Once the k best rows seen so far, scored exactly, rule out
+all but a few rows, these possible members are scored exactly; without that proof, all segments are processed.
+Gains, bounds and scores are 64-bit whole numbers; where these can't hold them, Python's are taken.
 """
 
 import zlib
@@ -17,80 +20,106 @@ from pyspark.sql import functions as F
 from tillbook.llm.common import pieces, written
 from tillbook.llm.vectors import against_all, blocks, ranked, same_width, unpacked, usable
 
-#: Rows of a shard, at most 65,536, and of a block of queries.
+#: Rows of a shard, and of a block of queries.
 SHARD_ROWS = 16384
 BLOCK_ROWS = 256
-#: Levels of impact, as shares of the largest; below the last one nothing is left unprocessed.
-LEVELS = (0.12, 0.08, 0.04)
-#: Processing stops when at most this share of a shard is still possible: scoring a row exactly takes
-#: less time than processing the rest of its segments.
-POSSIBLE = 0.6
+#: Levels of impact, in hundredths of the largest; below the last one nothing is left unprocessed.
+LEVELS = (25, 18, 13, 9, 6)
+#: Processing stops when at most this share of a shard is still possible.
+POSSIBLE = 0.1
+#: Tasks that the blocks of queries of one shard are dealt to.
+COPIES = 4
+#: Whole numbers up to here add up exactly in doubles, and up to there in 64 bits.
+_DOUBLE, _LONG = 2.0**52, 2.0**62
 
 
 class Shard:
-    """Posting segments of one shard: ``values[d]`` are component d's distinct values, filled up with the
-    last one, and ``codes[d]`` says for each row which, as a place in all of ``values``."""
+    """Posting lists of one shard: ``rows[d]`` are the rows by their values of component d, ``values[d]`` those values."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        distinct = [np.unique(column, return_inverse=True) for column in vectors.T]
-        width = max((len(values) for values, _ in distinct), default=0)
-        self.values = np.array([np.pad(values, (0, width - len(values)), "edge") for values, _ in distinct])
-        self.codes = np.array([codes + d * width for d, (_, codes) in enumerate(distinct)])
-        self.largest = np.abs(vectors).max(initial=0)
-        self.short = vectors.astype(np.float32)
-
-    def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Exact: in floats or doubles where all sums fit them, else in whole numbers."""
-        most = self.largest * np.abs(query).sum()
-        if most < 2.0**24:
-            return (self.short[rows] @ query.astype(np.float32)).astype(np.int64)
-        if most < 2.0**53:
-            return (self.vectors[rows] @ query).astype(np.int64)
-        return self.vectors[rows].astype(np.int64) @ query.astype(np.int64)
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best rows whose id isn't ``own``, ties to smaller ids."""
-        n = len(self.ids)
-        others = self.ids != own
-        adds = self.values * query[:, None]
-        least = adds.min(axis=1)
-        impacts = adds - least[:, None]
-        most = impacts.max(axis=1)
-        # one sum for both: units of gain, and below them the number of components seen
-        unit = 1 << len(query).bit_length()
-        kind = np.int32 if (most.sum() + 1) * unit < 2**31 else np.float64
-        sums, above = np.zeros(n, kind), np.inf
-        top = most.max(initial=0)
-        possible = np.flatnonzero(others)
-        for impact in [*(top * share for share in LEVELS), -1.0]:
-            segments = (impacts > impact) & (impacts <= above)
-            places = np.flatnonzero(segments.any(axis=1))
-            table = np.where(segments, impacts * unit + 1, 0).astype(kind).ravel()
-            codes = self.codes if len(places) == len(self.codes) else self.codes[places]
-            sums += np.take(table, codes, mode="clip").sum(axis=0, dtype=kind)
-            above = impact
-            gained, seen = np.divmod(sums, unit)
-            if impact < 0 and n > k:  # nothing is left to gain
-                worst = np.partition(np.where(others, gained, -1), n - k)[n - k]
-                possible = np.flatnonzero((gained >= worst - 0.5) & others)
-            if impact < 0 or n <= k:
-                break
-            best = np.argpartition(np.where(others, gained, -1), n - k)[n - k :]
-            proven = np.sort(self.scores(best[others[best]], query))
-            if len(proven) < k:
+        self.ids, self.largest = ids, np.abs(vectors).max(initial=0)
+        self.doubles = vectors
+        self.vectors = vectors.astype(np.int64) if self.largest < _LONG else None
+        if self.vectors is not None:
+            order = np.argsort(self.vectors, axis=0, kind="stable")
+            self.values = np.ascontiguousarray(np.take_along_axis(self.vectors, order, axis=0).T)
+            self.rows = np.ascontiguousarray(order.T.astype(np.int32))
+
+    def _scores(self, rows: np.ndarray, query: np.ndarray, most: float) -> np.ndarray:
+        if most < _DOUBLE:
+            return (self.doubles[rows] @ query.astype(float)).astype(np.int64)
+        return self.vectors[rows] @ query
+
+    def _beyond_longs(self, query: np.ndarray) -> np.ndarray:
+        """Scores of all rows; what no 64 bits hold is cut to the largest or the least that they do."""
+        whole = [int(x) for x in query]
+        scores = [sum(q * int(x) for q, x in zip(whole, row)) for row in self.doubles]
+        return np.array([min(max(s, -(2**63)), 2**63 - 1) for s in scores], np.int64)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids and scores of the ``k`` best rows whose id isn't ``own``, ties to smaller ids; and how many rows were
+        scored apart from their postings."""
+        n, others = len(self.ids), self.ids != own
+        most = 2 * float(np.abs(query).sum()) * float(self.largest)
+        if most >= _LONG or self.vectors is None:
+            return *self._best(np.flatnonzero(others), self._beyond_longs(query)[others], k), n
+        query = query.astype(np.int64)
+        if n <= k or not len(query):
+            return *self._best(np.flatnonzero(others), self._scores(others, query, most), k), n
+        low, high = self.values[:, 0], self.values[:, -1]
+        least = int(np.where(query > 0, query * low, query * high).sum())
+        weight = np.abs(query)
+        spans = weight * (high - low)
+        gained, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        taken = np.zeros(len(query), np.int64)
+        top = int(spans.max())
+        for level in [top * share // 100 for share in LEVELS] + [0]:
+            rows, gains = [], []
+            for d in np.flatnonzero(spans > level).tolist():
+                values, q = self.values[d], int(weight[d])
+                if query[d] > 0:
+                    cut = n - int(np.searchsorted(values, low[d] + level // q, "right"))
+                    run = slice(n - cut, n - int(taken[d]))
+                    gains.append((values[run] - low[d]) * q)
+                else:
+                    cut = int(np.searchsorted(values, high[d] - level // q, "left"))
+                    run = slice(int(taken[d]), cut)
+                    gains.append((high[d] - values[run]) * q)
+                rows.append(self.rows[d][run])
+                taken[d] = cut
+            if rows:
+                self._add(gained, seen, np.concatenate(rows), np.concatenate(gains), most)
+            ranked_ = np.where(others, gained, -1)
+            best = np.argpartition(ranked_, n - k)[n - k :]
+            if level == 0:  # nothing is left to gain
+                possible = np.flatnonzero((gained >= ranked_[best].min()) & others)
+                return *self._best(possible, least + gained[possible], k), 0
+            best = best[others[best]]
+            if len(best) < k:
                 continue
-            # a gain of exactly the level's impact may be unseen; half a unit covers rounding of the bounds
-            bound = least.sum() + gained - seen * impact + np.minimum(most, impact).sum() + 0.5
-            possible = np.flatnonzero((bound >= proven[0]) & others)
-            if len(possible) <= POSSIBLE * n:
-                break
-        scores = self.scores(possible, query)
+            proven = self._scores(best, query, most).min()
+            bound = least + gained - seen * level + int(np.minimum(spans, level).sum())
+            possible = np.flatnonzero((bound >= proven) & others)
+            if len(possible) <= max(POSSIBLE * n, k):
+                return *self._best(possible, self._scores(possible, query, most), k), len(possible)
+        raise AssertionError("the last level returns")
+
+    @staticmethod
+    def _add(gained: np.ndarray, seen: np.ndarray, rows: np.ndarray, gains: np.ndarray, most: float) -> None:
+        n = len(gained)
+        seen += np.bincount(rows, minlength=n)
+        if most < _DOUBLE:
+            gained += np.bincount(rows, gains, n).astype(np.int64)
+        else:  # the halves of the bits add up exactly
+            gained += np.bincount(rows, gains & 0x7FFFFFFF, n).astype(np.int64)
+            gained += np.bincount(rows, gains >> 31, n).astype(np.int64) << 31
+
+    def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(scores) > k:
             good = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-            possible, scores = possible[good], scores[good]
-        best = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible[best]], scores[best]
+            rows, scores = rows[good], scores[good]
+        best = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows[best]], scores[best]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, scale: float, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -117,9 +146,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, scale: float, id_colu
             shard = Shard(ids, shard_rows)
             out: list[tuple] = []
             for query_id, query in zip(query_ids.tolist(), asked_rows):
-                found, scores = shard.search(query, query_id, k)
+                found, scores, _ = shard.search(query, query_id, k)
                 out += [(query_id, zlib.crc32(query.tobytes()), v, s) for v, s in zip(found.tolist(), scores.tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] or [pa.array([], pa.int64())] * 4, names=["query_id", "query_no", "vec_id", "score"])
 
-    found = against_all(index, asked).mapInArrow(run, "query_id long, query_no long, vec_id long, score long")
+    found = against_all(index, asked, COPIES).mapInArrow(run, "query_id long, query_no long, vec_id long, score long")
     return ranked(found, k).select("query_id", "rank", "vec_id", "score")

@@ -52,15 +52,22 @@ def same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def against_all(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Every block of ``queries`` beside every shard of ``index`` (column shard), as one equi-join."""
+def against_all(index: DataFrame, queries: DataFrame, copies: int) -> DataFrame:
+    """Every block of ``queries`` beside every shard of ``index`` (column shard), as one equi-join.
+
+    A search takes far longer than its rows are large, so each shard's blocks are dealt to ``copies`` tasks, and
+    the number of tasks is fixed, which adaptive execution leaves alone.
+    """
     last = index.agg(F.max("shard")).first()[0]
     shards = F.array().cast("array<int>") if last is None else F.sequence(F.lit(0), F.lit(last))
+    tasks = 2 * copies * (1 + (last or 0))
     spread = queries.select(
-        F.explode(shards).alias("shard"),
+        F.explode(shards).alias("shard"), F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int").alias("copy"),
         F.col("ids").alias("query_ids"), F.col("dims").alias("query_dims"), F.col("vectors").alias("query_vectors"),
     )
-    return index.join(spread, "shard")
+    copied = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    found = copied.repartition(tasks, "shard", "copy").join(spread.repartition(tasks, "shard", "copy"), ["shard", "copy"])
+    return found.drop("copy")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
