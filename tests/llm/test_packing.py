@@ -105,3 +105,24 @@ def test_lengths_out_of_range_fail(spark):
     for bad in (0, 65, None):
         with pytest.raises(Exception, match="lengths must be"):
             packing.pack(spark.createDataFrame([(bad,), (3,)], "length long"), 64).collect()
+
+
+@pytest.mark.parametrize("low, high", [(1000, 2600), (900, 1500)])
+def test_exchange_goes_on_while_it_saves(spark, low, high):
+    """Lengths that no partition can pack to its bound."""
+    choose = random.Random(low)
+    lengths = [choose.randint(low, high) for _ in range(6000)]
+    rows = packing.pack(spark.createDataFrame([(n,) for n in lengths], "length long"), 4096, 512).collect()
+    assert len(rows) == len(lengths)
+    used = check(rows, 4096)
+    _, _, free = packing.best_fit_decreasing(np.array(lengths), 4096)
+    assert used <= len(free) * 1.01
+    assert not all(r.certified for r in rows)
+
+
+def test_certified_sequences_and_clashing_columns(spark):
+    items = spark.createDataFrame([(i, 64, "s", 1, True, 5, "x") for i in range(30)], "doc_id long, length long, _row string, offset long, _open boolean, sequence_id long, _part string")
+    rows = packing.pack(items, 64, 8)
+    assert rows.columns == ["doc_id", "length", "_row", "_open", "_part", "sequence_id", "offset", "certified"]
+    assert all(r.certified and r.offset == 0 and (r._row, r._part) == ("s", "x") for r in rows.collect())
+    assert rows.select("sequence_id").distinct().count() == 30

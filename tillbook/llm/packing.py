@@ -6,9 +6,11 @@ functions give a lower bound of the sequences its lengths need in any packing. A
 reaches its bound is certified; it hands on only its emptiest sequence, as the remainders of many
 partitions may still share one. A partition with a gap hands on all sequences that are not full.
 What is handed on is dealt anew, by another hash and so among other neighbours, to fewer partitions,
-which run best-fit decreasing again, until one partition holds all that is left.
+which run best-fit decreasing again, until one partition holds all that is left or a round saves no more
+sequences; the partitions that then close without reaching their bound are said so.
 """
 
+import logging
 import zlib
 
 import numpy as np
@@ -23,9 +25,12 @@ from tillbook.llm.common import parts_for, pieces, written
 
 #: Rows that one partition packs, so that its memory doesn't grow with the input.
 PART_ROWS = 2048
-#: The most rounds of exchange; each but the last shrinks what is open.
-ROUNDS = 6
+#: Rounds go on while they save this share of the sequences that are open.
+SAVED = 0.0005
 _NO = "_row"
+#: What packing adds to its rows.
+ADDED = ("sequence_id", "offset", "certified")
+log = logging.getLogger(__name__)
 
 
 def token_pieces(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
@@ -109,8 +114,9 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _packer(columns: list[str], capacity: int, turn: int, last: bool):
-    """What packs one partition; nothing stays open in the last turn."""
+def _packer(columns: list[str], capacity: int, turn: int):
+    """What packs one partition: the sequences that go on are open, the emptiest one of a certified partition, or all
+    that are not full."""
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(_NO, ignore_index=True)
@@ -118,52 +124,58 @@ def _packer(columns: list[str], capacity: int, turn: int, last: bool):
         if part["length"].isna().any() or lengths.min() < 1 or lengths.max() > capacity:
             raise ValueError(f"lengths must be from 1 to {capacity}")
         bins, offsets, free = best_fit_decreasing(lengths.astype(np.int64), capacity)
-        open_bins = np.zeros(len(free), bool)
-        if not last and len(free) > lower_bound(lengths, capacity):
-            open_bins = free > 0
-        elif not last and free.max() > 0:
-            open_bins[free.argmax()] = True
+        certified = len(free) <= lower_bound(lengths, capacity)
+        open_bins = free > 0
+        if certified:
+            open_bins = np.zeros(len(free), bool)
+            open_bins[free.argmax()] = free.max() > 0
         part["sequence_id"] = ((turn << 28) + int(key[0]) << 20) + bins
-        part["offset"], part["_open"] = offsets, open_bins[bins]
+        part["offset"], part["certified"], part["_open"] = offsets, certified, open_bins[bins]
         return part[columns]
 
     return run
 
 
-def pack(items: DataFrame, capacity: int = 4096, part_rows: int = PART_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """The items with ``sequence_id`` and ``offset``; sequences are gapless from offset 0.
+def pack(items: DataFrame, capacity: int = 4096, part_rows: int = PART_ROWS) -> DataFrame:
+    """The items with ``sequence_id``, ``offset`` and ``certified``; sequences are gapless from offset 0.
 
-    ``items`` needs a whole ``length`` from 1 to ``capacity``, else the job fails; rows with equal values
-    are packed one by one. An empty table gives an empty one. The columns ``_row`` and ``_open`` are
-    reserved, all others stay.
+    ``certified``: the partition that closed the sequence needs as many as it has. ``items`` needs a whole
+    ``length`` from 1 to ``capacity``, else the job fails; rows with equal values are packed one by one. An empty
+    table gives an empty one. Other columns stay, but those named like the three new ones give way to them.
     """
-    schema = T.StructType([
-        *items.schema.fields,
-        T.StructField(_NO, T.LongType()),
-        T.StructField("sequence_id", T.LongType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("_open", T.BooleanType()),
-    ])
-    left = written(items, "pieces").withColumn(_NO, F.monotonically_increasing_id())
+    items = items.select(*[c for c in items.columns if c not in ADDED])
+    # other columns go by position, so that no name of theirs can clash
+    own = [c if c == "length" else f"_own{k}" for k, c in enumerate(items.columns)]
+    fields = [T.StructField(n, f.dataType) for n, f in zip(own, items.schema.fields)]
+    added = [T.StructField(_NO, T.LongType()), *[T.StructField(n, T.LongType()) for n in ADDED[:2]], *[T.StructField(n, T.BooleanType()) for n in (ADDED[2], "_open")]]
+    schema = T.StructType([*fields, *added])
+    left = written(items.toDF(*own), "pieces").withColumn(_NO, F.monotonically_increasing_id())
     done: list[DataFrame] = []
-    rows = left.count()
-    for turn in range(rounds):
+    rows, sequences, turn = left.count(), None, 0
+    while True:
         parts = parts_for(rows, part_rows)
-        last = parts == 1 or turn == rounds - 1
         dealt = left.withColumn("_part", F.pmod(F.xxhash64(_NO, F.lit(turn)), F.lit(parts)))
-        run = _packer([f.name for f in schema.fields], capacity, turn, last)
-        packed = written(dealt.groupBy("_part").applyInPandas(run, schema), f"packed_{turn}")
-        done.append(packed.where("not _open"))
-        left = packed.where("_open").select(*items.columns, _NO)
-        rows = left.count()
-        if not rows:
+        packed = written(dealt.groupBy("_part").applyInPandas(_packer(schema.names, capacity, turn), schema), f"packed_{turn}")
+        count = F.count_if(F.col("offset") == 0)
+        used, open_, rows = packed.agg(count, F.count_if((F.col("offset") == 0) & F.col("_open")), F.count_if("_open")).first()
+        if sequences is not None and used >= sequences:  # no better than before
+            done.append(before.where("_open"))
+            break
+        if parts == 1 or not rows or (sequences is not None and sequences - used <= SAVED * sequences):
+            done.append(packed)
             break
+        done.append(packed.where("not _open"))
+        before, sequences, turn = packed, open_, turn + 1
+        left = packed.where("_open").select(*own, _NO)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(*items.columns, "sequence_id", "offset")
+    uncertified = out.where("not certified and offset = 0").select(F.shiftright("sequence_id", 20).alias("part")).distinct().count()
+    if uncertified:
+        log.info("%d partitions closed without reaching their bound", uncertified)
+    return out.select(*own, *ADDED).toDF(*items.columns, *ADDED)
 
 
 def pack_documents(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """``token_pieces`` packed by ``pack``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """``token_pieces`` packed by ``pack``: doc_id, piece, start, length, ids_crc32, sequence_id, offset, certified."""
     return pack(token_pieces(documents, path, capacity, end_id), capacity)
