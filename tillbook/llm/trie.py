@@ -30,8 +30,8 @@ BLOCK = 128
 IDS = 4096
 #: The most turns that a conversation takes over from its base.
 HEAD = 9
-#: Rounds that are gone through backwards in one plan.
-UNWOUND = 4
+#: Rounds that are gone through backwards in one plan; each doubles it.
+UNWOUND = 2
 _ID = ["conv_id", "depth"]
 
 
