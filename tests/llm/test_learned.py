@@ -229,3 +229,24 @@ def test_sibling_statistics_of_wide_articles(paragraphs):
         assert row["before_chars"] == (chars[place - 1] if place else 0) and row["after_chars"] == (chars[place + 1] if place + 1 < len(family) else 0)
     middle = family.index(page.tag.index("aside"))
     assert rows[family[middle + 1] - 1]["before_links"] == rows[family[middle - 1] - 1]["after_links"] == 1
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>", "Let x=1 be."),
+    ("<p>a</p><svg width=1><path d='M0'/><p>b</p>", "a b"),
+    ("<p>a<select><option>b</p><p>c</p>", "a b c"),
+    ("<p>a <object data=x>shown instead</object> b</p>", "a shown instead b"),
+    ("<p>a</p><object data=x><p>b</p>", "a b"),
+    ("<p>a</p><math><p>b</p>", "a b"),
+    ("<p>a<svg><text>drawn</text></svg>b</p><canvas>no<p>c</p>", "ab no c"),
+    ("<p>a<script>if (x) {}</script>b</p>", "ab"),
+])
+def test_no_text_is_lost(html, text):
+    assert " ".join(block[1] for block in Page(html).blocks) == text
+
+
+def test_a_column_that_is_no_language_is_refused(spark):
+    rows = spark.createDataFrame([(i, "the house", f"lang{i}", "s", 0) for i in range(40)], DOCUMENTS)
+    with pytest.raises(ValueError, match="more than 30 different values"):
+        langid.learn(rows, most_languages=30)
+    assert len(langid.learn(rows, most_languages=40).languages) == 40

@@ -2,7 +2,7 @@
 
 import json
 
-from tests.llm.fixtures import with_clashes
+from tests.llm.fixtures import with_clashes, with_every_clash
 from tillbook.llm import licenses, toolcalls
 from tillbook.llm.queries import QUERIES
 
@@ -193,3 +193,19 @@ def test_plans_hold_no_python(spark):
     for name in ("op7_tool_call_linking", "op10_license_scan"):
         plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop")), name
+
+
+def test_messages_with_columns_of_every_name(spark):
+    messages = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    schemas = spark.createDataFrame(SCHEMA_ROWS, toolcalls.SCHEMAS)
+
+    def found(rows):
+        spoken, written = toolcalls.exchanges(rows), toolcalls.parse_messages(rows)
+        return sorted(map(str, toolcalls.link(spoken[0].unionByName(written[0]), spoken[1].unionByName(written[1]), schemas).collect()))
+
+    assert found(with_every_clash(messages)) == found(messages)
+
+
+def test_no_join_is_forced(spark):
+    plan = QUERIES["op7_tool_call_linking"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=" not in plan

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from tests.llm.fixtures import DOCUMENTS, with_clashes
+from tests.llm.fixtures import DOCUMENTS, with_clashes, with_every_clash
 from tests.llm.test_jaccard import brute_force
 from tillbook.llm import langid, quality
 from tillbook.llm.oracle import SQL
@@ -74,6 +74,25 @@ def test_pipeline_joins_at_five_words_and_four_fifths(spark):
     assert kept == sorted(i for i, _, c in brute_force(rows, width=5, percent=80) if c == i) == [0, 3, 4]
 
 
+def test_stages_bear_columns_of_every_name(spark):
+    docs = with_every_clash(spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60"))
+    plain = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF_DIR)
+        assert found.columns == docs.columns or name == "best-fit packing"
+        assert sorted(r.doc_id for r in found.select("doc_id").collect()) == sorted(r.doc_id for r in stage(spark, plain, SF_DIR).select("doc_id").collect())
+
+
+def test_the_mixture_decides_what_has_no_language(spark):
+    """A text of letters in no learned language goes, one that holds some such letters stays."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    english = docs.where("lang = 'en' and n_chars > 500").first().text
+    extra = [(9001, "qzx kkjw vvqp xxzj wqkz " * 20, None, None, 0), (9002, english, None, None, 0), (9003, english + " qzx kkjw vvqp" * 5, None, None, 0)]
+    docs = docs.unionByName(spark.createDataFrame(extra, DOCUMENTS))
+    kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR).collect()}
+    assert 9001 not in kept and {9002, 9003} <= kept
+
+
 def test_pipeline_bears_no_rows(spark):
     docs = spark.createDataFrame([], DOCUMENTS)
     for _, stage in corpus_pipeline.STAGES:

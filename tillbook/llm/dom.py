@@ -21,8 +21,12 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math canvas select object".split())
+RAW = frozenset("script style textarea title".split())
+#: Not shown as text where they have an end; without one, what follows is the page's.
+HIDDEN = frozenset("noscript template iframe svg canvas select annotation annotation-xml".split())
 INLINE = frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover "
+    "munderover mmultiscripts mtable mtr mtd semantics maction object "
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr br td th".split()
 )
@@ -82,6 +86,7 @@ class Page:
         # the open elements as (tag, element or -1 for inline ones)
         stack: list[tuple[str, int]] = [("#page", 0)]
         at, position, in_link = 0, 0, 0
+        never_ends: set[str] = set()
         while True:
             match = _TOKEN.search(html, position)
             end = match.start() if match else len(html)
@@ -115,12 +120,17 @@ class Page:
                         pass
                     at, in_link = self._top(stack)
                 continue
-            if tag in RAW:
+            if tag in RAW or tag in HIDDEN:
                 if tag in CONTROLS:
                     self.controls[at] += 1
-                if not match[3].rstrip().endswith("/"):
+                if tag not in never_ends and not match[3].rstrip().endswith("/"):
                     close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, position)
-                    position = close.end() if close else len(html)
+                    if close:
+                        position = close.end()
+                    elif tag in RAW:
+                        position = len(html)
+                    else:
+                        never_ends.add(tag)
                 continue
             if tag in ("br", "wbr", "img", "td", "th"):
                 if tag != "wbr":

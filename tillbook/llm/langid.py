@@ -7,6 +7,7 @@ more, searched along the languages in the order of their proportions. The full m
 bounds that of every set, so most documents need no search.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -15,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import pieces, text_key
+from tillbook.llm.common import PIECE_ROWS, pieces, text_key
 
 UNDETERMINED = "und"
 #: Documents of each language that are learned from, in the mean: a random choice by hash of doc_id.
 LEARN_DOCUMENTS = 3000
+#: Different values of lang: the model has 128 KB for each, on the driver and in every worker.
+MOST_LANGUAGES = 512
 #: Partitions that count the chosen documents; each sends one row per language to the driver.
 LEARN_PARTS = 12
 BITS = 14
@@ -61,10 +64,13 @@ def trigram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return buckets, counts[buckets]
 
 
-def learn(labelled: DataFrame, documents_per_language: int = LEARN_DOCUMENTS) -> Model:
-    """``labelled``: doc_id, text, lang. Rows without lang or letters teach nothing."""
+def learn(labelled: DataFrame, documents_per_language: int = LEARN_DOCUMENTS, most_languages: int = MOST_LANGUAGES) -> Model:
+    """``labelled``: doc_id, text, lang. Rows without lang or letters teach nothing. More than ``most_languages``
+    different values of lang are an error, as they can't all be languages."""
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
-    sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().limit(most_languages + 1).collect()}
+    if len(sizes) > most_languages:
+        raise ValueError(f"lang has more than {most_languages} different values")
     if not sizes:
         return Model((), np.empty((1 << BITS, 0)))
     languages = tuple(sorted(sizes))
@@ -173,22 +179,35 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def with_background(model: Model) -> Model:
+    """The model with UNDETERMINED as its last language, in which all trigrams are alike."""
+    uniform = np.full((len(model.table), 1), 1 / len(model.table))
+    return Model((*model.languages, UNDETERMINED), np.c_[model.table, uniform])
+
+
 def keep_identified(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with a language, with all their columns: those without a letter go. Without a learned
-    language, too, documents with letters stay."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    at = documents.columns.index("text")
+    """The documents with a language, with all their columns. Those go that have no letter, and those of which the
+    chosen mixture says that most of it is in none of the languages. Without a learned language, documents with
+    letters stay.
 
-    def run(batches):
-        for piece in pieces(batches):
-            texts = piece.column(at).to_pylist()
-            if shared.value.languages:
-                kept = infer(shared.value, texts)[0].any(axis=1)
-            else:
-                kept = [len(trigram_counts(t)[0]) > 0 for t in texts]
-            yield piece.filter(pa.array(kept, pa.bool_()))
-
-    return documents.mapInArrow(run, documents.schema)
+    Only texts go to Python, and only decisions come back.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(with_background(model))
+
+    @F.arrow_udf("boolean")
+    def identified(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            kept: list[bool] = []
+            for start in range(0, len(part), PIECE_ROWS):
+                some = part.slice(start, PIECE_ROWS).to_pylist()
+                if len(shared.value.languages) > 1:
+                    chosen = infer(shared.value, some)[0]
+                    kept += (chosen.any(axis=1) & (chosen.argmax(axis=1) < chosen.shape[1] - 1)).tolist()
+                else:
+                    kept += [len(trigram_counts(t)[0]) > 0 for t in some]
+            yield pa.array(kept, pa.bool_())
+
+    return documents.where(identified("text"))
 
 
 def held_out_split(documents: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ that the ridge hasn't seen turns its values into shares of good documents.
 """
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import pieces, text_key, written
+from tillbook.llm.common import PIECE_ROWS, pieces, text_key, written
 
 #: Labelled documents that are learned from, in the mean: a random choice by hash of doc_id.
 LEARN_DOCUMENTS = 20_000
@@ -187,15 +188,21 @@ def score(documents: DataFrame, model: Model | None, threshold: float = THRESHOL
 
 
 def keep_good(documents: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least ``threshold``, with all their columns; all without a model."""
-    at = documents.columns.index("text")
-
-    def run(batches):
-        for piece in pieces(batches):
-            rows = np.array([statistics(t) for t in piece.column(at).to_pylist()]).reshape(-1, len(STATISTICS))
-            yield piece.filter(pa.array(model.score(rows) >= threshold, pa.bool_()))
-
-    return documents.mapInArrow(run, documents.schema) if model else documents
+    """The documents that score at least ``threshold``, with all their columns; all without a model. Only texts go to
+    Python, and only decisions come back."""
+    if not model:
+        return documents
+
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            kept: list[bool] = []
+            for start in range(0, len(part), PIECE_ROWS):
+                rows = np.array([statistics(t) for t in part.slice(start, PIECE_ROWS).to_pylist()]).reshape(-1, len(STATISTICS))
+                kept += (model.score(rows) >= threshold).tolist()
+            yield pa.array(kept, pa.bool_())
+
+    return documents.where(good("text"))
 
 
 def held_out_split(rows: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Linking of tool calls and results in chats, with DataFrame functions only.
 
-Calls and results meet in a hash join by conversation and identifier. A call that refers to another
+Calls and results meet in a join by the hash of conversation and identifier; whether a partition's side is
+kept in a hash table or sorted is left to the planner, which knows the sizes. A call that refers to another
 call's result comes after it. The order of turns mostly says so already; calls that refer to a later one,
 and those that depend on them, are put in order by repeated joins along references. Arguments are checked against the tool's schema within the row, and everything is written as canonical
 JSON: keys sorted, no white space, null members left out.
@@ -132,7 +133,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     leads = F.col("first").isNotNull() & F.struct("turn", "name", "arguments").eqNullSafe(F.col("first"))
     led = calls.join(leading, _KEY, "left").withColumn("leads", leads)
     joined = (
-        led.join(answers.hint("shuffle_hash"), _KEY, "left")
+        led.join(answers, _KEY, "left")
         .join(by_tool, "name", "left")
         .withColumn("given", F.from_json("arguments", "map<string,variant>"))
         .withColumn("parsed", F.try_parse_json("arguments"))
@@ -167,6 +168,7 @@ def exchanges(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Question and answer as call and result, for chats without tools: a user's turn calls ``respond``
     under the identifier ``<turn>`` and refers to the exchange two turns before, if there is one; the
     assistant's turn after it is the result. Needs a turn number; equal rows are fine."""
+    messages = messages.select("conv_id", "turn", "role", "text")
     turn = F.col("turn").cast("string")
     users = messages.where("role = 'user'")
     before = users.select("conv_id", (F.col("turn") + 2).alias("turn"), F.lit(True).alias("follows")).distinct()
