@@ -6,11 +6,13 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from golden import GOLDEN, changed, rows
 from tillbook.operators import cleaning, quality
 from tillbook.plans import daily_load, reports
 from tillbook.schema import RAW_COLUMNS, WAREHOUSE_SCHEMA
+from tillbook.sources import tables
 from tillbook.sources.csv_source import read_sales_csv
 
 
@@ -163,24 +165,79 @@ def test_versions_that_nobody_needs_are_removed(spark, tmp_path):
     assert [len(v) for v in folders(out).values()] == [1, 1] and spark.table("wh_kept").count() == 3
 
 
-def test_a_run_after_a_crash_between_the_tables_repairs(spark, tmp_path, monkeypatch):
+def test_a_crash_at_any_step_leaves_both_tables_old_or_both_new(spark, tmp_path, monkeypatch):
+    """Publication runs a number of catalog changes; each of them fails in turn, before or after it has happened."""
     out, fewer = str(tmp_path / "out"), "\n".join(GOLDEN.splitlines()[:-2]) + "\n"
-    daily_load.run(spark, write(tmp_path, GOLDEN), out, "raw_crash", "wh_crash")
-    real = daily_load.publish
-
-    def crash(spark, table, *rest):
-        if table == "wh_crash":
-            raise RuntimeError("gone")
-        real(spark, table, *rest)
-
-    source = write(tmp_path, fewer)
-    monkeypatch.setattr(daily_load, "publish", crash)
-    with pytest.raises(RuntimeError, match="gone"):
-        daily_load.run(spark, source, out, "raw_crash", "wh_crash")
-    assert spark.table("raw_crash").count() == 11 and spark.table("wh_crash").count() == 3
-    monkeypatch.setattr(daily_load, "publish", real)
-    daily_load.run(spark, source, out, "raw_crash", "wh_crash")
-    assert spark.table("raw_crash").count() == 11 and spark.table("wh_crash").count() == 2
+    source = {13: write(tmp_path, GOLDEN), 11: write(tmp_path, fewer, "fewer.csv")}
+    clean = {13: 3, 11: 2}
+
+    def shown():
+        return spark.table("raw_crash").count(), spark.table("wh_crash").count()
+
+    daily_load.run(spark, source[13], out, "raw_crash", "wh_crash")
+    real, seen, rows = tables.publish_together, set(), 13
+    for step in range(40):
+        new = 24 - rows
+        done = [0]
+
+        class Failing:
+            """The session, whose ``sql`` fails once at a step."""
+
+            def __getattr__(self, name):
+                return getattr(spark, name)
+
+            def sql(self, text):
+                done[0] += 1
+                if done[0] == step // 2 + 1 and step % 2 == 0:
+                    raise RuntimeError("gone")
+                result = spark.sql(text)
+                if done[0] == step // 2 + 1:
+                    raise RuntimeError("gone")
+                return result
+
+        monkeypatch.setattr(daily_load, "publish_together", lambda spark_, *rest: real(Failing(), *rest))
+        try:
+            daily_load.run(spark, source[new], out, "raw_crash", "wh_crash")
+            finished = True
+        except RuntimeError:
+            finished = False
+        spark.catalog.refreshTable("wh_crash_published")
+        assert shown() in ((rows, clean[rows]), (new, clean[new]))
+        seen.add(shown()[0] == new)
+        if finished:
+            break
+        monkeypatch.setattr(daily_load, "publish_together", real)
+        daily_load.run(spark, source[new], out, "raw_crash", "wh_crash")
+        assert shown() == (new, clean[new])
+        rows = new
+    assert finished and step >= 8 and seen == {True, False}
+
+
+def test_readers_take_only_the_published_version(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for _ in range(3):
+        daily_load.run(spark, write(tmp_path, GOLDEN), out, "raw_pruned", "wh_pruned", keep=3)
+    wh = spark.table("wh_pruned")
+    assert len({r[0] for r in wh.select(F.input_file_name()).collect()}) <= len(os.listdir(f"{out}/warehouse/{tables.published_version(spark, 'wh_pruned_published')}/rejected=false"))
+    scan = wh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load" in scan and "ReadSchema" in scan
+    assert len(spark.sql("SHOW PARTITIONS wh_pruned_versions").collect()) == 3
+    daily_load.run(spark, write(tmp_path, GOLDEN), out, "raw_pruned", "wh_pruned", keep=1)
+    assert len(spark.sql("SHOW PARTITIONS wh_pruned_versions").collect()) == 1 and wh.sparkSession.table("raw_pruned").count() == 13
+
+
+def test_tables_of_another_kind_or_schema(spark, tmp_path):
+    """A table that ``publish`` made becomes a view; other columns are an error unless they are to be replaced."""
+    source, out = write(tmp_path, GOLDEN), str(tmp_path / "out")
+    first = daily_load.refresh(read_sales_csv(spark, source), out)
+    tables.publish(spark, "wh_kind", first.warehouse.path, first.warehouse.schema)
+    daily_load.run(spark, source, out, "raw_kind", "wh_kind")
+    assert spark.table("wh_kind").count() == 3
+    with pytest.raises(tables.SchemaChangedError, match="total"):
+        daily_load.run(spark, source, out, "raw_kind", "wh_kind", scale=6)
+    assert spark.table("wh_kind").schema["total"].dataType.scale == 4
+    daily_load.run(spark, source, out, "raw_kind", "wh_kind", scale=6, replace_definition=True)
+    assert spark.table("wh_kind").schema["total"].dataType.scale == 6 and spark.table("raw_kind").count() == 13
 
 
 def test_scale_rounding_and_encoding_reach_the_tables(spark, tmp_path):

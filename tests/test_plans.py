@@ -134,15 +134,17 @@ def test_dimension_broadcast_depends_on_size(spark):
 def test_warehouse_rows_are_not_sorted_for_the_write(spark, tmp_path):
     """Between the window that finds first rows and the write of both kinds of rows there is no sort."""
     raw = daily_load.load_raw(raw_sales(spark, SF_DIR), str(tmp_path)).rows
-    listener_plans = []
     seen = spark._jsparkSession.sharedState().statusStore()
-    before = seen.executionsCount()
+
+    def latest(n):
+        """The last executions; the store keeps a fixed number, so that their places change, but not their ids."""
+        found = seen.executionsList()
+        return [found.apply(k) for k in range(max(0, found.size() - n), found.size())]
+
+    before = max((e.executionId() for e in latest(1)), default=-1)
     daily_load.load_warehouse(raw, str(tmp_path))
-    for execution in range(before, seen.executionsCount()):
-        data = seen.executionsList(execution, 1)
-        if data.size():
-            listener_plans.append(data.apply(0).physicalPlanDescription())
-    (write,) = [p for p in listener_plans if "Execute InsertIntoHadoopFsRelationCommand" in p and "Window" in p]
+    plans = [e.physicalPlanDescription() for e in latest(100) if e.executionId() > before]
+    (write,) = [p for p in plans if "Execute InsertIntoHadoopFsRelationCommand" in p and "Window" in p]
     tree_ = write[: write.index("\n\n(1)")] if "\n\n(1)" in write else write
     final = tree_[tree_.index("Final Plan") :] if "Final Plan" in tree_ else tree_
     final = final.split("Initial Plan")[0]

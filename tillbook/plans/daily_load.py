@@ -24,7 +24,9 @@ from tillbook.schema import (
 )
 from tillbook.sizing import sized_for
 from tillbook.sources.csv_source import read_sales_csv, rounded_counts, source_bytes, to_raw
-from tillbook.sources.tables import new_version, publish, read_staged, remove_old_versions, remove_version, stage
+from tillbook.sources.tables import (
+    forget_versions, new_version, old_versions, publish_together, read_staged, remove_old_versions, remove_version, stage,
+)
 
 log = logging.getLogger(__name__)
 
@@ -192,10 +194,10 @@ def run(
     ``round_digits``: see ``read_sales_csv``. ``growth``: how much larger the source is than its files,
     say 5 for gzip; the session's partition settings follow it while the load runs. ``keep``: versions of
     each table that stay, the published one included; the folders of a rejected load go. None keeps
-    everything. ``replace_definition``: see ``publish``.
+    everything. ``replace_definition``: see ``publish_together``.
 
-    The two tables are published one after the other. A crash in between leaves the new raw table beside
-    the old warehouse table, each complete in itself; running the load again publishes both.
+    Both tables are published by one catalog change, see ``publish_together``: whenever a load ends, they
+    are both as before or both new.
     """
     n_bytes = source_bytes(spark, source)
     version, published = new_version(), False
@@ -206,16 +208,18 @@ def run(
             done = refresh(sales, root, date_pattern, version)
             checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
             published = True
-            publish(spark, raw_table, done.raw.path, done.raw.schema, replace_definition)
-            publish(spark, warehouse_table, done.warehouse.path, done.warehouse.schema, replace_definition)
+            tables = {raw_table: (done.raw.path, done.raw.schema), warehouse_table: (done.warehouse.path, done.warehouse.schema)}
+            publish_together(spark, f"{warehouse_table}_published", root, version, tables, replace_definition)
         except Exception:
             if not published and keep is not None:
                 for name in ("raw", "warehouse"):
                     remove_version(spark, root, name, version)
             raise
     if keep is not None:
-        for name in ("raw", "warehouse"):
+        for name, table in (("raw", raw_table), ("warehouse", warehouse_table)):
+            forget_versions(spark, table, old_versions(spark, root, name, version, keep))
             log.info("removed versions of %s: %s", name, remove_old_versions(spark, root, name, version, keep))
+        remove_old_versions(spark, root, "published", version, keep)
     return LoadResult(
         done.metrics.first(),
         done.warehouse.audit.first(),

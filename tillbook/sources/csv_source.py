@@ -10,10 +10,14 @@ from pyspark.sql import types as T
 
 from tillbook.functions import lossy, missing_to_null, numbers_fit, whole_number
 from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, ROUNDED, SCALE, order_columns, with_scale
+from tillbook.sources.quoted_lines import read_records
 
 _CORRUPT = "_corrupt"
 # What a reader puts in place of bytes that it can't decode.
 _REPLACED = "\ufffd"
+_UTF8 = "UTF-8"
+# The encoding in which every byte is a letter.
+_BYTES = "ISO-8859-1"
 
 
 def normalize_headers(names: list[str]) -> list[str]:
@@ -118,25 +122,28 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(there).toUri().toString()
 
 
-def read_sales_csv(
-    spark: SparkSession, path: str, multi_line: bool = False, encoding: str = "UTF-8", scale: int = SCALE, round_digits: bool = False
-) -> DataFrame:
-    """Read one headered CSV file, or a folder of files with the same header, as raw sales.
+def _file_path(path: str, spark: SparkSession, whole: Column) -> Column:
+    """A file's path without the folder that was asked for, as it travels with every row."""
+    file_path = F.replace(whole, F.lit(":///"), F.lit(":/"))
+    root = _qualified(spark, path).replace(":///", ":/").rstrip("/")
+    return (
+        F.when(file_path.startswith(f"{root}/"), F.substring(file_path, len(root) + 2, 1 << 30))
+        .when(file_path == root, F.substring_index(file_path, "/", -1))
+        .otherwise(file_path)
+    )
 
-    Files are in ``encoding``. Bytes that aren't UTF-8 in files read as such are an error that names the
-    file, as two different names could become one. ``scale`` and ``round_digits``: see ``to_raw``.
 
-    Every field is read as text and typed afterwards. ``multi_line`` allows line breaks inside
-    quotes but makes a file unsplittable, so it is off by default and such a file is reported.
-    Order columns follow file order: path, offset of the split, running row number.
+def _checked(valid: Column, encoding: str, file: Column) -> Column:
+    """Row filter: true, or an error that names the file."""
+    return F.when(valid, True).otherwise(F.raise_error(F.concat(F.lit(f"not {encoding}: "), file)))
+
+
+def _by_lines(spark: SparkSession, path: str, header: list[str], dialect: dict, encoding: str) -> tuple[DataFrame, list[Column]]:
+    """Fields of a file with one record a line, with file, block and row; and the columns of text.
+
+    UTF-8 is read as Latin-1 first, which keeps every byte, and then checked and decoded, so that a bad
+    byte can be told from a replacement character that is in the file.
     """
-    dialect = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": encoding}
-    header = spark.read.options(**dialect).csv(path).columns
-    if not header:
-        raise ValueError(f"no header in {path}")
-    if any(_REPLACED in h for h in header):
-        raise ValueError(f"header isn't {encoding} in {path}")
-    names = normalize_headers(header)
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _CORRUPT]])
     lines = (
         spark.read.schema(schema)
@@ -149,21 +156,83 @@ def read_sales_csv(
         )
         .csv(path)
     )
-    # The folder that was asked for is cut off: the path of its file travels with every row.
-    file_path = F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/"))
-    root = _qualified(spark, path).replace(":///", ":/").rstrip("/")
-    relative_path = (
-        F.when(file_path.startswith(f"{root}/"), F.substring(file_path, len(root) + 2, 1 << 30))
-        .when(file_path == root, F.substring_index(file_path, "/", -1))
-        .otherwise(file_path)
+    fields = [_quoted(h) for h in header]
+    whole_line = F.concat_ws(" ", *fields)
+    if encoding == _UTF8 and dialect["encoding"] != encoding:
+
+        def decoded(text: Column) -> Column:
+            return F.encode(text, _BYTES).cast("string")
+
+        def ascii_only(text: Column) -> Column:
+            return F.octet_length(text) == F.char_length(text)
+
+        readable = ascii_only(whole_line) | F.is_valid_utf8(decoded(whole_line))
+        fields = [F.when(ascii_only(f), f).otherwise(decoded(f)) for f in fields]
+    else:
+        readable = ~whole_line.contains(_REPLACED)
+    lines = lines.where(_checked(readable, encoding, F.col("_metadata.file_path"))).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
     )
-    whole_line = F.concat_ws("", *[_quoted(h) for h in header])
-    readable = F.when(whole_line.contains(_REPLACED), F.raise_error(F.concat(F.lit(f"not {encoding}: "), F.col("_metadata.file_path")))).otherwise(True)
-    fields = lines.where(readable).select(
-        *[missing_to_null(_quoted(h)).alias(name) for h, name in zip(header, names)],
-        relative_path.alias(f"{ORDER_PREFIX}file"),
-        F.col("_metadata.file_block_start").alias(f"{ORDER_PREFIX}block"),
-        F.monotonically_increasing_id().alias(f"{ORDER_PREFIX}row"),
+    return lines, fields
+
+
+def _by_records(spark: SparkSession, path: str, header: list[str], dialect: dict, encoding: str) -> tuple[DataFrame, list[Column]]:
+    """Like ``_by_lines`` for files whose quoted fields may hold line breaks."""
+    records = read_records(spark, path)
+    text = F.col("record").cast("string") if encoding == _UTF8 else F.decode("record", encoding)
+    readable = F.is_valid_utf8(text) if encoding == _UTF8 else ~text.contains(_REPLACED)
+    text = F.rtrim(F.when(F.col("first"), F.ltrim(text, F.lit("\ufeff"))).otherwise(text), F.lit("\r"))
+    names = [f"c{k}" for k in range(len(header))]
+    options = {k: str(v) for k, v in dialect.items() if k in ("quote", "escape")}
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "multiLine": "true"}
+    ddl = ", ".join(f"{n} string" for n in [*names, _CORRUPT])
+    parsed = records.where(_checked(readable, encoding, F.col("file"))).select("file", "block", "row", "first", text.alias("text"))
+    # a record that isn't blank has no null struct
+    parsed = parsed.where(F.trim("text") != "").withColumn("fields", F.from_csv("text", ddl, options))
+    given = F.array(*[F.coalesce(F.col(f"fields.{n}"), F.lit("")) for n in names])
+    conforms = (given == F.array(*[F.lit(h) for h in header])) & F.col(f"fields.{_CORRUPT}").isNull()
+    other = F.raise_error(F.concat(F.lit("CSV header does not conform to the first file's: "), F.col("file")))
+    rows = parsed.where(F.when(~F.col("first"), True).when(conforms, False).otherwise(other))
+    lines = rows.select("fields.*", F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("row").alias("_row"))
+    return lines.toDF(*header, _CORRUPT, "_file", "_block", "_row"), [_quoted(h) for h in header]
+
+
+def read_sales_csv(
+    spark: SparkSession, path: str, multi_line: bool = False, encoding: str = "UTF-8", scale: int = SCALE, round_digits: bool = False
+) -> DataFrame:
+    """Read one headered CSV file, or a folder of files with the same header, as raw sales.
+
+    Files are in ``encoding``. Bytes that aren't in it are an error that names the file, as two different
+    names could become one. ``scale`` and ``round_digits``: see ``to_raw``.
+
+    Every field is read as text and typed afterwards. ``multi_line`` allows line breaks inside quotes. Files are
+    read by splits all the same, but a second time, for where their quotes are open; so it is off by default,
+    and such a file is reported. Line breaks in fields stay as they are. Only a file in UTF-16 or UTF-32 is one split then.
+    Order columns follow file order: path, offset of the split, running row number.
+    """
+    encoding = _UTF8 if encoding.upper() in ("UTF-8", "UTF8") else encoding
+    by_bytes = encoding == _UTF8 or encoding.lower() in ("iso-8859-1", "us-ascii")
+    whole_files = multi_line and not by_bytes
+    dialect = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": encoding}
+    if encoding == _UTF8 and not multi_line:
+        dialect["encoding"] = _BYTES
+    header = spark.read.options(**dialect).csv(path).columns
+    if not header:
+        raise ValueError(f"no header in {path}")
+    try:
+        headings = [h.encode("latin-1").decode("utf-8") for h in header] if dialect["encoding"] != encoding else header
+    except UnicodeDecodeError:
+        headings = [_REPLACED]
+    if multi_line and any(_REPLACED in h for h in headings) or headings == [_REPLACED]:
+        raise ValueError(f"header isn't {encoding} in {path}")
+    names = normalize_headers(headings)
+    read = _by_records if multi_line and not whole_files else _by_lines
+    lines, fields = read(spark, path, header, dialect, encoding)
+    rows = lines.select(
+        *[missing_to_null(f).alias(name) for f, name in zip(fields, names)],
+        _file_path(path, spark, F.col("_file")).alias(f"{ORDER_PREFIX}file"),
+        F.col("_block").alias(f"{ORDER_PREFIX}block"),
+        F.col("_row").alias(f"{ORDER_PREFIX}row"),
         _CORRUPT,
     )
-    return to_raw(fields.where(_well_formed(names, multi_line)).drop(_CORRUPT), scale, round_digits)
+    return to_raw(rows.where(_well_formed(names, multi_line)).drop(_CORRUPT), scale, round_digits)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _VERSION = "load_"
+_LOAD = "load"
 
 
 @lru_cache
@@ -77,8 +78,7 @@ def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, re
     if spark.catalog.tableExists(table):
         ours, theirs = ([(f.name, f.dataType) for f in s] for s in (schema, spark.table(table).schema))
         if ours == theirs:
-            location = path.replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_location(path)}")
             spark.catalog.refreshTable(table)
             return
         if not replace_definition:
@@ -88,6 +88,72 @@ def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, re
     spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
 
 
+def _location(path: str) -> str:
+    return "'" + path.replace("'", "\\'") + "'"
+
+
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def publish_together(
+    spark: SparkSession, pointer: str, root: str, version: str, tables: dict[str, tuple[str, T.StructType]], replace_definition: bool = False
+) -> None:
+    """Let all ``tables`` (name: staged folder and schema) show ``version``, by one catalog change.
+
+    Each name is a view of ``<name>_versions``, a table that has the staged folders as its partitions, and shows the
+    partition that the table ``pointer`` names. The new partitions are added first, where no reader looks; then
+    the pointer is moved to a folder written aside. A crash at any step leaves all tables at the old version, or
+    all at the new one, and a repeated call goes on from there. Readers prune the other partitions.
+
+    Another schema is an error, unless ``replace_definition`` is set: then all versions are taken out of the catalog,
+    and for a moment there are no tables, as when a table that ``publish`` made becomes a view. Their files stay.
+    """
+    for name, (_, schema) in tables.items():
+        if spark.catalog.tableExists(name) and (_same := _fields(schema)) != _fields(spark.table(name).schema) and not replace_definition:
+            changed = sorted({n for n, _ in set(_same) ^ set(_fields(spark.table(name).schema))}) or "order of columns"
+            raise SchemaChangedError(f"{name} has another schema: {changed}; replace_definition would replace it")
+    for name, (path, schema) in tables.items():
+        if spark.catalog.tableExists(name) and not _is_view(spark, name):
+            spark.sql(f"DROP TABLE {name}")
+        versions = f"{name}_versions"
+        if spark.catalog.tableExists(versions) and _fields(spark.table(versions).drop(_LOAD).schema) != _fields(schema):
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+            spark.sql(f"DROP TABLE {versions}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {versions} ({_columns(schema)}, {_LOAD} string) USING parquet PARTITIONED BY ({_LOAD}) LOCATION {_location(f'{root}/none')}")
+        spark.sql(f"ALTER TABLE {versions} ADD IF NOT EXISTS PARTITION ({_LOAD} = '{version}') LOCATION {_location(path)}")
+        spark.catalog.refreshTable(versions)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {pointer} ({_LOAD} string) USING parquet LOCATION {_location(f'{root}/none')}")
+    for name, (_, schema) in tables.items():
+        shown = ", ".join(f"`{f.name}`" for f in schema)
+        if not _is_view(spark, name):
+            spark.sql(f"CREATE VIEW {name} AS SELECT {shown} FROM {name}_versions WHERE {_LOAD} = (SELECT max({_LOAD}) FROM {pointer})")
+    path = f"{root}/published/{version}"
+    spark.createDataFrame([(version,)], f"{_LOAD} string").coalesce(1).write.mode("overwrite").parquet(path)
+    spark.sql(f"ALTER TABLE {pointer} SET LOCATION {_location(path)}")  # from here on, readers see the new version
+    spark.catalog.refreshTable(pointer)
+
+
+def published_version(spark: SparkSession, pointer: str) -> str | None:
+    """The version that the tables of ``pointer`` show."""
+    return spark.table(pointer).agg({_LOAD: "max"}).first()[0] if spark.catalog.tableExists(pointer) else None
+
+
+def forget_versions(spark: SparkSession, name: str, versions: list[str]) -> None:
+    """Take versions that nobody needs out of the catalog, before their files go."""
+    for version in versions:
+        spark.sql(f"ALTER TABLE {name}_versions DROP IF EXISTS PARTITION ({_LOAD} = '{version}')")
+    spark.catalog.refreshTable(f"{name}_versions")
+
+
+def _fields(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    return [(f.name, f.dataType) for f in schema]
+
+
 def _folder(spark: SparkSession, path: str):
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -98,14 +164,18 @@ def remove_version(spark: SparkSession, root: str, name: str, version: str) -> N
     files.delete(there, True)
 
 
-def remove_old_versions(spark: SparkSession, root: str, name: str, version: str, keep: int) -> list[str]:
-    """Remove all but the ``keep`` latest versions up to ``version``, and return the removed ones. Later
-    versions and other folders are left alone."""
+def old_versions(spark: SparkSession, root: str, name: str, version: str, keep: int) -> list[str]:
+    """All but the ``keep`` latest versions up to ``version``. Later versions and other folders aren't among them."""
     if keep < 1:
         raise ValueError("at least the published version has to stay")
     there, files = _folder(spark, f"{root}/{name}")
     found = sorted(s.getPath().getName() for s in files.listStatus(there))
-    old = [v for v in found if v.startswith(_VERSION) and v <= version][:-keep]
+    return [v for v in found if v.startswith(_VERSION) and v <= version][:-keep]
+
+
+def remove_old_versions(spark: SparkSession, root: str, name: str, version: str, keep: int) -> list[str]:
+    """Remove ``old_versions``, and return them."""
+    old = old_versions(spark, root, name, version, keep)
     for v in old:
         remove_version(spark, root, name, v)
     return old
