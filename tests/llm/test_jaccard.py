@@ -65,6 +65,7 @@ def corpus(seed):
 @pytest.mark.parametrize("light, percent", [(32, 85), (2, 85), (3, 60)])
 def test_equals_brute_force(spark, monkeypatch, light, percent):
     monkeypatch.setattr(jaccard, "LIGHT", light)
+    monkeypatch.setattr(jaccard, "MANY", 5 if light == 3 else 40)
     rows = corpus(light)
     rows += [(None, rows[20][1]), (None, None), (None, "only here and never with an id"), rows[30], (rows[31][0], rows[60][1])]
     df = with_clashes(documents(spark, [t for _, t in rows], [i for i, _ in rows]))
@@ -145,6 +146,7 @@ def test_a_passage_with_other_words_around_it(spark, monkeypatch, light, growth)
     """Rows that share a column with many others and link with few of them: by size, by words of their own, or not."""
     monkeypatch.setattr(jaccard, "LIGHT", light)
     monkeypatch.setattr(jaccard, "GROWTH", growth)
+    monkeypatch.setattr(jaccard, "MANY", light)
     choose = random.Random(light)
     passage = [f"p{k}" for k in range(60)]
     other = passage[:40] + [f"q{k}" for k in range(25)]

@@ -9,10 +9,11 @@ that the threshold leaves beyond the shared part), so the product only runs over
 - A heavy column would contribute pairs with the square of its rows. Instead each row meets the
   column's pivot, the row with most of its leading columns among the heavy ones. Rows that link to the
   pivot are in one component, and links inside it can't change the components.
-- Heavy columns with rows that don't link to their pivot are taken up again, with exact counts of all
-  columns of their rows, see ``_across``: pairs that share a column of few rows come from such a column,
-  all others share heavy columns alone, so rows with the same heavy columns are one row of a smaller
-  incidence, in which the sizes alone decide who links.
+- Heavy columns with rows of several components left are taken up again. One of at most MANY rows
+  contributes the pairs between components that the sizes allow. The rows of a larger one get an incidence of
+  their own, with exact counts of all their columns, see ``_across``: pairs that share a column of few rows
+  come from such a column, all others share heavy columns alone, so rows with the same heavy columns are one
+  row of a smaller incidence, in which the sizes alone decide who links.
 
 The product accumulates how many leading columns a pair shares. Pairs are dropped by bounds from sizes:
 those of the two sets; the shared leading columns, as all else that is shared lies behind the leading
@@ -38,6 +39,8 @@ from tillbook.llm.spread import attached
 
 #: Rows of a column that still contributes all pairs: its pairs stay below 8 for each of its rows.
 LIGHT = 16
+#: Rows of a heavy column whose pairs between components are all looked at.
+MANY = 512
 #: How much more rows a light column may have in each further incidence of ``_across``.
 GROWTH = 8
 #: Pairs of one row that are multiplied out in one block.
@@ -288,6 +291,12 @@ def _across(rows: DataFrame, percent: int) -> DataFrame | None:
         about = cores.drop("items")
         columns = written(_exploded(cores, ["core", "size", "least", "first", "lo", "hi"]), "core_columns")
         counts = written(columns.groupBy("col").agg(F.count("*").alias("n"), (F.min("lo") < F.max("hi")).alias("crosses")), "core_counts")
+        # no column of that few rows, so what few means can grow at once
+        least_rows = counts.where("n > 1 and crosses").agg(F.min("n")).first()[0]
+        if least_rows is None:
+            break
+        while few < least_rows:
+            few *= GROWTH
         counted = written(attached(columns, counts.where("n > 1").withColumnRenamed("n", "rows"), ["col"], counts).fillna(1, ["rows"]), "counted")
         place = F.row_number().over(Window.partitionBy("core").orderBy("rows", "col"))
         leading = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - needed(F.col("least")) + 1)
@@ -385,15 +394,30 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         placed = info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "key", "first_id", "n", F.coalesce("label", "fp").alias("label"))
         placed = written(placed, "placed")
         # a column is settled if all of its rows are in one component
-        label_of = placed.select("key", F.xxhash64("label").alias("label"))
-        open_ = at_pivot.join(label_of, "key").groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("col", F.lit(True).alias("open"))
-        left = attached(heavy, open_, ["col"], counts.where(F.col("n") > LIGHT)).where("open").select("key").distinct()
-        left = written(left.join(placed, "key"), "left")
-        if not left.isEmpty():
-            sets = _wanted_sets(documents, width, base, left.select("fp", "key", F.col("first_id").alias("id")))
-            more = written(_across(left.select("fp", "n", "label").join(sets, "fp"), percent), "more_links")
-            if not more.isEmpty():
-                labels = components(links.union(more))
+        about = placed.select("key", "n", F.xxhash64("label").alias("label"))
+        at_label = written(heavy.join(about, "key"), "at_label")
+        sides = at_label.groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows"))
+        open_ = written(sides.where("lo <> hi").select("col", "rows"), "open_columns")
+        more = [links]
+        medium = at_label.join(open_.where(F.col("rows") <= MANY), "col").select("col", "key", "n", "label")
+        other = medium.select("col", *[F.col(c).alias(f"other_{c}") for c in ("key", "n", "label")])
+        sizes = (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")) & (F.col("key") < F.col("other_key"))
+        crossing = medium.join(other, "col").where((F.col("label") != F.col("other_label")) & sizes).select(F.col("key").alias("x"), F.col("other_key").alias("y")).distinct()
+        # a pair that shares light columns has been decided, so these count for none here
+        crossing = (
+            crossing.alias("p").join(sized.alias("x"), F.col("p.x") == F.col("x.key")).join(sized.alias("y"), F.col("p.y") == F.col("y.key"))
+            .where(_may_link("x", "y", percent, F.lit(0))).select(_pair_columns())
+        )
+        crossing = written(crossing, "crossing")
+        if not crossing.isEmpty():
+            more.append(written(_linked(documents, width, base, percent, crossing), "crossing_links"))
+        large = attached(heavy, open_.where(F.col("rows") > MANY), ["col"], counts.where(F.col("n") > LIGHT)).where("rows is not null").select("key").distinct()
+        large = written(large.join(placed, "key"), "large")
+        if not large.isEmpty():
+            sets = _wanted_sets(documents, width, base, large.select("fp", "key", F.col("first_id").alias("id")))
+            more.append(written(_across(large.select("fp", "n", "label").join(sets, "fp"), percent), "across_links"))
+        if len(more) > 1:
+            labels = components(reduce(DataFrame.unionAll, more))
 
     return rows, info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), base
 
