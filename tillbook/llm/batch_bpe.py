@@ -21,10 +21,10 @@ from tillbook.llm.common import pieces
 from tillbook.llm.shingles import LONG, lowered_words
 
 #: Distinct chunks and words that a worker process keeps; beyond, it starts anew.
-KEPT_CHUNKS = 600_000
-KEPT_WORDS = 600_000
+KEPT_CHUNKS = 200_000
+KEPT_WORDS = 200_000
 #: Bytes of the chunks that a worker process keeps; beyond, too, it starts anew.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 16 << 20
 #: Bytes that are compared at once.
 COMPARED = 1 << 19
 _NONE = np.iinfo(np.int64).max

@@ -24,9 +24,9 @@ import regex
 
 #: Distinct words, prefixes and words with their punctuation that a worker process keeps; beyond, it
 #: starts anew.
-KEPT_WORDS = 600_000
-KEPT_PREFIXES = 1_200_000
-KEPT_CHUNKS = 500_000
+KEPT_WORDS = 200_000
+KEPT_PREFIXES = 500_000
+KEPT_CHUNKS = 200_000
 
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _SPACE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -102,7 +102,9 @@ class Encoder:
         self._halves = {left + right: (left, right) for left, right in reversed(self.rank)}
         self._spines: dict[tuple[str, int], list[tuple[str, int]]] = {}
         self._follows: dict[tuple[str, str], bool] = {}
-        self._states: dict[str, str] = {"": ""}
+        # the trie: a node's child by symbol, and the last token of the encoding of each node's prefix
+        self._child: dict[tuple[int, str], int] = {}
+        self._states = [""]
         self._words: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
 
@@ -140,35 +142,44 @@ class Encoder:
 
     # -- trie ----------------------------------------------------------------------------------
 
-    def _last(self, word: str, depth: int, closed: bool) -> str:
-        """The last token of the encoding of ``word[:depth]``, given the states of shorter prefixes."""
+    def _last(self, word: str, depth: int, closed: bool, path: list[int]) -> str:
+        """The last token of the encoding of ``word[:depth]``, given the nodes of shorter prefixes."""
         tokens, lengths = (self._final, self._final_lengths) if closed else (self._inner, self._inner_lengths)
         states, follows = self._states, self._follows
         for length in lengths.get(word[max(depth - 2, 0) : depth], (1,)):
             if length <= depth and (token := tokens.get(word[depth - length : depth])):
-                before = states[word[: depth - length]]
+                before = states[path[depth - length]]
                 if (known := follows.get((before, token))) or known is None and self._may_follow(before, token):
                     return token
         raise ValueError(f"no token of the vocabulary ends {word[:depth]!r}")
 
     def insert(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Walk words through the trie; their ids as unsigned 32-bit integers."""
-        states, ids, out = self._states, self.ids, {}
+        """Walk words through the trie, in order, so that each goes on from the prefix it shares with the one before;
+        their ids as unsigned 32-bit integers."""
+        states, child, ids, out = self._states, self._child, self.ids, {}
         if len(states) > KEPT_PREFIXES:
-            states.clear()
-            states[""] = ""
+            states[1:] = []
+            child.clear()
+        path, before = [0], ""
         for word in sorted(words):
             symbols = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self._symbols)
-            depth = len(symbols) - 1
-            while symbols[:depth] not in states:
-                depth -= 1
-            for d in range(depth + 1, len(symbols)):
-                states[symbols[:d]] = self._last(symbols, d, closed=False)
-            token = self._last(symbols, len(symbols), closed=True)
+            most = min(len(path), len(symbols)) - 1
+            shared = next((d for d in range(most) if symbols[d] != before[d]), most)
+            del path[shared + 1 :]
+            for d in range(shared + 1, len(symbols)):
+                edge = path[-1], symbols[d - 1]
+                node = child.get(edge)
+                if node is None:
+                    state = self._last(symbols, d, False, path)
+                    node = child[edge] = len(states)
+                    states.append(state)
+                path.append(node)
+            before = symbols
+            token = self._last(symbols, len(symbols), True, path)
             found = [ids[token]]
             at = len(symbols) - len(token) + len(self.end)
             while at:
-                token = states[symbols[:at]]
+                token = states[path[at]]
                 found.append(ids[token])
                 at -= len(token)
             found.reverse()
