@@ -17,9 +17,9 @@ def main() -> None:
     parser.add_argument("--raw-table", default=RAW_TABLE)
     parser.add_argument("--warehouse-table", default=WAREHOUSE_TABLE)
     parser.add_argument("--multi-line", action="store_true", help="allow line breaks inside quotes")
-    parser.add_argument("--date-pattern", default=DATE_PATTERN)
+    parser.add_argument("--date-pattern", default=DATE_PATTERN, help="auto: the one that fits most dates")
     parser.add_argument("--encoding", default="UTF-8", help="of the source files")
-    parser.add_argument("--scale", type=int, default=SCALE, help="decimals of money and ratings")
+    parser.add_argument("--scale", default=str(SCALE), help="decimals of money and ratings; auto: as many as the numbers need")
     parser.add_argument("--round-digits", action="store_true", help="round further decimals and count them")
     parser.add_argument("--growth", type=float, default=1.0, help="size of the source by that of its files")
     parser.add_argument("--keep", type=int, default=2, help="versions of each table that stay; 0 keeps all")
@@ -28,8 +28,8 @@ def main() -> None:
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("tillbook").getOrCreate()
     result = run(
-        spark, args.source, args.root, args.raw_table, args.warehouse_table, args.multi_line, args.date_pattern,
-        args.encoding, args.scale, args.round_digits, args.growth, args.keep or None, args.replace_definition,
+        spark, args.source, args.root, args.raw_table, args.warehouse_table, args.multi_line,
+        None if args.date_pattern == "auto" else args.date_pattern, args.encoding, None if args.scale == "auto" else int(args.scale), args.round_digits, args.growth, args.keep or None, args.replace_definition,
     )
     for name, count in result.metrics.asDict().items():
         print(f"{name}: {count}")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.functions import sale_time
+from tillbook.functions import date_pattern_of, sale_time
 from tillbook.operators import quality
 from tillbook.operators.cleaning import (
     DATE_PATTERN, FLAGS, cleaning_audit, coerce_types, drop_constant_column, keep_first, with_flags,
@@ -155,10 +155,14 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN,
     return WarehouseLoad(f"{path}/{_REJECTED}=false", schema, rows, audit, profile)
 
 
-def refresh(raw_sales: DataFrame, root: str, date_pattern: str = DATE_PATTERN, version: str | None = None) -> Refresh:
-    """Write new versions of the raw and the warehouse table, with their row counts side by side."""
+def refresh(raw_sales: DataFrame, root: str, date_pattern: str | None = DATE_PATTERN, version: str | None = None) -> Refresh:
+    """Write new versions of the raw and the warehouse table, with their row counts side by side. Without a date
+    pattern it is taken from the dates, see ``date_pattern_of``."""
     with _timed("raw load"):
         raw = load_raw(raw_sales, root, version)
+    if date_pattern is None:
+        date_pattern = date_pattern_of(raw.rows)
+        log.info("dates are written %s", date_pattern)
     with _timed("cleaning and warehouse load"):
         warehouse = load_warehouse(raw.rows, root, date_pattern, version)
     audit = warehouse.audit.first()
@@ -180,9 +184,9 @@ def run(
     raw_table: str = RAW_TABLE,
     warehouse_table: str = WAREHOUSE_TABLE,
     multi_line: bool = False,
-    date_pattern: str = DATE_PATTERN,
+    date_pattern: str | None = DATE_PATTERN,
     encoding: str = "UTF-8",
-    scale: int = SCALE,
+    scale: int | None = SCALE,
     round_digits: bool = False,
     growth: float = 1.0,
     keep: int | None = 2,
@@ -191,7 +195,7 @@ def run(
     """One full refresh from CSV; raises without publishing anything when the data is rejected.
 
     ``root`` is a folder that all executors share, used by one load at a time. ``encoding``, ``scale`` and
-    ``round_digits``: see ``read_sales_csv``. ``growth``: how much larger the source is than its files,
+    ``round_digits``: see ``read_sales_csv``. ``date_pattern`` and ``scale`` of None: as the data need. ``growth``: how much larger the source is than its files,
     say 5 for gzip; the session's partition settings follow it while the load runs. ``keep``: versions of
     each table that stay, the published one included; the folders of a rejected load go. None keeps
     everything. ``replace_definition``: see ``publish_together``.

@@ -10,6 +10,7 @@ WAREHOUSE_TABLE = "warehouse_supermarket_sales"
 
 #: Decimals of money and ratings, unless a load asks for others.
 SCALE = 4
+MAX_SCALE = 18
 MONEY = T.DecimalType(14 + SCALE, SCALE)
 MARGIN = T.DecimalType(20, 9)
 
@@ -36,9 +37,9 @@ RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
 
 def with_scale(schema: T.StructType, scale: int) -> T.StructType:
-    """The schema with ``scale`` decimals (2 to 18) for money and ratings; 14 whole digits stay."""
-    if not 2 <= scale <= 18:
-        raise ValueError(f"scale must be from 2 to 18: {scale}")
+    """The schema with ``scale`` decimals (2 to MAX_SCALE) for money and ratings; 14 whole digits stay."""
+    if not 2 <= scale <= MAX_SCALE:
+        raise ValueError(f"scale must be from 2 to {MAX_SCALE}: {scale}")
     money = T.DecimalType(14 + scale, scale)
     return T.StructType([T.StructField(f.name, money if f.dataType == MONEY else f.dataType) for f in schema])
 

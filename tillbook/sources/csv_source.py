@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.functions import lossy, missing_to_null, numbers_fit, whole_number
-from tillbook.schema import ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, ROUNDED, SCALE, order_columns, with_scale
+from tillbook.functions import decimals_needed, lossy, missing_to_null, numbers_fit, whole_number
+from tillbook.schema import MAX_SCALE, MONEY, ORDER_PREFIX, RAW_COLUMNS, RAW_SCHEMA, ROUNDED, SCALE, order_columns, with_scale
 from tillbook.sources.quoted_lines import read_records
 
 _CORRUPT = "_corrupt"
@@ -198,12 +198,13 @@ def _by_records(spark: SparkSession, path: str, header: list[str], dialect: dict
 
 
 def read_sales_csv(
-    spark: SparkSession, path: str, multi_line: bool = False, encoding: str = "UTF-8", scale: int = SCALE, round_digits: bool = False
+    spark: SparkSession, path: str, multi_line: bool = False, encoding: str = "UTF-8", scale: int | None = SCALE, round_digits: bool = False
 ) -> DataFrame:
     """Read one headered CSV file, or a folder of files with the same header, as raw sales.
 
     Files are in ``encoding``. Bytes that aren't in it are an error that names the file, as two different
-    names could become one. ``scale`` and ``round_digits``: see ``to_raw``.
+    names could become one. ``scale`` and ``round_digits``: see ``to_raw``; a scale of None is what the numbers
+    need, SCALE at least, which takes a pass over the files for it alone.
 
     Every field is read as text and typed afterwards. ``multi_line`` allows line breaks inside quotes. Files are
     read by splits all the same, but a second time, for where their quotes are open; so it is off by default,
@@ -235,4 +236,12 @@ def read_sales_csv(
         F.col("_row").alias(f"{ORDER_PREFIX}row"),
         _CORRUPT,
     )
-    return to_raw(rows.where(_well_formed(names, multi_line)).drop(_CORRUPT), scale, round_digits)
+    rows = rows.where(_well_formed(names, multi_line)).drop(_CORRUPT)
+    return to_raw(rows, scale_needed(rows) if scale is None else scale, round_digits)
+
+
+def scale_needed(texts: DataFrame) -> int:
+    """The decimals that money and ratings need, SCALE at least and no more than a column can have."""
+    money = [f.name for f in RAW_SCHEMA if f.dataType == MONEY and f.name in texts.columns]
+    found = decimals_needed(texts, money).agg(F.max("decimals")).first()[0] if money else 0
+    return min(max(found, SCALE), MAX_SCALE)

@@ -139,6 +139,46 @@ def _removed_by_reason():
     ])
 
 
+# Patterns of dates, and the same for DuckDB.
+_PATTERNS = {
+    "M/d/yyyy": "%-m/%-d/%Y", "d/M/yyyy": "%-d/%-m/%Y", "yyyy/M/d": "%Y/%-m/%-d", "M-d-yyyy": "%-m-%-d-%Y", "d-M-yyyy": "%-d-%-m-%Y", "yyyy-M-d": "%Y-%-m-%-d",
+}
+
+
+def _date_patterns():
+    texts = "(SELECT CASE WHEN l_partkey % 79 = 0 THEN '2/30/2000' ELSE date END AS text FROM raw)"
+    return _STAGES + " UNION ALL ".join(
+        f"SELECT '{p}' AS pattern, count(try_strptime(text, '{d}')) AS parsed, count(text) AS texts FROM {texts}" for p, d in _PATTERNS.items()
+    )
+
+
+def _decimals():
+    numbers = ("unit_price", "tax_5", "total", "cogs", "gross_margin_percentage", "gross_income", "rating")
+    return _STAGES + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, coalesce(max(length(rtrim(split_part({c}::VARCHAR, '.', 2), '0'))), 0) AS decimals FROM raw" for c in numbers
+    )
+
+
+def _report_pack():
+    keys = ("branch", "city", "product_line", "customer_type", "gender", "payment", "month")
+    sets = {
+        "revenue_by_branch_city": ("branch", "city"), "top_product_lines": ("product_line",), "customer_segment_spend": ("customer_type", "gender"),
+        "payment_mix": ("payment",), "monthly_revenue": ("month",), "branch_revenue_sample": ("branch",), "null_profile": (),
+    }
+
+    def part(name, columns):
+        shown = ", ".join(f"{k if k in columns else 'NULL'} AS {k}" for k in keys)
+        nulls = ", ".join(f"CAST(count(*) FILTER ({c} IS NULL) AS BIGINT) AS no_{c}" for c in ("invoice_id", "branch", "total", "date"))
+        return (
+            f"SELECT '{name}' AS report, {shown}, count(*) AS rows, {_money('sum(total)')} AS total, count(total) AS totals, "
+            f"{_money('sum(rating)')} AS rating, count(rating) AS ratings, {nulls}, count(*) FILTER ({_ANY_NULL}) AS incomplete, "
+            "count(*) FILTER (total <= 0 OR quantity <= 0) AS not_positive FROM (SELECT *, strftime(date, '%Y-%m') AS month FROM warehouse)"
+            + (f" GROUP BY {', '.join(columns)}" if columns else "")
+        )
+
+    return _STAGES + " UNION ALL ".join(part(n, c) for n, c in sets.items())
+
+
 def sql() -> dict[str, str]:
     loaded = f"SELECT {_WAREHOUSE} FROM warehouse"
     queries = {
@@ -199,6 +239,9 @@ def sql() -> dict[str, str]:
     return {name: _STAGES + body for name, body in queries.items()} | {
         "constraint_violations": _constraints(),
         "removed_by_reason": _removed_by_reason(),
+        "date_pattern_evidence": _date_patterns(),
+        "decimals_needed": _decimals(),
+        "report_pack": _report_pack(),
         "dq_not_empty": _checks(1),
         "dq_null_critical": _checks(2),
         "dq_duplicate_keys": _checks(3),

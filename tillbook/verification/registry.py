@@ -4,10 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillbook.functions import date_evidence, decimals_needed, money
+from tillbook.functions.evidence import DATE_PATTERNS
 from tillbook.operators import cleaning, quality
 from tillbook.plans import daily_load, reports
-from tillbook.schema import CRITICAL, KEY, RAW_COLUMNS, WAREHOUSE_COLUMNS
+from tillbook.schema import CRITICAL, KEY, RAW_COLUMNS, RAW_SCHEMA, WAREHOUSE_COLUMNS
 from tillbook.sources.csv_source import normalize_headers, source_profile
 from tillbook.sources.tables import read_staged, shared_root, stage
 from tillbook.verification.star import bad_dates, bad_times, missing_values, number_texts, raw_sales
@@ -119,6 +122,21 @@ def _dq_report(spark, sf_dir):
     return reports_by_table[0].union(reports_by_table[1])
 
 
+def _date_pattern_evidence(spark, sf_dir):
+    return date_evidence(raw_sales(spark, sf_dir, ["date"], bad_dates()), patterns=DATE_PATTERNS[:6])
+
+
+def _decimals_needed(spark, sf_dir):
+    numbers = [f.name for f in RAW_SCHEMA if isinstance(f.dataType, T.DecimalType)]
+    return decimals_needed(raw_sales(spark, sf_dir, numbers), numbers)
+
+
+def _report_pack(spark, sf_dir):
+    packed = reports.pack(_warehouse(spark, sf_dir))
+    month = F.date_format("first_day", "yyyy-MM").alias("month")
+    return packed.select("*", month).drop("first_day").withColumn("total", money(F.col("total"))).withColumn("rating", money(F.col("rating")))
+
+
 QUERIES: dict[str, Query] = {
     "source_profile": _source_profile,
     "raw_load": _raw_load,
@@ -159,4 +177,7 @@ QUERIES: dict[str, Query] = {
     "branch_revenue_sample": _on_warehouse(reports.branch_revenue_sample),
     "dq_report": _dq_report,
     "load_reconciliation": _load_reconciliation,
+    "date_pattern_evidence": _date_pattern_evidence,
+    "decimals_needed": _decimals_needed,
+    "report_pack": _report_pack,
 }
