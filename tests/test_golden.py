@@ -240,6 +240,26 @@ def test_tables_of_another_kind_or_schema(spark, tmp_path):
     assert spark.table("wh_kind").schema["total"].dataType.scale == 6 and spark.table("raw_kind").count() == 13
 
 
+def test_warehouse_stored_by_key(spark, tmp_path):
+    """Uniqueness of the key needs no shuffle of its rows; the layout is part of the definition."""
+    source, out = write(tmp_path, GOLDEN), str(tmp_path / "out")
+    for _ in range(2):
+        result = daily_load.run(spark, source, out, "raw_keyed", "wh_keyed", buckets=3)
+    assert tuple(result.metrics) == (13, 3, 10, 3) and ids(spark.table("wh_keyed")) == ["I-01", "I-07", "I-08"]
+    plan = quality.dq_duplicate_keys(spark.table("wh_keyed"))._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "hashpartitioning" not in plan and plan.count("Exchange") == plan.count("Exchange SinglePartition")
+    assert rows(quality.dq_duplicate_keys(spark.table("wh_keyed")).select("observed", "passed")) == [(0, True)]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("warehouse_load_")]
+    with pytest.raises(tables.SchemaChangedError, match="layout"):
+        daily_load.run(spark, source, out, "raw_keyed", "wh_keyed")
+    daily_load.run(spark, source, out, "raw_keyed", "wh_keyed", replace_definition=True)
+    assert spark.table("wh_keyed").count() == 3
+    twice = write(tmp_path, GOLDEN + GOLDEN.splitlines()[1].replace("I-01", "I-99").replace("Yangon", "") + "\n", "bad.csv")
+    with pytest.raises(quality.ConstraintError):
+        daily_load.run(spark, twice, out, "raw_keyed2", "wh_keyed2", buckets=3)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("warehouse_load_")]
+
+
 def test_scale_rounding_and_encoding_reach_the_tables(spark, tmp_path):
     text = changed("10.00,1,", "10.500000000000002,1,")
     with pytest.raises(PySparkException, match="does not fit"):

@@ -24,12 +24,13 @@ def main() -> None:
     parser.add_argument("--growth", type=float, default=1.0, help="size of the source by that of its files")
     parser.add_argument("--keep", type=int, default=2, help="versions of each table that stay; 0 keeps all")
     parser.add_argument("--replace-definition", action="store_true", help="replace tables of another schema")
+    parser.add_argument("--buckets", type=int, help="store the warehouse by key, in so many files")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("tillbook").getOrCreate()
     result = run(
         spark, args.source, args.root, args.raw_table, args.warehouse_table, args.multi_line,
-        None if args.date_pattern == "auto" else args.date_pattern, args.encoding, None if args.scale == "auto" else int(args.scale), args.round_digits, args.growth, args.keep or None, args.replace_definition,
+        None if args.date_pattern == "auto" else args.date_pattern, args.encoding, None if args.scale == "auto" else int(args.scale), args.round_digits, args.growth, args.keep or None, args.replace_definition, args.buckets,
     )
     for name, count in result.metrics.asDict().items():
         print(f"{name}: {count}")

@@ -20,12 +20,13 @@ from tillbook.operators.cleaning import (
 )
 from tillbook.plans.reports import branch_revenue_sample, row_count
 from tillbook.schema import (
-    CRITICAL, RAW_COLUMNS, RAW_TABLE, ROUNDED, SCALE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns, with_scale,
+    CRITICAL, KEY, RAW_COLUMNS, RAW_TABLE, ROUNDED, SCALE, WAREHOUSE_COLUMNS, WAREHOUSE_SCHEMA, WAREHOUSE_TABLE, order_columns, with_scale,
 )
 from tillbook.sizing import sized_for
 from tillbook.sources.csv_source import read_sales_csv, rounded_counts, source_bytes, to_raw
 from tillbook.sources.tables import (
-    forget_versions, new_version, old_versions, publish_together, read_staged, remove_old_versions, remove_version, stage,
+    drop_staged, forget_versions, new_version, old_versions, publish_together, read_staged, remove_old_versions, remove_version, stage,
+    stage_by_key,
 )
 
 log = logging.getLogger(__name__)
@@ -117,14 +118,20 @@ def _scale(df: DataFrame) -> int:
     return given.scale if known else SCALE
 
 
-def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN, version: str | None = None) -> WarehouseLoad:
+def load_warehouse(
+    raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN, version: str | None = None, buckets: int | None = None
+) -> WarehouseLoad:
     """Clean raw sales into a new version of the warehouse table, in one pass over them.
 
     The rows that cleaning rejects are written too, in a folder beside the clean ones, with flags
     for what is wrong. The counts that cleaning reports then follow from what was written; only
     duplicates are not written, and are the difference to the raw row count. The constraints are
     checked on the written rows as well. A version that breaks one is never published.
+
+    With ``buckets``, the rows are stored by the hash of the key, in as many files of each kind. Then checks of the
+    key and joins by it need no shuffle.
     """
+    version = version or new_version()
     first = raw.transform(keep_first).transform(with_flags)
     judged = first.transform(coerce_types, date_pattern).transform(drop_constant_column)
     stamped = (
@@ -132,10 +139,15 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN,
         .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
         .withColumn(_REJECTED, F.col(FLAGS) != 0)
     )
-    # both kinds of rows stay open, so that the rows need no sort by kind
-    path = stage(stamped, root, "warehouse", _REJECTED, version=version, writers=2)
     schema = _warehouse_schema(raw)
-    written = read_staged(raw.sparkSession, path, T.StructType([*schema.fields, stamped.schema[FLAGS], stamped.schema[_REJECTED]]))
+    kinds = [*schema.fieldNames(), FLAGS, _REJECTED]
+    # both kinds of rows stay open, so that the rows need no sort by kind
+    if buckets:
+        path, table = stage_by_key(stamped, root, "warehouse", KEY, buckets, _REJECTED, version=version, writers=2)
+        written = raw.sparkSession.table(table).select(*kinds)
+    else:
+        path, table = stage(stamped, root, "warehouse", _REJECTED, version=version, writers=2), None
+        written = read_staged(raw.sparkSession, path, T.StructType([*schema.fields, stamped.schema[FLAGS], stamped.schema[_REJECTED]]))
 
     # one scan for what cleaning reports and for the constraints of single rows
     by_flags = quality.row_profile(written.groupBy(FLAGS), F.count(F.lit(1)).alias("n"))
@@ -152,10 +164,15 @@ def load_warehouse(raw: DataFrame, root: str, date_pattern: str = DATE_PATTERN,
     clean = by_flags.where(f"{FLAGS} = 0").drop(FLAGS, "n")
     profile = _computed(quality.table_profile(rows, clean))
     quality.enforce_constraints(quality.constraint_violations(profile))
+    if table:
+        drop_staged(raw.sparkSession, table)
+        rows = read_staged(raw.sparkSession, f"{path}/{_REJECTED}=false", schema)
     return WarehouseLoad(f"{path}/{_REJECTED}=false", schema, rows, audit, profile)
 
 
-def refresh(raw_sales: DataFrame, root: str, date_pattern: str | None = DATE_PATTERN, version: str | None = None) -> Refresh:
+def refresh(
+    raw_sales: DataFrame, root: str, date_pattern: str | None = DATE_PATTERN, version: str | None = None, buckets: int | None = None
+) -> Refresh:
     """Write new versions of the raw and the warehouse table, with their row counts side by side. Without a date
     pattern it is taken from the dates, see ``date_pattern_of``."""
     with _timed("raw load"):
@@ -164,7 +181,7 @@ def refresh(raw_sales: DataFrame, root: str, date_pattern: str | None = DATE_PAT
         date_pattern = date_pattern_of(raw.rows)
         log.info("dates are written %s", date_pattern)
     with _timed("cleaning and warehouse load"):
-        warehouse = load_warehouse(raw.rows, root, date_pattern, version)
+        warehouse = load_warehouse(raw.rows, root, date_pattern, version, buckets)
     audit = warehouse.audit.first()
     counts = {
         "raw_row_count": audit.rows_before,
@@ -191,6 +208,7 @@ def run(
     growth: float = 1.0,
     keep: int | None = 2,
     replace_definition: bool = False,
+    buckets: int | None = None,
 ) -> LoadResult:
     """One full refresh from CSV; raises without publishing anything when the data is rejected.
 
@@ -199,6 +217,7 @@ def run(
     say 5 for gzip; the session's partition settings follow it while the load runs. ``keep``: versions of
     each table that stay, the published one included; the folders of a rejected load go. None keeps
     everything. ``replace_definition``: see ``publish_together``.
+    ``buckets``: see ``load_warehouse``; as many as the shuffle has partitions are best.
 
     Both tables are published by one catalog change, see ``publish_together``: whenever a load ends, they
     are both as before or both new.
@@ -209,12 +228,13 @@ def run(
         try:
             sales = read_sales_csv(spark, source, multi_line, encoding, scale, round_digits)
             log.info("source %s: %.2f KB, columns %s", source, n_bytes / 1024, ", ".join(sales.columns))
-            done = refresh(sales, root, date_pattern, version)
+            done = refresh(sales, root, date_pattern, version, buckets)
             checks = quality.enforce_checks(quality.dq_report(done.warehouse.profile))
             published = True
             tables = {raw_table: (done.raw.path, done.raw.schema), warehouse_table: (done.warehouse.path, done.warehouse.schema)}
-            publish_together(spark, f"{warehouse_table}_published", root, version, tables, replace_definition)
+            publish_together(spark, f"{warehouse_table}_published", root, version, tables, replace_definition, {warehouse_table: (KEY, buckets)} if buckets else None)
         except Exception:
+            drop_staged(spark, f"warehouse_{version}")
             if not published and keep is not None:
                 for name in ("raw", "warehouse"):
                     remove_version(spark, root, name, version)

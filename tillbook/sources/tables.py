@@ -64,6 +64,20 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
+def stage_by_key(df: DataFrame, root: str, name: str, key: str, buckets: int, *partition: str, version: str, writers: int = 0) -> tuple[str, str]:
+    """Like ``stage``, with the rows of each partition dealt to ``buckets`` files by the hash of ``key``. Returns the
+    folder and a table of the catalog that knows of this, for the checks of the load; ``drop_staged`` removes it,
+    not the files. Rows that a shuffle by the key has dealt to as many tasks are written as they come."""
+    path, table = f"{root}/{name}/{version}", f"{name}_{version}"
+    with _open_writers(df.sparkSession, writers):
+        df.write.mode("error").partitionBy(*partition).bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return path, table
+
+
+def drop_staged(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 class SchemaChangedError(ValueError):
     """The new version of a published table has other columns or types."""
 
@@ -101,7 +115,8 @@ def _is_view(spark: SparkSession, name: str) -> bool:
 
 
 def publish_together(
-    spark: SparkSession, pointer: str, root: str, version: str, tables: dict[str, tuple[str, T.StructType]], replace_definition: bool = False
+    spark: SparkSession, pointer: str, root: str, version: str, tables: dict[str, tuple[str, T.StructType]], replace_definition: bool = False,
+    clustered: dict[str, tuple[str, int]] | None = None,
 ) -> None:
     """Let all ``tables`` (name: staged folder and schema) show ``version``, by one catalog change.
 
@@ -110,21 +125,29 @@ def publish_together(
     the pointer is moved to a folder written aside. A crash at any step leaves all tables at the old version, or
     all at the new one, and a repeated call goes on from there. Readers prune the other partitions.
 
-    Another schema is an error, unless ``replace_definition`` is set: then all versions are taken out of the catalog,
+    ``clustered``: for tables that ``stage_by_key`` has laid out, the key and the number of buckets. Another schema
+    or layout is an error, unless ``replace_definition`` is set: then all versions are taken out of the catalog,
     and for a moment there are no tables, as when a table that ``publish`` made becomes a view. Their files stay.
     """
+    layout = {name: (clustered or {}).get(name) for name in tables}
     for name, (_, schema) in tables.items():
-        if spark.catalog.tableExists(name) and (_same := _fields(schema)) != _fields(spark.table(name).schema) and not replace_definition:
-            changed = sorted({n for n, _ in set(_same) ^ set(_fields(spark.table(name).schema))}) or "order of columns"
-            raise SchemaChangedError(f"{name} has another schema: {changed}; replace_definition would replace it")
+        versions = f"{name}_versions"
+        if spark.catalog.tableExists(name) and not replace_definition:
+            ours, theirs = _fields(schema), _fields(spark.table(name).schema)
+            if ours != theirs:
+                changed = sorted({n for n, _ in set(ours) ^ set(theirs)}) or "order of columns"
+                raise SchemaChangedError(f"{name} has another schema: {changed}; replace_definition would replace it")
+            if spark.catalog.tableExists(versions) and _layout(spark, versions) != layout[name]:
+                raise SchemaChangedError(f"{name} has another layout: {_layout(spark, versions)}; replace_definition would replace it")
     for name, (path, schema) in tables.items():
         if spark.catalog.tableExists(name) and not _is_view(spark, name):
             spark.sql(f"DROP TABLE {name}")
         versions = f"{name}_versions"
-        if spark.catalog.tableExists(versions) and _fields(spark.table(versions).drop(_LOAD).schema) != _fields(schema):
+        if spark.catalog.tableExists(versions) and (_fields(spark.table(versions).drop(_LOAD).schema), _layout(spark, versions)) != (_fields(schema), layout[name]):
             spark.sql(f"DROP VIEW IF EXISTS {name}")
             spark.sql(f"DROP TABLE {versions}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {versions} ({_columns(schema)}, {_LOAD} string) USING parquet PARTITIONED BY ({_LOAD}) LOCATION {_location(f'{root}/none')}")
+        by_key = "CLUSTERED BY ({}) INTO {} BUCKETS".format(*layout[name]) if layout[name] else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {versions} ({_columns(schema)}, {_LOAD} string) USING parquet PARTITIONED BY ({_LOAD}) {by_key} LOCATION {_location(f'{root}/none')}")
         spark.sql(f"ALTER TABLE {versions} ADD IF NOT EXISTS PARTITION ({_LOAD} = '{version}') LOCATION {_location(path)}")
         spark.catalog.refreshTable(versions)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {pointer} ({_LOAD} string) USING parquet LOCATION {_location(f'{root}/none')}")
@@ -150,6 +173,14 @@ def forget_versions(spark: SparkSession, name: str, versions: list[str]) -> None
     spark.catalog.refreshTable(f"{name}_versions")
 
 
+def _layout(spark: SparkSession, table: str) -> tuple[str, int] | None:
+    """Key and number of buckets of a table, if it has any."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if not described.get("Num Buckets"):
+        return None
+    return described["Bucket Columns"].strip("[]`"), int(described["Num Buckets"])
+
+
 def _fields(schema: T.StructType) -> list[tuple[str, T.DataType]]:
     return [(f.name, f.dataType) for f in schema]
 
