@@ -28,11 +28,11 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.llm.common import pieces, written
+from tillbook.llm.common import parts_for, pieces, written
 from tillbook.llm.graph import components
 from tillbook.llm.shingles import draw_base, shingle_sets
 from tillbook.llm.spread import attached
@@ -43,6 +43,8 @@ LIGHT = 16
 MANY = 512
 #: How much more rows a light column may have in each further incidence of ``_across``.
 GROWTH = 8
+#: Heavy columns that go to the workers at once: 8 MB.
+SENT_COLUMNS = 1 << 20
 #: Pairs of one row that are multiplied out in one block.
 BLOCK_PAIRS = 256
 #: Buckets in which columns are counted to order them: 2 MB on the driver and each worker.
@@ -233,47 +235,75 @@ def _linked(documents: DataFrame, width: int, base: int, percent: int, pairs: Da
     return pairs.join(found, ["a", "b"]).where(reached).select("a", "b")
 
 
-def _exploded(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """A row with ``keep`` and col for each item of each row."""
-    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("col", T.LongType())])
-    names = schema.names
+def _column_counts(cores: DataFrame) -> DataFrame:
+    """(col, rows) of the columns of several cores."""
 
     def run(batches):
-        for piece in pieces(batches, 16):
+        for piece in pieces(batches, 64):
             items = [np.frombuffer(v.as_buffer(), np.int64) for v in piece.column("items")]
-            at = pa.array(np.repeat(np.arange(len(items)), [len(i) for i in items]))
-            yield pa.RecordBatch.from_arrays([*[piece.column(c).take(at) for c in names[:-1]], pa.array(np.concatenate(items))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(items))], names=["col"])
 
-    return rows.select(*keep, "items").mapInArrow(run, schema)
+    return cores.select("items").mapInArrow(run, "col long").groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1")
 
 
-def _with_items(rows: DataFrame) -> DataFrame:
-    """``rows`` with the array ``cols`` as ``items``, the way sets are kept."""
-    kept = [f for f in rows.schema.fields if f.name != "cols"]
-    names = [f.name for f in kept]
+def _marked(cores: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``cores`` with ``heavy``, a byte for each item that says whether it is a heavy column. These go to the workers in
+    parts of bounded size, one pass over a row for each."""
+    names, schema = [*cores.columns, "heavy"], T.StructType([*cores.schema.fields, T.StructField("heavy", T.BinaryType())])
+    parts = parts_for(heavy.count(), SENT_COLUMNS)
+    marked = cores.withColumn("heavy", F.lit(None).cast("binary"))
+    for k in range(parts):
+        some = heavy.where(F.pmod("col", F.lit(parts)) == k).select("col").toArrow().column("col").to_numpy()
+        sent = cores.sparkSession.sparkContext.broadcast(np.sort(some))
 
-    def run(batches):
-        for piece in pieces(batches):
-            items = [np.sort(v.values.to_numpy().view(np.uint64)).tobytes() for v in piece.column("cols")]
-            yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], pa.array(items, pa.binary())], names=[*names, "items"])
+        def run(batches, sent=sent):
+            known = sent.value
+            for piece in pieces(batches):
+                masks = []
+                for items, mask in zip(piece.column("items"), piece.column("heavy").to_pylist()):
+                    columns = np.frombuffer(items.as_buffer(), np.int64)
+                    found = known[np.minimum(np.searchsorted(known, columns), len(known) - 1)] == columns if len(known) else np.zeros(len(columns), bool)
+                    masks.append((found | np.frombuffer(mask, bool) if mask else found).tobytes())
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(masks, pa.binary())], names=names)
+
+        marked = marked.mapInArrow(run, schema)
+    return marked
 
-    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("items", T.BinaryType())]))
 
+def _split(marked: DataFrame, percent: int) -> DataFrame:
+    """For each row its leading light columns, a row each, and, if the heavy ones can reach the threshold by themselves,
+    a row with these as ``items`` and their fingerprint ``next``."""
+    schema = "core binary, lo long, hi long, least long, first binary, size int, col long, next binary, items binary"
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
-def _across(rows: DataFrame, percent: int) -> DataFrame | None:
+    def run(batches):
+        for piece in pieces(batches):
+            out: list[tuple] = []
+            fields = (piece.column(n).to_pylist() for n in ("core", "lo", "hi", "least", "first"))
+            for *row, items, mask in zip(*fields, piece.column("items"), piece.column("heavy")):
+                columns, heavy = np.frombuffer(items.as_buffer(), np.uint64), np.frombuffer(mask.as_buffer(), bool)
+                needed = -(-percent * row[3] // 100)
+                light = columns[~heavy].view(np.int64)
+                out += [(*row, len(columns), c, None, None) for c in light[: len(columns) - needed + 1].tolist()]
+                left = columns[heavy]
+                if len(left) >= needed:
+                    out.append((*row, len(left), None, _print(left), left.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=[n.split()[0] for n in schema.split(", ")])
+
+    return marked.mapInArrow(run, schema)
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b) links that join the components of ``rows`` (fp, n, label, items), as far as pairs of rows that reach
     the threshold have other labels. Not all such pairs, but enough for the components.
 
-    Columns are ordered by their exact counts, rare ones first. The first column that two linking rows share is among
-    the leading ones of both. If few rows have it, the pair comes from it. Else all they share is in many rows;
-    what a row has of such columns is its core, and the overlap of two such rows that of their cores. So rows
-    with one core are one row of the next incidence, with the size of the smallest, and the smallest links
+    Columns are ordered light ones first: those that few rows have, by exact counts. The first column that two linking
+    rows share is among the leading ones of both. If it is light, the pair comes from it. Else all they share is
+    heavy; what a row has of heavy columns is its core, and the overlap of two such rows that of their cores. So
+    rows with one core are one row of the next incidence, with the size of the smallest, and the smallest links
     to all that it may link to by size. There, what few and many means grows by GROWTH.
     """
 
-    def needed(n: Column) -> Column:
-        return F.ceil(percent * n / 100)
-
     def links(of: Column) -> Column:
         """The most that two sizes may add up to with an overlap."""
         return F.floor(of * (100 + percent) / percent)
@@ -284,51 +314,41 @@ def _across(rows: DataFrame, percent: int) -> DataFrame | None:
     cores = rows.select(
         F.col("fp").alias("core"), F.col("n").cast("int").alias("size"), F.col("n").alias("least"), F.col("fp").alias("first"), label.alias("lo"), label.alias("hi"), "items"
     )
-    out: list[DataFrame] = []
+    out = [members.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)]
     few = LIGHT
     while True:
         cores = written(cores, "cores")
         about = cores.drop("items")
-        columns = written(_exploded(cores, ["core", "size", "least", "first", "lo", "hi"]), "core_columns")
-        counts = written(columns.groupBy("col").agg(F.count("*").alias("n"), (F.min("lo") < F.max("hi")).alias("crosses")), "core_counts")
-        # no column of that few rows, so what few means can grow at once
-        least_rows = counts.where("n > 1 and crosses").agg(F.min("n")).first()[0]
-        if least_rows is None:
-            break
-        while few < least_rows:
-            few *= GROWTH
-        counted = written(attached(columns, counts.where("n > 1").withColumnRenamed("n", "rows"), ["col"], counts).fillna(1, ["rows"]), "counted")
-        place = F.row_number().over(Window.partitionBy("core").orderBy("rows", "col"))
-        leading = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - needed(F.col("least")) + 1)
-        leading = leading.where((F.col("rows") > 1) & (F.col("rows") <= few) & F.col("crosses")).select("col", "core", "lo", "hi", "size", "least")
+        counts = written(_column_counts(cores), "core_counts")
+        most = counts.agg(F.max("rows")).first()[0] or 0
+        split = written(_split(_marked(cores, counts.where(F.col("rows") > few)), percent), "split_cores")
+        shared = counts.where(F.col("rows") <= few).select("col")
+        leading = split.where("next is null").join(shared, "col", "left_semi").select("col", "core", "lo", "hi", "size", "least")
         other = leading.select("col", *[F.col(c).alias(f"other_{c}") for c in leading.columns if c != "col"])
-        most = F.least("size", "other_size")
-        pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(most) >= F.col("least") + F.col("other_least"))
+        pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(F.least("size", "other_size")) >= F.col("least") + F.col("other_least"))
         pairs = written(pairs.select(F.col("core").alias("a"), F.col("other_core").alias("b")).distinct(), "core_pairs")
         if not pairs.isEmpty():
-            shared = written(overlaps(pairs, cores.select(F.col("core").alias("fp"), "items")), "core_overlaps")
+            found = written(overlaps(pairs, cores.select(F.col("core").alias("fp"), "items")), "core_overlaps")
             for near, far in (("a", "b"), ("b", "a")):
-                starred = shared.join(about.select(F.col("core").alias(near), "first", "least"), near)
+                starred = found.join(about.select(F.col("core").alias(near), "first", "least"), near)
                 starred = starred.join(members.select(F.col("core").alias(far), "fp", F.col("n").alias("size")), far)
                 out.append(starred.where(F.col("least") + F.col("size") <= links(F.col("shared"))).select(F.col("first").alias("a"), F.col("fp").alias("b")))
-        heavy = counted.where(F.col("rows") > few)
-        core = F.sort_array(F.collect_list("col")).alias("cols")
-        smaller = heavy.groupBy("core").agg(core, *[F.first(c).alias(c) for c in ("least", "first", "lo", "hi")]).where(F.size("cols") >= needed(F.col("least")))
-        smaller = written(smaller.withColumn("next", F.unhex(F.sha2(F.concat_ws(",", F.col("cols").cast("array<string>")), 256))), "smaller_cores")
+        if most <= few:
+            break
+        smaller = split.where("next is not null")
         best = F.min(F.struct("least", "first"))
-        merged = smaller.groupBy("next").agg(F.first("cols").alias("cols"), best.alias("best"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        merged = written(
-            merged.select(F.col("next").alias("core"), "cols", F.size("cols").alias("size"), "best.least", "best.first", "lo", "hi"), "merged_cores"
-        )
+        merged = smaller.groupBy("next").agg(F.first("items").alias("items"), F.first("size").alias("size"), best.alias("best"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        merged = written(merged.select(F.col("next").alias("core"), "size", "best.least", "best.first", "lo", "hi", "items"), "merged_cores")
         members = attached(members, smaller.select("core", "next"), ["core"]).where("next is not null").select(F.col("next").alias("core"), "fp", "n")
-        members = written(attached(members, merged.select("core", "size"), ["core"]).where(F.col("size") >= needed(F.col("n"))).drop("size"), "core_members")
+        members = attached(members, merged.select("core", "size"), ["core"]).where(100 * F.col("size") >= percent * F.col("n")).drop("size")
+        members = written(members, "core_members")
         inside = attached(members, merged.where("lo < hi").select("core", "least", "first", "size"), ["core"])
         out.append(inside.where((F.col("fp") != F.col("first")) & (F.col("least") + F.col("n") <= links(F.col("size")))).select(F.col("first").alias("a"), F.col("fp").alias("b")))
         if merged.agg(F.min("lo") < F.max("hi")).first()[0] is not True:
             break
-        cores = _with_items(merged)
+        cores = merged
         few *= GROWTH
-    return reduce(DataFrame.unionAll, out).distinct() if out else None
+    return reduce(DataFrame.unionAll, out).distinct()
 
 
 def _may_link(x: str, y: str, percent: int, shared: Column) -> Column:
