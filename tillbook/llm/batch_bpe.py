@@ -8,7 +8,7 @@ uses that need ids only, by merging with numpy, in each step the first of the be
 """
 
 import hashlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -86,16 +86,25 @@ def unlike(buffer: bytes, starts: np.ndarray, ends: np.ndarray, other: np.ndarra
 
 class BatchEncoder:
     def __init__(self, path: str):
-        self.base = Encoder(path)
-        ids, end, symbols = self.base.ids, self.base.end, self.base.byte_symbols
+        self.path, base = path, self._kept(path)
+        ids, end, symbols = base.ids, base.end, base.byte_symbols
         self._inner = np.array([ids[symbols[b]] for b in range(256)], np.int64)
         self._final = np.array([ids[symbols[b] + end] for b in range(256)], np.int64)
-        pairs = np.array([(ids[a] << 32 | ids[b], rank) for (a, b), rank in self.base.rank.items()], np.int64)
+        pairs = np.array([(ids[a] << 32 | ids[b], rank) for (a, b), rank in base.rank.items()], np.int64)
         pairs = pairs[np.argsort(pairs[:, 0])]
         self._pairs, self._ranks = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
-        self._merged = np.array([ids[a + b] for a, b in self.base.rank], np.int64)
+        self._merged = np.array([ids[a + b] for a, b in base.rank], np.int64)
         self._start()
 
+    def _kept(self, path: str) -> Encoder:
+        """The whole vocabulary, which isn't kept: merging needs the arrays only."""
+        return Encoder(path)
+
+    @cached_property
+    def base(self) -> Encoder:
+        """For texts with special tokens."""
+        return Encoder(self.path)
+
     def _start(self) -> None:
         self._chunk_at: dict[bytes, int] = {}
         self._chunk_bytes = 0
@@ -195,6 +204,9 @@ class BatchEncoder:
 class TrieEncoder(BatchEncoder):
     """Encodes new words by the trie, and keeps the decoding of every chunk."""
 
+    def _kept(self, path: str) -> Encoder:
+        return self.base
+
     def _start(self) -> None:
         super()._start()
         self._chunk_texts: list[bytes] = []

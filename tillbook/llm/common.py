@@ -13,7 +13,20 @@ from tillbook.sources.tables import shared_root
 PIECE_ROWS = 256
 
 
+#: Bytes of the batches in which texts go to Python and back, and Spark's own default.
+BATCH_BYTES, _DEFAULT_BATCH_BYTES = "4194304b", "67108864b"
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let texts go to Python in batches of a few MB, unless the session has a setting of its own. Both sides hold a
+    batch for each task, in memory that they don't give back."""
+    if spark.conf.get(_BATCHES) == _DEFAULT_BATCH_BYTES:
+        spark.conf.set(_BATCHES, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
