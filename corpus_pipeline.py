@@ -8,14 +8,15 @@ are tested against brute force and held-out labels.
 from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.llm import jaccard, langid, packing, quality
-from tillbook.llm.common import table, written
+from tillbook.llm.common import small_batches, table, written
 from tillbook.llm.queries import VOCABULARY
 
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: those without a letter."""
+    """Documents without a language go: those without a letter, and those mostly in none of the languages."""
+    small_batches(spark)
     return langid.keep_identified(docs, langid.learn(docs))
 
 
