@@ -1,11 +1,11 @@
 """Word shingles of whole texts as sets of 64-bit hashes, made for many texts at a time with numpy.
 
 Words are the maximal runs of bytes other than space and tab to carriage return, with A-Z lower-cased.
-A word's hash is a polynomial over its bytes modulo the prime 2^61 - 1, at a base that is drawn at random
-for each run, so texts can't be made to collide: two different words of at most LONG bytes share a hash for
-LONG bases of 2^61 at most, a chance below 2^-49 (2^-55 up to 64 bytes). Longer words have a BLAKE2 hash with
-the base as its key. A shingle's hash mixes those of its words in order; two different shingles of
-usual words share one with a chance of about 2^-55.
+A word's hash is a polynomial modulo the prime 2^61 - 1, its coefficients the word's length and then its bytes, seven
+at a time, at a base that is drawn at random for each run. So texts can't be made to collide: two
+different words of at most LONG bytes share a hash for LONG / 7 + 1 bases of 2^61 at most, a chance below 2^-51
+(2^-57 up to 63 bytes). Longer words have a BLAKE2 hash with the base as its key. A shingle's hash mixes those of
+its words in order; two different shingles of usual words share one with a chance of about 2^-57.
 """
 
 import hashlib
@@ -19,8 +19,6 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _FIRST_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
-#: What a byte adds: blanks nothing, others one more than their value, so that words of other lengths differ.
-_DIGIT = np.where(_BLANK, 0, np.arange(1, 257)).astype(np.uint64)
 #: Bytes hashed at once; a longer text goes in parts that end between words.
 BUFFER = 1 << 20
 #: Bytes of the longest word that is hashed as a polynomial.
@@ -36,20 +34,23 @@ def draw_base() -> int:
 
 #: The base of a process whose hashes never leave it.
 _OWN_BASE = draw_base()
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_STEP = 7
+#: What stays of eight bytes, by the number of bytes left.
+_MASKS = np.array([(1 << 8 * min(n, _STEP)) - 1 for n in range(LONG + 1)], np.uint64)
 
 
-def _halves(base: int) -> tuple[np.ndarray, np.ndarray]:
-    """The low 31 and the high 30 bits of the powers of ``base``."""
-    if base not in _powers:
-        found, power = [], 1
-        for _ in range(LONG):
-            found.append(power)
-            power = power * base % _PRIME
-        if len(_powers) > 8:
-            _powers.clear()
-        _powers[base] = np.array([x & 0x7FFFFFFF for x in found], np.uint64), np.array([x >> 31 for x in found], np.uint64)
-    return _powers[base]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(x: np.ndarray, base: int) -> np.ndarray:
+    """Products with the base modulo the prime, from products of halves of 31 bits."""
+    low, high = np.uint64(base & 0x7FFFFFFF), np.uint64(base >> 31)
+    x_low, x_high = x & np.uint64(0x7FFFFFFF), x >> np.uint64(31)
+    middle = x_low * high + x_high * low
+    # 2^62 is 2 modulo the prime, and 2^61 is 1
+    return _reduced(((x_high * high) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << np.uint64(31)) + x_low * low)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,14 +67,17 @@ def _words(buffer: bytes, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return starts, ends, np.empty(0, np.uint64)
-    first = int(starts[0])
-    place = np.arange(first, len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.diff(starts, append=len(data)))
-    digits = _DIGIT[data[first:]]
-    # the sums of a word's digits with either half of the powers stay below 2^52
-    low, high = (np.add.reduceat(digits * np.take(half, place, mode="clip"), starts - first) for half in _halves(base))
-    value = low + (high >> np.uint64(30)) + ((high & np.uint64((1 << 30) - 1)) << np.uint64(31))
-    value = (value & _P) + (value >> np.uint64(61))
-    hashes = mix(np.where(value >= _P, value - _P, value))
+    # the eight bytes from each place on
+    eights = np.ndarray((len(data),), "<u8", buffer + bytes(8), strides=(1,))
+    left = np.minimum(ends - starts, LONG)
+    hashes = _reduced(_times(left.astype(np.uint64), base) + (eights[starts] & _MASKS[left]))
+    going, place = np.flatnonzero(left > _STEP), _STEP
+    while len(going):
+        part = eights[starts[going] + place] & _MASKS[left[going] - place]
+        hashes[going] = _reduced(_times(hashes[going], base) + part)
+        place += _STEP
+        going = going[left[going] > place]
+    hashes = mix(hashes)
     for k in np.flatnonzero(ends - starts > LONG):
         word = hashlib.blake2b(buffer[starts[k] : ends[k]], digest_size=8, key=base.to_bytes(8, "little"))
         hashes[k] = int.from_bytes(word.digest(), "little")
