@@ -178,3 +178,18 @@ def test_overlaps_of_rows_with_many_pairs(spark, monkeypatch):
     )
     got = sorted((bytes(r.a), bytes(r.b), r.shared) for r in found.collect())
     assert got == sorted((a, b, len(np.intersect1d(sets[a], sets[b]))) for a, b in pairs)
+
+
+@pytest.mark.parametrize("sent, parts", [(1 << 20, 4), (3, 4), (3, 1)])
+def test_lookups_in_parts(spark, monkeypatch, sent, parts):
+    monkeypatch.setattr(jaccard, "SENT_COLUMNS", sent)
+    monkeypatch.setattr(jaccard, "SENT_PARTS", parts)
+    lookup = {c: 10 * c for c in range(-5, 5)}
+    rows = spark.createDataFrame([(c, str(c)) for c in [*range(-9, 9), 3, 3]], "col long, name string")
+    found = jaccard._looked_up(rows, spark.createDataFrame([*lookup.items()], "col long, value long"), "said")
+    assert sorted((r.col, r.name, r.said) for r in found.collect()) == sorted([(c, str(c), lookup.get(c)) for c in [*range(-9, 9), 3, 3]])
+    none = spark.createDataFrame([], "col long, value long")
+    assert {r.said for r in jaccard._looked_up(rows, none, "said").collect()} == {None}
+    cores = spark.createDataFrame([(b"x", np.arange(-9, 9).astype(np.int64).tobytes())], "core binary, items binary")
+    masks = jaccard._marked(cores, spark.createDataFrame([(c,) for c in lookup], "col long")).collect()
+    assert np.frombuffer(bytes(masks[0].heavy), bool).tolist() == [c in lookup for c in range(-9, 9)]

@@ -28,6 +28,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,8 @@ MANY = 512
 GROWTH = 8
 #: Heavy columns that go to the workers at once: 8 MB.
 SENT_COLUMNS = 1 << 20
+#: Parts in which a lookup goes to the workers at most.
+SENT_PARTS = 4
 #: Pairs of one row that are multiplied out in one block.
 BLOCK_PAIRS = 256
 #: Buckets in which columns are counted to order them: 2 MB on the driver and each worker.
@@ -235,6 +238,36 @@ def _linked(documents: DataFrame, width: int, base: int, percent: int, pairs: Da
     return pairs.join(found, ["a", "b"]).where(reached).select("a", "b")
 
 
+def _looked_up(rows: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
+    """``rows`` with column ``name``: what ``lookup`` (col, value, both long) says of their col, null if nothing. A lookup of
+    up to SENT_PARTS times SENT_COLUMNS goes to the workers in as many parts; a larger one is joined."""
+    count = lookup.count()
+    if count > SENT_PARTS * SENT_COLUMNS:
+        return attached(rows, lookup.withColumnRenamed("value", name), ["col"])
+    names, schema = [*rows.columns, name], T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())])
+    at, parts = rows.columns.index("col"), parts_for(count, SENT_COLUMNS)
+    found = rows.withColumn(name, F.lit(None).cast("long"))
+    for k in range(parts):
+        some = lookup.where(F.pmod("col", F.lit(parts)) == k).select("col", "value").toArrow()
+        keys, values = (some.column(c).to_numpy() for c in ("col", "value"))
+        order = np.argsort(keys)
+        sent = rows.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+        def run(batches, sent=sent):
+            known, says = sent.value
+            for batch in batches:
+                before = batch.column(len(names) - 1)
+                if len(known):
+                    columns = batch.column(at).to_numpy()
+                    place = np.minimum(np.searchsorted(known, columns), len(known) - 1)
+                    here = pa.array(says[place], mask=known[place] != columns)
+                    before = pc.coalesce(before, here)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], before], names=names)
+
+        found = found.mapInArrow(run, schema)
+    return found
+
+
 def _column_counts(cores: DataFrame) -> DataFrame:
     """(col, rows) of the columns of several cores."""
 
@@ -386,9 +419,8 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
     shared = postings.groupBy("col").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("col")
     hits = written(postings.join(shared, "col").distinct(), "hits")
     counts = written(hits.groupBy("col").agg(F.count("*").alias("n")), "hit_counts")
-    marked = attached(hits, counts.withColumnRenamed("n", "rows"), ["col"], counts)
-    heavy = written(marked.where(F.col("rows") > LIGHT).select("col", "key"), "heavy")
-    light = marked.where(F.col("rows") <= LIGHT).select("col", "key")
+    marked = written(_looked_up(hits, counts.where(F.col("n") > LIGHT).withColumnRenamed("n", "value"), "rows"), "marked")
+    heavy, light = marked.where("rows is not null").select("col", "key"), marked.where("rows is null").select("col", "key")
     pairs = light.alias("l").join(light.alias("r"), "col").where("l.key < r.key").select(F.col("l.key").alias("x"), F.col("r.key").alias("y"), F.lit(1).alias("shared"))
 
     some_heavy = not heavy.isEmpty()
@@ -396,8 +428,7 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         weights = heavy.groupBy("key").agg(F.count("*").alias("h"))
         weighed = heavy.join(weights, "key")
         pivots = written(weighed.groupBy("col").agg(F.max(F.struct("h", "key"))["key"].alias("pivot")), "pivots")
-        at_pivot = written(attached(heavy, pivots, ["col"], counts.where(F.col("n") > LIGHT)), "at_pivot")
-        stars = at_pivot.where("key <> pivot")
+        stars = _looked_up(heavy, pivots.withColumnRenamed("pivot", "value"), "pivot").where("key <> pivot")
         pairs = pairs.union(stars.select(F.least("key", "pivot"), F.greatest("key", "pivot"), F.lit(0)))
         sized = written(info.join(weights, "key", "left").fillna(0, ["h"]), "sized_sets")
     else:
@@ -431,7 +462,7 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         crossing = written(crossing, "crossing")
         if not crossing.isEmpty():
             more.append(written(_linked(documents, width, base, percent, crossing), "crossing_links"))
-        large = attached(heavy, open_.where(F.col("rows") > MANY), ["col"], counts.where(F.col("n") > LIGHT)).where("rows is not null").select("key").distinct()
+        large = _looked_up(heavy, open_.where(F.col("rows") > MANY).withColumnRenamed("rows", "value"), "rows").where("rows is not null").select("key").distinct()
         large = written(large.join(placed, "key"), "large")
         if not large.isEmpty():
             sets = _wanted_sets(documents, width, base, large.select("fp", "key", F.col("first_id").alias("id")))
