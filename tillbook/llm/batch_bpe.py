@@ -21,12 +21,14 @@ from tillbook.llm.common import pieces
 from tillbook.llm.shingles import LONG, lowered_words
 
 #: Distinct chunks and words that a worker process keeps; beyond, it starts anew.
-KEPT_CHUNKS = 200_000
-KEPT_WORDS = 200_000
+KEPT_CHUNKS = 500_000
+KEPT_WORDS = 500_000
 #: Bytes of the chunks that a worker process keeps; beyond, too, it starts anew.
-KEPT_BYTES = 16 << 20
+KEPT_BYTES = 32 << 20
 #: Bytes that are compared at once.
 COMPARED = 1 << 19
+#: What stays of eight bytes, by the length of a word.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _NONE = np.iinfo(np.int64).max
 
 
@@ -67,11 +69,14 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def unlike(buffer: bytes, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """The words whose bytes aren't those of word ``other[k]``."""
+    """The words whose bytes aren't those of word ``other[k]``. Up to sixteen bytes, the first and the last eight say so."""
     sizes = ends - starts
-    out = sizes != sizes[other]
+    eights = np.ndarray((len(buffer),), "<u8", buffer + bytes(8), strides=(1,))
+    first = eights[starts] & _FIRST[np.minimum(sizes, 8)]
+    last = np.where(sizes > 8, eights[np.maximum(ends - 8, 0)], np.uint64(0))
+    out = (sizes != sizes[other]) | (first != first[other]) | (last != last[other])
     data = np.frombuffer(buffer, np.uint8)
-    check = np.flatnonzero((other != np.arange(len(other))) & ~out)
+    check = np.flatnonzero((sizes > 16) & (other != np.arange(len(other))) & ~out)
     for k in check[sizes[check] > LONG].tolist():
         out[k] = buffer[starts[k] : ends[k]] != buffer[starts[other[k]] : ends[other[k]]]
     check = check[sizes[check] <= LONG]
