@@ -91,7 +91,8 @@ def unlike(buffer: bytes, starts: np.ndarray, ends: np.ndarray, other: np.ndarra
 
 class BatchEncoder:
     def __init__(self, path: str):
-        self.path, base = path, self._kept(path)
+        self.path = path
+        base = self._kept(path)
         ids, end, symbols = base.ids, base.end, base.byte_symbols
         self._inner = np.array([ids[symbols[b]] for b in range(256)], np.int64)
         self._final = np.array([ids[symbols[b] + end] for b in range(256)], np.int64)
