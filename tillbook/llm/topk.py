@@ -24,9 +24,13 @@ from tillbook.llm.vectors import against_all, blocks, ranked, same_width, unpack
 SHARD_ROWS = 16384
 BLOCK_ROWS = 256
 #: Levels of impact, in hundredths of the largest; below the last one nothing is left unprocessed.
-LEVELS = (25, 18, 13, 9, 6)
-#: Processing stops when at most this share of a shard is still possible.
-POSSIBLE = 0.1
+LEVELS = (12, 8, 4)
+#: Processing stops when at most this share of a shard is still possible: scoring a row exactly takes less time
+#: than processing the rest of its postings.
+POSSIBLE = 0.3
+#: A run of more than this share of the rows is read off the component's values in the order of rows, which takes less time
+#: than going from row to row.
+LONG_RUN = 0.2
 #: Tasks that the blocks of queries of one shard are dealt to.
 COPIES = 4
 #: Whole numbers up to here add up exactly in doubles, and up to there in 64 bits.
@@ -43,13 +47,22 @@ class Shard:
         if self.vectors is not None:
             order = np.argsort(self.vectors, axis=0, kind="stable")
             self.values = np.ascontiguousarray(np.take_along_axis(self.vectors, order, axis=0).T)
-            self.rows = np.ascontiguousarray(order.T.astype(np.int32))
+            self.rows = np.ascontiguousarray(order.T)
+            # what each posting's value is above its component's least, as doubles while they hold it
+            self.above = (self.values - self.values[:, :1]).astype(float) if self.largest < _DOUBLE and len(ids) else None
+            self._by_row: dict[type, np.ndarray] = {}
 
     def _scores(self, rows: np.ndarray, query: np.ndarray, most: float) -> np.ndarray:
         if most < _DOUBLE:
             return (self.doubles[rows] @ query.astype(float)).astype(np.int64)
         return self.vectors[rows] @ query
 
+    def _in_rows(self, kind: type) -> np.ndarray:
+        """What each row's value is above its component's least, a line for each component."""
+        if kind not in self._by_row:
+            self._by_row[kind] = np.ascontiguousarray((self.vectors - self.values[:, 0]).T.astype(kind))
+        return self._by_row[kind]
+
     def _beyond_longs(self, query: np.ndarray) -> np.ndarray:
         """Scores of all rows; what no 64 bits hold is cut to the largest or the least that they do."""
         whole = [int(x) for x in query]
@@ -70,9 +83,14 @@ class Shard:
         least = int(np.where(query > 0, query * low, query * high).sum())
         weight = np.abs(query)
         spans = weight * (high - low)
+        # one sum for both where doubles hold it: units of gain, and below them the number of components seen
+        unit = 1 << len(query).bit_length()
+        both = most * unit < _DOUBLE
         gained, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        kind = np.int32 if most * unit < 2.0**31 else np.int64
+        sums = np.zeros(n, kind)
         taken = np.zeros(len(query), np.int64)
-        top = int(spans.max())
+        top, before = int(spans.max()), None
         for level in [top * share // 100 for share in LEVELS] + [0]:
             rows, gains = [], []
             for d in np.flatnonzero(spans > level).tolist():
@@ -80,15 +98,34 @@ class Shard:
                 if query[d] > 0:
                     cut = n - int(np.searchsorted(values, low[d] + level // q, "right"))
                     run = slice(n - cut, n - int(taken[d]))
-                    gains.append((values[run] - low[d]) * q)
                 else:
                     cut = int(np.searchsorted(values, high[d] - level // q, "left"))
                     run = slice(int(taken[d]), cut)
-                    gains.append((high[d] - values[run]) * q)
-                rows.append(self.rows[d][run])
+                if both and cut - taken[d] > LONG_RUN * n:
+                    impact = self._in_rows(kind)[d] * kind(q if query[d] > 0 else -q)
+                    if query[d] < 0:
+                        impact += kind(spans[d])
+                    here = impact > level if before is None else (impact > level) & (impact <= before)
+                    impact *= kind(unit)
+                    impact += kind(1)
+                    impact *= here
+                    sums += impact
+                else:
+                    rows.append(self.rows[d][run])
+                    if not both:
+                        gains.append((values[run] - low[d] if query[d] > 0 else high[d] - values[run]) * q)
+                    elif query[d] > 0:
+                        gains.append(self.above[d][run] * (q * unit) + 1)
+                    else:
+                        gains.append(self.above[d][run] * (-q * unit) + (int(spans[d]) * unit + 1))
                 taken[d] = cut
-            if rows:
-                self._add(gained, seen, np.concatenate(rows), np.concatenate(gains), most)
+            before = level
+            if both:
+                if rows:
+                    sums += np.bincount(np.concatenate(rows), np.concatenate(gains), n).astype(kind)
+                gained, seen = (x.astype(np.int64) for x in np.divmod(sums, kind(unit)))
+            elif rows:
+                self._add(gained, seen, np.concatenate(rows), np.concatenate(gains))
             ranked_ = np.where(others, gained, -1)
             best = np.argpartition(ranked_, n - k)[n - k :]
             if level == 0:  # nothing is left to gain
@@ -105,14 +142,12 @@ class Shard:
         raise AssertionError("the last level returns")
 
     @staticmethod
-    def _add(gained: np.ndarray, seen: np.ndarray, rows: np.ndarray, gains: np.ndarray, most: float) -> None:
+    def _add(gained: np.ndarray, seen: np.ndarray, rows: np.ndarray, gains: np.ndarray) -> None:
+        """Add gains of up to 62 bits: the halves of the bits add up exactly."""
         n = len(gained)
         seen += np.bincount(rows, minlength=n)
-        if most < _DOUBLE:
-            gained += np.bincount(rows, gains, n).astype(np.int64)
-        else:  # the halves of the bits add up exactly
-            gained += np.bincount(rows, gains & 0x7FFFFFFF, n).astype(np.int64)
-            gained += np.bincount(rows, gains >> 31, n).astype(np.int64) << 31
+        gained += np.bincount(rows, gains & 0x7FFFFFFF, n).astype(np.int64)
+        gained += np.bincount(rows, gains >> 31, n).astype(np.int64) << 31
 
     def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(scores) > k:
