@@ -41,7 +41,7 @@ from tillbook.llm.spread import attached
 #: Rows of a column that still contributes all pairs: its pairs stay below 8 for each of its rows.
 LIGHT = 16
 #: Rows of a heavy column whose pairs between components are all looked at.
-MANY = 512
+MANY = 128
 #: How much more rows a light column may have in each further incidence of ``_across``.
 GROWTH = 8
 #: Heavy columns that go to the workers at once: 8 MB.
