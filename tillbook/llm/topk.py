@@ -27,7 +27,7 @@ BLOCK_ROWS = 256
 LEVELS = (12, 8, 4)
 #: Processing stops when at most this share of a shard is still possible: scoring a row exactly takes less time
 #: than processing the rest of its postings.
-POSSIBLE = 0.3
+POSSIBLE = 0.5
 #: A run of more than this share of the rows is read off the component's values in the order of rows, which takes less time
 #: than going from row to row.
 LONG_RUN = 0.2
@@ -45,9 +45,10 @@ class Shard:
         self.doubles = vectors
         self.vectors = vectors.astype(np.int64) if self.largest < _LONG else None
         if self.vectors is not None:
-            order = np.argsort(self.vectors, axis=0, kind="stable")
-            self.values = np.ascontiguousarray(np.take_along_axis(self.vectors, order, axis=0).T)
-            self.rows = np.ascontiguousarray(order.T)
+            # numbers of 16 bits are sorted by their digits
+            by_component = np.ascontiguousarray(self.vectors.T)
+            self.rows = np.argsort(by_component.astype(np.int16) if self.largest < 2**15 else by_component, axis=1, kind="stable")
+            self.values = np.take_along_axis(by_component, self.rows, axis=1)
             # what each posting's value is above its component's least, as doubles while they hold it
             self.above = (self.values - self.values[:, :1]).astype(float) if self.largest < _DOUBLE and len(ids) else None
             self._by_row: dict[type, np.ndarray] = {}
@@ -174,11 +175,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, scale: float, id_colu
     asked = blocks(whole(queries).dropDuplicates(["id", "vector"]), BLOCK_ROWS)
 
     def run(batches):
+        last = shard = None
         for batch in pieces(batches, 1):
-            _, ids, dims, matrix, query_ids, query_dims, query_matrix = (c[0].as_py() for c in batch.columns)
+            number, ids, dims, matrix, query_ids, query_dims, query_matrix = (c[0].as_py() for c in batch.columns)
             (ids, rows), (query_ids, asked_rows) = unpacked(ids, dims, matrix), unpacked(query_ids, query_dims, query_matrix)
             shard_rows, asked_rows = same_width(rows, asked_rows)
-            shard = Shard(ids, shard_rows)
+            if last != (number, shard_rows.shape):  # a shard's blocks of queries follow each other
+                last, shard = (number, shard_rows.shape), Shard(ids, shard_rows)
             out: list[tuple] = []
             for query_id, query in zip(query_ids.tolist(), asked_rows):
                 found, scores, _ = shard.search(query, query_id, k)
