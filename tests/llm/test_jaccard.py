@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.fixtures import DOCUMENTS, documents, prose, with_clashes
-from tillbook.llm import jaccard
+from tillbook.llm import graph, jaccard
 from tillbook.llm.graph import components
 from tillbook.llm.shingles import BUFFER, LONG, draw_base, shingle_sets
 
@@ -193,3 +193,73 @@ def test_lookups_in_parts(spark, monkeypatch, sent, parts):
     cores = spark.createDataFrame([(b"x", np.arange(-9, 9).astype(np.int64).tobytes())], "core binary, items binary")
     masks = jaccard._marked(cores, spark.createDataFrame([(c,) for c in lookup], "col long")).collect()
     assert np.frombuffer(bytes(masks[0].heavy), bool).tolist() == [c in lookup for c in range(-9, 9)]
+
+
+@pytest.mark.parametrize("task_links, steps", [(1 << 16, 2), (7, 100)])
+def test_components_of_few_links_need_no_rounds(spark, monkeypatch, task_links, steps):
+    choose = random.Random(task_links)
+    links = [(choose.randrange(60), choose.randrange(60)) for _ in range(40)] + [(200 - i, 199 - i) for i in range(50)]
+    label = {x: x for link in links for x in link}
+    for a, b in links * len(links):
+        label[a] = label[b] = min(label[a], label[b])
+    done = []
+    monkeypatch.setattr(graph, "TASK_LINKS", task_links)
+    monkeypatch.setattr(graph, "cut", lambda df, cut=graph.cut: done.append(1) or cut(df))
+    found = sorted(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert found == sorted((x, label[x]) for x in linked)
+    assert len(done) <= steps
+
+
+def test_small_results_are_written_in_few_files(spark, monkeypatch):
+    """However many partitions the session's shuffles have: files and tasks grow with the rows."""
+    files = {}
+
+    def kept(df, name, *rows, written=jaccard.written):
+        out = written(df, name, *rows)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard, "written", kept)
+    monkeypatch.setattr(jaccard, "MANY", 20)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = corpus(7)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = jaccard.linked_components(documents(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found), key=repr) == brute_force(rows)
+    assert {"distinct_sets", "bounded", "links", "placed", "at_label", "large", "merged_cores"} <= set(files)
+    assert {n: k for n, k in files.items() if k > 8 and n != "hits"} == {}
+
+
+def test_cores_are_read_and_counted_once(spark, monkeypatch):
+    """The incidence of heavy columns takes its rows, which come from texts, a single time; a column's count doesn't
+    send a row for each of its cores."""
+    read, common = spark.sparkContext.accumulator(0), list(range(1000, 1100))
+    sets = [np.array([*common, *range(9000 + 10 * i, 9000 + 10 * i + i % 7)], np.uint64) for i in range(200)]
+    rows = [(f"{i:03}".encode(), len(s), f"{i:03}".encode(), s.tobytes()) for i, s in enumerate(sets)]
+    schema = "fp binary, n long, label binary, items binary"
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    links = jaccard._across(spark.createDataFrame(rows, schema).mapInArrow(run, schema), 85).collect()
+    assert read.value == len(rows)
+    label = {bytes(r[0]): {bytes(r[0])} for r in rows}
+    for a, b in ((bytes(x.a), bytes(x.b)) for x in links):
+        both = label[a] | label[b]
+        label.update(dict.fromkeys(both, both))
+    assert len(label[rows[0][0]]) == len(rows)
+
+    sent, cores = [], spark.createDataFrame(rows, schema).coalesce(1)
+    monkeypatch.setattr(type(cores), "groupBy", lambda df, *c, f=type(cores).groupBy: sent.append(df) or f(df, *c))
+    counts = dict(map(tuple, jaccard._column_counts(cores).collect()))
+    assert counts == dict.fromkeys(common, len(rows))
+    assert sent[0].count() == len({int(c) for s in sets for c in s})

@@ -13,6 +13,9 @@ from tillbook.sources.tables import shared_root
 PIECE_ROWS = 256
 
 
+#: Rows of a task that writes the result of a shuffle whose size is known.
+TASK_ROWS = 8192
+
 #: Bytes of the batches in which texts go to Python and back, and Spark's own default.
 BATCH_BYTES, _DEFAULT_BATCH_BYTES = "4194304b", "67108864b"
 _BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -41,10 +44,18 @@ def drop_at_end(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def in_few_parts(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df``, the result of a shuffle, in no more parts than about ``rows`` rows want. A task then takes several
+    partitions of the shuffle, where each would be small; the more rows there are, the more tasks."""
+    return df.coalesce(parts_for(rows, task_rows))
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write to the folder all executors share and read again, so that a lost executor costs no
-    more than the task it ran."""
+    more than the task it ran. With ``rows``, in few parts."""
     path = shared_folder(df.sparkSession, name)
+    if rows is not None:
+        df = in_few_parts(df, rows)
     df.write.parquet(path)
     drop_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.llm.common import parts_for, pieces, written
+from tillbook.llm.common import in_few_parts, parts_for, pieces, written
 from tillbook.llm.graph import components
 from tillbook.llm.shingles import draw_base, shingle_sets
 from tillbook.llm.spread import attached
@@ -50,6 +50,10 @@ SENT_COLUMNS = 1 << 20
 SENT_PARTS = 4
 #: Pairs of one row that are multiplied out in one block.
 BLOCK_PAIRS = 256
+#: Items that a task counts at once: 8 MB.
+COUNTED = 1 << 20
+#: Sets that a task takes from a shuffle of known size.
+TASK_SETS = 1024
 #: Buckets in which columns are counted to order them: 2 MB on the driver and each worker.
 BUCKET_BITS = 18
 _CHUNK = 4096
@@ -124,9 +128,9 @@ def _column_loads(described: DataFrame) -> np.ndarray:
     rows = described.where("chunk is not null").select("chunk", "counts")
     # two steps, so that no task reads the counts of more than a few hundred others
     salted = rows.repartition(F.col("chunk"), F.pmod(F.xxhash64("counts"), F.lit(64)))
-    once = salted.mapInArrow(run, "chunk int, counts binary")
+    once = in_few_parts(salted, rows.count(), _CHUNK // 16).mapInArrow(run, "chunk int, counts binary")
     out = np.zeros(((1 << BUCKET_BITS) // _CHUNK, _CHUNK), np.int64)
-    for chunk, counts in once.repartition("chunk").mapInArrow(run, "chunk int, counts binary").collect():
+    for chunk, counts in in_few_parts(once.repartition("chunk"), len(out), 8).mapInArrow(run, "chunk int, counts binary").collect():
         out[chunk] = np.frombuffer(counts, np.int64)
     return out.reshape(-1)
 
@@ -156,7 +160,8 @@ def _postings(documents: DataFrame, width: int, base: int, percent: int, loads:
 def _wanted_sets(documents: DataFrame, width: int, base: int, wanted: DataFrame) -> DataFrame:
     """(fp, items) of the sets in ``wanted`` (fp, key, id), each once: from a row with its smallest doc_id. A filter
     keeps most others out of the shuffle, and the join what passes it by chance."""
-    wanted = written(wanted.distinct(), "wanted")
+    wanted = written(wanted.distinct(), "wanted", wanted.count())
+    count = wanted.count()
     bucket = F.pmod(F.col("key").bitwiseXOR(F.coalesce("id", F.lit(0))), F.lit(FILTER)) + 1
     maps = wanted.select(bucket.alias("x")).groupBy(F.bitmap_bucket_number("x")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")))
     bits = np.zeros(FILTER // 8, np.uint8)
@@ -176,7 +181,7 @@ def _wanted_sets(documents: DataFrame, width: int, base: int, wanted: DataFrame)
     sets = documents.mapInArrow(run, "fp binary, id long, items binary").alias("s")
     known = wanted.select("fp", "id").alias("w")
     found = sets.join(known, (F.col("s.fp") == F.col("w.fp")) & F.col("s.id").eqNullSafe(F.col("w.id")), "left_semi")
-    return found.dropDuplicates(["fp"]).select("fp", "items")
+    return in_few_parts(found.dropDuplicates(["fp"]).select("fp", "items"), count, TASK_SETS)
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -186,7 +191,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     that no task gets all pairs of one row. A block is a product of one row with others.
     """
     degrees = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).groupBy("fp").agg(F.count("*").alias("n"))
-    degrees = written(degrees.where("n > 1"), "degrees")
+    count = pairs.count()
+    degrees = written(degrees.where("n > 1"), "degrees", count)
 
     def degree(side: str) -> DataFrame:
         return degrees.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"))
@@ -200,7 +206,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.greatest("n_a", "n_b").alias("n"), first.alias("kept"),
     )
     block = F.when(F.col("n") > BLOCK_PAIRS, F.pmod(F.xxhash64("y"), F.ceil(F.col("n") / BLOCK_PAIRS))).otherwise(0).cast("long")
-    turned = written(turned.select("x", "y", "kept", block.alias("block")), "turned")
+    turned = written(turned.select("x", "y", "kept", block.alias("block")), "turned", count)
     heads = turned.select("x", "block").distinct().join(sets.select(F.col("fp").alias("x"), "items"), "x")
     heads = heads.select("x", "block", F.lit(None).cast("binary").alias("y"), F.lit(None).cast("boolean").alias("kept"), "items")
     others = turned.join(sets.select(F.col("fp").alias("y"), "items"), "y").select("x", "block", "y", "kept", "items")
@@ -225,7 +231,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     row = items[end].copy()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
 
-    both = heads.unionByName(others).repartition("x", "block").sortWithinPartitions("x", "block", "y")
+    both = in_few_parts(heads.unionByName(others).repartition("x", "block"), count, TASK_SETS).sortWithinPartitions("x", "block", "y")
     return both.mapInArrow(run, "a binary, b binary, shared long")
 
 
@@ -269,14 +275,25 @@ def _looked_up(rows: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
 
 
 def _column_counts(cores: DataFrame) -> DataFrame:
-    """(col, rows) of the columns of several cores."""
+    """(col, rows) of the columns of several cores. Tasks count COUNTED items at a time, so that a column of many cores
+    is sent on a few times only."""
+
+    def counted(items):
+        columns, rows = np.unique(np.concatenate(items), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(columns), pa.array(rows.astype(np.int64))], names=["col", "rows"])
 
     def run(batches):
+        waiting, size = [], 0
         for piece in pieces(batches, 64):
-            items = [np.frombuffer(v.as_buffer(), np.int64) for v in piece.column("items")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(items))], names=["col"])
+            waiting += [np.frombuffer(v.as_buffer(), np.int64) for v in piece.column("items")]
+            size += sum(len(w) for w in waiting[-piece.num_rows :])
+            if size >= COUNTED:
+                yield counted(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield counted(waiting)
 
-    return cores.select("items").mapInArrow(run, "col long").groupBy("col").agg(F.count("*").alias("rows")).where("rows > 1")
+    return cores.select("items").mapInArrow(run, "col long, rows long").groupBy("col").agg(F.sum("rows").alias("rows")).where("rows > 1")
 
 
 def _marked(cores: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -342,24 +359,29 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         return F.floor(of * (100 + percent) / percent)
 
     mixed = "not (lo = hi and other_lo = other_hi and lo = other_lo)"
-    members = rows.select(F.col("fp").alias("core"), "fp", "n")
     label = F.xxhash64("label")
     cores = rows.select(
         F.col("fp").alias("core"), F.col("n").cast("int").alias("size"), F.col("n").alias("least"), F.col("fp").alias("first"), label.alias("lo"), label.alias("hi"), "items"
     )
+    cores = written(cores, "cores")
+    members = cores.select("core", F.col("core").alias("fp"), F.col("least").alias("n"))
+    n_members = members.count()
     out = [members.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)]
     few = LIGHT
     while True:
-        cores = written(cores, "cores")
         about = cores.drop("items")
-        counts = written(_column_counts(cores), "core_counts")
-        most = counts.agg(F.max("rows")).first()[0] or 0
+        total, n_cores = cores.agg(F.sum("size"), F.count("*")).first()
+        counts = written(_column_counts(cores), "core_counts", total or 0)
+        fewest, most, held = (x or 0 for x in counts.agg(F.min("rows"), F.max("rows"), F.sum("rows")).first())
+        # without a light column or one of a single row, the next incidence would be this one
+        while held == total and few < fewest:
+            few *= GROWTH
         split = written(_split(_marked(cores, counts.where(F.col("rows") > few)), percent), "split_cores")
         shared = counts.where(F.col("rows") <= few).select("col")
         leading = split.where("next is null").join(shared, "col", "left_semi").select("col", "core", "lo", "hi", "size", "least")
         other = leading.select("col", *[F.col(c).alias(f"other_{c}") for c in leading.columns if c != "col"])
         pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(F.least("size", "other_size")) >= F.col("least") + F.col("other_least"))
-        pairs = written(pairs.select(F.col("core").alias("a"), F.col("other_core").alias("b")).distinct(), "core_pairs")
+        pairs = written(pairs.select(F.col("core").alias("a"), F.col("other_core").alias("b")).distinct(), "core_pairs", n_cores)
         if not pairs.isEmpty():
             found = written(overlaps(pairs, cores.select(F.col("core").alias("fp"), "items")), "core_overlaps")
             for near, far in (("a", "b"), ("b", "a")):
@@ -371,10 +393,10 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         smaller = split.where("next is not null")
         best = F.min(F.struct("least", "first"))
         merged = smaller.groupBy("next").agg(F.first("items").alias("items"), F.first("size").alias("size"), best.alias("best"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        merged = written(merged.select(F.col("next").alias("core"), "size", "best.least", "best.first", "lo", "hi", "items"), "merged_cores")
+        merged = written(merged.select(F.col("next").alias("core"), "size", "best.least", "best.first", "lo", "hi", "items"), "merged_cores", n_cores)
         members = attached(members, smaller.select("core", "next"), ["core"]).where("next is not null").select(F.col("next").alias("core"), "fp", "n")
         members = attached(members, merged.select("core", "size"), ["core"]).where(100 * F.col("size") >= percent * F.col("n")).drop("size")
-        members = written(members, "core_members")
+        members = written(members, "core_members", n_members)
         inside = attached(members, merged.where("lo < hi").select("core", "least", "first", "size"), ["core"])
         out.append(inside.where((F.col("fp") != F.col("first")) & (F.col("least") + F.col("n") <= links(F.col("size")))).select(F.col("first").alias("a"), F.col("fp").alias("b")))
         if merged.agg(F.min("lo") < F.max("hi")).first()[0] is not True:
@@ -409,16 +431,19 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     described = written(_described(documents, width, base), "described")
     rows = described.where("chunk is null").select("doc_id", "n", "fp")
+    n_rows = described.count()
     info = written(
         described.where("fp is not null").groupBy("fp", "key").agg(
             F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in _PARITIES]
         ),
-        "distinct_sets",
+        "distinct_sets", n_rows,
     )
     postings = written(_postings(documents, width, base, percent, _column_loads(described)), "postings")
+    postings = postings.repartition("col")  # for both: the join and the columns' counts take one shuffle
     shared = postings.groupBy("col").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("col")
     hits = written(postings.join(shared, "col").distinct(), "hits")
-    counts = written(hits.groupBy("col").agg(F.count("*").alias("n")), "hit_counts")
+    n_hits = hits.count()
+    counts = written(hits.groupBy("col").agg(F.count("*").alias("n")), "hit_counts", n_hits)
     marked = written(_looked_up(hits, counts.where(F.col("n") > LIGHT).withColumnRenamed("n", "value"), "rows"), "marked")
     heavy, light = marked.where("rows is not null").select("col", "key"), marked.where("rows is null").select("col", "key")
     pairs = light.alias("l").join(light.alias("r"), "col").where("l.key < r.key").select(F.col("l.key").alias("x"), F.col("r.key").alias("y"), F.lit(1).alias("shared"))
@@ -427,10 +452,10 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
     if some_heavy:
         weights = heavy.groupBy("key").agg(F.count("*").alias("h"))
         weighed = heavy.join(weights, "key")
-        pivots = written(weighed.groupBy("col").agg(F.max(F.struct("h", "key"))["key"].alias("pivot")), "pivots")
+        pivots = written(weighed.groupBy("col").agg(F.max(F.struct("h", "key"))["key"].alias("pivot")), "pivots", heavy.count())
         stars = _looked_up(heavy, pivots.withColumnRenamed("pivot", "value"), "pivot").where("key <> pivot")
         pairs = pairs.union(stars.select(F.least("key", "pivot"), F.greatest("key", "pivot"), F.lit(0)))
-        sized = written(info.join(weights, "key", "left").fillna(0, ["h"]), "sized_sets")
+        sized = written(info.join(weights, "key", "left").fillna(0, ["h"]), "sized_sets", n_rows)
     else:
         sized = info.withColumn("h", F.lit(0))
     pairs = pairs.groupBy("x", "y").agg(F.sum("shared").alias("shared")).alias("p")
@@ -438,18 +463,18 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
         pairs.join(sized.alias("x"), F.col("p.x") == F.col("x.key")).join(sized.alias("y"), F.col("p.y") == F.col("y.key"))
         .where(_may_link("x", "y", percent, F.col("p.shared"))).select(_pair_columns())
     )
-    links = written(_linked(documents, width, base, percent, written(bounded, "bounded")), "links")
+    links = written(_linked(documents, width, base, percent, written(bounded, "bounded", n_hits)), "links", n_hits)
     labels = components(links)
 
     if some_heavy:
         placed = info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "key", "first_id", "n", F.coalesce("label", "fp").alias("label"))
-        placed = written(placed, "placed")
+        placed = written(placed, "placed", n_rows)
         # a column is settled if all of its rows are in one component
         about = placed.select("key", "n", F.xxhash64("label").alias("label"))
-        at_label = written(heavy.join(about, "key"), "at_label")
+        at_label = written(heavy.join(about, "key"), "at_label", n_hits)
         sides = at_label.groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows"))
-        open_ = written(sides.where("lo <> hi").select("col", "rows"), "open_columns")
-        more = [links]
+        open_ = written(sides.where("lo <> hi").select("col", "rows"), "open_columns", n_hits)
+        more = []
         medium = at_label.join(open_.where(F.col("rows") <= MANY), "col").select("col", "key", "n", "label")
         other = medium.select("col", *[F.col(c).alias(f"other_{c}") for c in ("key", "n", "label")])
         sizes = (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")) & (F.col("key") < F.col("other_key"))
@@ -459,16 +484,18 @@ def _labelled(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame
             crossing.alias("p").join(sized.alias("x"), F.col("p.x") == F.col("x.key")).join(sized.alias("y"), F.col("p.y") == F.col("y.key"))
             .where(_may_link("x", "y", percent, F.lit(0))).select(_pair_columns())
         )
-        crossing = written(crossing, "crossing")
+        crossing = written(crossing, "crossing", n_hits)
         if not crossing.isEmpty():
-            more.append(written(_linked(documents, width, base, percent, crossing), "crossing_links"))
+            more.append(written(_linked(documents, width, base, percent, crossing), "crossing_links", n_hits))
         large = _looked_up(heavy, open_.where(F.col("rows") > MANY).withColumnRenamed("rows", "value"), "rows").where("rows is not null").select("key").distinct()
-        large = written(large.join(placed, "key"), "large")
-        if not large.isEmpty():
+        large = written(large.join(placed, "key"), "large", n_rows)
+        if n_large := large.count():
             sets = _wanted_sets(documents, width, base, large.select("fp", "key", F.col("first_id").alias("id")))
-            more.append(written(_across(large.select("fp", "n", "label").join(sets, "fp"), percent), "across_links"))
-        if len(more) > 1:
-            labels = components(reduce(DataFrame.unionAll, more))
+            sets = in_few_parts(large.select("fp", "n", "label").join(sets, "fp"), n_large, TASK_SETS)
+            more.append(written(_across(sets, percent), "across_links", n_large))
+        if more := [m for m in more if not m.isEmpty()]:
+            # the components so far are stars of their smallest
+            labels = components(reduce(DataFrame.unionAll, [labels.toDF("a", "b"), *more]))
 
     return rows, info.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")), base
 
