@@ -263,3 +263,16 @@ def test_cores_are_read_and_counted_once(spark, monkeypatch):
     counts = dict(map(tuple, jaccard._column_counts(cores).collect()))
     assert counts == dict.fromkeys(common, len(rows))
     assert sent[0].count() == len({int(c) for s in sets for c in s})
+
+
+def test_a_pair_of_cores_comes_from_one_column(spark, monkeypatch):
+    """Rows that share many leading columns make one pair for all of these."""
+    monkeypatch.setattr(jaccard, "LIGHT", 100)
+    sets = [np.array([*range(1000, 1100), 9000 + i], np.uint64) for i in range(40)]
+    rows = [(f"{i:03}".encode(), len(s), f"{i:03}".encode(), s.tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "fp binary, n long, label binary, items binary")
+    seen, distinct = [], type(df).distinct
+    monkeypatch.setattr(type(df), "distinct", lambda df: seen.append(df) or distinct(df))
+    links = {(bytes(r.a), bytes(r.b)) for r in jaccard._across(df, 85).collect()}
+    assert seen[0].columns == ["a", "b"] and seen[0].count() == len(sets) * (len(sets) - 1) // 2
+    assert len({frozenset(x) for x in links if x[0] != x[1]}) == len(sets) * (len(sets) - 1) // 2

@@ -50,6 +50,8 @@ SENT_COLUMNS = 1 << 20
 SENT_PARTS = 4
 #: Pairs of one row that are multiplied out in one block.
 BLOCK_PAIRS = 256
+#: Leading columns of a core that all of its rows hold, so that a pair comes from the first that it shares.
+HEAD = 32
 #: Items that a task counts at once: 8 MB.
 COUNTED = 1 << 20
 #: Sets that a task takes from a shuffle of known size.
@@ -321,10 +323,10 @@ def _marked(cores: DataFrame, heavy: DataFrame) -> DataFrame:
 
 
 def _split(marked: DataFrame, percent: int) -> DataFrame:
-    """For each row its leading light columns, a row each, and, if the heavy ones can reach the threshold by themselves,
+    """For each row its leading light columns, a row each with its place (``at``) and the first of them (``head``), and, if the heavy ones can reach the threshold by themselves,
     a row with these as ``items`` and their fingerprint ``next``."""
-    schema = "core binary, lo long, hi long, least long, first binary, size int, col long, next binary, items binary"
-    types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    schema = "core binary, lo long, hi long, least long, first binary, size int, col long, at int, head array<long>, next binary, items binary"
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
     def run(batches):
         for piece in pieces(batches):
@@ -334,10 +336,11 @@ def _split(marked: DataFrame, percent: int) -> DataFrame:
                 columns, heavy = np.frombuffer(items.as_buffer(), np.uint64), np.frombuffer(mask.as_buffer(), bool)
                 needed = -(-percent * row[3] // 100)
                 light = columns[~heavy].view(np.int64)
-                out += [(*row, len(columns), c, None, None) for c in light[: len(columns) - needed + 1].tolist()]
+                leading = light[: len(columns) - needed + 1].tolist()
+                out += [(*row, len(columns), c, at, leading[:HEAD], None, None) for at, c in enumerate(leading)]
                 left = columns[heavy]
                 if len(left) >= needed:
-                    out.append((*row, len(left), None, _print(left), left.tobytes()))
+                    out.append((*row, len(left), None, None, None, _print(left), left.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=[n.split()[0] for n in schema.split(", ")])
 
     return marked.mapInArrow(run, schema)
@@ -378,9 +381,12 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             few *= GROWTH
         split = written(_split(_marked(cores, counts.where(F.col("rows") > few)), percent), "split_cores")
         shared = counts.where(F.col("rows") <= few).select("col")
-        leading = split.where("next is null").join(shared, "col", "left_semi").select("col", "core", "lo", "hi", "size", "least")
+        leading = split.where("next is null").join(shared, "col", "left_semi").select("col", "core", "lo", "hi", "size", "least", "at", "head")
         other = leading.select("col", *[F.col(c).alias(f"other_{c}") for c in leading.columns if c != "col"])
-        pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(F.least("size", "other_size")) >= F.col("least") + F.col("other_least"))
+        # at the first column that two rows share, what both have from there on bounds the overlap
+        behind = F.least(F.col("size") - F.col("at"), F.col("other_size") - F.col("other_at"))
+        first = F.coalesce(F.get(F.array_intersect("head", "other_head"), F.lit(0)), F.col("col")) == F.col("col")
+        pairs = leading.join(other, "col").where(f"core < other_core and {mixed}").where(links(behind) >= F.col("least") + F.col("other_least")).where(first)
         pairs = written(pairs.select(F.col("core").alias("a"), F.col("other_core").alias("b")).distinct(), "core_pairs", n_cores)
         if not pairs.isEmpty():
             found = written(overlaps(pairs, cores.select(F.col("core").alias("fp"), "items")), "core_overlaps")
